@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, line_dedup, mixing, quality_rules, url_filter
+from . import decontamination, html_extract, line_dedup, mixing, quality_rules, simhash, url_filter
 from .common import table
 from .oracles import ORACLES
 
@@ -18,6 +18,10 @@ URL_RULES = (
 )
 
 
+def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract_pages(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_lines", "n_bad_lines", "lost_chars")
@@ -29,6 +33,11 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken", "copies")
 
 
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", simhash.as_hex(F.col("fp")).alias("fingerprint"), F.col("component").alias("component_id"))
+
+
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return line_dedup.dedup_lines(docs).select(
@@ -52,7 +61,15 @@ def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op2_quality_rules, op3_mixing, op6_line_dedup, op7_decontamination, op8_url_filter)
+    for f in (
+        op1_html_extraction,
+        op2_quality_rules,
+        op3_mixing,
+        op5_simhash,
+        op6_line_dedup,
+        op7_decontamination,
+        op8_url_filter,
+    )
 }
 
 
