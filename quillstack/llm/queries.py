@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, html_extract, line_dedup, mixing, quality_rules, simhash, url_filter
+from . import decontamination, html_extract, language_id, line_dedup, mixing, quality_model, quality_rules, simhash, toxicity, url_filter
 from .common import table
 from .oracles import ORACLES
 
@@ -18,6 +18,10 @@ URL_RULES = (
 )
 
 
+def _held_out(parts: int, part: int):
+    return F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(parts)) == part, F.lit(False))
+
+
 def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract_pages(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
 
@@ -33,6 +37,13 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken", "copies")
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").select("doc_id", "toxic").where(~_held_out(3, 1))
+    scored = toxicity.score_toxicity(docs, labels)
+    return scored.select("doc_id", _held_out(3, 1).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select("doc_id", simhash.as_hex(F.col("fp")).alias("fingerprint"), F.col("component").alias("component_id"))
@@ -59,16 +70,33 @@ def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(pages, rules).select("page_id", "host", "path", "rule", "verdict", "blocked")
 
 
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    machines = language_id.train(docs.where(~_held_out(4, 2)))
+    found = language_id.predict(docs.select("doc_id", "text"), machines)
+    return found.select("doc_id", _held_out(4, 2).alias("held_out"), "lang_pred", "score")
+
+
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").select("doc_id", "quality").where(~_held_out(4, 2))
+    scored = quality_model.score_quality(docs, labels)
+    return scored.select("doc_id", _held_out(4, 2).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_html_extraction,
         op2_quality_rules,
         op3_mixing,
+        op4_toxicity,
         op5_simhash,
         op6_line_dedup,
         op7_decontamination,
         op8_url_filter,
+        op9_language_id,
+        op10_quality_classifier,
     )
 }
 
