@@ -35,20 +35,25 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def checkpoint(df: DataFrame) -> DataFrame:
-    """df from files in the folder that all executors share.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that all executors share: the session's spark.checkpoint.dir.
 
-    The folder is the session's spark.checkpoint.dir. Only where that is unset, as in
-    local tests, a folder of this process is made and deleted at its end.
+    Only where that is unset, as in local tests, a folder of this process is made and deleted at
+    its end.
     """
-    spark = df.sparkSession
-    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", "")
+    if not folder:
+        folder = tempfile.mkdtemp(prefix="quillstack-checkpoint-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        spark.conf.set("spark.checkpoint.dir", folder)
+    return folder
+
+
+def checkpoint(df: DataFrame) -> DataFrame:
+    """df from files in the shared folder."""
+    context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", "")
-        if not folder:
-            folder = tempfile.mkdtemp(prefix="quillstack-checkpoint-")
-            atexit.register(shutil.rmtree, folder, ignore_errors=True)
-        context.setCheckpointDir(folder)
+        context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint()
 
 
