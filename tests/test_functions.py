@@ -78,7 +78,8 @@ def test_titles_and_texts(spark):
     assert value(spark, text.kind_of_title(F.lit("Index to the Supplement"))) == "Index"
     assert value(spark, text.split_keywords(F.lit("landWater actA"))) == "land, Water act, A"
     assert [value(spark, text.padded_page(F.lit(p), F.lit(n))) for p, n in ((3, 120), (12345, 20), (7, 99999))] == ["003", "12345", "0007"]
-    assert value(spark, text.index_head(F.lit("é" * 10 + " " + "é" * 10), 31)) == "é" * 10
+    assert value(spark, text.index_head(F.lit("é" * 10 + " " + "é" * 10), 31)) == "é" * 10 + " " + "é" * 5
+    assert value(spark, text.index_head(F.lit("e" * 20 + " " + "é" * 10), 31)) == "e" * 20
     assert value(spark, text.index_head(F.lit("ééé"), 3)) == "é"
     assert value(spark, text.highlighted(F.lit("a<b \x02hit\x03 & c"))) == "a&lt;b <mark>hit</mark> &amp; c"
     assert value(spark, text.fixed_url(F.lit("http://a.b/x y/é%20?q=1 2"))) == "http://a.b/x%20y/%C3%A9%20?q=1+2"
