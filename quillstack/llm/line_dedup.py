@@ -125,34 +125,27 @@ def shortest_runs(ranks: DataFrame, min_words: int) -> DataFrame:
 def later_runs(docs: DataFrame, id_col="doc_id", text="text", min_words: int = MIN_WORDS) -> DataFrame:
     """(doc, same, lines): the numbers of the lines to delete, sorted, for each document that has any."""
     ranks = checkpoint(first_ranks(line_table(docs, id_col, text)))
-    runs = checkpoint(shortest_runs(ranks, min_words))
-    level, size, later = ranks.select("doc", "same", "at", "rank"), 1, []
-    while True:
-        here = runs.where((F.col("size") >= size) & (F.col("size") < 2 * size))
-        at = lambda name, c: level.select(
-            F.col("doc").alias("d"), F.col("same").alias("s"), F.col("at").alias("a"), F.col("rank").alias(name)
-        ).withColumn("a", F.col("a") - c)
-        on = F.col("doc").eqNullSafe(F.col("d")) & (F.col("same") == F.col("s")) & (F.col("end") == F.col("a"))
-        start = here.withColumn("end", F.col("at")).join(at("r1", 0), on).drop("d", "s", "a")
-        whole = start.withColumn("end", F.col("at") + F.col("size") - size).join(at("r2", 0), on).drop("d", "s", "a", "end")
-        first = whole.groupBy("size", "r1", "r2").agg(F.min(_place()).alias("first"), F.count(F.lit(1)).alias("times"))
-        first = first.where("times > 1").withColumnsRenamed({"size": "n", "r1": "q1", "r2": "q2"})
-        same = (F.col("size") == F.col("n")) & F.col("r1").eqNullSafe(F.col("q1")) & F.col("r2").eqNullSafe(F.col("q2"))
-        later.append(whole.join(first, same).where(~_place().eqNullSafe(F.col("first"))).select("doc", "same", "at", "size"))
-        if 2 * size > min_words:
-            break
-        level = checkpoint(double(level, size))
-        size *= 2
-    found = later[0]
-    for more in later[1:]:
-        found = found.unionByName(more)
-    gone = found.select("doc", "same", F.explode(F.sequence(F.col("at"), F.col("at") + F.col("size") - 1)).alias("at")).distinct()
-    return (
-        gone.join(ranks.select("doc", "same", "at", "line").withColumnRenamed("doc", "d"),
-                  F.col("doc").eqNullSafe(F.col("d")) & (gone["same"] == ranks["same"]) & (gone["at"] == ranks["at"]))
-        .groupBy(F.col("doc"), gone["same"])
-        .agg(F.sort_array(F.collect_set("line")).alias("lines"))
-    )
+    levels = [ranks.select("doc", "same", "at", "rank")]
+    while 2 ** len(levels) <= min_words:
+        levels.append(checkpoint(double(levels[-1], 2 ** (len(levels) - 1))))
+    every = levels[0].withColumn("level", F.lit(0))
+    for k, level in enumerate(levels[1:], 1):
+        every = every.unionByName(level.withColumn("level", F.lit(k)))
+    power = F.length(F.bin("size")) - 1
+    runs = shortest_runs(ranks, min_words).withColumn("level", F.least(power, F.lit(len(levels) - 1)))
+    for name, place in (("r1", F.col("at")), ("r2", F.col("at") + F.col("size") - F.pow(F.lit(2), F.col("level")).cast("int"))):
+        names = {"doc": "d", "same": "s", "at": "a", "rank": name, "level": "l"}
+        on = F.col("doc").eqNullSafe(F.col("d")) & (F.col("same") == F.col("s")) & (F.col("place") == F.col("a")) & (F.col("level") == F.col("l"))
+        runs = runs.withColumn("place", place).join(every.withColumnsRenamed(names), on).drop("d", "s", "a", "l", "place")
+    runs = checkpoint(runs)
+    first = runs.groupBy("size", "r1", "r2").agg(F.min(_place()).alias("first"), F.count(F.lit(1)).alias("times"))
+    first = first.where("times > 1").withColumnsRenamed({"size": "n", "r1": "q1", "r2": "q2"})
+    same = (F.col("size") == F.col("n")) & F.col("r1").eqNullSafe(F.col("q1")) & F.col("r2").eqNullSafe(F.col("q2"))
+    later = runs.join(first, same).where(~_place().eqNullSafe(F.col("first"))).select("doc", "same", "at", "size")
+    gone = later.select("doc", "same", F.explode(F.sequence(F.col("at"), F.col("at") + F.col("size") - 1)).alias("at")).distinct()
+    lines = ranks.select(F.col("doc").alias("d"), F.col("same").alias("s"), F.col("at").alias("a"), "line")
+    on = F.col("doc").eqNullSafe(F.col("d")) & (F.col("same") == F.col("s")) & (F.col("at") == F.col("a"))
+    return gone.join(lines, on).groupBy("doc", "same").agg(F.sort_array(F.collect_set("line")).alias("lines"))
 
 
 def dedup_lines(docs: DataFrame, id_col="doc_id", text="text", min_words: int = MIN_WORDS) -> DataFrame:
