@@ -28,14 +28,16 @@ def section_rows(rows: DataFrame, group: list[str], order: list, part: str, dept
     return out.withColumn(f"{dept}_now", carry_down(rows, group, order, dept, "__part")).drop("__part")
 
 
-def phrases(words: DataFrame, limit: int = 8, seconds: float = 3.0) -> DataFrame:
-    """(result, phrase, number, text, start_s, end_s): words of speech cut into subtitles.
+def phrases(words: DataFrame, limit: int = 8, seconds: float = 3.0, doc: str | None = None) -> DataFrame:
+    """([doc,] result, phrase, number, text, start_s, end_s): words of speech cut into subtitles.
 
     A phrase ends after ``limit`` words or when a word starts more than ``seconds`` after the
     phrase's first. The bound hangs on where the phrase began, so each result's words are gone
-    through in order within their group. Empty words are left out; numbers start from 0.
+    through in order within their group. Empty words are left out; numbers start from 0 in each
+    recording, which ``doc`` names; without it all rows are one recording.
     """
-    clean = words.where(F.trim("word") != "").groupBy("result").agg(
+    docs = [doc] if doc else []
+    clean = words.where(F.trim("word") != "").groupBy(*docs, "result").agg(
         F.array_sort(F.collect_list(F.struct("idx", "word", "start_s", "end_s"))).alias("ws")
     )
     state = "struct<n:int,start:double,phrase:int,out:array<struct<phrase:int,word:string,start_s:double,end_s:double>>>"
@@ -55,13 +57,13 @@ def phrases(words: DataFrame, limit: int = 8, seconds: float = 3.0) -> DataFrame
             F.array_append(acc["out"], entry).alias("out"),
         ).cast(state)
 
-    rows = clean.select("result", F.posexplode(F.aggregate("ws", empty, step)["out"]).alias("idx", "x"))
-    cut = rows.groupBy("result", F.col("x.phrase").alias("phrase")).agg(
+    rows = clean.select(*docs, "result", F.posexplode(F.aggregate("ws", empty, step)["out"]).alias("idx", "x"))
+    cut = rows.groupBy(*docs, "result", F.col("x.phrase").alias("phrase")).agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("idx", F.col("x.word").alias("w")))), lambda x: x["w"]), " ").alias("text"),
         F.min("x.start_s").alias("start_s"), F.max("x.end_s").alias("end_s"),
     )
-    number = F.row_number().over(Window.orderBy("result", "phrase")) - 1
-    return cut.withColumn("number", number).select("result", "phrase", "number", "text", "start_s", "end_s")
+    number = F.row_number().over(Window.partitionBy(*docs).orderBy("result", "phrase")) - 1
+    return cut.withColumn("number", number).select(*docs, "result", "phrase", "number", "text", "start_s", "end_s")
 
 
 def srt_time(seconds: Column) -> Column:
