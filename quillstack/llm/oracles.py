@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from . import decontamination, line_dedup
 from . import quality_rules as rules
 
 _WORD = "[^\\x20\\x09-\\x0D]+"
@@ -39,4 +40,59 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 FROM c
 """
 
-ORACLES = {"op2_quality_rules": OP2}
+OP6 = f"""
+WITH x AS (SELECT row_number() OVER () AS r, doc_id, text, string_split(text, chr(10)) AS ls FROM documents),
+l AS (SELECT r, doc_id, i, ls[i] AS line FROM x, unnest(range(1, len(ls) + 1)) AS t(i)),
+w AS (SELECT r, doc_id, i, line, len(regexp_extract_all(line, '{_WORD}')) AS n, row_number() OVER (PARTITION BY r ORDER BY i) AS spot
+      FROM l WHERE regexp_matches(line, '{_WORD}')),
+c AS (SELECT *, sum(n) OVER (PARTITION BY r ORDER BY spot) AS upto FROM w),
+p AS (SELECT a.r, a.spot AS s, b.spot AS e FROM c a JOIN c b ON a.r = b.r AND b.spot BETWEEN a.spot AND a.spot + {line_dedup.MIN_WORDS}
+      WHERE b.upto - a.upto + a.n >= {line_dedup.MIN_WORDS}),
+runs AS (SELECT r, s, min(e) AS e FROM p GROUP BY r, s UNION SELECT r, max(s), e FROM p GROUP BY r, e),
+k AS (SELECT runs.r, doc_id, s, e, string_agg(line, chr(10) ORDER BY spot) AS run FROM runs JOIN c ON c.r = runs.r AND spot BETWEEN s AND e GROUP BY ALL),
+o AS (SELECT r, s, e, row_number() OVER (PARTITION BY run ORDER BY doc_id, r, s) AS nth FROM k),
+gone AS (SELECT DISTINCT o.r, c.i FROM o JOIN c ON c.r = o.r AND spot BETWEEN s AND e WHERE nth > 1),
+rest AS (SELECT l.r, string_agg(line, chr(10) ORDER BY i) AS text FROM l ANTI JOIN gone USING (r, i) GROUP BY l.r),
+cut AS (SELECT r, count(*) AS n FROM gone GROUP BY r)
+SELECT doc_id, CASE WHEN n IS NULL THEN x.text ELSE coalesce(rest.text, '') END AS text,
+  coalesce(len(ls), 0)::BIGINT AS n_lines, coalesce(n, 0)::BIGINT AS n_deleted
+FROM x LEFT JOIN rest USING (r) LEFT JOIN cut USING (r)
+"""
+
+
+def _marked(text: str) -> str:
+    d = decontamination
+    named = f"regexp_replace(coalesce({text}, ''), '{d.NAME_PATTERN}', '\\1{d.NAME}\\2', 'g')"
+    numbered = f"regexp_replace(lower({named}), '{d.NUMBER_PATTERN}', ' {d.NUMBER}\\1\\2 ', 'g')"
+    return f"regexp_replace(replace({numbered}, '  ', ' '), '{d.UNIT_PATTERN}', '\\1 {d.UNIT}\\2 ', 'g')"
+
+
+def _windows(table: str, key: str) -> str:
+    d, n = decontamination, decontamination.WINDOW
+    token = f"[\\p{{L}}\\p{{M}}\\p{{Nd}}{d.NAME}{d.NUMBER}{d.UNIT}]+"
+    plain = f"regexp_replace(m, '([{d.NAME}{d.NUMBER}{d.UNIT}])[\\p{{L}}\\p{{M}}\\p{{Nd}}]*', '\\1', 'g')"
+    return f"""(SELECT {key}, i - 1 AS spot, len(t) AS size, array_to_string(t[i:i + {n - 1}], ' ') AS g, o[i:i + {n - 1}] AS own
+      FROM (SELECT {key}, regexp_extract_all(m, '{token}') AS o, regexp_extract_all({plain}, '{token}') AS t
+            FROM (SELECT {key}, {_marked("text")} AS m FROM {table})) s, unnest(range(1, len(t) - {n - 2})) AS u(i))"""
+
+
+_SLOT = f"^[{decontamination.NAME}{decontamination.NUMBER}{decontamination.UNIT}]"
+
+OP7 = f"""
+WITH h AS (SELECT doc_id, item_id, i.size, d.spot AS pos, i.spot AS spot, d.own AS own, i.own AS want,
+    unnest([floor((d.spot - i.spot) / {decontamination.BAND}.0), floor((d.spot - i.spot) / {decontamination.BAND}.0) - 1]) AS band
+  FROM {_windows("documents", "doc_id")} d JOIN {_windows("benchmark", "item_id")} i USING (g)
+  WHERE len(list_filter(i.own, lambda w: NOT regexp_matches(w, '{_SLOT}'))) > 0),
+c AS (SELECT doc_id, item_id, band FROM (SELECT DISTINCT doc_id, item_id, band, size, unnest(range(spot, spot + {decontamination.WINDOW})) AS token FROM h)
+  GROUP BY doc_id, item_id, band, size HAVING count(*) >= {decontamination.MIN_COVER} * size),
+v AS (SELECT doc_id, item_id, band, unnest(want) AS a, unnest(own) AS b FROM h),
+n AS (SELECT doc_id, item_id, band, a, b, count(*) AS n FROM v WHERE regexp_matches(a, '{_SLOT}') GROUP BY ALL),
+m AS (SELECT doc_id, item_id, band, a, max(n) AS most, sum(n) AS n FROM n GROUP BY ALL),
+g AS (SELECT doc_id, item_id, band, sum(most) / sum(n) AS agree FROM m GROUP BY ALL),
+f AS (SELECT DISTINCT doc_id, item_id FROM c LEFT JOIN g USING (doc_id, item_id, band) WHERE coalesce(agree, 1) >= {decontamination.MIN_AGREE}),
+r AS (SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS items FROM f GROUP BY doc_id)
+SELECT doc_id, n_items IS NOT NULL AS contaminated, coalesce(n_items, 0)::BIGINT AS n_items, coalesce(items, '') AS items
+FROM documents LEFT JOIN r USING (doc_id)
+"""
+
+ORACLES = {"op2_quality_rules": OP2, "op6_line_dedup": OP6, "op7_decontamination": OP7}
