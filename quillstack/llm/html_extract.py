@@ -30,6 +30,8 @@ from .url_filter import host_and_path
 BROADCAST_HOSTS = 200_000
 #: The share of the page's text that a container must hold to be chosen, and that a host's path must hold to be used.
 CHOOSE, USE = 0.9, 0.5
+#: Nodes below a path of so many characters go by that path.
+LONGEST_PATH = 1000
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>"
@@ -60,15 +62,18 @@ _DROP_WORDS = frozenset(
 )
 _DROP_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alertdialog alert menu menubar toolbar".split())
 _KEEP_WORDS = frozenset("article post entry story content main body".split())
+#: Words that say what a wrapper has rather than what it is, as in ``with-sidebar``.
+_WRAPPER_WORDS = frozenset("with has no without wrapper layout container page site row grid columns".split())
+#: Parts that may hold headings of their own and are dropped even so.
+_FIRM_WORDS = frozenset("comment comments commentlist disqus replies respond ad ads advert adverts advertisement related recommended modal popup".split())
 
 
 class _Node:
-    __slots__ = ("tag", "path", "parent", "drop", "text", "links", "kids")
+    __slots__ = ("tag", "path", "parent", "drop", "soft", "text", "links")
 
-    def __init__(self, tag, path, parent, drop):
-        self.tag, self.path, self.parent, self.drop = tag, path, parent, drop
+    def __init__(self, tag, path, parent, drop, soft=False):
+        self.tag, self.path, self.parent, self.drop, self.soft = tag, path, parent, drop, soft
         self.text = self.links = 0
-        self.kids = []
 
 
 def _attributes(raw: str) -> dict:
@@ -79,25 +84,28 @@ def _names(value: str) -> list[str]:
     return [w for w in _SPLIT_NAME.split(_CAMEL.sub(r"\1 \2", value).lower()) if w]
 
 
-def _dropped(tag: str, attributes: dict, raw: str, inside: bool) -> bool:
+def _dropped(tag: str, attributes: dict, raw: str, inside: bool) -> tuple[bool, bool]:
+    """Whether a node is no main text, and whether that is only a guess from its names."""
     if tag in _DROP or tag == "header" and not inside:
-        return True
+        return True, False
     if not raw.strip():
-        return False
+        return False, False
     if attributes.get("role", "").lower() in _DROP_ROLES or attributes.get("aria-hidden", "").lower() == "true":
-        return True
+        return True, False
     if "display:none" in attributes.get("style", "").replace(" ", "").lower() or re.search(r"(?:^|\s)hidden(?:\s|=|/|$)", raw):
-        return True
+        return True, False
     if tag in ("body", "html", "main", "article"):
         words = _names(attributes.get("class", "") + " " + attributes.get("id", ""))
-        return tag == "article" and any(w in ("comment", "comments", "reply", "ad", "ads", "related", "teaser") for w in words)
+        return tag == "article" and any(w in _FIRM_WORDS or w in ("reply", "teaser") for w in words), False
     for name in (attributes.get("class", "") + " " + attributes.get("id", "")).split():
-        words = _names(name)
-        if any(w in _DROP_WORDS for w in words):
-            return True
-        if any(w in ("header", "head") for w in words) and not inside and not any(w in _KEEP_WORDS for w in words):
-            return True
-    return False
+        words = set(_names(name))
+        if words & _WRAPPER_WORDS:
+            continue
+        if words & _DROP_WORDS:
+            return True, not words & _FIRM_WORDS
+        if words & {"header", "head"} and not inside and not words & _KEEP_WORDS:
+            return True, True
+    return False, False
 
 
 def read(page: str) -> tuple[list[_Node], list[tuple[_Node, str]]]:
@@ -177,18 +185,18 @@ def read(page: str) -> tuple[list[_Node], list[tuple[_Node, str]]]:
                 if depth > 0 and stack[depth].tag in ends:
                     del stack[depth:]
         parent = stack[-1]
-        if parent.drop:
-            node = _Node(tag, "", parent, True)
-        else:
-            raw = m[4] or ""
-            attributes = _attributes(raw)
-            inside = any(n.tag in ("article", "main") for n in stack)
-            drop = _dropped(tag, attributes, raw, inside)
-            name = tag
-            if "class" in attributes:
-                name += "." + ".".join(sorted(_DIGITS.sub("#", attributes["class"].lower()).split()))
-            path = parent.path if tag == "html" else f"{parent.path}/{name}"
-            node = _Node(tag, path, parent, drop)
+        raw = m[4] or ""
+        attributes = _attributes(raw)
+        inside = any(n.tag in ("article", "main") for n in stack)
+        drop, soft = _dropped(tag, attributes, raw, inside)
+        if tag in ("h1", "main") and not drop and parent.drop and not any(n.drop and not n.soft for n in stack):
+            for n in stack:  # what holds the headline is the page after all
+                n.drop = n.soft = False
+        name = tag
+        if "class" in attributes:
+            name += "." + ".".join(sorted(_DIGITS.sub("#", attributes["class"].lower()).split()))
+        path = parent.path if tag == "html" or len(parent.path) > LONGEST_PATH else f"{parent.path}/{name}"
+        node = _Node(tag, path, parent, drop or parent.drop, soft if drop and not parent.drop else not drop and parent.soft)
         if node.drop and not parent.drop and tag not in _BLOCK:
             say(" ")
         if not m[0].endswith("/>") or tag in _BLOCK:

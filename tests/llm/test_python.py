@@ -45,6 +45,10 @@ def test_html_uses_the_host_path():
     assert html_extract.extract(html, "/body/div.main") == PARAS[0]
     assert html_extract.extract(html, "/body/div.gone") == PARAS[0]
     assert html_extract.extract("<article><header><h1>T</h1></header><p>a<aside>b</aside>c</article>", None) == "T\na\nc"
+    side = "<div class='page with-sidebar'><div class='banner'><h1>T</h1><p>a b</p></div><div class=sidebar><p>x</p></div></div>"
+    assert html_extract.extract(side, None) == "T\na b"
+    firm = "<div class=main><p>a b c d e f g</p></div><div class='comments'><h1>Comments</h1><p>first</p></div>"
+    assert html_extract.extract(firm, None) == "a b c d e f g"
     deep = "<div>" * 3000 + "text" + "</div>" * 3000
     assert html_extract.extract(deep, None) == "text"
 
