@@ -89,7 +89,10 @@ def find_leaks(docs: DataFrame, items: DataFrame, id_col="doc_id", text="text",
     whole = F.col(f"`{text}`")
     me = [F.col(f"`{id_col}`").alias("doc"), F.xxhash64(whole).alias("same")]
     tokens = tokens_of(template(marked(whole)))
-    seen = docs.select(*me, F.posexplode(window_hashes(tokens, window)).alias("pos", "h"))
+    # The text is hashed before the explode, or it would be hashed again for each of its windows. The
+    # outer explode keeps Spark from adding a filter that makes each text's windows twice more.
+    rows = docs.select(*me, window_hashes(tokens, window).alias("w"))
+    seen = rows.select("doc", "same", F.posexplode_outer("w").alias("pos", "h")).where("pos IS NOT NULL")
     hits = seen.join(broadcast_if_small(index, n, BROADCAST_WINDOWS), "h")
     offset = F.floor((F.col("pos") - F.col("at")) / band)
     hits = checkpoint(

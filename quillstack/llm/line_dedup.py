@@ -47,7 +47,10 @@ def line_table(docs: DataFrame, id_col="doc_id", text="text") -> DataFrame:
         F.transform(F.split(whole, "\n", -1), lambda x, i: F.struct(x.alias("text"), i.alias("line"))),
         lambda x: F.btrim(x["text"], F.lit(SPACE)) != "",
     )
-    lines = docs.select(F.col(f"`{id_col}`").alias("doc"), F.xxhash64(whole).alias("same"), F.posexplode(spoken).alias("at", "x"))
+    # The text is hashed before the explode, or it would be hashed again for each of its lines. The
+    # outer explode keeps Spark from adding a filter that splits each text twice more.
+    rows = docs.select(F.col(f"`{id_col}`").alias("doc"), F.xxhash64(whole).alias("same"), spoken.alias("lines"))
+    lines = rows.select("doc", "same", F.posexplode_outer("lines").alias("at", "x")).where("at IS NOT NULL")
     first = F.xxhash64("x.text")
     return lines.select(
         "doc", "same", "at", F.col("x.line").alias("line"), first.alias("h1"),
