@@ -29,8 +29,10 @@ def year_facets(hits: DataFrame, limit: int = YEAR_FACETS) -> DataFrame:
 
 def archive_stats(gazettes: DataFrame, sources: DataFrame) -> DataFrame:
     """One row: documents, earliest and latest date, sources that have any."""
-    whole = gazettes.agg(F.count(F.lit(1)).alias("documents"), F.min("date").alias("earliest"), F.max("date").alias("latest"))
-    return whole.crossJoin(sources.agg(F.count_if(F.col("gazette_count") > 0).alias("sources")))
+    one = F.lit(0).alias("one")
+    whole = gazettes.agg(F.count(F.lit(1)).alias("documents"), F.min("date").alias("earliest"), F.max("date").alias("latest")).select("*", one)
+    filled = sources.agg(F.count_if(F.col("gazette_count") > 0).alias("sources")).select("*", one)
+    return whole.join(filled, "one").drop("one")
 
 
 def refreshed_counters(sources: DataFrame, gazettes: DataFrame) -> DataFrame:

@@ -252,8 +252,8 @@ def year_chunks(spark, d):
     return dates.year_chunks(spark, "1995-11-03", "1997-02-10")
 
 
-@query("""SELECT p, CASE WHEN length(s) <= 3 THEN s ELSE reverse(rtrim(regexp_replace(reverse(left(s, length(s) - 3)), '([0-9]{2})', '\\1,', 'g'), ',')) END
-|| CASE WHEN length(s) > 3 THEN ',' || right(s, 3) ELSE '' END AS grouped FROM (SELECT o_orderkey AS p, CAST(CAST(round(o_totalprice * 100) AS BIGINT) AS VARCHAR) AS s FROM orders)""".replace("rtrim(", "ltrim(").replace("reverse(ltrim(", "ltrim(reverse(").replace(", ',')) END", "), ',') END"))
+@query("""SELECT p, CASE WHEN length(s) <= 3 THEN s ELSE ltrim(reverse(regexp_replace(reverse(left(s, length(s) - 3)), '([0-9]{2})', '\\1,', 'g')), ',') || ',' || right(s, 3) END AS grouped
+FROM (SELECT o_orderkey AS p, CAST(CAST(round(o_totalprice * 100) AS BIGINT) AS VARCHAR) AS s FROM orders)""")
 def indian_grouping(spark, d):
     value = F.round(F.col("o_totalprice") * 100).cast("long")
     return table(spark, d, "orders").select(F.col("o_orderkey").alias("p"), text.indian_grouping(value).alias("grouped"))
