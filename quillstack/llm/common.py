@@ -62,6 +62,7 @@ def broadcast_if_small(df: DataFrame, rows: int, limit: int) -> DataFrame:
     return F.broadcast(df) if rows <= limit else df
 
 
-def pick(df: DataFrame, *names: str) -> DataFrame:
-    """Only these columns, so that further columns of the input cannot clash with those made here."""
-    return df.select(*[F.col(f"`{n}`") for n in names])
+def others(df: DataFrame, *made: str) -> list[Column]:
+    """The columns of df but those named like what is made, in any case; what is made takes their place."""
+    taken = {m.lower() for m in made}
+    return [F.col(f"`{c}`") for c in df.columns if c.lower() not in taken]

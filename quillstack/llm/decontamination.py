@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import broadcast_if_small, checkpoint, let
+from .common import broadcast_if_small, checkpoint, let, others
 
 WINDOW = 5
 MIN_COVER = 0.8
@@ -135,8 +135,11 @@ def find_leaks(docs: DataFrame, items: DataFrame, id_col="doc_id", text="text",
     )
 
 
-def decontaminate(docs: DataFrame, items: DataFrame, id_col="doc_id", text="text", **options) -> DataFrame:
-    """docs with the struct column ``leaks``: contaminated, n_items, items (sorted), cover (the largest or 0)."""
+def decontaminate(docs: DataFrame, items: DataFrame, id_col="doc_id", text="text", out: str = "leaks", **options) -> DataFrame:
+    """docs with the struct column ``out``: contaminated, n_items, items (sorted), cover (the largest or 0).
+
+    A column of docs with that name gives way to it.
+    """
     leaks = find_leaks(docs, items, id_col, text, **options).groupBy("doc", "same").agg(
         F.sort_array(F.collect_set("item")).alias("items"), F.max("cover").alias("cover")
     )
@@ -145,11 +148,11 @@ def decontaminate(docs: DataFrame, items: DataFrame, id_col="doc_id", text="text
     joined = key.join(leaks, F.col(f"`{id_col}`").eqNullSafe(F.col("__doc")) & (F.col("__key") == F.col("__same")), "left")
     found = F.coalesce(F.size("__items"), F.lit(0))
     return joined.select(
-        *[F.col(f"`{c}`") for c in docs.columns],
+        *others(docs, out),
         F.struct(
             (found > 0).alias("contaminated"),
             F.greatest(found, F.lit(0)).cast("long").alias("n_items"),
             F.col("__items").alias("items"),
             F.coalesce(F.col("__cover"), F.lit(0.0)).alias("cover"),
-        ).alias("leaks"),
+        ).alias(out),
     )

@@ -28,7 +28,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import SPACE, checkpoint, n_words
+from .common import SPACE, checkpoint, n_words, others
 
 MIN_WORDS = 50
 
@@ -151,10 +151,10 @@ def later_runs(docs: DataFrame, id_col="doc_id", text="text", min_words: int = M
     return gone.join(lines, on).groupBy("doc", "same").agg(F.sort_array(F.collect_set("line")).alias("lines"))
 
 
-def dedup_lines(docs: DataFrame, id_col="doc_id", text="text", min_words: int = MIN_WORDS) -> DataFrame:
-    """docs with the struct column ``line_dedup``: text, n_lines, n_deleted, deleted (line numbers).
+def dedup_lines(docs: DataFrame, id_col="doc_id", text="text", min_words: int = MIN_WORDS, out: str = "line_dedup") -> DataFrame:
+    """docs with the struct column ``out``: text, n_lines, n_deleted, deleted (line numbers).
 
-    Further columns and repeated rows stay as they are.
+    Further columns and repeated rows stay as they are, but for a column with the name of ``out``.
     """
     gone = later_runs(docs, id_col, text, min_words).select(
         F.col("doc").alias("__doc"), F.col("same").alias("__same"), F.col("lines").alias("__lines")
@@ -172,4 +172,4 @@ def dedup_lines(docs: DataFrame, id_col="doc_id", text="text", min_words: int =
         F.size(deleted).cast("long").alias("n_deleted"),
         deleted.alias("deleted"),
     )
-    return joined.select(*[F.col(f"`{c}`") for c in docs.columns], result.alias("line_dedup"))
+    return joined.select(*others(docs, out), result.alias(out))

@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE, let, words
+from .common import SPACE, let, others, words
 
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
@@ -114,8 +114,11 @@ def line_fault(line: Column) -> Column:
     )
 
 
-def judge(docs: DataFrame, text: str = "text", max_loss_percent: int = MAX_LOSS_PERCENT) -> DataFrame:
-    """docs with the struct column ``quality``: the counts, both verdicts and the clean text."""
+def judge(docs: DataFrame, text: str = "text", max_loss_percent: int = MAX_LOSS_PERCENT, out: str = "quality") -> DataFrame:
+    """docs with the struct column ``out``: the counts, both verdicts and the clean text.
+
+    A column of docs with that name gives way to it.
+    """
     whole = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     judged = F.transform(
         F.split(whole, "\n", -1), lambda x: F.struct(x.alias("line"), line_fault(x).alias("fault"))
@@ -141,7 +144,7 @@ def judge(docs: DataFrame, text: str = "text", max_loss_percent: int = MAX_LOSS_
 
     n_symbols = F.length(F.regexp_replace(whole, "[^#*$%&|<>]+", "")).cast("long")
     q = "__q"
-    out = docs.select(
+    counted = docs.select(
         "*",
         F.struct(
             word_counts(F.col(f"`{text}`")).alias("c"), n_symbols.alias("s"), let(judged, verdict).alias("l")
@@ -150,8 +153,8 @@ def judge(docs: DataFrame, text: str = "text", max_loss_percent: int = MAX_LOSS_
     c, lines = F.col(f"{q}.c"), F.col(f"{q}.l")
     failed = (c["n_words"] < MIN_WORDS) | (100 * c["n_repeat_words"] > MAX_REPEAT_PERCENT * c["n_words"])
     kept = ~failed & (100 * lines["lost_chars"] <= max_loss_percent * lines["line_chars"])
-    return out.select(
-        *[F.col(f"`{x}`") for x in docs.columns],
+    return counted.select(
+        *others(docs, out),
         F.struct(
             *[c[x].alias(x) for x in ("n_words", "word_chars", "n_repeat_words")],
             F.col(f"{q}.s").alias("n_symbols"),
@@ -159,5 +162,5 @@ def judge(docs: DataFrame, text: str = "text", max_loss_percent: int = MAX_LOSS_
             failed.alias("base_failed"),
             kept.alias("kept"),
             lines["clean_text"].alias("clean_text"),
-        ).alias("quality"),
+        ).alias(out),
     )
