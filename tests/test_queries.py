@@ -8,6 +8,7 @@ import pandas as pd
 import pytest
 
 from quillstack.plans import archive_queries, record_queries  # noqa: F401
+from quillstack.streaming import stream_queries  # noqa: F401
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 TABLES = "region nation customer supplier part orders lineitem events documents pages benchmark labels conversations".split()
