@@ -66,8 +66,8 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
 
 def _fingerprints(batches):
     for batch in batches:
-        fps = np.array([fingerprint(x) for x in batch.column(1).to_pylist()], np.uint64).view(np.int64)
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps, pa.int64())], names=["id", "fp"])
+        fps = np.array([fingerprint(x) for x in batch.column("text").to_pylist()], np.uint64).view(np.int64)
+        yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("same"), pa.array(fps, pa.int64())], names=["id", "same", "fp"])
 
 
 def _distance(a: np.ndarray, b) -> np.ndarray:
@@ -219,18 +219,16 @@ def near_links(fingerprints: DataFrame, radius: int = RADIUS, piece: int = PIECE
 
 
 def near_duplicates(docs: DataFrame, id_col="doc_id", text="text", radius: int = RADIUS) -> DataFrame:
-    """(id, fp, component): every row of docs with its fingerprint and the smallest id of its component."""
-    prints = checkpoint(
-        docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text}`").alias("text")).mapInArrow(
-            _fingerprints, docs.select(F.col(f"`{id_col}`").alias("id")).withColumn("fp", F.lit(0).cast("long")).schema
-        )
-    )
+    """(id, same, fp, component): every row of docs with a hash of its text, its fingerprint and the smallest id of its component."""
+    rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.xxhash64(F.col(f"`{text}`")).alias("same"), F.col(f"`{text}`").alias("text"))
+    schema = rows.select("id", "same", F.lit(0).cast("long").alias("fp")).schema
+    prints = checkpoint(rows.mapInArrow(_fingerprints, schema))
     distinct = checkpoint(prints.groupBy("fp").agg(F.min("id").alias("least")))
     roots = components(near_links(distinct.select("fp"), radius))
     labelled = distinct.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     least = labelled.groupBy("root").agg(F.min("least").alias("component"))
     named = labelled.join(least, "root").select(F.col("fp").alias("of"), "component")
-    return prints.join(named, F.col("fp") == F.col("of")).select(F.col("id").alias(id_col), "fp", "component")
+    return prints.join(named, F.col("fp") == F.col("of")).select(F.col("id").alias(id_col), "same", "fp", "component")
 
 
 def as_hex(fp):
@@ -239,8 +237,14 @@ def as_hex(fp):
 
 
 def keep_one(docs: DataFrame, id_col="doc_id", text="text") -> DataFrame:
-    """docs with one document of each component: the one with the smallest id, of equal ids that with the smallest text hash."""
-    found = near_duplicates(docs, id_col, text).select(F.col("component").alias("__keep")).distinct()
-    kept = docs.join(found, F.col(f"`{id_col}`").eqNullSafe(F.col("__keep")), "left_semi")
-    one = Window.partitionBy(F.col(f"`{id_col}`")).orderBy(F.xxhash64(F.col(f"`{text}`")))
-    return kept.withColumn("__nth", F.row_number().over(one)).where("__nth = 1").select(*[F.col(f"`{c}`") for c in docs.columns])
+    """docs with one document of each component: that with the smallest id, of equal ids that with the smallest text hash.
+
+    Which ones stay is decided on ids and hashes; the texts meet the decision in one join.
+    """
+    found = checkpoint(near_duplicates(docs, id_col, text).withColumnRenamed(id_col, "id"))
+    first = found.where(F.col("id").eqNullSafe(F.col("component"))).groupBy("id").agg(F.min("same").alias("same"))
+    first = first.select(F.col("id").alias("__id"), F.col("same").alias("__same"))
+    whole = F.col(f"`{text}`")
+    kept = docs.join(first, F.col(f"`{id_col}`").eqNullSafe(F.col("__id")) & (F.xxhash64(whole) == F.col("__same")), "left_semi")
+    repeated = not found.groupBy("id", "same").count().where("count > 1").isEmpty()
+    return kept.dropDuplicates([id_col, text]) if repeated else kept
