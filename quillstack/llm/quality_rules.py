@@ -35,7 +35,7 @@ SEPARATORS = "|»›•"
 SYMBOLS = "(?:[#*$%&<>{}~^=!?]{2,}[^#*$%&<>{}~^=!?]*){3}"
 SMALL_LETTER = "\\p{Ll}"
 CAPITALS = "(?:\\p{Lu}[^\\p{Lu}]*){12}"
-CLOSING = ".!?…:;\"')]»”’"
+CLOSING = ".!?…:;\"')]»”’।。！？؟"
 BOILERPLATE = (
     "(?i)all rights reserved|terms of (?:use|service)|privacy policy|cookie policy|accept (?:all )?cookies"
     "|uses? cookies|subscribe (?:to|now)|sign up (?:for|now)|log in to|click here|read more|share (?:this|on)"
