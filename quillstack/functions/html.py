@@ -244,6 +244,59 @@ def form_fields(page):
     return {} if page is None else _read(_Form(), page).fields
 
 
+class _Pieces(HTMLParser):
+    """The page as pieces in order: what stays as it is, and texts that a translator would get."""
+
+    def __init__(self, lang: str | None = None):
+        super().__init__(convert_charrefs=False)
+        self.lang, self.depth, self.pieces = lang, 0, []
+
+    def _keep(self, raw: str):
+        self.pieces.append((False, raw))
+
+    def handle_starttag(self, tag, attrs):
+        self.depth += tag in _SILENT
+        raw = self.get_starttag_text()
+        self._keep(re.sub(r"(\slang=)(\"[^\"]*\"|'[^']*'|[^\s>]+)", rf'\1"{self.lang}"', raw) if self.lang else raw)
+
+    def handle_endtag(self, tag):
+        self.depth -= tag in _SILENT and self.depth > 0
+        self._keep(f"</{tag}>")
+
+    handle_startendtag = handle_starttag
+
+    def handle_data(self, data):
+        worth = not self.depth and not re.fullmatch(r"[\s,()=-]*", data)
+        self.pieces.append((worth, data))
+
+    def handle_entityref(self, name):
+        self._keep(f"&{name};")
+
+    def handle_charref(self, name):
+        self._keep(f"&#{name};")
+
+    def handle_comment(self, data):
+        self._keep(f"<!--{data}-->")
+
+    def handle_decl(self, decl):
+        self._keep(f"<!{decl}>")
+
+
+@F.udf(T.ArrayType(T.StringType()), useArrow=True)
+def translatable(page):
+    """The texts of a page that are worth translating, in order."""
+    return [] if page is None else [t for worth, t in _read(_Pieces(), page).pieces if worth]
+
+
+@F.udf(T.StringType(), useArrow=True)
+def translated(page, texts, lang):
+    """The page with its texts replaced in order and its lang attributes set; texts that are missing stay."""
+    if page is None:
+        return None
+    new = iter(texts if texts is not None else [])
+    return "".join(escape(next(new, t), quote=False) if worth else t for worth, t in _read(_Pieces(lang), page).pieces)
+
+
 def marked_up(text: Column, ranges: Column) -> Column:
     """Text with tags around ranges, escaped between them.
 

@@ -142,6 +142,13 @@ def two_columns(lines: DataFrame, width: str = "width") -> DataFrame:
     return per_line.groupBy(*PAGE, "block").agg(F.bool_and("wide").alias("two"))
 
 
+def split_columns(words: DataFrame, blocks: DataFrame, width: str = "width") -> DataFrame:
+    """words with column: 1 for the right half of blocks in two columns, else 0. blocks: (doc, page, block, two)."""
+    right = (F.col("box.l") + F.col("box.r")) / 2 >= F.col(width) / 2
+    joined = words.join(blocks, [*PAGE, "block"], "left")
+    return joined.withColumn("column", F.when(F.coalesce("two", F.lit(False)) & right, 1).otherwise(0)).drop("two")
+
+
 def footnotes(blocks: DataFrame, height: str = "height") -> DataFrame:
     """blocks with footnote: the last block of a page, far below the one before and near the page's end."""
     w = Window.partitionBy(*PAGE).orderBy(F.col("box.t"), "block")

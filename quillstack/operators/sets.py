@@ -23,6 +23,12 @@ def seen_status(asked: DataFrame, stored: DataFrame, key: str, columns: list[str
     return stored.join(asked.select(key).distinct(), key, "left_semi").select(key, *columns)
 
 
+def cached(asked: DataFrame, store: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+    """(stored rows of the asked keys, asked keys that have to be fetched)."""
+    keys = asked.select(key).distinct()
+    return store.join(keys, key, "left_semi"), unseen(keys, store, key)
+
+
 def first_by(rows: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     """One row a key: the first in the order."""
     nth = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))

@@ -79,3 +79,28 @@ def test_xml_to_document(spark):
 def test_empty_titles(spark, text):
     row = spark.createDataFrame([(text,)], "t string").select(titles.parts_of_title(F.col("t")).alias("x")).first()["x"]
     assert row["part"] is None and row["num"] is None
+
+
+def test_translation_keeps_the_markup(spark):
+    from quillstack.functions import html
+
+    page = "<!DOCTYPE html><html lang='hi'><head><title>T</title></head><body><p class=x>One &amp; <b>two</b></p> , <i>a b</i><!-- c --></body></html>"
+    rows = spark.createDataFrame([(1, page), (2, None)], "id int, page string")
+    texts = {r["id"]: r["t"] for r in rows.select("id", html.translatable("page").alias("t")).collect()}
+    assert texts == {1: ["One ", "two", "a b"], 2: []}
+    out = rows.select("id", html.translated("page", F.array(F.lit("Eins "), F.lit("zwei"), F.lit("x < y")), F.lit("de")).alias("p")).collect()[0]["p"]
+    assert out == page.replace("'hi'", '"de"').replace("One ", "Eins ").replace("two", "zwei").replace("a b<", "x &lt; y<")
+
+
+def test_columns_and_cache(spark):
+    from quillstack.operators import sets
+
+    rows = [("d", 1, 0, 0, k, str(k), (x, 0, x + 10, 10), 1.0, []) for k, x in enumerate((0, 20, 60, 80))]
+    words = layout.stitched(spark.createDataFrame(rows, OCR_WORD)).withColumn("width", F.lit(100))
+    two = layout.two_columns(words)
+    assert [r["two"] for r in two.collect()] == [False]  # one gap of 30 is not 2.5 times the mean of 10, 30 and 10
+    split = layout.split_columns(words, spark.createDataFrame([("d", 1, 0, True)], "doc string, page int, block int, two boolean"))
+    assert [r["column"] for r in split.orderBy("word").collect()] == [0, 0, 1, 1]
+    asked, store = spark.createDataFrame([("a",), ("b",), ("b",)], "url string"), spark.createDataFrame([("a", 1), ("c", 2)], "url string, v int")
+    found, missing = sets.cached(asked, store, "url")
+    assert [r["v"] for r in found.collect()] == [1] and [r["url"] for r in missing.collect()] == ["b"]
