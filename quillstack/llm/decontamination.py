@@ -30,6 +30,8 @@ MIN_AGREE = 0.8
 BAND = 16
 #: Benchmark windows are broadcast up to so many rows of about 40 bytes, and joined by a shuffle beyond.
 BROADCAST_WINDOWS = 1_000_000
+#: Documents whose slots are compared are broadcast up to so many rows of about 20 bytes, and joined by a shuffle beyond.
+BROADCAST_FINDS = 500_000
 
 NAME, NUMBER, UNIT = "\ue000", "\ue001", "\ue002"
 UNITS = "mm|cm|m|km|g|kg|mg|t|l|ml|s|ms|h|min|km/h|mph|miles?|feet|ft|inch(?:es)?|pounds?|lbs?|hours?|minutes?|seconds?|days?|weeks?|months?|years?|euros?|dollars?|cents?|percent"
@@ -114,9 +116,10 @@ def find_leaks(docs: DataFrame, items: DataFrame, id_col="doc_id", text="text",
     slots = hits.where(F.col("slots").isNotNull()).join(
         few, on("doc", "c_doc") & (F.col("same") == F.col("c_same")) & on("item", "c_item") & (F.col("band") == F.col("c_band")), "left_semi"
     )
-    needed = slots.select(F.col("doc").alias("n_doc"), F.col("same").alias("n_same")).distinct()
+    needed = checkpoint(slots.select(F.col("doc").alias("n_doc"), F.col("same").alias("n_same")).distinct())
+    # broadcast where they are few, or the texts of all documents would be shuffled to find them
     values = docs.select(*me, whole.alias("text")).join(
-        needed, on("doc", "n_doc") & (F.col("same") == F.col("n_same")), "left_semi"
+        broadcast_if_small(needed, needed.count(), BROADCAST_FINDS), on("doc", "n_doc") & (F.col("same") == F.col("n_same")), "left_semi"
     ).distinct().select(F.col("doc").alias("v_doc"), F.col("same").alias("v_same"), tokens_of(marked(F.col("text"))).alias("m"))
     slots = slots.join(values, on("doc", "v_doc") & (F.col("same") == F.col("v_same")))
     pairs = slots.select(
