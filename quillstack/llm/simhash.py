@@ -218,8 +218,8 @@ def near_links(fingerprints: DataFrame, radius: int = RADIUS, piece: int = PIECE
     return dealt.mapInArrow(_links(radius), "a long, b long").distinct()
 
 
-def near_duplicates(docs: DataFrame, id_col="doc_id", text="text", radius: int = RADIUS) -> DataFrame:
-    """(id, same, fp, component): every row of docs with a hash of its text, its fingerprint and the smallest id of its component."""
+def _rooted(docs: DataFrame, id_col: str, text: str, radius: int = RADIUS) -> DataFrame:
+    """(id, same, fp, root, component): as near_duplicates, with the fingerprint that names each component."""
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.xxhash64(F.col(f"`{text}`")).alias("same"), F.col(f"`{text}`").alias("text"))
     schema = rows.select("id", "same", F.lit(0).cast("long").alias("fp")).schema
     prints = checkpoint(rows.mapInArrow(_fingerprints, schema))
@@ -227,8 +227,13 @@ def near_duplicates(docs: DataFrame, id_col="doc_id", text="text", radius: int =
     roots = components(near_links(distinct.select("fp"), radius))
     labelled = distinct.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     least = labelled.groupBy("root").agg(F.min("least").alias("component"))
-    named = labelled.join(least, "root").select(F.col("fp").alias("of"), "component")
-    return prints.join(named, F.col("fp") == F.col("of")).select(F.col("id").alias(id_col), "same", "fp", "component")
+    named = labelled.join(least, "root").select(F.col("fp").alias("of"), "root", "component")
+    return prints.join(named, F.col("fp") == F.col("of")).select("id", "same", "fp", "root", "component")
+
+
+def near_duplicates(docs: DataFrame, id_col="doc_id", text="text", radius: int = RADIUS) -> DataFrame:
+    """(id, same, fp, component): every row of docs with a hash of its text, its fingerprint and the smallest id of its component."""
+    return _rooted(docs, id_col, text, radius).select(F.col("id").alias(id_col), "same", "fp", "component")
 
 
 def as_hex(fp):
@@ -239,11 +244,12 @@ def as_hex(fp):
 def keep_one(docs: DataFrame, id_col="doc_id", text="text") -> DataFrame:
     """docs with one document of each component: that with the smallest id, of equal ids that with the smallest text hash.
 
+    Components are told apart by their roots, as unrelated texts may share an id or have none.
     Which ones stay is decided on ids and hashes; the texts meet the decision in one join.
     """
-    found = checkpoint(near_duplicates(docs, id_col, text).withColumnRenamed(id_col, "id"))
-    first = found.where(F.col("id").eqNullSafe(F.col("component"))).groupBy("id").agg(F.min("same").alias("same"))
-    first = first.select(F.col("id").alias("__id"), F.col("same").alias("__same"))
+    found = checkpoint(_rooted(docs, id_col, text))
+    first = found.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "same")).alias("x"))
+    first = first.select(F.col("x.id").alias("__id"), F.col("x.same").alias("__same"))
     whole = F.col(f"`{text}`")
     kept = docs.join(first, F.col(f"`{id_col}`").eqNullSafe(F.col("__id")) & (F.xxhash64(whole) == F.col("__same")), "left_semi")
     repeated = not found.groupBy("id", "same").count().where("count > 1").isEmpty()

@@ -106,6 +106,16 @@ def test_simhash_components_match_brute_force(spark):
     assert simhash.near_duplicates(docs.limit(0)).count() == 0
 
 
+def test_keep_one_of_components_with_null_and_shared_ids(spark):
+    rnd = random.Random(12)
+    texts = [" ".join(f"w{rnd.randrange(10**6)}" for _ in range(80)) for _ in range(9)]
+    rows = [(None, t) for t in texts[:4]] + [(7, t) for t in texts[4:7]] + [(8, texts[7]), (None, texts[8])]
+    copies = [(None, texts[0]), (7, texts[4]), (None, texts[7]), (3, texts[8])]
+    docs = spark.createDataFrame(rows + copies, "doc_id long, text string").repartition(3)
+    kept = [(r["doc_id"], r["text"]) for r in simhash.keep_one(docs).collect()]
+    assert sorted(kept, key=str) == sorted([*rows[:8], (3, texts[8])], key=str)
+
+
 def test_links_of_dense_shards(spark):
     rnd = random.Random(6)
     core = [rnd.getrandbits(64) for _ in range(3)]
