@@ -163,6 +163,25 @@ ITEMS = [
 ]
 
 
+def test_line_dedup_long_repeated_rows_match_brute_force(spark):
+    rnd = random.Random(15)
+    long = "\n".join(f"a{k} b{k}" for k in range(45))
+    short = "\n".join(f"c{k}" for k in range(60))  # a run of 50 words has 50 lines
+    other = f"new start here\n{long}\n{short}\nand an end"
+    rows = [(None, short, "s"), (1, long, "s"), (5, other, "s"), (6, "\n".join(f"d{rnd.randrange(99)} e" for _ in range(40)), "s")]
+    first, want = {}, defaultdict(set)
+    for i, text, _ in rows:  # every run of 50 words or more, however many lines it has
+        at = text.split("\n")
+        for a in range(len(at)):
+            for b in range(a + 1, len(at) + 1):
+                if len(WORD.findall(" ".join(at[a:b]))) >= 50 and first.setdefault(tuple(at[a:b]), (i, a)) != (i, a):
+                    want[i] |= set(range(a, b))
+    assert len(want[5]) == 105
+    found = line_dedup.dedup_lines(documents(spark, rows * 3)).collect()
+    assert len(found) == 3 * len(rows)
+    assert all(set(r["line_dedup"]["deleted"]) == want[r["doc_id"]] for r in found)
+
+
 def test_decontamination(spark):
     filler = " ".join(f"word{chr(97 + k % 26)}x{chr(97 + k % 7)}" for k in range(200))
     verbatim, changed = ITEMS[0][1], ITEMS[0][1].replace("120", "90").replace("3 hours", "2 hours").replace("5 hours", "4 hours").replace("Alice", "Bob")
