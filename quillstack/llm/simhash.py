@@ -241,16 +241,21 @@ def as_hex(fp):
     return F.lpad(F.lower(F.hex(fp)), 16, "0")
 
 
-def keep_one(docs: DataFrame, id_col="doc_id", text="text") -> DataFrame:
-    """docs with one document of each component: that with the smallest id, of equal ids that with the smallest text hash.
+def keep_least(docs: DataFrame, found: DataFrame, id_col: str, text: str) -> DataFrame:
+    """docs with one document of each root of found (id, same, root).
 
-    Components are told apart by their roots, as unrelated texts may share an id or have none.
     Which ones stay is decided on ids and hashes; the texts meet the decision in one join.
+    Components are told apart by their roots, as unrelated texts may share an id or have none.
     """
-    found = checkpoint(_rooted(docs, id_col, text))
+    found = checkpoint(found)
     first = found.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "same")).alias("x"))
     first = first.select(F.col("x.id").alias("__id"), F.col("x.same").alias("__same"))
     whole = F.col(f"`{text}`")
     kept = docs.join(first, F.col(f"`{id_col}`").eqNullSafe(F.col("__id")) & (F.xxhash64(whole) == F.col("__same")), "left_semi")
     repeated = not found.groupBy("id", "same").count().where("count > 1").isEmpty()
     return kept.dropDuplicates([id_col, text]) if repeated else kept
+
+
+def keep_one(docs: DataFrame, id_col="doc_id", text="text") -> DataFrame:
+    """docs with one document of each component: that with the smallest id, of equal ids that with the smallest text hash."""
+    return keep_least(docs, _rooted(docs, id_col, text), id_col, text)

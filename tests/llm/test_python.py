@@ -8,7 +8,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from quillstack.llm import graph, html_extract, language_id, quality_model, simhash, text_features, toxicity
+from quillstack.llm import graph, html_extract, language_id, near_copies, quality_model, simhash, text_features, toxicity
 
 PARAS = [" ".join(f"word{chr(97 + (k * 7 + j) % 26)}{j % 9}" for j in range(30)) + "." for k in range(6)]
 
@@ -116,6 +116,37 @@ def test_keep_one_of_components_with_null_and_shared_ids(spark):
     assert sorted(kept, key=str) == sorted([*rows[:8], (3, texts[8])], key=str)
 
 
+def edited(rnd, words, changes):
+    out = list(words)
+    for at in rnd.sample(range(len(out)), changes):
+        out[at] = f"x{rnd.randrange(10**6)}"
+    return out
+
+
+def five(words):
+    return {tuple(words[i : i + 5]) for i in range(len(words) - 4)}
+
+
+def test_near_copies_match_brute_force(spark):
+    rnd = random.Random(13)
+    bases = [[f"w{rnd.randrange(3000)}" for _ in range(rnd.choice((60, 150, 400)))] for _ in range(40)]
+    texts = [edited(rnd, b, k) for b in bases for k in (0, *[rnd.randrange(1, 2 + len(b) // 30) for _ in range(6)])]
+    sets = [five(t) for t in texts]
+    near = [(a, b) for a in range(len(texts)) for b in range(a) if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
+    up = list(range(len(texts)))
+    for _ in texts:
+        for a, b in near:
+            up[a] = up[b] = min(up[a], up[b])
+    docs = spark.createDataFrame([(k, " ".join(t)) for k, t in enumerate(texts)], "doc_id long, text string").repartition(3)
+    for piece in (near_copies.PIECE, 2):
+        found = near_copies.near_components(docs, piece=piece).collect()
+        groups = {}
+        for r in found:
+            groups.setdefault(r["root"], []).append(r["id"])
+        assert sorted(map(sorted, groups.values())) == sorted(sorted(k for k in range(len(texts)) if up[k] == u) for u in set(up))
+    assert sorted(r["doc_id"] for r in near_copies.keep_one(docs).collect()) == sorted(set(up))
+
+
 def test_links_of_dense_shards(spark):
     rnd = random.Random(6)
     core = [rnd.getrandbits(64) for _ in range(3)]
