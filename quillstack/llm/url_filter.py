@@ -7,8 +7,8 @@ Rules are looked up by a join on the suffixes of the hosts, so the list may be l
 The model is a forest of gradient-boosted trees over lexical features of the URL: lengths, depth,
 digit share, character entropy, counts of parameters and marks, and smoothed statistics of the
 host's suffix (how often the labelled URLs with it are blocked, and how many there are). It is
-trained from labelled URLs, at most ``max_train`` of them, those with the smallest hashes. The
-query labels URLs by the rules themselves. Without labels of both kinds every other URL gets the
+trained from labelled URLs, at most ``max_train`` of them, those with the smallest hashes; the
+statistics of the suffixes are those of all labelled rows. The query labels URLs by the rules themselves. Without labels of both kinds every other URL gets the
 one label there is, or allow.
 
 Null URLs and those without ``://`` have an empty host and path, fit no rule and are judged by
@@ -124,18 +124,23 @@ def train(labelled: DataFrame, max_train: int = MAX_TRAIN):
     labelled: (url, host, path, label 'allow' or 'block').
     """
     block = (F.col("label") == "block").cast("double")
-    sample = labelled.select("url", "host", "path", block.alias("block")).orderBy(F.xxhash64("url"), "url").limit(max_train)
-    sample = checkpoint(sample)
+    labelled = labelled.select("url", "host", "path", block.alias("block"))
+    sample = checkpoint(labelled.orderBy(F.xxhash64("url"), "url").limit(max_train))
     n, blocked = sample.agg(F.count(F.lit(1)), F.sum("block")).first()
     if not n or blocked in (0, n):
         constant = float(blocked / n) if n else 0.0
         return lambda urls: urls.withColumn("blocked", F.lit(constant))
     # both labels weigh the same in all: rules label far more URLs of one kind than of the other
     prior = 0.5
-    weight = F.when(F.col("block") == 1, n / (2 * blocked)).otherwise(n / (2 * (n - blocked)))
-    sample = sample.withColumn("weight", weight)
+
+    def weighted(rows: DataFrame, n: int, blocked: float) -> DataFrame:
+        return rows.withColumn("weight", F.when(F.col("block") == 1, n / (2 * blocked)).otherwise(n / (2 * (n - blocked))))
+
+    sample = weighted(sample, n, blocked)
+    # the trees learn from the sample, the statistics are those of all labelled rows
+    every = weighted(labelled, *labelled.agg(F.count(F.lit(1)), F.sum("block")).first())
     statistics = checkpoint(
-        sample.groupBy(suffix(F.col("host")).alias("suffix")).agg(
+        every.groupBy(suffix(F.col("host")).alias("suffix")).agg(
             ((F.sum(F.col("block") * F.col("weight")) + 5 * prior) / (F.sum("weight") + 5)).alias("suffix_rate"), F.count(F.lit(1)).alias("suffix_seen")
         )
     )

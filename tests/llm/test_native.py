@@ -256,3 +256,12 @@ def test_url_model_learns_from_labels(spark):
     rules = spark.createDataFrame([], "rule string, label string")
     got = {r["page_id"]: r["verdict"] for r in url_filter.judge_urls(pages, rules, labelled).collect()}
     assert sum(v == ("allow" if i < 50 else "block") for i, v in got.items()) >= 95
+
+
+def test_url_suffix_statistics_are_of_all_labelled_rows(spark, monkeypatch):
+    seen = []
+    real = url_filter.featured
+    monkeypatch.setattr(url_filter, "featured", lambda urls, statistics, *a: seen.append(statistics) or real(urls, statistics, *a))
+    rows = [(f"http://h{k % 5}.org/p{k}", f"h{k % 5}.org", f"/p{k}", "block" if k % 2 else "allow") for k in range(200)]
+    url_filter.train(spark.createDataFrame(rows, "url string, host string, path string, label string"), max_train=40)
+    assert {r["suffix"]: r["suffix_seen"] for r in seen[0].collect()} == {f"h{k}.org": 40 for k in range(5)}
