@@ -38,11 +38,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_folder(spark: SparkSession) -> str:
     """The folder that all executors share: the session's spark.checkpoint.dir.
 
-    Only where that is unset, as in local tests, a folder of this process is made and deleted at
-    its end.
+    Only where that is unset on a local master, as in tests, a folder of this process is made and
+    deleted at its end; on a cluster a missing setting is an error.
     """
     folder = spark.conf.get("spark.checkpoint.dir", "")
     if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         folder = tempfile.mkdtemp(prefix="quillstack-checkpoint-")
         atexit.register(shutil.rmtree, folder, ignore_errors=True)
         spark.conf.set("spark.checkpoint.dir", folder)
@@ -62,6 +64,37 @@ def broadcast_if_small(df: DataFrame, rows: int, limit: int) -> DataFrame:
     return F.broadcast(df) if rows <= limit else df
 
 
+def partitions(spark: SparkSession) -> int:
+    """How many partitions shuffles of the session have."""
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+#: There are at most so many hot keys, whatever the table: a key is hot from this part of all rows on.
+HOT_KEYS = 10_000
+
+
+def join_named(rows: DataFrame, named: DataFrame, keys: list[str], total: int, least: int = 1000) -> DataFrame:
+    """rows joined with named on keys; rows of hot keys meet theirs by a broadcast.
+
+    named: one row a key, with its further columns and ``times``, the number of rows that have the
+    key; no null keys. A key is hot if it has more than ``total / HOT_KEYS`` of the ``total`` rows,
+    and ``least`` at least, so the broadcast has at most HOT_KEYS rows of it. Rows of all other keys
+    are joined by a shuffle, in which hot rows take part under random keys and find nothing.
+    """
+    limit = max(least, total // HOT_KEYS)
+    made = [c for c in named.columns if c not in (*keys, "times")]
+    plain = named.drop("times")
+    hot = named.where(F.col("times") > limit).drop("times")
+    if hot.isEmpty():
+        return rows.join(plain, keys)
+    hot = hot.withColumnsRenamed({c: f"__hot_{c}" for c in made}).withColumn("__hot", F.lit(True))
+    tagged = rows.join(F.broadcast(hot), keys, "left").withColumn("__salt", F.when(F.col("__hot"), 1 + F.floor(F.rand(3) * 10_000).cast("int")).otherwise(0))
+    cold = named.where(F.col("times") <= limit).drop("times").withColumn("__salt", F.lit(0)).withColumn("__cold", F.lit(True))
+    joined = tagged.join(cold, [*keys, "__salt"], "left").where("__hot OR __cold")
+    kept = [F.col(f"`{c}`") for c in rows.columns]
+    return joined.select(*kept, *[F.when(F.col("__hot"), F.col(f"__hot_{c}")).otherwise(F.col(c)).alias(c) for c in made])
+
+
 def others(df: DataFrame, *made: str) -> list[Column]:
     """The columns of df but those named like what is made, in any case; what is made takes their place."""
     taken = {m.lower() for m in made}

@@ -5,41 +5,49 @@ hashed with XXH64 (seed 42), and a bit of the fingerprint is set if it is set in
 of the hashes. Texts with fewer words are one shingle; texts without words, and null, have
 fingerprint zero.
 
-Links. Fingerprints that differ in three bits or fewer agree in at least two of five blocks of
-bits, so each distinct fingerprint goes to one shard for each pair of blocks, keyed by the bits
-of both. A shard with several fingerprints builds a BK-tree: the children of a node are keyed by
-their Hamming distance to it, and a search with radius r follows only edges whose key is within
-r of the distance to the node. Small leaves hold several fingerprints and are compared at once.
-A shard tree stays in the task of its shard rather than going through the driver, as the trees
-of all shards hold all fingerprints. Shards of more than ``PIECE`` fingerprints are cut into
-several trees, and every fingerprint of the shard is searched in each tree of its own number or
-below, so no shard meets in one task as a whole. Trees emit a spanning forest of the links they
-find, not all pairs.
+Shards. Fingerprints that differ in three bits or fewer agree in one of four blocks of the bits,
+in two of five, and so on. Each distinct fingerprint goes to one shard for each choice of blocks,
+keyed by the first bits of these blocks, as many as make shards of about ``SHARD`` fingerprints;
+more of them than 2^16 times that need two blocks. So shards do not grow with the corpus. One
+that is larger all the same, as many near copies have many bits in common, is cut into pieces.
+
+Trees. Each piece of a shard is a BK-tree: the first fingerprint is the root, the children of a
+node are keyed by their integer Hamming distance to it, and every node holds one fingerprint. A
+search compares a query with a node and follows only the edges whose key is within the radius of
+that distance. The trees are broadcast if all of them together have at most ``BROADCAST_BYTES``,
+which is measured, and are dealt by a shuffle beyond. Each piece is searched in the trees of its
+own number and of those after it in the shard, each such pair being a row of its own, so no shard
+meets in one task as a whole. Searches give a spanning forest of the links they find, not all pairs.
 
 Components of links come from star steps (see graph). Exact copies share a fingerprint and are
 grouped before anything else. Null ids are the smallest only if a component has no other; rows
-may repeat. An empty table gives an empty result.
+may repeat. Texts are read whole, however long, 65,536 shingles at a time. An empty table gives an
+empty result.
 """
 
 from __future__ import annotations
 
+import math
 from itertools import accumulate, combinations
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpoint
+from .common import broadcast_if_small, checkpoint, join_named, partitions
 from .graph import components
 
 SHINGLE, SEED, RADIUS, BITS = 3, 42, 3, 64
-#: Fingerprints of one tree.
-PIECE = 4096
-#: Fingerprints of one leaf.
-LEAF = 64
+#: Fingerprints of a shard on average, and of one tree at most.
+SHARD, PIECE = 512, 2048
+#: Shard trees are broadcast up to so many bytes together, and dealt by a shuffle beyond.
+BROADCAST_BYTES = 8 << 20
+#: Shards of several pieces are broadcast up to so many rows of about 20 bytes, and joined by a shuffle beyond.
+BROADCAST_SHARDS = 200_000
 _CHUNK = 1 << 16
+_QUERIES = 256
 
 
 def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
@@ -70,43 +78,71 @@ def _fingerprints(batches):
         yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("same"), pa.array(fps, pa.int64())], names=["id", "same", "fp"])
 
 
-def _distance(a: np.ndarray, b) -> np.ndarray:
-    return np.bitwise_count(a ^ b)
-
-
 class BKTree:
-    """A BK-tree over distinct unsigned 64-bit integers; leaves hold up to LEAF of them."""
-
-    __slots__ = ("pivot", "pivot_at", "children", "leaf", "leaf_at")
-
-    def __init__(self, values: np.ndarray, places: np.ndarray, depth: int = 0):
-        self.children: dict[int, BKTree] = {}
-        self.leaf = self.leaf_at = None
-        if len(values) <= LEAF or depth > 24:
-            self.leaf, self.leaf_at = values, places
-            return
-        self.pivot, self.pivot_at = values[0], int(places[0])
-        rest, at = values[1:], places[1:]
-        distance = _distance(rest, self.pivot)
-        for d in np.unique(distance):
-            own = distance == d
-            self.children[int(d)] = BKTree(rest[own], at[own], depth + 1)
-
-    def search(self, queries: np.ndarray, query_at: np.ndarray, radius: int, found: list) -> None:
-        """Appends (query place, found place) arrays for all values within the radius of queries."""
-        if self.leaf is not None:
-            step = max(1, (1 << 20) // max(1, len(self.leaf)))
-            for k in range(0, len(queries), step):
-                q, t = np.nonzero(_distance(queries[k : k + step, None], self.leaf[None, :]) <= radius)
-                found.append((query_at[k + q], self.leaf_at[t]))
-            return
-        distance = _distance(queries, self.pivot).astype(np.int16)
-        near = distance <= radius
-        found.append((query_at[near], np.full(int(near.sum()), self.pivot_at)))
-        for key, child in self.children.items():
-            edge = np.abs(distance - key) <= radius
-            if edge.any():
-                child.search(queries[edge], query_at[edge], radius, found)
+    """A BK-tree over distinct unsigned 64-bit integers, one a node; child[v, k] is v's child at distance k, or -1."""
+
+    __slots__ = ("value", "child", "followed", "pruned")
+
+    def __init__(self, value: np.ndarray, child: np.ndarray):
+        self.value, self.child = value, child
+        #: Edges that searches followed, and those they did not.
+        self.followed = self.pruned = 0
+
+    @classmethod
+    def grown(cls, values: np.ndarray) -> BKTree:
+        """The tree of values put in one after the other, all values moving down a level at a time."""
+        child = np.full((len(values), BITS + 1), -1, np.int32)
+        waiting = np.arange(1, len(values), dtype=np.int32)
+        at = np.zeros(len(waiting), np.int32)
+        while len(waiting):
+            edge = at.astype(np.int64) * (BITS + 1) + np.bitwise_count(values[waiting] ^ values[at])
+            edges, first, which = np.unique(edge, return_index=True, return_inverse=True)
+            child.ravel()[edges] = waiting[first]
+            at = waiting[first][which]
+            rest = np.ones(len(waiting), bool)
+            rest[first] = False
+            waiting, at = waiting[rest], at[rest]
+        return cls(values, child)
+
+    def packed(self) -> bytes:
+        """13 bytes a node: its value, its parent and its distance to it."""
+        parent, key = np.zeros(len(self.value), np.int32), np.zeros(len(self.value), np.uint8)
+        up, distance = np.nonzero(self.child >= 0)
+        parent[self.child[up, distance]], key[self.child[up, distance]] = up, distance
+        return self.value.tobytes() + parent.tobytes() + key.tobytes()
+
+    @classmethod
+    def unpacked(cls, data: bytes) -> BKTree:
+        value = values_of(data)
+        n = len(value)
+        child = np.full((n, BITS + 1), -1, np.int32)
+        if n > 1:
+            child[np.frombuffer(data, np.int32, n, 8 * n)[1:], np.frombuffer(data, np.uint8, n, 12 * n)[1:]] = np.arange(1, n)
+        return cls(value, child)
+
+    def search(self, queries: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
+        """(places of queries, nodes) of all pairs within the radius."""
+        q, node = np.arange(len(queries)), np.zeros(len(queries), np.int32)
+        near_q, near_node = [], []
+        width = np.arange(-radius, radius + 1)
+        fan = (self.child >= 0).sum(axis=1)
+        while len(q):
+            distance = np.bitwise_count(queries[q] ^ self.value[node]).astype(np.int32)
+            near = distance <= radius
+            near_q.append(q[near])
+            near_node.append(node[near])
+            key = distance[:, None] + width
+            below = np.where((key >= 0) & (key <= BITS), self.child[node[:, None], np.clip(key, 0, BITS)], -1)
+            edge = np.nonzero(below >= 0)
+            self.followed += len(edge[0])
+            self.pruned += int(fan[node].sum()) - len(edge[0])
+            q, node = q[edge[0]], below[edge]
+        return np.concatenate(near_q), np.concatenate(near_node)
+
+
+def values_of(data: bytes) -> np.ndarray:
+    """The fingerprints of a packed tree."""
+    return np.frombuffer(data, np.uint64, len(data) // 13)
 
 
 class _Forest:
@@ -127,17 +163,14 @@ class _Forest:
         return a != b
 
 
-def _shard_links(values: np.ndarray, pieces: np.ndarray, unit: int, radius: int) -> list[tuple[int, int]]:
-    """A spanning forest of the links between a tree's values (pieces == unit) and all values here."""
-    if len(values) == 2:
-        return [(int(values[0]), int(values[1]))] if int(values[0] ^ values[1]).bit_count() <= radius else []
-    own = np.nonzero(pieces == unit)[0]
-    tree = BKTree(values[own], own)
+def tree_links(queries: np.ndarray, tree: BKTree, own: bool, radius: int) -> list[tuple[int, int]]:
+    """A spanning forest of the links between queries and the tree's values; own: the queries are these values."""
+    n = len(tree.value)
+    values = tree.value if own else np.concatenate([tree.value, queries])
     forest, links = _Forest(len(values)), []
-    for k in range(0, len(values), 1024):
-        found: list = []
-        tree.search(values[k : k + 1024], np.arange(k, min(k + 1024, len(values))), radius, found)
-        q, t = (np.concatenate(x) for x in zip(*found))
+    for k in range(0, len(queries), _QUERIES):
+        q, t = tree.search(queries[k : k + _QUERIES], radius)
+        q = q + (k if own else k + n)
         keep = q != t
         pairs = q[keep].astype(np.int64) * len(values) + t[keep]
         pairs.sort()
@@ -153,45 +186,59 @@ def _shard_links(values: np.ndarray, pieces: np.ndarray, unit: int, radius: int)
     return links
 
 
+def _trees(batches):
+    """Rows sorted by (c, key, piece) to one packed tree each."""
+    names = ["c", "key", "piece", "pieces"]
+    group, values = None, []
+
+    def made(found):
+        columns = [pa.array([g[i] for g, _ in found], t) for i, t in enumerate((pa.int32(), pa.int64(), pa.int32(), pa.int32()))]
+        trees = [BKTree.grown(np.concatenate(v)).packed() for _, v in found]
+        return pa.RecordBatch.from_arrays([*columns, pa.array(trees, pa.binary())], names=[*names, "tree"])
+
+    for batch in batches:
+        columns = [batch.column(n).to_numpy(zero_copy_only=False) for n in names]
+        fp = batch.column("fp").to_numpy(zero_copy_only=False).view(np.uint64)
+        if not len(fp):
+            continue
+        cut = np.nonzero(np.logical_or.reduce([c[1:] != c[:-1] for c in columns[:3]]))[0] + 1
+        found = []
+        for a, b in zip([0, *cut.tolist()], [*cut.tolist(), len(fp)]):
+            here = tuple(int(c[a]) for c in columns)
+            if here != group:
+                if values:
+                    found.append((group, values))
+                group, values = here, []
+            values.append(fp[a:b])
+        yield made(found)
+    if values:
+        yield made([(group, values)])
+
+
 def _links(radius: int):
     def run(batches):
-        rest = None
-        names = ["c", "key", "unit", "piece", "fp"]
-
-        def emit(columns):
-            c, key, unit, piece, fp = columns
-            cut = np.nonzero((c[1:] != c[:-1]) | (key[1:] != key[:-1]) | (unit[1:] != unit[:-1]))[0] + 1
-            bounds = [0, *cut.tolist(), len(c)]
+        for batch in batches:
             links = []
-            for a, b in zip(bounds[:-1], bounds[1:]):
-                if b - a > 1:
-                    links += _shard_links(fp[a:b].view(np.uint64), piece[a:b], int(unit[a]), radius)
+            for own, asked, tree in zip(*[batch.column(n).to_pylist() for n in ("own", "asked", "tree")]):
+                links += tree_links(values_of(asked), BKTree.unpacked(tree), own, radius)
             found = np.array(links, np.uint64).reshape(-1, 2).view(np.int64)
-            return pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], names=["a", "b"])
-
-        for batch in batches:
-            columns = [batch.column(n).to_numpy(zero_copy_only=False) for n in names]
-            if rest is not None:
-                columns = [np.concatenate(x) for x in zip(rest, columns)]
-            c, key, unit = columns[:3]
-            if not len(c):
-                continue
-            last = np.nonzero((c != c[-1]) | (key != key[-1]) | (unit != unit[-1]))[0]
-            cut = int(last[-1]) + 1 if len(last) else 0
-            if cut:
-                yield emit([x[:cut] for x in columns])
-            rest = [x[cut:] for x in columns]
-        if rest is not None and len(rest[0]):
-            yield emit(rest)
+            yield pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], names=["a", "b"])
 
     return run
 
 
-def block_masks(radius: int = RADIUS, matched: int = 2) -> list[int]:
-    """Masks of every choice of ``matched`` among radius + matched blocks of the 64 bits."""
+def shard_masks(n: int, radius: int = RADIUS, shard: int = SHARD) -> list[int]:
+    """Masks whose bits key the shards of n fingerprints: for every choice of ``matched`` blocks, their first bits.
+
+    Two fingerprints within the radius agree in all bits of one mask at least. ``matched`` is the
+    fewest blocks that have bits enough for shards of that size.
+    """
+    needed = max(0, math.ceil(math.log2(max(1, n) / shard)))
+    matched = next(m for m in range(1, BITS - radius) if m * (BITS // (radius + m)) >= needed)
     blocks = radius + matched
-    edges = [round(k * BITS / blocks) for k in range(blocks + 1)]
-    one = [((1 << (b - a)) - 1) << a for a, b in zip(edges[:-1], edges[1:])]
+    bits = -(-needed // matched)
+    # a block has every blocks-th bit, as neighbouring ones may go together
+    one = [sum(1 << (b + blocks * k) for k in range(bits)) for b in range(blocks)]
     return [sum(x) for x in combinations(one, matched)]
 
 
@@ -199,23 +246,27 @@ def _signed(x: int) -> int:
     return x - (1 << 64) if x >= 1 << 63 else x
 
 
-def near_links(fingerprints: DataFrame, radius: int = RADIUS, piece: int = PIECE) -> DataFrame:
+def shard_trees(fingerprints: DataFrame, radius: int = RADIUS, shard: int = SHARD, piece: int = PIECE) -> DataFrame:
+    """(c, key, piece, pieces, tree): the packed trees of all shards of distinct fingerprints (fp)."""
+    masks = shard_masks(fingerprints.count(), radius, shard)
+    keys = F.array(*[F.struct(F.lit(i).alias("c"), F.col("fp").bitwiseAND(F.lit(_signed(m))).alias("key")) for i, m in enumerate(masks)])
+    keyed = fingerprints.select("fp", F.explode(keys).alias("k")).select("k.c", "k.key", "fp")
+    counted = keyed.groupBy("c", "key").agg(F.count(F.lit(1)).alias("n"))
+    large = checkpoint(counted.where(F.col("n") > piece).select("c", "key", F.ceil(F.col("n") / piece).cast("int").alias("pieces")))
+    dealt = keyed.join(broadcast_if_small(large, large.count(), BROADCAST_SHARDS), ["c", "key"], "left").withColumn("pieces", F.coalesce("pieces", F.lit(1)))
+    dealt = dealt.withColumn("piece", F.pmod(F.xxhash64("fp"), F.col("pieces")).cast("int"))
+    dealt = dealt.repartition(partitions(fingerprints.sparkSession), "c", "key", "piece").sortWithinPartitions("c", "key", "piece")
+    return dealt.mapInArrow(_trees, "c int, key long, piece int, pieces int, tree binary")
+
+
+def near_links(fingerprints: DataFrame, radius: int = RADIUS, shard: int = SHARD, piece: int = PIECE, limit: int = BROADCAST_BYTES) -> DataFrame:
     """(a, b): links that connect all distinct fingerprints (fp) within the radius of each other."""
-    keys = F.array(
-        *[F.struct(F.lit(i).alias("c"), F.col("fp").bitwiseAND(F.lit(_signed(m))).alias("key")) for i, m in enumerate(block_masks(radius))]
-    )
-    shard = Window.partitionBy("c", "key")
-    sized = (
-        fingerprints.select("fp", F.explode(keys).alias("k"))
-        .select("k.c", "k.key", "fp")
-        .withColumn("n", F.count(F.lit(1)).over(shard))
-        .where("n > 1")
-    )
-    trees = F.ceil(F.col("n") / piece).cast("int")
-    pieces = sized.withColumn("piece", F.pmod(F.xxhash64("fp"), trees).cast("int"))
-    units = pieces.select("c", "key", F.explode(F.sequence(F.lit(0), F.col("piece"))).alias("unit"), "piece", "fp")
-    dealt = units.repartition("c", "key", "unit").sortWithinPartitions("c", "key", "unit")
-    return dealt.mapInArrow(_links(radius), "a long, b long").distinct()
+    trees = checkpoint(shard_trees(fingerprints, radius, shard, piece).where("pieces > 1 OR length(tree) > 13"))
+    size = trees.agg(F.sum(F.length("tree"))).first()[0] or 0
+    asked = trees.select("c", "key", F.col("piece").alias("asks"), F.col("tree").alias("asked"), F.explode(F.sequence("piece", F.col("pieces") - 1)).alias("piece"))
+    units = asked.join(broadcast_if_small(trees.select("c", "key", "piece", "tree"), size, limit), ["c", "key", "piece"])
+    dealt = units.repartition(partitions(fingerprints.sparkSession), "c", "key", "piece", "asks")
+    return dealt.select((F.col("asks") == F.col("piece")).alias("own"), "asked", "tree").mapInArrow(_links(radius), "a long, b long").distinct()
 
 
 def _rooted(docs: DataFrame, id_col: str, text: str, radius: int = RADIUS) -> DataFrame:
@@ -223,12 +274,12 @@ def _rooted(docs: DataFrame, id_col: str, text: str, radius: int = RADIUS) -> Da
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.xxhash64(F.col(f"`{text}`")).alias("same"), F.col(f"`{text}`").alias("text"))
     schema = rows.select("id", "same", F.lit(0).cast("long").alias("fp")).schema
     prints = checkpoint(rows.mapInArrow(_fingerprints, schema))
-    distinct = checkpoint(prints.groupBy("fp").agg(F.min("id").alias("least")))
+    distinct = checkpoint(prints.groupBy("fp").agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("rows")))
     roots = components(near_links(distinct.select("fp"), radius))
-    labelled = distinct.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    least = labelled.groupBy("root").agg(F.min("least").alias("component"))
-    named = labelled.join(least, "root").select(F.col("fp").alias("of"), "root", "component")
-    return prints.join(named, F.col("fp") == F.col("of")).select("id", "same", "fp", "root", "component")
+    labelled = checkpoint(distinct.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "least", "rows", F.coalesce("root", "fp").alias("root")))
+    least = labelled.groupBy("root").agg(F.min("least").alias("component"), F.count(F.lit(1)).alias("times"))
+    named = checkpoint(join_named(labelled, least, ["root"], labelled.count()).select("fp", "root", "component", F.col("rows").alias("times")))
+    return join_named(prints, named, ["fp"], prints.count()).select("id", "same", "fp", "root", "component")
 
 
 def near_duplicates(docs: DataFrame, id_col="doc_id", text="text", radius: int = RADIUS) -> DataFrame:

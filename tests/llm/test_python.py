@@ -9,6 +9,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from quillstack.llm import graph, html_extract, language_id, near_copies, quality_model, simhash, text_features, toxicity
+from quillstack.llm.common import join_named
 
 PARAS = [" ".join(f"word{chr(97 + (k * 7 + j) % 26)}{j % 9}" for j in range(30)) + "." for k in range(6)]
 
@@ -147,36 +148,103 @@ def test_near_copies_match_brute_force(spark):
     assert sorted(r["doc_id"] for r in near_copies.keep_one(docs).collect()) == sorted(set(up))
 
 
-def test_links_of_dense_shards(spark):
-    rnd = random.Random(6)
-    core = [rnd.getrandbits(64) for _ in range(3)]
-    values = {c for c in core}
-    while len(values) < 900:
-        c = rnd.choice(core)
-        for _ in range(rnd.randrange(1, 5)):
-            c ^= 1 << rnd.randrange(64)
-        values.add(c)
-    values = sorted(values)
-    rows = spark.createDataFrame([(simhash._signed(v),) for v in values], "fp long")
-    links = simhash.near_links(rows, piece=100)
+def linked(values, links):
+    """The components of values by brute force, and by the links."""
     got = {r["node"]: r["root"] for r in graph.components(links).collect()}
-    roots = brute_components(values)
     want, mine = {}, {}
-    for v, r in zip(values, roots):
+    for v, r in zip(values, brute_components(values)):
         want.setdefault(r, set()).add(v)
         mine.setdefault(got.get(simhash._signed(v), simhash._signed(v)), set()).add(v)
-    assert sorted(map(sorted, want.values())) == sorted(map(sorted, mine.values()))
-    assert links.count() < 20 * len(values)
+    return sorted(map(sorted, want.values())), sorted(map(sorted, mine.values()))
 
 
-def test_bk_tree_finds_all():
+def dense(rnd, n, cores):
+    core = [rnd.getrandbits(64) for _ in range(cores)]
+    values = set(core)
+    while len(values) < n:
+        c = rnd.choice(core)
+        for _ in range(rnd.randrange(1, 5)):
+            c ^= 1 << rnd.randrange(64)
+        values.add(c)
+    return sorted(values)
+
+
+@pytest.mark.parametrize("limit", [simhash.BROADCAST_BYTES, 0])
+def test_links_of_dense_shards(spark, limit):
+    values = dense(random.Random(6), 900, 3)
+    rows = spark.createDataFrame([(simhash._signed(v),) for v in values], "fp long")
+    for shard, piece in ((100, 64), (512, 2048)):
+        links = simhash.near_links(rows, shard=shard, piece=piece, limit=limit)
+        want, mine = linked(values, links)
+        assert want == mine and links.count() < 20 * len(values)
+
+
+def test_shard_masks_meet_all_links():
+    rnd = random.Random(3)
+    for n in (1, 512, 10**5, 10**8, 10**11):
+        masks = simhash.shard_masks(n)
+        assert {m.bit_count() for m in masks} == {masks[0].bit_count()} and n / 2 ** masks[0].bit_count() <= simhash.SHARD
+        for _ in range(200):
+            a = rnd.getrandbits(64)
+            b = a
+            for k in rnd.sample(range(64), 3):
+                b ^= 1 << k
+            assert any(a & m == b & m for m in masks)
+    assert len(simhash.shard_masks(10**6)) == 4 and len(simhash.shard_masks(10**8)) == 10
+
+
+def test_bk_tree_finds_all_by_following_few_edges():
     rnd = np.random.default_rng(7)
-    values = np.unique(rnd.integers(0, 1 << 16, 3000).astype(np.uint64))
-    tree = simhash.BKTree(values, np.arange(len(values)))
-    found: list = []
-    tree.search(values[:200], np.arange(200), 2, found)
-    got = {(int(q), int(t)) for a, b in found for q, t in zip(a, b)}
-    assert got == {(i, j) for i in range(200) for j in range(len(values)) if int(values[i] ^ values[j]).bit_count() <= 2}
+    for values, radius in ((np.unique(rnd.integers(0, 1 << 16, 3000).astype(np.uint64)), 2), (rnd.integers(0, 1 << 63, 2000).astype(np.uint64), 3)):
+        rnd.shuffle(values)
+        grown = simhash.BKTree.grown(values)
+        tree = simhash.BKTree.unpacked(grown.packed())
+        assert (tree.child == grown.child).all() and (tree.value == values).all()
+        # children are keyed by their distance to the node, and each value is in the tree once
+        up, key = np.nonzero(tree.child >= 0)
+        assert (np.bitwise_count(values[up] ^ values[tree.child[up, key]]) == key).all() and len(up) == len(values) - 1
+        q, t = tree.search(values[:200], radius)
+        assert {(int(a), int(b)) for a, b in zip(q, t)} == {(i, j) for i in range(200) for j in range(len(values)) if int(values[i] ^ values[j]).bit_count() <= radius}
+        assert 0 < tree.followed < 200 * (len(values) - 1) / 2 and tree.pruned > 0
+    assert [len(x) for x in simhash.BKTree.grown(values[:1]).search(values[:1], 3)] == [1, 1]
+
+
+def test_the_query_goes_through_trees_that_branch(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    prints = {i: brute(t) for i, t in ((r["doc_id"], r["text"]) for r in docs.select("doc_id", "text").collect())}
+    values = spark.createDataFrame([(simhash._signed(v),) for v in set(prints.values())], "fp long")
+    trees = [simhash.BKTree.unpacked(bytes(r["tree"])) for r in simhash.shard_trees(values).collect()]
+    assert all((t.child >= 0).sum() == len(t.value) - 1 for t in trees) and max(len(t.value) for t in trees) > 200
+    for t in trees:
+        t.search(t.value, simhash.RADIUS)
+    assert sum(t.followed for t in trees) > 10**5 and sum(t.pruned for t in trees) > 10**5
+    from quillstack.llm.queries import op5_simhash
+
+    ids = sorted(prints)
+    roots = brute_components([prints[i] for i in ids])
+    least = {}
+    for i, r in zip(ids, roots):
+        least[r] = min(least.get(r, i), i)
+    got = op5_simhash(spark, "/root/testdata/sf0.01").collect()
+    assert {r["doc_id"]: (r["fingerprint"], r["component_id"]) for r in got} == {i: (f"{prints[i]:016x}", least[r]) for i, r in zip(ids, roots)}
+    assert len(got) == len(prints)
+
+
+def test_long_texts_have_the_fingerprint_of_brute_force():
+    rnd = random.Random(21)
+    text = " ".join(str(rnd.randrange(50_000)) for _ in range(simhash._CHUNK + 5000))
+    assert simhash.fingerprint(text) == brute(text)
+
+
+def test_join_named_of_hot_keys(spark):
+    rows = [(k % 50 if k % 3 else 7, k) for k in range(3000)]
+    df = spark.createDataFrame(rows, "key long, n long")
+    counts = {k: sum(a == k for a, _ in rows) for k in range(50)}
+    named = spark.createDataFrame([(k, k * 10, c) for k, c in counts.items() if k != 9], "key long, label long, times long")
+    want = sorted((n, k * 10) for k, n in rows if k != 9)
+    for least in (1, 500, 10**6):
+        got = join_named(df, named, ["key"], len(rows), least)
+        assert got.columns == ["key", "n", "label"] and sorted((r["n"], r["label"]) for r in got.collect()) == want
 
 
 def test_components(spark):
