@@ -5,22 +5,28 @@ run is a stretch of neighbouring lines of one document. Whenever a run of ``min_
 more occurs again, in another document or further on in the same one, every occurrence but the
 first in the order of (doc_id, place) is deleted; shorter repeats stay.
 
-Suffixes are ranked by prefix doubling: suffixes that agree in their first line get one rank,
-and from ranks for 2^k lines those for 2^(k+1) lines follow by a join of each suffix with the
-one 2^k lines on. A rank is named by the first place in the corpus that holds its lines, so
-ranks are exact, nothing is hashed twice, and whoever is not first is seen at once. Suffixes
-whose prefix occurs once leave; the suffixes of one rank are one interval of the suffix array
-with a common prefix of 2^k lines or more. The interval for a common prefix of any other length
-n between 2^k and 2^(k+1) is named by two overlapping ranks, at the suffix and n - 2^k lines on.
-
-To find all deletable lines it is enough to look, for each line, at the shortest run of
-``min_words`` words that starts there and the shortest that ends there: any longer repeated run
-is the union of such runs, each of which repeats with it. These have at most ``min_words``
-lines, so log2(min_words) rounds do, however long the repeated runs are.
+Suffixes are ranked by prefix doubling. Level 0 ranks the lines themselves; level k ranks the
+first 2^k lines of suffixes: each suffix has the pair of its own rank and that of the suffix 2^k
+lines on, the different pairs are sorted, and their places in that order, with gaps, are the ranks
+of the next level. So the ranks of a level put the suffixes in the order of a suffix array,
+lines being compared by their hashes, and suffixes are neighbours with a common prefix of 2^k lines
+or more if and only if they have one rank. Suffixes whose prefix occurs once leave. The interval of
+the suffix array with a common prefix of any other length n between 2^k and 2^(k+1) has two
+overlapping ranks, at the suffix and n - 2^k lines on, and is the group of the suffixes with these.
+
+A maximal repeated run is the longest common prefix of an interval. It is covered by its shortest
+runs of ``min_words`` words: for each line, the shortest that starts there and the shortest that
+ends there. Each of these repeats with it, and each is one interval, whose first suffix in the order
+of the corpus stays while the run is deleted at all others. They have at most ``min_words`` lines,
+so log2(min_words) levels do, however long the repeated runs are.
+
+Skew: lines and pairs that very many suffixes have meet their ranks by a broadcast (``join_named``);
+suffixes of a document are only ever compared by windows over that document.
 
 Nulls: null text is an empty document and stays null. Null ids come first in the order. Rows
 that agree in id and text count as one document and are treated alike. An empty table gives an
-empty result. A line is known by two independent 64-bit hashes.
+empty result. Very long texts are lines like any others; one without line feeds is one line. A line
+is known by two independent 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -28,9 +34,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import SPACE, checkpoint, n_words, others
+from .common import SPACE, broadcast_if_small, checkpoint, join_named, n_words, others
 
 MIN_WORDS = 50
+#: The lines to delete are broadcast up to so many of them and of their documents, and joined by a shuffle beyond.
+BROADCAST_DELETIONS = 1_000_000
 
 
 def _place(prefix: str = "") -> Column:
@@ -62,34 +70,35 @@ def line_table(docs: DataFrame, id_col="doc_id", text="text") -> DataFrame:
     )
 
 
+def in_order(named: DataFrame, keys: list[str]) -> DataFrame:
+    """named with rank, a number that grows with the keys in their order."""
+    return checkpoint(named.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn("rank", F.monotonically_increasing_id()))
+
+
+def _ranked(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """rows with the rank of their keys; rows whose keys occur once leave."""
+    named = in_order(rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("times")).where("times > 1"), keys)
+    return join_named(rows, named, keys, named.agg(F.sum("times")).first()[0] or 0)
+
+
 def first_ranks(lines: DataFrame) -> DataFrame:
-    """Rank 0 of each line that occurs twice or more: (doc, same, at, line, n, rank)."""
-    repeated = (
-        lines.groupBy("h1", "h2")
-        .agg(F.count(F.lit(1)).alias("times"), F.min(_place()).alias("rank"))
-        .where("times > 1")
-        .drop("times")
-    )
-    return lines.join(repeated, ["h1", "h2"]).select("doc", "same", "at", "line", "n", "rank")
+    """Ranks of level 0, of each line that occurs twice or more: (doc, same, at, line, n, rank)."""
+    return _ranked(lines, ["h1", "h2"]).select("doc", "same", "at", "line", "n", "rank")
 
 
 def double(ranks: DataFrame, step: int) -> DataFrame:
     """Ranks for 2 * step lines from those for step lines; suffixes that are alone leave."""
-    onward = ranks.select(
-        F.col("doc").alias("d"), F.col("same").alias("s"), (F.col("at") - step).alias("a"), F.col("rank").alias("rank2")
-    )
-    pairs = ranks.join(
-        onward, F.col("doc").eqNullSafe(F.col("d")) & (F.col("same") == F.col("s")) & (F.col("at") == F.col("a"))
-    ).select("doc", "same", "at", F.col("rank").alias("rank1"), "rank2")
-    named = (
-        pairs.groupBy("rank1", "rank2")
-        .agg(F.count(F.lit(1)).alias("times"), F.min(_place()).alias("rank"))
-        .where("times > 1")
-        .drop("times")
-        .withColumnsRenamed({"rank1": "r1", "rank2": "r2"})
-    )
-    same = F.col("rank1").eqNullSafe(F.col("r1")) & F.col("rank2").eqNullSafe(F.col("r2"))
-    return pairs.join(named, same).select("doc", "same", "at", "rank")
+    onward = Window.partitionBy("doc", "same").orderBy("at").rangeBetween(step, step)
+    pairs = ranks.select("doc", "same", "at", F.col("rank").alias("rank1"), F.first("rank").over(onward).alias("rank2")).where("rank2 IS NOT NULL")
+    return _ranked(checkpoint(pairs), ["rank1", "rank2"]).select("doc", "same", "at", "rank")
+
+
+def levels(lines: DataFrame, min_words: int = MIN_WORDS) -> list[DataFrame]:
+    """The ranks of the levels that runs of min_words words need; that of level 0 has line and n too."""
+    out = [checkpoint(first_ranks(lines))]
+    while 2 ** len(out) <= min_words:
+        out.append(checkpoint(double(out[-1].select("doc", "same", "at", "rank"), 2 ** (len(out) - 1))))
+    return out
 
 
 def shortest_runs(ranks: DataFrame, min_words: int) -> DataFrame:
@@ -129,28 +138,29 @@ def shortest_runs(ranks: DataFrame, min_words: int) -> DataFrame:
     )
 
 
-def later_runs(docs: DataFrame, id_col="doc_id", text="text", min_words: int = MIN_WORDS) -> DataFrame:
-    """(doc, same, lines): the numbers of the lines to delete, sorted, for each document that has any."""
-    ranks = checkpoint(first_ranks(line_table(docs, id_col, text)))
-    levels = [ranks.select("doc", "same", "at", "rank")]
-    while 2 ** len(levels) <= min_words:
-        levels.append(checkpoint(double(levels[-1], 2 ** (len(levels) - 1))))
-    every = levels[0].withColumn("level", F.lit(0))
-    for k, level in enumerate(levels[1:], 1):
+def run_intervals(ranks: list[DataFrame], min_words: int = MIN_WORDS) -> DataFrame:
+    """(doc, same, at, size, r1, r2): the shortest runs that may repeat, each with the two ranks that name its interval."""
+    every = ranks[0].select("doc", "same", "at", "rank").withColumn("level", F.lit(0))
+    for k, level in enumerate(ranks[1:], 1):
         every = every.unionByName(level.withColumn("level", F.lit(k)))
     power = F.length(F.bin("size")) - 1
-    runs = shortest_runs(ranks, min_words).withColumn("level", F.least(power, F.lit(len(levels) - 1)))
+    runs = shortest_runs(ranks[0], min_words).withColumn("level", F.least(power, F.lit(len(ranks) - 1)))
     for name, place in (("r1", F.col("at")), ("r2", F.col("at") + F.col("size") - F.pow(F.lit(2), F.col("level")).cast("int"))):
         names = {"doc": "d", "same": "s", "at": "a", "rank": name, "level": "l"}
         on = F.col("doc").eqNullSafe(F.col("d")) & (F.col("same") == F.col("s")) & (F.col("place") == F.col("a")) & (F.col("level") == F.col("l"))
         runs = runs.withColumn("place", place).join(every.withColumnsRenamed(names), on).drop("d", "s", "a", "l", "place")
-    runs = checkpoint(runs)
+    return runs.select("doc", "same", "at", "size", "r1", "r2")
+
+
+def later_runs(docs: DataFrame, id_col="doc_id", text="text", min_words: int = MIN_WORDS) -> DataFrame:
+    """(doc, same, lines): the numbers of the lines to delete, sorted, for each document that has any."""
+    ranks = levels(line_table(docs, id_col, text), min_words)
+    runs = checkpoint(run_intervals(ranks, min_words))
     first = runs.groupBy("size", "r1", "r2").agg(F.min(_place()).alias("first"), F.count(F.lit(1)).alias("times"))
-    first = first.where("times > 1").withColumnsRenamed({"size": "n", "r1": "q1", "r2": "q2"})
-    same = (F.col("size") == F.col("n")) & F.col("r1").eqNullSafe(F.col("q1")) & F.col("r2").eqNullSafe(F.col("q2"))
-    later = runs.join(first, same).where(~_place().eqNullSafe(F.col("first"))).select("doc", "same", "at", "size")
+    first = checkpoint(first.where("times > 1"))
+    later = join_named(runs, first, ["size", "r1", "r2"], runs.count()).where(~_place().eqNullSafe(F.col("first")))
     gone = later.select("doc", "same", F.explode(F.sequence(F.col("at"), F.col("at") + F.col("size") - 1)).alias("at")).distinct()
-    lines = ranks.select(F.col("doc").alias("d"), F.col("same").alias("s"), F.col("at").alias("a"), "line")
+    lines = ranks[0].select(F.col("doc").alias("d"), F.col("same").alias("s"), F.col("at").alias("a"), "line")
     on = F.col("doc").eqNullSafe(F.col("d")) & (F.col("same") == F.col("s")) & (F.col("at") == F.col("a"))
     return gone.join(lines, on).groupBy("doc", "same").agg(F.sort_array(F.collect_set("line")).alias("lines"))
 
@@ -160,12 +170,13 @@ def dedup_lines(docs: DataFrame, id_col="doc_id", text="text", min_words: int =
 
     Further columns and repeated rows stay as they are, but for a column with the name of ``out``.
     """
-    gone = later_runs(docs, id_col, text, min_words).select(
+    gone = checkpoint(later_runs(docs, id_col, text, min_words)).select(
         F.col("doc").alias("__doc"), F.col("same").alias("__same"), F.col("lines").alias("__lines")
     )
+    size = gone.agg(F.sum(1 + F.size("__lines"))).first()[0] or 0
     whole = F.col(f"`{text}`")
     joined = docs.join(
-        gone, F.col(f"`{id_col}`").eqNullSafe(F.col("__doc")) & (F.xxhash64(whole) == F.col("__same")), "left"
+        broadcast_if_small(gone, size, BROADCAST_DELETIONS), F.col(f"`{id_col}`").eqNullSafe(F.col("__doc")) & (F.xxhash64(whole) == F.col("__same")), "left"
     )
     lines = F.split(whole, "\n", -1)
     rest = F.array_join(F.filter(lines, lambda x, i: ~F.array_contains(F.col("__lines"), i)), "\n")
