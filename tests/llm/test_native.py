@@ -6,6 +6,7 @@ import re
 from collections import Counter, defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from quillstack.llm import decontamination, line_dedup, mixing, quality_rules, queries, url_filter
 
@@ -101,6 +102,48 @@ def test_mixing_targets_rates_and_reruns(spark):
     assert again == {(r["doc_id"], r["source"], r["taken"]) for r in got}
 
 
+def test_mixing_meets_targets_of_few_documents(spark):
+    rnd = random.Random(12)
+    rows = [(s * 100 + k, " ".join(["w"] * rnd.choice([rnd.randrange(5, 300), rnd.randrange(300, 6000)])), f"s{s}") for s in range(9) for k in range(50)]
+    docs = spark.createDataFrame([(*r, 1, 2) for r in rows], "doc_id long, text string, source string, size int, taken int")
+    got = mixing.mix(docs).collect()
+    for s in range(9):
+        own = [r for r in got if r["source"] == f"s{s}"]
+        gap = own[0]["target"] - sum(r["taken"] for r in own)
+        # no copy added, taken away or exchanged for another one would come nearer, and all are near
+        adds = [0, *[r["size"] for r in own if r["copies"] < 2]]
+        drops = [0, *[r["size"] for r in own if r["copies"] > 0]]
+        assert abs(gap) <= 5 and abs(gap) <= min(abs(gap - a + b) for a in adds for b in drops) + 1e-6, s
+        assert all(0 <= r["copies"] <= 2 for r in own)
+
+
+def test_mixing_of_many_sources_and_hot_cells(spark, monkeypatch):
+    rnd = random.Random(14)
+    rows = [(k, "a b c", "hot") for k in range(1500)] + [(2000 + k, " ".join(["w"] * rnd.randrange(1, 40)), f"t{rnd.randrange(200):03}") for k in range(2500)]
+    rows += [(None, "x y z", "hot")] * 40 + [(5000, " ".join(["w"] * 200_000), "long")]
+    docs = documents(spark, rows).repartition(7)
+    want, sizes = None, defaultdict(int)
+    monkeypatch.setattr(mixing, "PIECE", 16)
+    real = mixing.join_named
+    for least in (10**6, 50):
+        monkeypatch.setattr(mixing, "join_named", lambda *a, n=least: real(*a, n))
+        got = sorted((str(r["doc_id"]), r["source"], r["size"], r["target"], r["taken"]) for r in mixing.mix(docs).collect())
+        assert want in (None, got)
+        want = got
+    for _, s, size, _, _ in want:
+        sizes[s] += size
+    goals = targets(sizes)
+    assert all(t == pytest.approx(goals[s], rel=1e-9) for _, s, _, t, _ in want)
+    assert abs(sum(x[4] for x in want if x[1] == "hot") - goals["hot"]) <= 3
+
+
+def test_mixing_says_when_it_does_not_settle(spark):
+    docs = documents(spark, [(k, "w " * (k + 1), f"s{k % 3}") for k in range(30)])
+    cells = docs.selectExpr("source IS NOT NULL AS known", "source AS name", "size(split(trim(text), ' ')) AS size").groupBy("known", "name", "size").agg(F.count("*").alias("n"))
+    with pytest.raises(RuntimeError):
+        mixing.multipliers(cells, mixing.targets(cells), steps=1)
+
+
 def test_mixing_of_nothing(spark):
     assert mixing.mix(documents(spark, [])).count() == 0
     assert [r["taken"] for r in mixing.mix(documents(spark, [(1, None, None), (2, "", "a")])).collect()] == [0, 0]
@@ -182,6 +225,72 @@ def test_line_dedup_long_repeated_rows_match_brute_force(spark):
     assert all(set(r["line_dedup"]["deleted"]) == want[r["doc_id"]] for r in found)
 
 
+def test_ranks_are_a_suffix_array_and_deletions_its_intervals(spark):
+    rnd = random.Random(31)
+    lines = [" ".join(f"v{rnd.randrange(99)}" for _ in range(rnd.choice([2, 5, 11, 17]))) for _ in range(14)]
+    passages = [[rnd.choice(lines) for _ in range(n)] for n in (5, 12, 30, 70)]
+    rows = []
+    for i in range(30):
+        body = [f"own {i} {k}" for k in range(rnd.randrange(4))]
+        for _ in range(3):
+            p = rnd.choice(passages)
+            a = rnd.randrange(len(p) // 2)
+            body += p[a : a + rnd.randrange(3, len(p))] + [f"mid {i} {len(body)}"]
+        rows.append((i, "\n".join(body), "s"))
+    docs = documents(spark, rows)
+    table = line_dedup.line_table(docs)
+    at = sorted(((r["doc"], r["at"]), (r["h1"], r["h2"]), r["n"]) for r in table.collect())
+    of_doc = defaultdict(list)
+    for (d, _), h, n in at:
+        of_doc[d].append((h, n))
+    ranks = line_dedup.levels(table, 50)
+    assert len(ranks) == 6
+    for k, level in enumerate(ranks):
+        got = {(r["doc"], r["at"]): r["rank"] for r in level.collect()}
+        prefix = {(d, i): tuple(h for h, _ in x[i : i + 2**k]) for d, x in of_doc.items() for i in range(len(x) - 2**k + 1)}
+        times = Counter(prefix.values())
+        assert got.keys() == {p for p, x in prefix.items() if times[x] > 1}
+        # the order of the ranks is that of the suffixes, and equal ranks are equal prefixes
+        order = sorted(got, key=got.get)
+        assert all((prefix[a] < prefix[b]) == (got[a] < got[b]) and (prefix[a] == prefix[b]) == (got[a] == got[b]) for a, b in zip(order, order[1:]))
+    # the suffix array and common prefixes of neighbours; an earlier suffix with a prefix of 50 words deletes it
+    suffixes = sorted(((tuple(h for h, _ in x[i:]), d, i) for d, x in of_doc.items() for i in range(len(x))))
+    common = [0]
+    for (a, *_), (b, *_) in zip(suffixes, suffixes[1:]):
+        common.append(next((k for k, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b))))
+    want = defaultdict(set)
+    for k, (_, d, i) in enumerate(suffixes):
+        longest = 0
+        for step in (-1, 1):
+            near, least = k, 10**9
+            while 0 <= near + step < len(suffixes):
+                least = min(least, common[near if step < 0 else near + 1])
+                near += step
+                if suffixes[near][1:] < (d, i):
+                    longest = max(longest, least)
+                    break
+        if sum(n for _, n in of_doc[d][i : i + longest]) >= 50:
+            want[d] |= set(range(i, i + longest))
+    assert sum(map(len, want.values())) > 200
+    got = line_dedup.dedup_lines(docs).select("doc_id", "line_dedup.deleted").collect()
+    assert {r["doc_id"]: set(r["deleted"]) for r in got} == {i: want[i] for i, *_ in rows}
+
+
+def test_line_dedup_of_hot_and_long_lines(spark, monkeypatch):
+    rnd = random.Random(33)
+    hot = " ".join(f"h{k}" for k in range(55))
+    long = " ".join(f"x{rnd.randrange(10**6)}" for _ in range(60_000))
+    rows = [(i, f"start {i}\n{hot}\nend {i}", "s") for i in range(1200)] + [(5000, long, "s"), (5001, long + "\n" + hot, "s")]
+    real = line_dedup.join_named
+    for least in (1000, 5):
+        monkeypatch.setattr(line_dedup, "join_named", lambda *a, n=least: real(*a, n))
+        got = {r["doc_id"]: r["deleted"] for r in line_dedup.dedup_lines(documents(spark, rows)).select("doc_id", "line_dedup.deleted").collect()}
+        assert got == {0: [], **{i: [1] for i in range(1, 1200)}, 5000: [], 5001: [0, 1]}
+    monkeypatch.setattr(line_dedup, "BROADCAST_DELETIONS", 0)
+    got = line_dedup.dedup_lines(documents(spark, rows).withColumn("Line_Dedup", F.lit(1)))
+    assert got.columns == ["doc_id", "text", "lang", "source", "n_chars", "line_dedup"] and got.where("line_dedup.n_deleted > 0").count() == 1200
+
+
 def test_decontamination(spark):
     filler = " ".join(f"word{chr(97 + k % 26)}x{chr(97 + k % 7)}" for k in range(200))
     verbatim, changed = ITEMS[0][1], ITEMS[0][1].replace("120", "90").replace("3 hours", "2 hours").replace("5 hours", "4 hours").replace("Alice", "Bob")
