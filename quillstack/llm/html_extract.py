@@ -2,16 +2,27 @@
 
 1. Each page's containers are scored: text of blocks, less for link text, without what is never
    main text (menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles,
-   comments). The smallest container that holds nearly all of the page's best text is its choice.
+   comments). The page's choice is its only ``main`` with half of the score, or its only
+   ``article`` with ``ALONE`` of it; without these, the smallest container with all of the score.
 2. A container is named by its generalised path, the tags and classes from the body down with
-   runs of digits replaced. Spark adds up the votes of each host's pages for such paths.
-3. Every page is read again with its host's winning path; a page without that path, or with
-   little of its text there, uses its own choice.
+   runs of digits replaced. Spark adds up the votes of each host's pages for such paths; of equal
+   ones the last in the order of code points wins.
+3. Every page is read again with its host's winning path. Where that is on the page, holding ``USE``
+   of the page's score, all blocks in it are taken, and of the rest of the page's own choice those
+   that are not mostly links; else all blocks of the page's own choice. A headline before an
+   article without one, and what follows it up to the article, are taken too.
+
+What is dropped: tags and roles that say so, hidden parts, and parts whose class or id says so. A
+name counts if all of its words are those of page furniture (``cookie-notice``); with other words
+too (``social-history``) the part is dropped only if it is mostly links. Wrappers that hold the
+headline stay. The fallback texts of objects, audio, video and canvas are text, those of
+``noscript`` are notices; CDATA sections are comments, as in HTML.
 
 Text: character references decoded, white space within a block turned into one space, blocks
 joined by line feeds in page order. Null or empty html, or pages without text: empty text. Null
 urls and those without ``://`` share the empty host. Repeated rows and page ids are judged row
-by row. An empty table gives an empty result. Pages are read whole.
+by row. Further columns are not looked at. An empty table gives an empty result. Pages are read
+whole, however long or deep.
 """
 
 from __future__ import annotations
@@ -20,32 +31,41 @@ import html as _html
 import re
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import broadcast_if_small, checkpoint
 from .url_filter import host_and_path
 
-#: Winning paths are broadcast up to so many hosts of about 150 bytes, and joined by a shuffle beyond.
-BROADCAST_HOSTS = 200_000
-#: The share of the page's text that a container must hold to be chosen, and that a host's path must hold to be used.
-CHOOSE, USE = 0.9, 0.5
-#: Nodes below a path of so many characters go by that path.
+#: Winning paths are broadcast up to so many characters of hosts and paths together, and joined by a shuffle beyond.
+BROADCAST_CHARS = 16_000_000
+#: The share of the page's score that an article must hold to be the choice by itself, and a host's path to be used.
+ALONE, USE = 0.8, 0.5
+#: Blocks and parts with more of their text in links than this are mostly links.
+LINKED = 0.5
+#: Longer paths are named by a hash of the parent's name and their last part.
 LONGEST_PATH = 1000
 
+_ATTRIBUTES = r"(?:[^>\"']|\"[^\"]*\"|'[^']*')*"
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>"
-    r"|<(script|style|noscript|template|textarea|svg|iframe|title|select|object|math|audio|video|canvas)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</\1\s*>|\Z)"
-    r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>",
+    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>"
+    rf"|<title\b{_ATTRIBUTES}>[^<]*(?:</title\s*>)?"
+    rf"|<(script|style)\b{_ATTRIBUTES}>.*?(?:</\1\s*>|\Z)"
+    rf"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)({_ATTRIBUTES})>",
     re.S | re.I,
 )
+#: Elements left out with all they hold, where they are closed.
+_SILENT = frozenset("noscript template textarea svg iframe select annotation annotation-xml".split())
+_FALLBACK = frozenset("object audio video canvas".split())
+_LOWER = {c: c + 32 for c in range(65, 91)}
 _ATTRIBUTE = re.compile(r"""([a-zA-Z_:-]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""")
 _DIGITS = re.compile(r"\d+")
 _SPLIT_NAME = re.compile(r"[^a-z0-9]+")
 _CAMEL = re.compile(r"([a-z])([A-Z])")
 
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-_DROP = frozenset("nav footer aside form button menu dialog head label datalist fieldset legend map".split())
+_DROP = frozenset("nav footer aside form button menu dialog head label datalist fieldset legend map noscript select textarea".split())
 _BLOCK = frozenset(
     "address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption figure footer form"
     " h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol option p pre section summary table tbody td tfoot th"
@@ -64,15 +84,24 @@ _DROP_ROLES = frozenset("navigation banner contentinfo complementary search form
 _KEEP_WORDS = frozenset("article post entry story content main body".split())
 #: Words that say what a wrapper has rather than what it is, as in ``with-sidebar``.
 _WRAPPER_WORDS = frozenset("with has no without wrapper layout container page site row grid columns".split())
+_WRAPPER_FIRST = frozenset("with has no without layout".split())
+#: Words that drop words go together with in the names of page furniture.
+_FURNITURE = _DROP_WORDS | frozenset(
+    "list bar box wrap wrapper block area links link items item buttons button btn icons icon panel top bottom left right site page"
+    " global inner outer slot unit posts post articles stories news more thread count meta holder primary secondary tertiary mobile"
+    " desktop fixed sticky message messages msg strip zone group col column columns row rows main header head container section content"
+    " text title media social us by on off js module region region1 tools tool float floating sub super mini big small large full"
+    " user users reader readers blog the for your my ext ext1 id el component shell layer frame feed line lines tags tag bottombar".split()
+)
 #: Parts that may hold headings of their own and are dropped even so.
 _FIRM_WORDS = frozenset("comment comments commentlist disqus replies respond ad ads advert adverts advertisement related recommended modal popup".split())
 
 
 class _Node:
-    __slots__ = ("tag", "path", "parent", "drop", "soft", "text", "links")
+    __slots__ = ("tag", "path", "parent", "drop", "soft", "guess", "text", "links")
 
-    def __init__(self, tag, path, parent, drop, soft=False):
-        self.tag, self.path, self.parent, self.drop, self.soft = tag, path, parent, drop, soft
+    def __init__(self, tag, path, parent, drop, soft=False, guess=False):
+        self.tag, self.path, self.parent, self.drop, self.soft, self.guess = tag, path, parent, drop, soft, guess
         self.text = self.links = 0
 
 
@@ -84,36 +113,45 @@ def _names(value: str) -> list[str]:
     return [w for w in _SPLIT_NAME.split(_CAMEL.sub(r"\1 \2", value).lower()) if w]
 
 
-def _dropped(tag: str, attributes: dict, raw: str, inside: bool) -> tuple[bool, bool]:
-    """Whether a node is no main text, and whether that is only a guess from its names."""
+def _dropped(tag: str, attributes: dict, raw: str, inside: bool) -> tuple[bool, bool, bool]:
+    """Whether a node is no main text, whether that goes by its names only, and whether its names leave it open."""
     if tag in _DROP or tag == "header" and not inside:
-        return True, False
+        return True, False, False
     if not raw.strip():
-        return False, False
+        return False, False, False
     if attributes.get("role", "").lower() in _DROP_ROLES or attributes.get("aria-hidden", "").lower() == "true":
-        return True, False
+        return True, False, False
     if "display:none" in attributes.get("style", "").replace(" ", "").lower() or re.search(r"(?:^|\s)hidden(?:\s|=|/|$)", raw):
-        return True, False
+        return True, False, False
     if tag in ("body", "html", "main", "article"):
         words = _names(attributes.get("class", "") + " " + attributes.get("id", ""))
-        return tag == "article" and any(w in _FIRM_WORDS or w in ("reply", "teaser") for w in words), False
+        return tag == "article" and any(w in _FIRM_WORDS or w in ("reply", "teaser") for w in words), False, False
+    guess = False
     for name in (attributes.get("class", "") + " " + attributes.get("id", "")).split():
-        words = set(_names(name))
-        if words & _WRAPPER_WORDS:
+        words = {w for w in _names(name) if not w.isdigit()}
+        if words & _WRAPPER_WORDS and not words <= _FURNITURE:
             continue
-        if words & _DROP_WORDS:
-            return True, not words & _FIRM_WORDS
-        if words & {"header", "head"} and not inside and not words & _KEEP_WORDS:
-            return True, True
-    return False, False
+        if words & _DROP_WORDS and not words & _WRAPPER_FIRST:
+            if words <= _FURNITURE:
+                return True, not words & _FIRM_WORDS, False
+            guess = True
+        elif words & {"header", "head"} and not inside and not words & _KEEP_WORDS:
+            return True, True, False
+    return False, False, guess
+
+
+def _lowered(page: str) -> str:
+    """The page with A-Z in small letters, all places as they were."""
+    return page.translate(_LOWER)
 
 
-def read(page: str) -> tuple[list[_Node], list[tuple[_Node, str]]]:
-    """The page's nodes in order, and its blocks of text outside dropped nodes, each with its node."""
+def read(page: str) -> tuple[list[_Node], list[tuple[_Node, str, float]]]:
+    """The page's nodes in order, and its blocks of text outside dropped nodes, each with its node and its share of links."""
     root = _Node("html", "", None, False)
     nodes, stack, blocks, buffer = [root], [root], [], []
     link_depth = 0
     at = 0
+    small = None
 
     def say(raw: str) -> None:
         if raw and not stack[-1].drop:
@@ -131,21 +169,33 @@ def read(page: str) -> tuple[list[_Node], list[tuple[_Node, str]]]:
             share = min(1.0, linked / max(1, len(joined)))
             node.text += len(text)
             node.links += int(len(text) * share)
-            blocks.append((node, text))
+            blocks.append((node, text, share))
         buffer = []
 
+    closers: dict[str, int] = {}
     for m in _TOKEN.finditer(page):
+        if m.start() < at:
+            continue  # within an element that is left out
         if m.start() > at:
             say(page[at : m.start()])
         at = m.end()
         tag = m[3]
         if tag is None:
-            if m[0].startswith("<![CDATA["):
-                say(m[0][9:-3])
-            elif m[1]:
+            if m[1]:
                 say(" ")
             continue
         tag = tag.lower()
+        if tag in _SILENT:
+            if not m[2] and closers.get(tag, 0) >= 0:
+                small = small or _lowered(page)
+                closers[tag] = small.find(f"</{tag}", at)
+                if closers[tag] >= 0:
+                    at = page.find(">", closers[tag]) + 1 or len(page)
+            say(" ")
+            continue
+        if tag in _FALLBACK:
+            say(" ")
+            continue
         if tag in _VOID:
             if tag in ("br", "hr", "wbr", "img"):
                 if tag == "hr":
@@ -188,15 +238,17 @@ def read(page: str) -> tuple[list[_Node], list[tuple[_Node, str]]]:
         raw = m[4] or ""
         attributes = _attributes(raw)
         inside = any(n.tag in ("article", "main") for n in stack)
-        drop, soft = _dropped(tag, attributes, raw, inside)
+        drop, soft, guess = _dropped(tag, attributes, raw, inside)
         if tag in ("h1", "main") and not drop and parent.drop and not any(n.drop and not n.soft for n in stack):
             for n in stack:  # what holds the headline is the page after all
                 n.drop = n.soft = False
         name = tag
         if "class" in attributes:
             name += "." + ".".join(sorted(_DIGITS.sub("#", attributes["class"].lower()).split()))
-        path = parent.path if tag == "html" or len(parent.path) > LONGEST_PATH else f"{parent.path}/{name}"
-        node = _Node(tag, path, parent, drop or parent.drop, soft if drop and not parent.drop else not drop and parent.soft)
+        path = parent.path if tag == "html" else f"{parent.path}/{name}"
+        if len(path) > LONGEST_PATH:
+            path = f"~{xxhash.xxh64_hexdigest(path.encode('utf-8', 'surrogatepass'))}"
+        node = _Node(tag, path, parent, drop or parent.drop, soft if drop and not parent.drop else not drop and parent.soft, guess)
         if node.drop and not parent.drop and tag not in _BLOCK:
             say(" ")
         if not m[0].endswith("/>") or tag in _BLOCK:
@@ -207,9 +259,23 @@ def read(page: str) -> tuple[list[_Node], list[tuple[_Node, str]]]:
         cut = rest.rfind("<")
         say(rest if cut < 0 or not re.match(r"</?[a-zA-Z!]", rest[cut:]) else rest[:cut])
     flush()
+    if any(n.guess for n in nodes):
+        blocks = _without_link_lists(nodes, blocks)
     return nodes, blocks
 
 
+def _without_link_lists(nodes: list[_Node], blocks: list) -> list:
+    """Drops the parts whose names leave it open and that are mostly links."""
+    text, links = {id(n): n.text for n in nodes}, {id(n): n.links for n in nodes}
+    for n in reversed(nodes):
+        if n.parent is not None:
+            text[id(n.parent)] += text[id(n)]
+            links[id(n.parent)] += links[id(n)]
+    for n in nodes:
+        n.drop = n.drop or n.parent is not None and n.parent.drop or n.guess and links[id(n)] > LINKED * text[id(n)]
+    return [b for b in blocks if not b[0].drop]
+
+
 _SECTIONING = frozenset("div article section main aside nav header footer body td th table form blockquote figure fieldset details".split())
 _IMPLIED = {
     "li": [(frozenset(["li"]), frozenset(["ul", "ol", "menu"]) | _SECTIONING - {"div"})],
@@ -235,37 +301,32 @@ def _scores(nodes: list[_Node]) -> dict[int, float]:
 
 
 def choose(nodes: list[_Node]) -> tuple[_Node | None, dict[int, float]]:
-    """The smallest container with nearly all of the best text, and all scores."""
+    """The page's main or article if there is one such, else the smallest container with all of the text; and all scores."""
     total = _scores(nodes)
     at = nodes[0]
-    best = total[id(at)]
-    if best <= 0:
+    if total[id(at)] <= 0:
         return None, total
+    for tag, share in (("main", 0.5), ("article", ALONE)):
+        own = [n for n in nodes if n.tag == tag and not n.drop and total[id(n)] > 0 and not _within(n.parent, tag)]
+        own = [n for n in own if _within(n, at)]
+        if len(own) == 1 and total[id(own[0])] >= share * total[id(at)]:
+            at = own[0]
     children: dict[int, list[_Node]] = {}
     for n in nodes[1:]:
         if not n.drop:
             children.setdefault(id(n.parent), []).append(n)
-    chosen = at
-    while True:
+    while at.tag != "article":
         inner = max(children.get(id(at), []), key=lambda n: total[id(n)], default=None)
-        if inner is None or total[id(inner)] < CHOOSE * best or inner.tag not in _CONTAINER:
-            articles = [n for n in children.get(id(at), []) if n.tag in ("article", "main") and total[id(n)] >= 0.5 * best]
-            if len(articles) == 1:
-                at = chosen = articles[0]
-                best = total[id(at)]
-                continue
-            return chosen, total
-        at = chosen = inner
-        if at.tag in ("article", "main"):
-            best = total[id(at)]
-            inner_articles = [n for n in children.get(id(at), []) if n.tag == "article" and total[id(n)] >= CHOOSE * best]
-            if at.tag == "article" or not inner_articles:
-                return chosen, total
-
-
-def _within(node: _Node, top: _Node) -> bool:
+        if inner is None or total[id(inner)] < total[id(at)] - 1e-6 or inner.tag not in _CONTAINER:
+            break
+        at = inner
+    return at, total
+
+
+def _within(node: _Node | None, top) -> bool:
+    """Whether a node is top, or below it; top is a node or the name of a tag."""
     while node is not None:
-        if node is top:
+        if node is top or node.tag == top:
             return True
         node = node.parent
     return False
@@ -281,19 +342,25 @@ def vote(page: str | None) -> tuple[str, float]:
 
 
 def extract(page: str | None, path: str | None) -> str:
-    """The page's main text, by its host's path if that holds enough of it."""
+    """The page's main text, by its host's path where that holds enough of it."""
     if not page:
         return ""
     nodes, blocks = read(page)
     own, total = choose(nodes)
     if own is None:
         return ""
-    top = [own]
+    certain = []
     if path and path != own.path:
         there = [n for n in nodes if n.path == path and not n.drop]
         if there and sum(total[id(n)] for n in there) >= USE * total[id(own)]:
-            top = there
-    return "\n".join(text for node, text in blocks if any(_within(node, t) for t in top))
+            certain = there
+    wanted = [any(_within(node, t) for t in certain) or _within(node, own) and not (certain and share > LINKED) for node, _, share in blocks]
+    if own.tag in ("main", "article") and True in wanted and not any(w and _within(node, "h1") for w, (node, *_) in zip(wanted, blocks)):
+        first = wanted.index(True)
+        before = [k for k in range(first) if _within(blocks[k][0], "h1")]
+        for k in range(before[-1] if before else first, first):
+            wanted[k] = blocks[k][2] <= LINKED
+    return "\n".join(text for w, (_, text, _) in zip(wanted, blocks) if w)
 
 
 def _votes(batches):
@@ -332,7 +399,8 @@ def extract_pages(pages: DataFrame, id_col="page_id", url="url", html="html") ->
         F.col(f"`{id_col}`").cast("long").alias("page_id"), F.col(f"`{url}`").alias("url"), F.col(f"`{html}`").alias("html"),
         F.coalesce(host, F.lit("")).alias("host"),
     )
-    joined = rows.join(broadcast_if_small(paths, paths.count(), BROADCAST_HOSTS), "host", "left")
+    size = paths.agg(F.sum(F.length("host") + F.length("path"))).first()[0] or 0
+    joined = rows.join(broadcast_if_small(paths, size, BROADCAST_CHARS), "host", "left")
     return joined.select("page_id", "url", "html", "path").mapInArrow(
         _texts, "page_id long, url string, text string, n_chars long"
     )

@@ -54,6 +54,99 @@ def test_html_uses_the_host_path():
     assert html_extract.extract(deep, None) == "text"
 
 
+@pytest.mark.parametrize(
+    "html, text",
+    [
+        ("<body><h1>Title here</h1><p>Lead paragraph outside.</p><div class=text><p>Body one.</p><p>two</p></div></body>", "Title here\nLead paragraph outside.\nBody one.\ntwo"),
+        ("<div class=hd><h2>Headline</h2></div><div class=text><p>Body one.</p></div>", "Headline\nBody one."),
+        ("<h1>T</h1><p>lead</p><article><p>body body body body body</p></article>", "T\nlead\nbody body body body body"),
+        ("<h1>Site</h1><article><h1>T</h1><p>body body body body body body body</p></article>", "T\nbody body body body body body body"),
+        ("<article><p>six words here</p></article><article><p>and as many there</p></article>", "six words here\nand as many there"),
+        ("<article><p>one two three</p></article><div><p>four five six</p></div>", "one two three\nfour five six"),
+        ("<article>so <math><mi>x</mi><mo>=</mo><mn>2</mn><annotation>x=2</annotation></math> holds</article>", "so x=2 holds"),
+        ("<div class='social-history'><p>Old news of it</p></div><div class='social-links'><a href=x>share</a></div><p>end</p>", "Old news of it\nend"),
+        ("<p>keep</p><div class='comment-guide'><a href=1>one</a> <a href=2>two</a></div>", "keep"),
+        ("<p>keep</p><ul class='related-posts'><li>no</li></ul><div id=cookie-notice>no</div><div class=cookieNotice>no</div>", "keep"),
+        ("<title>abc <p>text after</p>", "text after"),
+        ("<p>a<![CDATA[x]]>b</p><p>c</p>", "ab\nc"),
+        ("<p>a<object>o</object><video>v</video><noscript>no</noscript><svg><text>no</text></svg>z</p>", "a o v z"),
+        ("<p>a<textarea>never closed</p><p>b</p>", "a never closed\nb"),
+        ("<TEMPLATE><p>no</p></Template><p>yes &lt;&amp;&#x41;&nbsp;z</p>", "yes <&A z"),
+        ("<select><option>no</select><p>yes</p><script>if (a<b) '</p>'", "yes"),
+        ("<p>" + "<svg>" * 20_000 + "end", "end"),
+    ],
+)
+def test_html_keeps_the_whole_article(html, text):
+    assert html_extract.extract(html, None) == text
+    assert html_extract.extract(html, "/body/div.other") == text
+
+
+def test_html_host_path_leaves_no_text_out():
+    main, more = "<p>" + "main words " * 30 + "</p>", "<p>" + "more words " * 20 + "</p>"
+    page_ = f"<div class=page><div class=text>{main}<ul><li><a href=x>a link in it</a></ul></div><div class=more>{more}<ul><li><a href=y>a link beside</a></ul></div></div>"
+    text = html_extract.extract(page_, "/div.page/div.text")
+    assert text.split("\n") == [("main words " * 30).strip(), "a link in it", ("more words " * 20).strip()]
+
+
+def test_html_paths_of_deep_nodes_differ():
+    deep = "".join(f"<div class='c{chr(97 + k % 26)}x{'y' * 20}'>" for k in range(80))
+    nodes, _ = html_extract.read(deep + "<div class=one><p>a</p></div><div class=two><p>b</p></div>")
+    paths = [n.path for n in nodes if n.tag == "div"]
+    assert len(set(paths)) == len(paths) and max(map(len, paths)) <= html_extract.LONGEST_PATH
+
+
+def kept(node):
+    """A second reading of a page made of nested (tag, attributes, children): its blocks outside parts that are marked with no."""
+    tag, attributes, children = node
+    if "no" in attributes:
+        return []
+    out, text = [], ""
+    for c in children:
+        if isinstance(c, str):
+            text += c
+        elif c[0] in ("b", "i", "span"):
+            text += "".join(c[2])
+        else:
+            out += [text, *kept(c)]
+            text = ""
+    return [" ".join(x.split()) for x in [*out, text] if x.strip()]
+
+
+def drawn(rnd, depth=0):
+    words = lambda n: " ".join(f"w{rnd.randrange(10**4)}" for _ in range(n))
+    no = [("nav", {"no": ""}), ("aside", {"no": ""}), ("footer", {"no": ""}), ("form", {"no": ""}), ("div", {"no": "", "class": "cookie-bar"}), ("div", {"no": "", "id": "comments"}),
+          ("div", {"no": "", "role": "search"}), ("section", {"no": "", "class": "related posts"}), ("ul", {"no": "", "class": "menu"}), ("div", {"no": "", "hidden": ""})]
+    children = []
+    for _ in range(rnd.randrange(2, 6)):
+        kind = rnd.random()
+        if kind < 0.4 or depth > 3:
+            children.append(("p", {}, [words(9), ("b", {}, [words(2)]), " ", words(3)]))
+        elif kind < 0.6:
+            tag, attributes = rnd.choice(no)
+            children.append((tag, attributes, [("p", {}, [words(6)])]))
+        else:
+            tag, attributes, inner = drawn(rnd, depth + 1)
+            children.append((tag, attributes, inner))
+    return rnd.choice(["div", "section", "blockquote"]), {"class": rnd.choice(["text", "body-text", "x1", "social-history", "entry"])}, children
+
+
+def written(node):
+    tag, attributes, children = node
+    shown = "".join(f' {k}="{v}"' for k, v in attributes.items() if k != "no")
+    return f"<{tag}{shown}>" + "".join(c if isinstance(c, str) else written(c) for c in children) + f"</{tag}>"
+
+
+def test_html_query_matches_a_second_reading_of_drawn_pages(spark, tmp_path):
+    rnd = random.Random(41)
+    drawings = [drawn(rnd) for _ in range(60)]
+    rows = [(k, f"https://h{k % 5}.example/{k}", "<html><body>" + written(d) + "</body></html>") for k, d in enumerate(drawings)]
+    spark.createDataFrame([*rows, (None, None, None)], "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    from quillstack.llm.queries import op1_html_extraction
+
+    got = {r["page_id"]: (r["text"], r["n_chars"]) for r in op1_html_extraction(spark, str(tmp_path)).collect()}
+    assert got == {None: ("", 0), **{k: ((t := "\n".join(kept(d))), len(t)) for k, d in enumerate(drawings)}}
+
+
 def brute(text):
     words = re.findall(r"[^\x20\x09-\x0D]+", "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or ""))
     shingles = [" ".join(words[i : i + 3]) for i in range(len(words) - 2)] or ([" ".join(words)] if words else [])
