@@ -1,20 +1,25 @@
 """Benchmark decontamination by templates: re-parameterised questions are found as well as copies.
 
 Texts become sequences of template tokens: small letters, no punctuation, and typed placeholders
-for numbers, for units after a number and for names (capitalised words within a sentence, that
-is after a small letter, digit, comma, colon or semicolon). Windows of ``window`` template tokens
-of all documents are joined by hash with those of the benchmark items. For a document and an
-item, matches whose offsets differ by less than ``band`` belong together; the item's tokens that
-such matches cover must be ``min_cover`` of all of its tokens.
+for numbers, for units after a number and for names (words with a capital and small letters within
+a sentence, that is after a small letter, digit, comma, colon or semicolon). Windows of ``window``
+template tokens of all documents are joined by hash with those of the benchmark items. Texts in
+capitals or in small letters alone show no names, so items have their windows without
+placeholders for names as well. For a document and an item, matches whose offsets differ by less
+than a band belong together; a band is a third of the item, at most ``band`` tokens, so copies side
+by side are told apart. The item's tokens that such matches cover must be ``min_cover`` of all of its
+tokens.
 
 Slots: placeholders at matched places are compared value by value. Verbatim copies keep all
 values; in a re-parameterised question each value of the item becomes one other value
 throughout. A find whose values change inconsistently in more than 1 - ``min_agree`` of its
 slots is no leak.
 
-Items with fewer template tokens than a window, and windows of placeholders only, match
-nothing. Null texts and items have no tokens. Null ids are allowed; rows that agree in id and
-text count as one document. Empty tables: no leaks.
+An item with fewer template tokens than a window is leaked by a line that has its template and
+nothing else. Windows of placeholders only match nothing, nor do items of these only. Null texts and
+items have no tokens. Null ids are allowed; rows that agree in id and text count as one document.
+Texts are read whole, however long. A column of docs with the result's name gives way to it. Empty
+tables: no leaks.
 """
 
 from __future__ import annotations
@@ -35,16 +40,18 @@ BROADCAST_FINDS = 500_000
 
 NAME, NUMBER, UNIT = "\ue000", "\ue001", "\ue002"
 UNITS = "mm|cm|m|km|g|kg|mg|t|l|ml|s|ms|h|min|km/h|mph|miles?|feet|ft|inch(?:es)?|pounds?|lbs?|hours?|minutes?|seconds?|days?|weeks?|months?|years?|euros?|dollars?|cents?|percent"
-NAME_PATTERN = "([\\p{Ll}\\p{Nd},;:]\\s)(\\p{Lu}[\\p{L}\\p{M}]*)"
+NAME_PATTERN = "([\\p{Ll}\\p{Nd},;:]\\s)(\\p{Lu}[\\p{Ll}\\p{M}][\\p{L}\\p{M}]*)"
 NUMBER_PATTERN = "([0-9]+)(?:[.,]([0-9]+))*"
 UNIT_PATTERN = f"({NUMBER}[0-9]+) ({UNITS})(?: |$)"
 _MARKS = f"{NAME}{NUMBER}{UNIT}"
 _BETWEEN = f"[^\\p{{L}}\\p{{M}}\\p{{Nd}}{_MARKS}]+"
 
 
-def marked(text: Column) -> Column:
-    """The text in small letters, a marker before each slot value."""
-    named = F.regexp_replace(F.coalesce(text, F.lit("")), NAME_PATTERN, f"$1{NAME}$2")
+def marked(text: Column, names: bool = True) -> Column:
+    """The text in small letters, a marker before each slot value; without names, numbers and units only."""
+    named = F.coalesce(text, F.lit(""))
+    if names:
+        named = F.regexp_replace(named, NAME_PATTERN, f"$1{NAME}$2")
     numbered = F.regexp_replace(F.lower(named), NUMBER_PATTERN, f" {NUMBER}$1$2 ")
     return F.regexp_replace(F.replace(numbered, F.lit("  "), F.lit(" ")), UNIT_PATTERN, f"$1 {UNIT}$2 ")
 
@@ -71,8 +78,9 @@ def window_hashes(tokens: Column, window: int) -> Column:
 
 def item_windows(items: DataFrame, id_col="item_id", text="text", window: int = WINDOW) -> DataFrame:
     """(h, item, at, size, slots) of the items; slots holds the window's marked tokens if it has any slot."""
-    m = marked(F.col(f"`{text}`"))
-    rows = items.select(F.col(f"`{id_col}`").alias("item"), m.alias("m")).distinct()
+    whole = F.col(f"`{text}`")
+    each = F.explode(F.array_distinct(F.array(marked(whole), marked(whole, False))))
+    rows = items.select(F.col(f"`{id_col}`").alias("item"), each.alias("m")).distinct()
     tokens = rows.select("item", tokens_of(F.col("m")).alias("m"), tokens_of(template(F.col("m"))).alias("t"))
     out = tokens.select("item", "m", F.size("t").alias("size"), F.posexplode(window_hashes(F.col("t"), window)).alias("at", "h"))
     own = F.slice("m", F.col("at") + 1, window)
@@ -80,7 +88,31 @@ def item_windows(items: DataFrame, id_col="item_id", text="text", window: int =
     return out.where(literal).select(
         "h", "item", "at", "size",
         F.when(F.exists(own, lambda x: x.rlike(f"^[{_MARKS}]")), own).alias("slots"),
-    )
+    ).distinct()
+
+
+def short_leaks(docs: DataFrame, items: DataFrame, id_col: str, text: str, item_id: str, item_text: str, window: int) -> DataFrame | None:
+    """(doc, same, item, cover, agree) of items shorter than a window; None if there are none."""
+    def templates(column):
+        return F.array_distinct(F.transform(F.array(marked(column), marked(column, False)), lambda m: tokens_of(template(m))))
+
+    def told(t):
+        return (F.size(t) > 0) & (F.size(t) < window) & F.exists(t, lambda x: ~x.rlike(f"^[{_MARKS}]"))
+
+    own = items.select(F.col(f"`{item_id}`").alias("item"), F.explode(templates(F.col(f"`{item_text}`"))).alias("t")).where(told(F.col("t")))
+    own = checkpoint(own.distinct())
+    if own.isEmpty():
+        return None
+    whole = F.col(f"`{text}`")
+    rows = docs.select(F.col(f"`{id_col}`").alias("doc"), F.xxhash64(whole).alias("same"), F.split(whole, "\n").alias("lines"))
+    lines = rows.select("doc", "same", F.explode("lines").alias("line")).where(F.length("line") < 64 * window)
+    found = lines.select("doc", "same", F.explode(templates(F.col("line"))).alias("t")).where(told(F.col("t"))).join(own, "t")
+    return found.select("doc", "same", "item", F.lit(1.0).alias("cover"), F.lit(1.0).alias("agree"))
+
+
+def band_of(size: Column, most: int = BAND) -> Column:
+    """How far the offsets of a find's matches may lie apart, by the item's size in tokens."""
+    return F.greatest(F.least(F.floor(size / 3), F.lit(most)), F.lit(1))
 
 
 def find_leaks(docs: DataFrame, items: DataFrame, id_col="doc_id", text="text", item_id="item_id", item_text="text",
@@ -96,7 +128,7 @@ def find_leaks(docs: DataFrame, items: DataFrame, id_col="doc_id", text="text",
     rows = docs.select(*me, window_hashes(tokens, window).alias("w"))
     seen = rows.select("doc", "same", F.posexplode_outer("w").alias("pos", "h")).where("pos IS NOT NULL")
     hits = seen.join(broadcast_if_small(index, n, BROADCAST_WINDOWS), "h")
-    offset = F.floor((F.col("pos") - F.col("at")) / band)
+    offset = F.floor((F.col("pos") - F.col("at")) / band_of(F.col("size"), band))
     hits = checkpoint(
         hits.select("doc", "same", "pos", "item", "at", "size", "slots", F.explode(F.array(offset, offset - 1)).alias("band"))
     )
@@ -131,8 +163,10 @@ def find_leaks(docs: DataFrame, items: DataFrame, id_col="doc_id", text="text",
     joined = covered.join(
         agree, on("doc", "a_doc") & (F.col("same") == F.col("a_same")) & on("item", "a_item") & (F.col("band") == F.col("a_band")), "left"
     ).withColumn("agree", F.coalesce(F.col("agree"), F.lit(1.0)))
+    leaks = joined.where(F.col("agree") >= min_agree).select("doc", "same", "item", "cover", "agree")
+    short = short_leaks(docs, items, id_col, text, item_id, item_text, window)
     return (
-        joined.where(F.col("agree") >= min_agree)
+        (leaks if short is None else leaks.unionByName(short))
         .groupBy("doc", "same", "item")
         .agg(F.max("cover").alias("cover"), F.max("agree").alias("agree"))
     )

@@ -60,28 +60,33 @@ FROM x LEFT JOIN rest USING (r) LEFT JOIN cut USING (r)
 """
 
 
-def _marked(text: str) -> str:
+def _marked(text: str, names: bool = True) -> str:
     d = decontamination
-    named = f"regexp_replace(coalesce({text}, ''), '{d.NAME_PATTERN}', '\\1{d.NAME}\\2', 'g')"
+    named = f"coalesce({text}, '')"
+    if names:
+        named = f"regexp_replace({named}, '{d.NAME_PATTERN}', '\\1{d.NAME}\\2', 'g')"
     numbered = f"regexp_replace(lower({named}), '{d.NUMBER_PATTERN}', ' {d.NUMBER}\\1\\2 ', 'g')"
     return f"regexp_replace(replace({numbered}, '  ', ' '), '{d.UNIT_PATTERN}', '\\1 {d.UNIT}\\2 ', 'g')"
 
 
-def _windows(table: str, key: str) -> str:
+def _windows(table: str, key: str, names: bool = True) -> str:
     d, n = decontamination, decontamination.WINDOW
     token = f"[\\p{{L}}\\p{{M}}\\p{{Nd}}{d.NAME}{d.NUMBER}{d.UNIT}]+"
     plain = f"regexp_replace(m, '([{d.NAME}{d.NUMBER}{d.UNIT}])[\\p{{L}}\\p{{M}}\\p{{Nd}}]*', '\\1', 'g')"
     return f"""(SELECT {key}, i - 1 AS spot, len(t) AS size, array_to_string(t[i:i + {n - 1}], ' ') AS g, o[i:i + {n - 1}] AS own
       FROM (SELECT {key}, regexp_extract_all(m, '{token}') AS o, regexp_extract_all({plain}, '{token}') AS t
-            FROM (SELECT {key}, {_marked("text")} AS m FROM {table})) s, unnest(range(1, len(t) - {n - 2})) AS u(i))"""
+            FROM (SELECT {key}, {_marked("text", names)} AS m FROM {table})) s, unnest(range(1, len(t) - {n - 2})) AS u(i))"""
 
 
 _SLOT = f"^[{decontamination.NAME}{decontamination.NUMBER}{decontamination.UNIT}]"
 
+_BAND = f"greatest(least(i.size // 3, {decontamination.BAND}), 1)::DOUBLE"
+
 OP7 = f"""
-WITH h AS (SELECT doc_id, item_id, i.size, d.spot AS pos, i.spot AS spot, d.own AS own, i.own AS want,
-    unnest([floor((d.spot - i.spot) / {decontamination.BAND}.0), floor((d.spot - i.spot) / {decontamination.BAND}.0) - 1]) AS band
-  FROM {_windows("documents", "doc_id")} d JOIN {_windows("benchmark", "item_id")} i USING (g)
+WITH i AS (FROM {_windows("benchmark", "item_id")} UNION FROM {_windows("benchmark", "item_id", False)}),
+h AS (SELECT doc_id, item_id, i.size, d.spot AS pos, i.spot AS spot, d.own AS own, i.own AS want,
+    unnest([floor((d.spot - i.spot) / {_BAND}), floor((d.spot - i.spot) / {_BAND}) - 1]) AS band
+  FROM {_windows("documents", "doc_id")} d JOIN i USING (g)
   WHERE len(list_filter(i.own, lambda w: NOT regexp_matches(w, '{_SLOT}'))) > 0),
 c AS (SELECT doc_id, item_id, band FROM (SELECT DISTINCT doc_id, item_id, band, size, unnest(range(spot, spot + {decontamination.WINDOW})) AS token FROM h)
   GROUP BY doc_id, item_id, band, size HAVING count(*) >= {decontamination.MIN_COVER} * size),

@@ -322,6 +322,30 @@ def test_decontamination_slots_must_agree(spark):
     assert got == {1: True, 2: False}
 
 
+def leaks_of(spark, items, texts):
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = decontamination.decontaminate(docs, spark.createDataFrame(items, "item_id long, text string")).collect()
+    return {r["doc_id"]: r["leaks"]["items"] or [] for r in found}
+
+
+def test_decontamination_in_capitals_and_side_by_side(spark):
+    tom = "Tom buys 4 apples, then Tom eats 2 of them. How many apples does Tom have?"
+    short = "Each of the 3 boxes weighs 12 kg when full, says Mia."
+    items = [(1, tom), (2, short), (3, "Who wrote Faust?"), (4, "7 + 5 = 12")]
+    changed = [short.replace("3", "5").replace("12", "40").replace("Mia", "Leo"), short.replace("3", "8").replace("12", "9").replace("Mia", "Ann")]
+    texts = [tom.upper(), tom.lower(), tom.upper().replace("4", "9").replace("2", "3"), " ".join(changed), changed[0] + " " + short, "Intro\nwho wrote Faust\nend",
+             "I asked who wrote Faust and why", "7 + 5 = 12", "x" * 300_000 + " " + tom + " y" * 50_000, "Buys apples then eats many of them, Tom and Tim do have four"]
+    got = leaks_of(spark, items, texts)
+    assert got == {0: [1], 1: [1], 2: [1], 3: [2], 4: [2], 5: [3], 6: [], 7: [], 8: [1], 9: []}
+
+
+def test_decontamination_finds_the_benchmark_in_any_case(spark):
+    items = [(r["item_id"], r["text"]) for r in spark.read.parquet("/root/testdata/sf0.01/benchmark.parquet").collect()]
+    for change in (str.upper, str.lower, str):
+        got = leaks_of(spark, items, [change(t) for _, t in items])
+        assert all(items[k][0] in x for k, x in got.items())
+
+
 URLS = [
     "http://A.Example.com/en/x?y=1#z", "https://www.example.com/en/", "http://x.net/es/1", "http://net/fr/", "http://com.org/a", "http://x.com",
     "http://x.com?q=/en/", "no scheme/en/", None, "", "ftp://h.org/a://b.com/c", "http://www.example.com/de/", "http://notexample.com/en/q",
