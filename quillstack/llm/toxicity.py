@@ -1,17 +1,21 @@
 """Toxicity: gradient-boosted trees over dense features, with isotonic calibration.
 
-From a bounded sample of labelled documents (``max_train``, those with the smallest hashes of
-their id) Spark counts in how many toxic and other documents each word occurs. Words that are
-much more common in toxic ones make the lexicon, at most ``MAX_LEXICON`` of them; starts of six
-letters that many such words share make the stems. Features of a whole text are the densities of
+Over all labelled documents but those for calibration Spark counts in how many toxic and other ones
+each word occurs. Words that are much more common in toxic ones make the lexicon; starts of six
+letters that many such words share make the stems. A word must be in ``LEAST_TOXIC`` toxic
+documents and in ``LEAST_SHARE`` of them, so there are at most as many as toxic documents have
+different words on average, divided by that share. Features of a whole text are the densities of
 lexicon and stems, the nearness of hits to second-person pronouns, capitals, punctuation and
-obfuscation (text_features). Trees learn from three quarters of the sample, and isotonic regression
-maps their rates to calibrated scores on the other quarter; the lexicon too is made from the
-first part only.
-
-Null texts and texts without words have zero features and are scored like any other. Labels of
-ids that occur more than once are averaged and rounded. Without labels of both kinds every score
-is the share of label 1, or 0 without labels. Repeated rows get equal scores.
+obfuscation (text_features). Trees learn from a bounded sample of labelled documents
+(``max_train``, those with the smallest hashes of their id),
+and isotonic regression maps their rates to calibrated scores on a quarter of it, of which neither
+trees nor lexicon know.
+
+Null texts and texts without words have zero features and are scored like any other; very long
+texts are read whole. Labels of ids that occur more than once are averaged and rounded, and all
+rows with the id count; null ids are never labelled. Without labels of both kinds every score is
+the share of label 1, or 0 without labels. Repeated rows get equal scores. Further columns are not
+looked at. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -27,18 +31,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import text_features
-from .common import checkpoint, words
+from .common import broadcast_if_small, checkpoint, words
 
 MAX_TRAIN = 12_000
-MAX_LEXICON = 4_000
 TREES, DEPTH, STEP = 15, 4, 0.25
-#: A word is in the lexicon if it is in this many toxic documents at least and this many times likelier there.
-LEAST_TOXIC, LEAST_RATIO = 3, 8.0
+#: A word is in the lexicon if it is in so many toxic documents and this share of them at least, and so many times likelier there.
+LEAST_TOXIC, LEAST_SHARE, LEAST_RATIO = 3, 0.002, 8.0
+#: Labels are broadcast up to so many rows of about 20 bytes, and joined by a shuffle beyond.
+BROADCAST_LABELS = 500_000
 
 
 def _tokens(text):
     bare = F.transform(words(text), lambda w: F.lower(F.btrim(w, F.lit(text_features._EDGE))))
-    return F.array_distinct(F.filter(bare, lambda w: (F.length(w) > 1) & (F.length(w) <= 40)))
+    return F.array_distinct(F.filter(bare, lambda w: F.length(w) > 1))
 
 
 def lexicon(known: DataFrame) -> tuple[dict[str, float], dict[str, float]]:
@@ -52,8 +57,9 @@ def lexicon(known: DataFrame) -> tuple[dict[str, float], dict[str, float]]:
             F.sum("label").alias("t"), F.sum(1 - F.col("label")).alias("o")
         )
         ratio = ((F.col("t") + 0.5) / (toxic + 1.0)) / ((F.col("o") + 0.5) / (n - toxic + 1.0))
-        seen = seen.withColumn("ratio", ratio).where((F.col("t") >= LEAST_TOXIC) & (F.col("ratio") >= LEAST_RATIO))
-        return {r["w"]: math.log(r["ratio"]) for r in seen.orderBy(F.desc("t"), "w").limit(MAX_LEXICON).select("w", "ratio").collect()}
+        often = F.col("t") >= max(LEAST_TOXIC, LEAST_SHARE * toxic)
+        seen = seen.withColumn("ratio", ratio).where(often & (F.col("ratio") >= LEAST_RATIO))
+        return {r["w"]: math.log(r["ratio"]) for r in seen.select("w", "ratio").collect()}
 
     stems = F.array_distinct(F.transform(F.filter(_tokens(F.col("text")), lambda w: F.length(w) > 6), lambda w: F.left(w, F.lit(6))))
     return ranked(_tokens(F.col("text"))), ranked(stems)
@@ -93,17 +99,17 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, id_col="doc_id", text="te
     """(id, score) for every row of docs. labels: (id, label 0 or 1) of the rows to learn from."""
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text}`").alias("text"))
     given = labels.select(F.col(f"`{id_col}`").alias("of"), F.col(f"`{label}`").alias("label")).where("label IS NOT NULL AND of IS NOT NULL")
-    given = given.groupBy("of").agg(F.round(F.avg("label")).cast("int").alias("label"))
-    sample = given.orderBy(F.xxhash64("of"), "of").limit(max_train)
-    known = checkpoint(rows.join(F.broadcast(sample), F.col("id") == F.col("of")).select("id", "text", "label"))
+    given = checkpoint(given.groupBy("of").agg(F.round(F.avg("label")).cast("int").alias("label")))
     held = F.pmod(F.xxhash64("id", F.lit("calibrate")), F.lit(4)) == 0
-    first, second = known.where(~held), known.where(held)
+    labelled = rows.join(broadcast_if_small(given, given.count(), BROADCAST_LABELS), F.col("id") == F.col("of")).select("id", "text", "label")
+    chosen = given.orderBy(F.xxhash64("of"), "of").limit(max_train)
+    known = checkpoint(rows.join(F.broadcast(chosen), F.col("id") == F.col("of")).select("id", "text", "label").dropDuplicates(["id"]))
     counts = {(r["held"], r["label"]): r["n"] for r in known.groupBy(held.alias("held"), "label").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not counts.get((False, 0)) or not counts.get((False, 1)):
         n = sum(counts.values())
         share = sum(v for k, v in counts.items() if k[1] == 1) / n if n else 0.0
         return rows.select(F.col("id").alias(id_col), F.lit(share).alias("score"))
-    words_, stems = lexicon(first.select("text", "label"))
+    words_, stems = lexicon(labelled.where(~held).select("text", "label"))
     vector = array_to_vector("x").alias("features")
     table = checkpoint(featured(known.select("label", held.alias("held"), "text"), words_, stems))
     table = table.select("held", F.col("label").cast("double").alias("label"), vector)
