@@ -1,16 +1,17 @@
 """Language ID, hierarchical: first the family, then one-versus-one linear support vector machines in it.
 
 Texts become square roots of the shares of hashed byte bigrams and trigrams. Linear support
-vector machines are trained by Spark on a bounded sample of labelled documents (``max_train``,
-those with the smallest hashes): one for each family against the rest, and within a family one
+vector machines are trained by Spark on a bounded sample of labelled texts (``max_train`` of each
+language, those with the smallest hashes, equal texts once): one for each family against the rest, and within a family one
 for each pair of languages. A text goes to the family with the largest margin; there the
 language with the most pairwise wins is taken, ties going to the larger sum of margins and then
 to the first name. The score is the logistic function of the smallest margin on the way.
 
 Families come from ``FAMILIES``; languages it does not name form families of their own. Null
-texts and texts without letters are ``und`` with score 0. A single learned language is given to
+texts and texts without letters are ``und`` with score 0; very long texts are read whole. A single learned language is given to
 every other text with score 1; without labels all texts are ``und``. Null labels teach nothing.
-Repeated rows get equal results. An empty table gives an empty result.
+Ids are only handed on, so null and repeated ones do no harm. Repeated rows get equal results.
+Further columns are not looked at. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -24,10 +25,10 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpoint
+from .common import checkpoint, stratified
 from .text_features import ngrams
 
-MAX_TRAIN = 4_000
+MAX_TRAIN = 1_500
 STEPS, REGULARISATION = 25, 1e-3
 UNKNOWN = "und"
 #: Fixed table: families of languages by their codes.
@@ -96,11 +97,12 @@ class Machines:
         return lang, 1.0 if margin == np.inf else float(1 / (1 + np.exp(-np.clip(4 * margin, -40, 40))))
 
 
-def train(docs: DataFrame, text="text", lang="lang", id_col="doc_id", max_train: int = MAX_TRAIN) -> Machines:
+def train(docs: DataFrame, text="text", lang="lang", max_train: int = MAX_TRAIN) -> Machines:
     """Machines from the rows of docs with a language."""
-    rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text}`").alias("text"), F.col(f"`{lang}`").alias("lang")).where("lang IS NOT NULL")
-    chosen = rows.select("id", "lang").distinct().orderBy(F.xxhash64("id"), "id").limit(max_train).select(F.col("id").alias("of")).distinct()
-    sample = rows.join(F.broadcast(chosen), F.col("id").eqNullSafe(F.col("of"))).select("lang", "text")
+    whole = F.col(f"`{text}`")
+    rows = docs.select(F.xxhash64(whole).alias("same"), whole.alias("text"), F.col(f"`{lang}`").alias("lang")).where("lang IS NOT NULL")
+    chosen = stratified(rows.select("lang", "same"), "lang", "same", max_train)
+    sample = rows.join(F.broadcast(chosen), ["lang", "same"]).dropDuplicates(["lang", "same"]).select("lang", "text")
     table = checkpoint(sample.mapInArrow(_vectors, "lang string, x array<float>").where("x IS NOT NULL"))
     langs = sorted(r["lang"] for r in table.select("lang").distinct().collect())
     table = table.select("lang", array_to_vector(F.col("x").cast("array<double>")).alias("features"))
