@@ -397,4 +397,31 @@ def test_url_suffix_statistics_are_of_all_labelled_rows(spark, monkeypatch):
     monkeypatch.setattr(url_filter, "featured", lambda urls, statistics, *a: seen.append(statistics) or real(urls, statistics, *a))
     rows = [(f"http://h{k % 5}.org/p{k}", f"h{k % 5}.org", f"/p{k}", "block" if k % 2 else "allow") for k in range(200)]
     url_filter.train(spark.createDataFrame(rows, "url string, host string, path string, label string"), max_train=40)
-    assert {r["suffix"]: r["suffix_seen"] for r in seen[0].collect()} == {f"h{k}.org": 40 for k in range(5)}
+    got = seen[0].collect()
+    assert {r["suffix"]: r["s_seen"] for r in got if r["fold"] is None} == {f"h{k}.org": 40 for k in range(5)}
+    # a host is in one fold, whose rows see nothing of it
+    assert sorted((r["suffix"], r["s_seen"]) for r in got if r["fold"] is not None) == sorted((f"h{k}.org", 0 if f == own else 40) for k, own in enumerate(
+        r["f"] for r in spark.createDataFrame([(f"h{k}.org",) for k in range(5)], "h string").select(url_filter.fold(F.col("h")).alias("f")).collect()) for f in range(url_filter.FOLDS))
+
+
+def test_url_model_is_measured_on_hosts_it_did_not_learn_from(spark):
+    rnd = random.Random(6)
+    good = [f"https://news{k % 40}.site{k % 40}.org/world/story-{k}" for k in range(300)]
+    bad = [f"http://win{k % 40}.cash{k % 40}.org/{rnd.randrange(10**9)}?a={k}&b={rnd.random()}" for k in range(300)]
+    labelled = spark.createDataFrame([(u, "allow") for u in good] + [(u, "block") for u in bad * 3], "url string, label string")
+    r = url_filter.held_out(labelled).first()
+    assert r["blocks"] > 100 and r["found"] >= 0.95 * r["blocks"] and r["wrong"] <= 0.05 * (r["n"] - r["blocks"])
+    # a URL that is labelled a thousand times is one row of the sample
+    hot = labelled.unionByName(labelled.limit(1).select(F.explode(F.array_repeat("url", 5000)).alias("url"), "label"))
+    apply = url_filter.train(hot.select("url", *[c.alias(n) for c, n in zip(url_filter.host_and_path(F.col("url")), ("host", "path"))], "label"), max_train=500)
+    scored = apply(labelled.select("url", *[c.alias(n) for c, n in zip(url_filter.host_and_path(F.col("url")), ("host", "path"))], "label"))
+    assert scored.where((F.col("blocked") > 0.5) != (F.col("label") == "block")).count() < 20
+
+
+def test_url_rules_of_hot_and_malformed_urls(spark):
+    long = "http://a.example.com/en/" + "x" * 200_000
+    rows = [(k, "http://x.net/es/1") for k in range(1500)] + [(k, None) for k in range(1500)] + [(None, "no scheme")] * 3 + [(1, long), (2, "http://y.org/a")]
+    pages = spark.createDataFrame([(*r, "x", "y") for r in rows], "page_id long, url string, rule string, verdict string").repartition(5)
+    rules = spark.createDataFrame(list(queries.URL_RULES), "rule string, label string")
+    got = Counter((r["url"], r["rule"], r["verdict"] if r["rule"] else "") for r in url_filter.judge_urls(pages, rules).collect())
+    assert got == {("http://x.net/es/1", "net/es/", "block"): 1500, (None, None, ""): 1500, ("no scheme", None, ""): 3, (long, "example.com/en/", "block"): 1, ("http://y.org/a", None, ""): 1}
