@@ -141,6 +141,36 @@ def cell_text(fragment: pd.Series) -> pd.Series:
     return fragment.map(lambda x: None if x is None else "".join(_read(_Contents(), x).out))
 
 
+class _Own(HTMLParser):
+    """The texts directly within the outermost element of a fragment."""
+
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.open, self.out = [], []
+
+    def handle_starttag(self, tag, attrs):
+        if tag not in VOID:
+            self.open.append(tag)
+
+    def handle_startendtag(self, tag, attrs):
+        pass
+
+    def handle_endtag(self, tag):
+        if tag in self.open:
+            while self.open.pop() != tag:
+                pass
+
+    def handle_data(self, data):
+        if len(self.open) == 1:
+            self.out.append(data)
+
+
+@F.pandas_udf(T.ArrayType(T.StringType()))
+def own_texts(fragment: pd.Series) -> pd.Series:
+    """The texts of a fragment's outermost element that are in no element within it, in order; none for null."""
+    return fragment.map(lambda x: [] if x is None else _read(_Own(), x).out)
+
+
 class _Tables(HTMLParser):
     """Rows of every table: (table, leaf, row, header, cells, hrefs)."""
 

@@ -293,3 +293,40 @@ def destination_name(path: Column) -> Column:
 def only_marks(text: Column) -> Column:
     """Texts of punctuation and spaces only, which a translator passes through."""
     return text.rlike("^[\\s,()=-]*$")
+
+
+#: Sources whose documents go to a collection of their own, and the collection of all others.
+COLLECTIONS = {"rsa": "ArchivesOfIndia"}
+COLLECTION = "gazetteofindia"
+
+
+def collection(source: Column) -> Column:
+    """The collection that a source's documents are published in."""
+    return F.coalesce(F.try_element_at(_map(COLLECTIONS), source), F.lit(COLLECTION))
+
+
+def plain_ampersands(text: Column) -> Column:
+    """&amp; as it was meant in an address."""
+    return F.replace(text, F.lit("&amp;"), F.lit("&"))
+
+
+def value_text(value: Column) -> Column:
+    """A metadata value (variant) as text: trimmed text, numbers and dates as they are written, '' for lists, objects and null."""
+    kind = F.schema_of_variant(value)
+    text = F.try_variant_get(value, "$", "string")
+    nested = kind.rlike("^(?:ARRAY|OBJECT|STRUCT)")
+    return F.when(value.isNull() | nested | (kind == "VOID"), "").when(kind == "STRING", F.btrim(text)).otherwise(F.coalesce(text, F.lit("")))
+
+
+def json_of(record: Column) -> Column:
+    """A record (struct, map, array or variant) as JSON: dates as yyyy-mm-dd, times by ISO 8601, nulls of a struct kept."""
+    return F.to_json(record, {"ignoreNullFields": "false", "dateFormat": "yyyy-MM-dd", "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss"})
+
+
+def source_defaults(name: Column, category: Column, authority: Column, languages: Column, prefix: Column, start: Column) -> Column:
+    """A source's record with what is left out filled in: title from the name, '' for the authority, no languages, the usual prefix."""
+    return F.struct(
+        name.alias("name"), F.coalesce(F.when(category != "", category), F.initcap(F.replace(name, F.lit("_"), F.lit(" ")))).alias("title"),
+        F.coalesce(authority, F.lit("")).alias("authority"), F.coalesce(languages, F.array().cast("array<string>")).alias("languages"),
+        F.coalesce(prefix, F.concat(F.lit("in.gazette."), name, F.lit("."))).alias("prefix"), start.cast("date").alias("start_date"),
+    )

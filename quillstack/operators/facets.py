@@ -55,6 +55,11 @@ def changed_counters(sources: DataFrame, gazettes: DataFrame) -> DataFrame:
     return new.where(~same).select(*sources.columns)
 
 
+def total_documents(sources: DataFrame) -> DataFrame:
+    """(total): the sum of the sources' counters, 0 without sources."""
+    return sources.agg(F.coalesce(F.sum("gazette_count"), F.lit(0)).alias("total"))
+
+
 def status_histogram(results: DataFrame, column: str = "status") -> DataFrame:
     return results.groupBy(column).agg(F.count(F.lit(1)).alias("n"))
 

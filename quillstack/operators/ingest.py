@@ -20,39 +20,46 @@ TEXT_LIMIT = 4_000_000
 def classify(batch: DataFrame, stored: DataFrame, catalog: DataFrame, force: bool = False) -> DataFrame:
     """batch with source, status and reason.
 
-    batch: (seq, relurl, identifier, metadata, malformed, text, html_sha256, metadata_sha256).
-    stored: (relurl, identifier, html_sha256, metadata_sha256). catalog: (name).
+    batch: (seq, relurl, identifier, metadata, malformed, text, html_sha256, metadata_sha256), seq
+    telling its rows apart. stored: (relurl, identifier, html_sha256, metadata_sha256). catalog: (name).
+    Statuses are decided on narrow rows, which say of text and metadata only whether they are there;
+    whole rows meet them in one join at the end.
     """
-    rows = batch.withColumn("clean", valid_relurl(F.col("relurl"))).withColumn("source", F.substring_index("clean", "/", 1))
+    narrow = batch.select(
+        "seq", valid_relurl(F.col("relurl")).alias("clean"), "identifier", F.col("metadata").isNotNull().alias("described"),
+        F.coalesce("malformed", F.lit(False)).alias("malformed"), (F.col("text").isNull() | (F.trim("text") == "")).alias("blank"),
+        "html_sha256", "metadata_sha256",
+    ).withColumn("source", F.substring_index("clean", "/", 1))
     known = catalog.select(F.col("name").alias("source"), F.lit(True).alias("known")).distinct()
     old = stored.select(
         F.col("relurl").alias("clean"), *[F.col(c).alias(f"old_{c}") for c in ("identifier", "html_sha256", "metadata_sha256")]
     )
-    rows = rows.join(known, "source", "left").join(old, "clean", "left")
+    rows = narrow.join(known, "source", "left").join(old, "clean", "left")
     same = F.lit(not force)
     for c in ("identifier", "html_sha256", "metadata_sha256"):
         same = same & F.col(c).eqNullSafe(F.col(f"old_{c}"))
-    blank = F.col("text").isNull() | (F.trim("text") == "")
     unusable = F.col("identifier").isNull() | (F.length("identifier") > IDENTIFIER_LIMIT)
     first = (
         F.when(F.col("clean").isNull(), "bad url").when(F.col("known").isNull(), "unknown source")
-        .when(F.col("metadata").isNull(), "no metadata").when(F.coalesce("malformed", F.lit(False)), "malformed metadata")
-        .when(blank, "no text").when(unusable, "no identifier").when(same & F.col("old_identifier").isNotNull(), "same")
+        .when(~F.col("described"), "no metadata").when(F.col("malformed"), "malformed metadata")
+        .when(F.col("blank"), "no text").when(unusable, "no identifier").when(same & F.col("old_identifier").isNotNull(), "same")
     )
-    rows = rows.withColumn("reason", first)
-    # who may have an identifier: its stored owner, else the first of the batch that could be written
-    owners = stored.select(F.col("identifier").alias("o_identifier"), F.col("relurl").alias("owner"))
-    claim = F.when(F.col("reason").isNull(), F.struct("seq", "clean"))
-    first_claim = F.min(claim).over(Window.partitionBy("identifier"))
-    rows = rows.withColumn("claimant", first_claim["clean"]).join(owners, F.col("identifier") == F.col("o_identifier"), "left")
-    taken = ~F.coalesce(F.col("owner"), F.col("claimant")).eqNullSafe(F.col("clean"))
-    reason = F.coalesce("reason", F.when(taken, "identifier taken"))
+    rows = rows.withColumn("first", first)
+    # who may have an identifier: its stored owner, else the first of the batch that could be written;
+    # only such rows take part, so rows without an identifier meet nowhere
+    asked = rows.where("first IS NULL").groupBy("identifier").agg(F.min(F.struct("seq", "clean"))["clean"].alias("claimant"))
+    owners = stored.select("identifier", F.col("relurl").alias("owner"))
+    holders = asked.join(owners, "identifier", "left").select(F.col("identifier").alias("of"), F.coalesce("owner", "claimant").alias("holder"))
+    rows = rows.withColumn("wanted", F.when(F.col("first").isNull(), F.col("identifier")).otherwise(F.concat(F.lit("\n"), F.col("seq").cast("string"))))
+    rows = rows.join(holders, F.col("wanted") == F.col("of"), "left")
+    taken = F.col("first").isNull() & ~F.col("holder").eqNullSafe(F.col("clean"))
+    reason = F.coalesce("first", F.when(taken, "identifier taken"))
     status = (
         F.when(reason.isin("bad url", "malformed metadata", "identifier taken"), "error").when(reason == "same", "unchanged")
         .when(reason.isNotNull(), "skipped").when(F.col("old_html_sha256").isNotNull() | F.col("old_identifier").isNotNull(), "updated")
         .otherwise("created")
     )
-    return rows.select(*batch.columns, "source", status.alias("status"), reason.alias("reason"))
+    return batch.join(rows.select("seq", "source", status.alias("status"), reason.alias("reason")), "seq").select(*batch.columns, "source", "status", "reason")
 
 
 def merged(stored: DataFrame, classified: DataFrame) -> DataFrame:

@@ -173,42 +173,90 @@ def _box_text(box: Column) -> Column:
     return F.concat_ws(" ", *[box[k].cast("string") for k in ("l", "t", "r", "b")])
 
 
-def hocr(lines: DataFrame) -> DataFrame:
-    """(doc, page, hocr): a page of lines and words with their boxes and confidences."""
-    word = F.concat(
-        F.lit("<span class='ocrx_word' id='"), F.format_string("word_%06d_%06d", F.col("page"), F.col("n")), F.lit("' title='bbox "),
-        _box_text(F.col("box")), F.lit("; x_wconf "), F.round(F.col("confidence") * 100).cast("int").cast("string"), F.lit("'>"), escaped(F.col("text")), F.lit("</span>"),
+_LINE = [*PAGE, "block", "para", "line"]
+
+
+def _around(prefix: str = "box") -> Column:
+    side = lambda f, k: F.greatest(F.lit(0), f(f"{prefix}.{k}"))
+    return F.struct(side(F.min, "l").alias("l"), side(F.min, "t").alias("t"), side(F.max, "r").alias("r"), side(F.max, "b").alias("b"))
+
+
+def _packed(rows: DataFrame, by: list[str], order: str, piece: Column, between: str = "") -> DataFrame:
+    """(by, n, box, x): the pieces of each group in order, their number and the box around them."""
+    made = rows.withColumn("__x", piece).groupBy(*by).agg(
+        F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.col("__x").alias("x")))).alias("__a"), _around().alias("box")
     )
-    n = F.row_number().over(Window.partitionBy(*PAGE).orderBy("line", F.col("box.l"), "word"))
-    made = lines.withColumn("n", n).withColumn("x", word).groupBy(*PAGE, "line").agg(F.array_sort(F.collect_list(F.struct("n", "x"))).alias("ws"))
-    rows = made.join(line_boxes(lines), [*PAGE, "line"]).select(
-        *PAGE, "line",
-        F.concat(F.lit("<span class='ocr_line' title='bbox "), _box_text(F.col("box")), F.lit("'>"), F.array_join(F.transform("ws", lambda w: w["x"]), " "), F.lit("</span>")).alias("x"),
+    return made.select(*by, F.size("__a").alias("n"), "box", F.array_join(F.transform("__a", lambda v: v["x"]), between).alias("x"))
+
+
+def _element(tag: str, kind: str, number: Column, title: Column, inner: Column) -> Column:
+    """An hOCR element with its class, its id (kind_page_number) and its title."""
+    return F.concat(
+        F.lit(f"<{tag} class='{kind}' id='"), F.format_string("%s_%06d_%06d", F.lit({"ocr_carea": "block", "ocr_par": "par", "ocr_line": "line", "ocrx_word": "word"}[kind]), F.col("page"), number),
+        F.lit("' title='"), title, F.lit("'>"), inner, F.lit(f"</{tag}>"),
     )
-    packed = rows.groupBy(*PAGE).agg(F.array_sort(F.collect_list(F.struct("line", "x"))).alias("ls"))
-    body = F.array_join(F.transform("ls", lambda r: r["x"]), "\n")
-    return packed.select(*PAGE, F.concat(F.lit("<div class='ocr_page' id='page_"), F.format_string("%06d", F.col("page")), F.lit("'>\n"), body, F.lit("\n</div>")).alias("hocr"))
-
-
-def djvu(lines: DataFrame) -> DataFrame:
-    """(doc, page, xml): LINE and WORD elements with coordinates left, bottom, right, top."""
-    coords = F.concat_ws(",", *[F.col(f"box.{k}").cast("string") for k in ("l", "b", "r", "t")])
-    word = F.concat(F.lit('<WORD coords="'), coords, F.lit('">'), escaped(F.col("text")), F.lit("</WORD>"))
-    made = lines.withColumn("x", word).groupBy(*PAGE, "line").agg(F.array_sort(F.collect_list(F.struct(F.col("box.l").alias("l"), "word", "x"))).alias("ws"))
-    rows = made.select(*PAGE, "line", F.concat(F.lit("<LINE>"), F.array_join(F.transform("ws", lambda w: w["x"]), ""), F.lit("</LINE>")).alias("x"))
-    packed = rows.groupBy(*PAGE).agg(F.array_sort(F.collect_list(F.struct("line", "x"))).alias("ls"))
-    return packed.select(*PAGE, F.concat(F.lit("<OBJECT>"), F.array_join(F.transform("ls", lambda r: r["x"]), ""), F.lit("</OBJECT>")).alias("xml"))
-
-
-def abbyy(lines: DataFrame) -> DataFrame:
-    """(doc, page, xml): lines with their most frequent baseline and word boxes."""
-    edges = lambda b: F.concat(*[x for k in ("l", "t", "r", "b") for x in (F.lit(f' {k}="'), b[k].cast("string"), F.lit('"'))])
-    word = F.concat(F.lit("<charParams"), edges(F.col("box")), F.lit(">"), escaped(F.col("text")), F.lit("</charParams>"))
-    made = lines.withColumn("x", word).groupBy(*PAGE, "line").agg(F.array_sort(F.collect_list(F.struct(F.col("box.l").alias("l"), "word", "x"))).alias("ws"))
-    made = made.join(common_baseline(lines), [*PAGE, "line"]).join(line_boxes(lines), [*PAGE, "line"])
-    row = F.concat(F.lit('<line baseline="'), F.col("bottom").cast("string"), F.lit('"'), edges(F.col("box")), F.lit(">"), F.array_join(F.transform("ws", lambda w: w["x"]), ""), F.lit("</line>"))
-    packed = made.select(*PAGE, "line", row.alias("x")).groupBy(*PAGE).agg(F.array_sort(F.collect_list(F.struct("line", "x"))).alias("ls"))
-    return packed.select(*PAGE, F.concat(F.lit("<page>"), F.array_join(F.transform("ls", lambda r: r["x"]), ""), F.lit("</page>")).alias("xml"))
+
+
+def _bbox(box: Column) -> Column:
+    return F.concat(F.lit("bbox "), _box_text(box))
+
+
+def hocr(lines: DataFrame) -> DataFrame:
+    """(doc, page, hocr): a page of areas, paragraphs, lines and words, each with an id that counts its kind on the page, and its box.
+
+    lines: words with their line. Lines have their baseline, words their confidence in percent and
+    their first language. Boxes of lines and above are those around their words.
+    """
+    number = lambda *order: F.row_number().over(Window.partitionBy(*PAGE).orderBy(*order)).cast("int")
+    words = lines.withColumn("n", number("block", "para", "line", "box.l", "word"))
+    said = F.concat(_bbox(F.col("box")), F.lit("; x_wconf "), F.floor(F.round(F.col("confidence") * 100, 6)).cast("string"))
+    lang = F.concat(said, F.when(F.size("langs") > 0, F.concat(F.lit("' lang='"), F.get("langs", 0))).otherwise(""))
+    rows = _packed(words, _LINE, "n", _element("span", "ocrx_word", F.col("n"), lang, escaped(F.col("text"))), " ")
+    # a line that crosses paragraphs is one for each of them, so it has the baseline of its part
+    own = baselines(lines.withColumn("line", F.struct("block", "para", "line"))).select(*PAGE, F.col("line.*"), "slope", "offset")
+    rows = rows.join(own, _LINE).withColumn("i", number("block", "para", "line"))
+    title = F.concat(_bbox(F.col("box")), F.lit("; baseline "), F.format_string("%.6f %d", "slope", "offset"))
+    rows = _packed(rows, [*PAGE, "block", "para"], "line", _element("span", "ocr_line", F.col("i"), title, F.col("x")), "\n").withColumn("i", number("block", "para"))
+    rows = _packed(rows, [*PAGE, "block"], "para", _element("p", "ocr_par", F.col("i"), _bbox(F.col("box")), F.col("x")), "\n").withColumn("i", number("block"))
+    rows = _packed(rows, PAGE, "block", _element("div", "ocr_carea", F.col("i"), _bbox(F.col("box")), F.col("x")), "\n")
+    head = F.concat(F.lit("<div class='ocr_page' id='page_"), F.format_string("%06d", "page"), F.lit("' title='bbox 0 0 "), F.concat_ws(" ", F.col("box.r").cast("string"), F.col("box.b").cast("string")))
+    return rows.select(*PAGE, F.concat(head, F.lit("; ppageno "), F.col("page").cast("string"), F.lit("'>\n"), F.col("x"), F.lit("\n</div>")).alias("hocr"))
+
+
+def _edges(box: Column) -> Column:
+    return F.concat(*[x for k in ("l", "t", "r", "b") for x in (F.lit(f' {k}="'), box[k].cast("string"), F.lit('"'))])
+
+
+def djvu(lines: DataFrame, dpi: int = 300) -> DataFrame:
+    """(doc, page, xml): an OBJECT with hidden text by columns, paragraphs, lines and words; coords are left, bottom, right, top, bottom."""
+    coords = F.concat_ws(",", *[F.col(f"box.{k}").cast("string") for k in ("l", "b", "r", "t", "b")])
+    rows = lines.withColumn("o", F.struct(F.col("box.l").alias("l"), "word"))
+    rows = _packed(rows, _LINE, "o", F.concat(F.lit('<WORD coords="'), coords, F.lit('">'), escaped(F.col("text")), F.lit("</WORD>")))
+    rows = _packed(rows, [*PAGE, "block", "para"], "line", F.concat(F.lit("<LINE>"), F.col("x"), F.lit("</LINE>")))
+    rows = _packed(rows, [*PAGE, "block"], "para", F.concat(F.lit("<PARAGRAPH>"), F.col("x"), F.lit("</PARAGRAPH>")))
+    rows = _packed(rows, PAGE, "block", F.concat(F.lit("<PAGECOLUMN><REGION>"), F.col("x"), F.lit("</REGION></PAGECOLUMN>")))
+    head = F.concat(F.lit('<OBJECT type="image/x.djvu" height="'), F.col("box.b").cast("string"), F.lit('" width="'), F.col("box.r").cast("string"), F.lit(f'"><PARAM name="DPI" value="{dpi}"/><HIDDENTEXT>'))
+    return rows.select(*PAGE, F.concat(head, F.col("x"), F.lit("</HIDDENTEXT></OBJECT>")).alias("xml"))
+
+
+def abbyy(lines: DataFrame, dpi: int = 300) -> DataFrame:
+    """(doc, page, xml): blocks, paragraphs, lines with their most frequent baseline, words, and the spaces between words of a line."""
+    order = F.struct(F.col("box.l").alias("l"), "word")
+    before = F.lag("box").over(Window.partitionBy(*_LINE).orderBy("box.l", "word"))
+    space = F.struct((before["r"] + 1).alias("l"), before["t"].alias("t"), (F.col("box.l") - 1).alias("r"), F.col("box.b").alias("b"))
+    shown = lambda box, text: F.concat(F.lit("<charParams"), _edges(box), F.lit(">"), text, F.lit("</charParams>"))
+    rows = lines.withColumn("gap", space).withColumn("o", order)
+    piece = F.concat(F.when(F.col("gap.l") < F.col("gap.r"), shown(F.col("gap"), F.lit(" "))).otherwise(""), shown(F.col("box"), escaped(F.col("text"))))
+    rows = _packed(rows, _LINE, "o", piece)
+    own = common_baseline(lines.withColumn("line", F.struct("block", "para", "line"))).select(*PAGE, F.col("line.*"), "bottom")
+    line = F.concat(F.lit('<line baseline="'), F.col("bottom").cast("string"), F.lit('"'), _edges(F.col("box")), F.lit("><formatting>"), F.col("x"), F.lit("</formatting></line>"))
+    rows = _packed(rows.join(own, _LINE), [*PAGE, "block", "para"], "line", line)
+    rows = _packed(rows, [*PAGE, "block"], "para", F.concat(F.lit("<par>"), F.col("x"), F.lit("</par>")))
+    box = _edges(F.col("box"))
+    block = F.concat(F.lit('<block blockType="Text" blockName=""'), box, F.lit("><region><rect"), box, F.lit("/></region><text>"), F.col("x"), F.lit("</text></block>"))
+    rows = _packed(rows, PAGE, "block", block)
+    head = F.concat(F.lit('<page width="'), F.col("box.r").cast("string"), F.lit('" height="'), F.col("box.b").cast("string"), F.lit(f'" resolution="{dpi}" originalCoords="1">'))
+    return rows.select(*PAGE, F.concat(head, F.col("x"), F.lit("</page>")).alias("xml"))
 
 
 def title_attribute(pairs: Column) -> Column:

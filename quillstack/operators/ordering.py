@@ -17,18 +17,57 @@ def effective_order(order: str | None, has_query: bool) -> str:
     return "newest" if wanted == "relevance" and not has_query else wanted
 
 
-def order_columns(order: str, date: str = "date", key: str = "id", rank: str = "rank") -> list[Column]:
+@dataclass(frozen=True)
+class Key:
+    """A column to order by, with the place of its nulls."""
+
+    name: str
+    descending: bool = False
+    nulls_last: bool = True
+
+    def column(self, back: bool = False) -> Column:
+        """The order, or the order read from its end."""
+        c = F.col(self.name)
+        ways = ((c.asc_nulls_first, c.asc_nulls_last), (c.desc_nulls_first, c.desc_nulls_last))
+        return ways[self.descending != back][self.nulls_last != back]()
+
+
+def order_keys(order: str, date: str = "date", key: str = "id", rank: str = "rank") -> list[Key]:
     """Undated rows come last in every order; ties go by the key."""
     if order == "relevance":
-        return [F.col(rank).desc(), F.col(date).desc_nulls_last(), F.col(key).desc()]
+        return [Key(rank, True), Key(date, True), Key(key, True)]
     if order == "oldest":
-        return [F.col(date).asc_nulls_last(), F.col(key).asc()]
-    return [F.col(date).desc_nulls_last(), F.col(key).desc()]
+        return [Key(date), Key(key)]
+    return [Key(date, True), Key(key, True)]
 
 
-def source_page_order(date: str = "date", key: str = "id") -> list[Column]:
+def source_page_keys(date: str = "date", key: str = "id") -> list[Key]:
     """The order of a source's own page: newest first, undated rows before all others."""
-    return [F.col(date).desc_nulls_first(), F.col(key).desc()]
+    return [Key(date, True, False), Key(key, True)]
+
+
+def ordered(df: DataFrame, keys: list[Key], back: bool = False) -> DataFrame:
+    return df.orderBy(*[k.column(back) for k in keys])
+
+
+def recent(df: DataFrame, n: int = 8, date: str = "date", key: str = "id") -> DataFrame:
+    """The n latest dated rows."""
+    return ordered(df.where(F.col(date).isNotNull()), order_keys("newest", date, key)).limit(n)
+
+
+def largest_sources(sources: DataFrame, n: int = 12) -> DataFrame:
+    """The n sources (name, gazette_count, ...) with the most documents, of those that have any; ties by name."""
+    return sources.where("gazette_count > 0").orderBy(F.desc("gazette_count"), "name").limit(n)
+
+
+def by_title(sources: DataFrame) -> DataFrame:
+    """Sources in the order of their titles by code points, then of their names."""
+    return sources.orderBy("title", "name")
+
+
+def at_most(df: DataFrame, n: int | None, keys: list[Key]) -> DataFrame:
+    """The first n rows in the order, or all rows without an n."""
+    return df if n is None else ordered(df, keys).limit(n)
 
 
 @dataclass(frozen=True)
@@ -39,12 +78,21 @@ class Page:
     total: int
 
 
-def paginate(df: DataFrame, order: list[Column], number: int, size: int = PAGE_SIZE) -> Page:
-    """One page of df; numbers beyond the last page give the last one, below the first the first."""
+def paginate(df: DataFrame, keys: list[Key], number: int, size: int = PAGE_SIZE) -> Page:
+    """One page of df; numbers beyond the last page give the last one, below the first the first.
+
+    The keys end with one that tells all rows apart. A page is a top-k of the rows before its end,
+    or, where fewer rows follow than precede it, of the rows from its start read from the end.
+    """
     total = df.count()
     pages = max(1, -(-total // size))
     number = min(max(1, number), pages)
-    return Page(df.orderBy(*order).offset((number - 1) * size).limit(size), number, pages, total)
+    start, end = (number - 1) * size, min(number * size, total)
+    if end <= total - start:
+        rows = ordered(df, keys).offset(start).limit(size)
+    else:
+        rows = ordered(ordered(df, keys, back=True).offset(total - end).limit(end - start), keys)
+    return Page(rows, number, pages, total)
 
 
 def elided_range(number: int, pages: int, around: int = 2, ends: int = 1) -> list[int | None]:
@@ -61,9 +109,11 @@ def elided_range(number: int, pages: int, around: int = 2, ends: int = 1) -> lis
     return out
 
 
-def natural_key(text: Column, width: int = 18) -> Column:
-    """A key that sorts runs of digits by value: each run is padded with zeros."""
+def natural_key(text: Column) -> Column:
+    """A key that sorts runs of digits by value: each run without leading zeros, after the number of its digits."""
     parts = F.regexp_extract_all(text, F.lit("([0-9]+|[^0-9]+)"), 1)
-    return F.array_join(
-        F.transform(parts, lambda p: F.when(p.rlike("^[0-9]"), F.lpad(F.ltrim(p, F.lit("0")), width, "0")).otherwise(p)), ""
-    )
+
+    def digits(run):
+        return F.concat(F.lpad(F.length(run).cast("string"), 10, "0"), run)
+
+    return F.array_join(F.transform(parts, lambda p: F.when(p.rlike("^[0-9]"), digits(F.ltrim(p, F.lit("0")))).otherwise(p)), "")

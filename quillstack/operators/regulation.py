@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import dates
-from ..functions.text import squeeze
+from ..functions.text import squeeze, without_controls
 from .windows import newest_versions, section_ids
 
 #: What nodes of a kind become; an empty parent stands for any.
@@ -71,11 +71,62 @@ def normal_number(num: Column) -> Column:
 def merged_regulations(parts: DataFrame) -> DataFrame:
     """parts (key, subnum, seq, num, ...) without sections that an earlier part of the regulation has.
 
-    Parts come in the order of their sub-number, then of appearance; sections without a number stay.
+    Parts come in the order of their sub-number, those without one last. Equal numbers within one
+    part stay, and so do sections without a number.
     """
     num = normal_number(F.col("num"))
-    nth = F.row_number().over(Window.partitionBy("key", num).orderBy(F.col("subnum").asc_nulls_last(), "seq"))
-    return parts.withColumn("__n", nth).where((F.col("__n") == 1) | F.col("num").isNull()).drop("__n")
+    part = F.coalesce("subnum", F.lit(2**31 - 1))
+    first = F.min(part).over(Window.partitionBy("key", num))
+    return parts.withColumn("__first", first).where((part == F.col("__first")) | F.col("num").isNull()).drop("__first")
+
+
+#: States by what their citations go by: the use attribute, that or else the text, or a text to be cleaned of controls.
+CITED_BY_USE = ("MI", "GA", "ID", "LA", "ME", "MS", "NE", "RI", "WY")
+CITED_BY_USE_OR_TEXT = ("WI", "SC", "CO", "DE")
+CITED_WITHOUT_CONTROLS = ("MO",)
+#: The states whose codes have no titles; all others' references carry the title.
+NO_TITLES = ("FL", "MI", "SD")
+
+
+def citations(refs: DataFrame) -> DataFrame:
+    """refs (state, title, use, text, ...) with cited_use and cited_title, what the reference of a citation is looked up by.
+
+    A number of NE holds its title before a hyphen; WI's references go without theirs.
+    """
+    empty = lambda c: F.when(c != "", c)
+    state, use, text = F.col("state"), F.col("use"), F.col("text")
+    number = (
+        F.when(state.isin(*CITED_BY_USE), use).when(state.isin(*CITED_BY_USE_OR_TEXT), F.coalesce(empty(use), text))
+        .when(state.isin(*CITED_WITHOUT_CONTROLS), without_controls(text)).otherwise(text)
+    )
+    split = (state == "NE") & number.rlike("[0-9]+-.")
+    title = F.when(split, F.regexp_extract(number, "([0-9]+)-(.+)", 1)).when(~state.isin(*NO_TITLES, "WI"), empty(F.col("title")))
+    return refs.withColumn("cited_use", empty(F.when(split, F.regexp_extract(number, "([0-9]+)-(.+)", 2)).otherwise(number))).withColumn("cited_title", title)
+
+
+def linked_citations(cited: DataFrame) -> DataFrame:
+    """Citations (datatype, state, own_state, title) that become references: those of the own state's code, in CA, PA and NY only with a title."""
+    titled = ~F.col("state").isin("CA", "PA", "NY") | F.col("title").isNotNull()
+    return cited.where((F.col("datatype") == "D") & titled & (F.col("state") == F.col("own_state")))
+
+
+#: The states by code, with the year their regulations begin.
+STATES = (
+    "AL alabama 1981, AK alaska 1959, AZ arizona 1952, AR arkansas 1967, CA california 1947, CO colorado 1959, CT connecticut 1945,"
+    " DE delaware 1960, FL florida 1961, GA georgia 1964, HI hawaii 1961, ID idaho 1965, IL illinois 1975, IN indiana 1986, IA iowa 1975,"
+    " KS kansas 1984, KY kentucky 1984, LA louisiana 1966, ME maine 1961, MD maryland 1957, MA massachusetts 1954, MI michigan 1943,"
+    " MN minnesota 1946, MS mississippi 1976, MO missouri 1945, MT montana 1971, NE nebraska 1945, NV nevada 1965, NH newhampshire 1973,"
+    " NJ newjersey 1968, NM newmexico 1969, NY newyork 1975, NC northcarolina 1973, ND northdakota 1941, OH ohio 1943, OK oklahoma 1963,"
+    " OR oregon 1957, PA pennsylvania 1945, RI rhodeisland 1956, SC southcarolina 1977, SD southdakota 1966, TN tennessee 1974, TX texas 1975,"
+    " UT utah 1973, VT vermont 1967, VA virginia 1975, WA washington 1959, WV westvirginia 1964, WI wisconsin 1943, WY wyoming 1957"
+)
+
+
+def states(spark) -> DataFrame:
+    """(state, locality, start_year, titled): the states and whether their references carry a title."""
+    rows = spark.range(1).select(F.explode(F.split(F.lit(STATES), ", *")).alias("x")).select(F.split(F.trim("x"), " ").alias("x"))
+    state = F.col("x")[0]
+    return rows.select(state.alias("state"), F.col("x")[1].alias("locality"), F.col("x")[2].cast("int").alias("start_year"), (~state.isin(*NO_TITLES)).alias("titled"))
 
 
 def reference_index(refs: DataFrame) -> DataFrame:

@@ -2,7 +2,9 @@
 
 A query is an OR of clauses; a clause needs all of its terms and phrases and none of its excluded
 ones. Matching filters the postings to the query's own lexemes before anything is grouped, so a
-search shuffles the hits of its words only.
+search shuffles the hits of its words only. Where no index is stored, ``scanned`` makes the postings
+of a query's words alone; a stored index is laid out by lexeme, and a search reads the folders of
+its own words.
 """
 
 from __future__ import annotations
@@ -10,6 +12,7 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass, field
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -36,19 +39,51 @@ def lexemes(text: Column, stem: bool = True) -> Column:
     return F.filter(placed, lambda x: ~x["lexeme"].isin(list(STOP_WORDS)) & (x["lexeme"] != ""))
 
 
-def postings(docs: DataFrame, key: str, fields: dict[str, str], stem: bool = True) -> DataFrame:
+def postings(docs: DataFrame, key: str, fields: dict[str, str], stem: bool = True, only: list[str] | None = None) -> DataFrame:
     """(lexeme, doc, weight, positions) of the text columns, fields giving each its weight class.
 
-    Columns follow each other with a gap, so phrases do not run from one into the next.
+    Columns follow each other with a gap, so phrases do not run from one into the next. only: the
+    lexemes that are wanted; others are left out before anything is shuffled.
     """
     rows = None
     for k, (column, weight) in enumerate(fields.items()):
-        one = docs.select(F.col(key).alias("doc"), F.lit(weight).alias("weight"), F.explode(lexemes(F.col(column), stem)).alias("x"))
+        found = lexemes(F.col(column), stem)
+        if only is not None:
+            found = F.filter(found, lambda x: x["lexeme"].isin(only))
+        one = docs.select(F.col(key).alias("doc"), F.lit(weight).alias("weight"), F.explode(found).alias("x"))
         one = one.select("x.lexeme", "doc", "weight", (F.col("x.at").cast("long") + k * 1_000_000_000).alias("at"))
         rows = one if rows is None else rows.unionByName(one)
     return rows.groupBy("lexeme", "doc", "weight").agg(F.sort_array(F.collect_list("at")).alias("positions"))
 
 
+def query_lexemes(spark, text: str, stem: bool = True) -> list[str]:
+    """The lexemes of a query's words."""
+    words = parse(text).words
+    return sorted(set(_stem_words(spark, words).values())) if stem else words
+
+
+def scanned(docs: DataFrame, key: str, fields: dict[str, str], text: str, stem: bool = True) -> DataFrame:
+    """The postings of a query's words, straight from the texts."""
+    return postings(docs, key, fields, stem, query_lexemes(docs.sparkSession, text, stem))
+
+
+BUCKETS = 64
+
+
+def store(posted: DataFrame, path: str, buckets: int = BUCKETS) -> None:
+    """Writes an index in folders of lexemes."""
+    placed = posted.withColumn("bucket", F.pmod(F.xxhash64("lexeme"), F.lit(buckets)).cast("int"))
+    placed.repartition("bucket", F.pmod(F.xxhash64("doc"), F.lit(16))).sortWithinPartitions("lexeme").write.partitionBy("bucket").parquet(path)
+
+
+def stored(spark, path: str, text: str, stem: bool = True, buckets: int = BUCKETS) -> DataFrame:
+    """The postings of a query's words from a stored index; only the folders of these words are read."""
+    wanted = query_lexemes(spark, text, stem)
+    where = spark.range(1).select(F.pmod(F.xxhash64(F.explode(F.array(*[F.lit(w) for w in wanted]).cast("array<string>"))), F.lit(buckets)).cast("int").alias("b"))
+    folders = sorted({r["b"] for r in where.collect()}) if wanted else []
+    return spark.read.parquet(path).where(F.col("bucket").isin(folders) & F.col("lexeme").isin(wanted)).drop("bucket")
+
+
 @dataclass(frozen=True)
 class Clause:
     """Phrases (a single word is a phrase of one) that must and must not occur."""
@@ -156,37 +191,46 @@ def ranked(posted: DataFrame, matches: DataFrame, text: str, stem: bool = True)
     own = posted.where(F.col("lexeme").isin(sorted(set(table.values())))).join(matches.select("doc"), "doc", "left_semi")
     grouped = own.groupBy("doc").agg(F.collect_list(F.struct("lexeme", "weight", "positions")).alias("hits"))
 
-    @F.udf("double")
-    def rank(hits):
-        entries = [(h["lexeme"], p, WEIGHTS[h["weight"]]) for h in hits for p in h["positions"]]
-        return max((cover_density([e for e in entries if e[0] in c], c) for c in clauses if c), default=0.0)
+    @F.pandas_udf("double")
+    def rank(hits: pd.Series) -> pd.Series:
+        def best(own):
+            entries = [(h["lexeme"], int(p), WEIGHTS[h["weight"]]) for h in own for p in h["positions"]]
+            return max((cover_density([e for e in entries if e[0] in c], c) for c in clauses if c), default=0.0)
+
+        return hits.map(best)
 
     scored = grouped.select("doc", rank("hits").alias("rank"))
     return matches.select("doc").join(scored, "doc", "left").select("doc", F.coalesce("rank", F.lit(0.0)).alias("rank"))
 
 
-def snippets(page: DataFrame, key: str, column: str, text: str, fragments: int = 3, least: int = 20, most: int = 40) -> DataFrame:
-    """(key, snippet) for the rows of one page: up to three stretches around hits, hits between \\x02 and \\x03."""
-    words = {w for c in parse(text).clauses for p in c.wanted for w in p}
-    roots = tuple(sorted({w[: max(4, len(w) - 2)] for w in words}))
-
-    @F.udf("string")
-    def snippet(body):
-        tokens = (body or "").split()
-        hit = [any(re.sub(r"\W", "", t.lower()).startswith(r) for r in roots) for t in tokens]
-        spans, at = [], 0
-        while at < len(tokens) and len(spans) < fragments:
-            if hit[at]:
-                start = max(0, at - least // 2, spans[-1][1] if spans else 0)
-                end = min(len(tokens), start + most)
-                spans.append((start, end))
-                at = end
-            else:
-                at += 1
-        spans = spans or [(0, min(len(tokens), least))]
-        return " … ".join(" ".join(f"\x02{t}\x03" if hit[a + i] else t for i, t in enumerate(tokens[a:b])) for a, b in spans)
-
-    return page.select(key, snippet(F.col(column)).alias("snippet"))
+def snippets(page: DataFrame, key: str, column: str, text: str, fragments: int = 3, least: int = 20, most: int = 40, stem: bool = True) -> DataFrame:
+    """(key, snippet) for the rows of one page: up to three stretches around hits, hits between \x02 and \x03.
+
+    A word is a hit if its lexeme is one of the query's, as in the index.
+    """
+    words = sorted({w for c in parse(text).clauses for p in c.wanted for w in p})
+    spark = page.sparkSession
+    wanted = sorted(set(_stem_words(spark, words).values())) if stem else words
+    bare = lambda w: F.lower(F.regexp_extract(w, f"({TOKEN})", 1))
+    tokens = F.filter(F.split(F.coalesce(F.col(column), F.lit("")), "\\s+"), lambda w: w != "")
+    hit = F.transform(tokens, lambda w: F.coalesce((stemmed(bare(w)) if stem else bare(w)).isin(wanted), F.lit(False)) if wanted else F.lit(False))
+    span = "struct<a:int,b:int>"
+    start = F.struct(F.array().cast(f"array<{span}>").alias("spans"), F.lit(0).alias("end"))
+
+    def cover(acc, x):
+        a = F.greatest(F.lit(0), x["i"] - least // 2, acc["end"])
+        b = F.least(x["n"], a + most)
+        new = F.struct(F.array_append(acc["spans"], F.struct(a.alias("a"), b.alias("b"))).alias("spans"), b.alias("end"))
+        return F.when(x["hit"] & (x["i"] >= acc["end"]) & (F.size(acc["spans"]) < fragments), new).otherwise(acc)
+
+    rows = page.select(key, tokens.alias("__t"), hit.alias("__h")).withColumn("__n", F.size("__t"))
+    marks = F.transform("__h", lambda h, i: F.struct(i.alias("i"), h.alias("hit"), F.col("__n").alias("n")))
+    spans = F.aggregate(marks, start, cover, lambda acc: acc["spans"])
+    head = F.array(F.struct(F.lit(0).alias("a"), F.least(F.col("__n"), F.lit(least)).alias("b")))
+    rows = rows.withColumn("__s", F.when(F.size(spans) > 0, spans).otherwise(head))
+    shown = F.zip_with("__t", "__h", lambda t, h: F.when(h, F.concat(F.lit("\x02"), t, F.lit("\x03"))).otherwise(t))
+    pieces = F.transform("__s", lambda s: F.array_join(F.slice(F.col("__w"), s["a"] + 1, s["b"] - s["a"]), " "))
+    return rows.withColumn("__w", shown).select(key, F.array_join(pieces, " … ").alias("snippet"))
 
 
 def unindexed(docs: DataFrame, posted: DataFrame, key: str) -> DataFrame:

@@ -63,24 +63,24 @@ _C = "(SELECT DISTINCT o_orderpriority AS name, 'Series ' || o_orderpriority AS
 
 @query(f"SELECT id, source, date FROM {_G} ORDER BY date DESC NULLS LAST, id DESC LIMIT 20", days="date")
 def search_newest_page(spark, d):
-    return ordering.paginate(gazettes(spark, d).select("id", "source", "date"), ordering.order_columns("newest"), 1).rows
+    return ordering.paginate(gazettes(spark, d).select("id", "source", "date"), ordering.order_keys("newest"), 1).rows
 
 
 @query(f"SELECT id, source, date FROM {_G} ORDER BY date ASC NULLS LAST, id LIMIT 20 OFFSET 20", days="date")
 def search_oldest_nulls_last(spark, d):
-    return ordering.paginate(gazettes(spark, d).select("id", "source", "date"), ordering.order_columns("oldest"), 2).rows
+    return ordering.paginate(gazettes(spark, d).select("id", "source", "date"), ordering.order_keys("oldest"), 2).rows
 
 
 @query(f"SELECT id, date FROM {_G} WHERE source = '1-URGENT' ORDER BY date DESC NULLS FIRST, id DESC LIMIT 20", days="date")
 def source_page_nulls_first(spark, d):
     rows = filters.by_sources(gazettes(spark, d), ["1-URGENT"]).select("id", "date")
-    return ordering.paginate(rows, ordering.source_page_order(), 1).rows
+    return ordering.paginate(rows, ordering.source_page_keys(), 1).rows
 
 
 @query(f"""SELECT id, date FROM {_G} ORDER BY date DESC NULLS LAST, id DESC
 LIMIT 20 OFFSET (SELECT ((count(*) - 1) // 20) * 20 FROM orders)""", days="date")
 def page_beyond_the_last(spark, d):
-    return ordering.paginate(gazettes(spark, d).select("id", "date"), ordering.order_columns("newest"), 10**9).rows
+    return ordering.paginate(gazettes(spark, d).select("id", "date"), ordering.order_keys("newest"), 10**9).rows
 
 
 @query(f"SELECT id, source FROM {_G} WHERE source IN ('1-URGENT', '2-HIGH')")
@@ -207,9 +207,9 @@ def title_fallback(spark, d):
     return gazettes(spark, d).select("id", text.built_title(F.lit(" "), none, F.col("source"), number, none, F.col("date"), F.col("year")).alias("title"))
 
 
-@query("SELECT doc_id, CASE WHEN length(trim(split_part(text, chr(10), 1))) <= 64 THEN trim(split_part(text, chr(10), 1)) ELSE '' END AS subject FROM documents")
+@query("SELECT doc_id, CASE WHEN length(trim(text)) <= 400 THEN trim(text) ELSE '' END AS subject FROM documents")
 def typed_length_guard(spark, d):
-    return table(spark, d, "documents").select("doc_id", filters.promoted(F.substring_index("text", "\n", 1), 64).alias("subject"))
+    return table(spark, d, "documents").select("doc_id", filters.promoted(F.col("text"), 400).alias("subject"))
 
 
 @query("SELECT doc_id, CASE WHEN n_chars BETWEEN 1600 AND 2200 THEN CAST(n_chars AS INT) END AS year FROM documents")
@@ -264,7 +264,12 @@ def truncate_with_flag(spark, d):
     return table(spark, d, "documents").select("doc_id", text.truncated(F.col("text"), 100).alias("x")).select("doc_id", F.col("x.text").alias("head"), "x.cut")
 
 
-@query()
+@query("""WITH b AS (SELECT doc_id, text, encode(text) AS raw FROM documents),
+k AS (SELECT doc_id, text, octet_length(raw) AS size,
+  (SELECT max(i) FROM unnest(range(0, length(b.text) + 1)) AS t(i) WHERE i <= 500 AND octet_length(encode(left(b.text, CAST(i AS INT)))) <= 500) AS fits FROM b),
+c AS (SELECT doc_id, text, size, left(text, CAST(fits AS INT)) AS cut FROM k),
+s AS (SELECT *, length(cut) - instr(reverse(cut), ' ') AS space FROM c)
+SELECT doc_id, CASE WHEN size <= 500 THEN text WHEN contains(cut, ' ') AND space > 250 THEN left(cut, CAST(space AS INT)) ELSE cut END AS head FROM s""")
 def byte_truncate(spark, d):
     return table(spark, d, "documents").select("doc_id", text.index_head(F.col("text"), 500).alias("head"))
 
@@ -375,7 +380,7 @@ _TOKENS = "(SELECT doc_id, regexp_extract_all(lower(text), '[\\p{L}\\p{M}\\p{Nd}
 
 def _found(spark, d, q):
     docs = table(spark, d, "documents").select("doc_id", "text")
-    return search.match(search.postings(docs, "doc_id", {"text": "D"}, stem=False), docs, "doc_id", q, stem=False).select(F.col("doc").alias("doc_id"))
+    return search.match(search.scanned(docs, "doc_id", {"text": "D"}, q, stem=False), docs, "doc_id", q, stem=False).select(F.col("doc").alias("doc_id"))
 
 
 @query(f"SELECT doc_id FROM {_TOKENS} WHERE list_contains(w, 'thly') AND list_contains(w, 'oned')")
@@ -398,22 +403,37 @@ def fts_phrase(spark, d):
     return _found(spark, d, '"thly ererly" OR "under cc"')
 
 
-@query()
+_STEMMED = """CASE WHEN length(s) > 5 THEN regexp_replace(s, '(?:ing|ed)$', '') ELSE s END"""
+_PLURAL = """CASE WHEN regexp_matches(w, '(?:ss|us|is)$') THEN w ELSE regexp_replace(regexp_replace(w, 'ies$', 'y'), '([^aeiou]e|.)s$', '\\1') END"""
+
+
+def _places(field: str, gap: int) -> str:
+    return f"""SELECT doc_id, {_STEMMED} AS lexeme, i + {gap} AS spot FROM (SELECT doc_id, {_PLURAL} AS s, i FROM
+      (SELECT doc_id, ws[i] AS w, i FROM (SELECT doc_id, regexp_extract_all(lower({field}), '[\\p{{L}}\\p{{M}}\\p{{Nd}}]+') AS ws FROM documents) t, unnest(range(1, len(ws) + 1)) AS u(i)))"""
+
+
+@query(f"""WITH p AS ({_places("split_part(text, chr(10), 1)", 0)} UNION ALL {_places("text", 1000000000)}),
+h AS (SELECT * FROM p WHERE lexeme IN ('thly', 'oned')),
+m AS (SELECT doc_id FROM h GROUP BY doc_id HAVING count(DISTINCT lexeme) = 2),
+l AS (SELECT *, max(CASE WHEN lexeme = 'thly' THEN spot END) OVER w AS a, max(CASE WHEN lexeme = 'oned' THEN spot END) OVER w AS b FROM h WINDOW w AS (PARTITION BY doc_id ORDER BY spot)),
+s AS (SELECT *, least(a, b) AS first, coalesce(max(least(a, b)) OVER (PARTITION BY doc_id ORDER BY spot ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), -1) AS before FROM l WHERE a IS NOT NULL AND b IS NOT NULL),
+c AS (SELECT doc_id, sum(2.0 / (CASE WHEN a < 1000000000 THEN 1.0 ELSE 10.0 END + CASE WHEN b < 1000000000 THEN 1.0 ELSE 10.0 END) / (1 + (spot - first + 1 - 2))) AS rank FROM s WHERE first > before GROUP BY doc_id)
+SELECT doc_id, round(coalesce(rank, 0.0), 9) AS rank FROM m LEFT JOIN c USING (doc_id)""")
 def fts_rank(spark, d):
     docs = table(spark, d, "documents").select("doc_id", F.substring_index("text", "\n", 1).alias("title"), "text")
-    posted = search.postings(docs, "doc_id", {"title": "A", "text": "D"})
+    posted = search.scanned(docs, "doc_id", {"title": "A", "text": "D"}, "thly oned")
     hits = search.match(posted, docs, "doc_id", "thly oned")
-    return search.ranked(posted, hits, "thly oned").orderBy(F.desc("rank"), "doc").limit(20)
+    return search.ranked(posted, hits, "thly oned").select(F.col("doc").alias("doc_id"), F.round("rank", 9).alias("rank"))
 
 
-@query("SELECT n_name AS name FROM nation JOIN region ON n_regionkey = r_regionkey WHERE r_name IN ('ASIA', 'EUROPE') UNION SELECT 'FRANCE'")
+@query("SELECT n_name AS name FROM nation JOIN region ON n_regionkey = r_regionkey WHERE r_name IN ('ASIA', 'EUROPE') UNION ALL SELECT 'FRANCE'")
 def hierarchy_expand(spark, d):
     n, r = table(spark, d, "nation"), table(spark, d, "region")
     edges = n.join(r, n.n_regionkey == r.r_regionkey).select(F.col("r_name").alias("parent"), F.col("n_name").alias("child"))
     return sets.expand(edges, ["ASIA", "EUROPE", "FRANCE"])
 
 
-@query("SELECT DISTINCT source, 'src' || lpad(substr(source, 4), 18, '0') AS key FROM documents")
+@query("SELECT DISTINCT source, 'src' || lpad(CAST(length(ltrim(substr(source, 4), '0')) AS VARCHAR), 10, '0') || ltrim(substr(source, 4), '0') AS key FROM documents")
 def natural_sort_key(spark, d):
     return table(spark, d, "documents").select("source").distinct().withColumn("key", ordering.natural_key(F.col("source")))
 
@@ -448,9 +468,9 @@ def metadata_promoted(spark, d):
     return table(spark, d, "events").select("event_id", F.try_variant_get(props, "$.k", "bigint").alias("k"))
 
 
-@query("""SELECT doc_id, replace(replace(replace(replace(replace(left(text, 200), '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '"', '&quot;'), '''', '&#x27;') AS safe FROM documents""")
+@query("""SELECT doc_id, replace(replace(replace(replace(replace(text, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '"', '&quot;'), '''', '&#x27;') AS safe FROM documents""")
 def escaped_text(spark, d):
-    return table(spark, d, "documents").select("doc_id", text.highlighted(F.left("text", F.lit(200))).alias("safe"))
+    return table(spark, d, "documents").select("doc_id", text.highlighted(F.col("text")).alias("safe"))
 
 
 @query("""SELECT * EXCLUDE (n) FROM (SELECT url, title, num, seq, row_number() OVER (PARTITION BY title, num ORDER BY version DESC NULLS LAST, seq) AS n FROM

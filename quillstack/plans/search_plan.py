@@ -56,7 +56,7 @@ class Archive:
         if order == "relevance":
             rank = search.ranked(self.postings, rows.select(F.col("id").alias("doc")), c.q)
             rows = rows.join(rank.withColumnRenamed("doc", "id"), "id")
-        return ordering.paginate(rows, ordering.order_columns(order), number, size)
+        return ordering.paginate(rows, ordering.order_keys(order), number, size)
 
     def source_facets(self, c: Criteria, limit: int = facets.SOURCE_FACETS) -> DataFrame:
         """Counts without the source filter, so that other sources stay on offer."""

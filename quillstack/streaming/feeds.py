@@ -29,36 +29,74 @@ def by_upload_day(stream: DataFrame, time: str, start: str = "5 hours", late: st
     return counted.select("w.start", "w.end", "n")
 
 
-def upsert_batches(path: str, key: str, order: str):
-    """A foreachBatch function that merges each batch into a Parquet table of versions.
+def first_ever(stream: DataFrame, key: str) -> DataFrame:
+    """Each key once, however far apart its rows are; the state holds every key."""
+    return stream.dropDuplicates([key])
 
-    The latest row of a key by ``order`` wins, so a batch that comes again changes nothing. Each
-    batch writes a whole new version named by its number; readers take the highest.
+
+BUCKETS = 32
+
+
+def upsert_batches(path: str, key: str, order: str, buckets: int = BUCKETS, keep: int = 2):
+    """A foreachBatch function that merges each batch into a Parquet table of versions and buckets.
+
+    The latest row of a key by ``order`` wins, so a batch that comes again changes nothing. A batch
+    rewrites the buckets that its keys are in, under its own number; readers take the highest
+    number of each bucket. Versions of a bucket beyond the ``keep`` newest are deleted.
     """
 
     def merge(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        old = current(spark, path, before=number)
-        both = batch if old is None else old.unionByName(batch, allowMissingColumns=True)
-        last = F.row_number().over(Window.partitionBy(key).orderBy(F.desc(order)))
+        new = batch.withColumn("bucket", F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int"))
+        touched = sorted(r["bucket"] for r in new.select("bucket").distinct().collect())
+        if not touched:
+            return
+        old = current(spark, path, before=number, only=touched)
+        both = new if old is None else old.withColumn("bucket", F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")).unionByName(new, allowMissingColumns=True)
+        last = F.row_number().over(Window.partitionBy("bucket", key).orderBy(F.desc(order)))
         merged = both.withColumn("__n", last).where("__n = 1").drop("__n")
-        merged.write.mode("overwrite").parquet(f"{path}/v={number:010d}")
+        merged.write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/v={number:010d}")
+        _expire(spark, path, keep)
 
     return merge
 
 
-def current(spark: SparkSession, path: str, before: int | None = None) -> DataFrame | None:
-    """The newest version of a table of versions, or the newest before a batch number."""
+def _folders(spark: SparkSession, path: str) -> dict[int, list[str]]:
+    """The folders of each bucket, oldest version first, of the versions that were written to the end."""
     jvm = spark._jvm
     root = jvm.org.apache.hadoop.fs.Path(path)
     fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    out: dict[int, list[str]] = {}
     if not fs.exists(root):
-        return None
-    names = [s.getPath().getName() for s in fs.listStatus(root)]
-    done = sorted(n for n in names if n.startswith("v=") and fs.exists(jvm.org.apache.hadoop.fs.Path(f"{path}/{n}/_SUCCESS")))
-    if before is not None:
-        done = [n for n in done if int(n[2:]) < before]
-    return spark.read.parquet(f"{path}/{done[-1]}") if done else None
+        return out
+    for version in sorted(s.getPath().getName() for s in fs.listStatus(root)):
+        folder = f"{path}/{version}"
+        if not version.startswith("v=") or not fs.exists(jvm.org.apache.hadoop.fs.Path(f"{folder}/_SUCCESS")):
+            continue
+        for s in fs.listStatus(jvm.org.apache.hadoop.fs.Path(folder)):
+            name = s.getPath().getName()
+            if name.startswith("bucket="):
+                out.setdefault(int(name[7:]), []).append(f"{folder}/{name}")
+    return out
+
+
+def _expire(spark: SparkSession, path: str, keep: int) -> None:
+    jvm = spark._jvm
+    fs = jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    for folders in _folders(spark, path).values():
+        for folder in folders[:-keep]:
+            fs.delete(jvm.org.apache.hadoop.fs.Path(folder), True)
+
+
+def current(spark: SparkSession, path: str, before: int | None = None, only: list[int] | None = None) -> DataFrame | None:
+    """The newest version of each bucket of a table, or of some buckets, or the newest before a batch number."""
+    chosen = []
+    for bucket, folders in _folders(spark, path).items():
+        if before is not None:
+            folders = [f for f in folders if int(f.split("/")[-2][2:]) < before]
+        if folders and (only is None or bucket in only):
+            chosen.append(folders[-1])
+    return spark.read.parquet(*chosen) if chosen else None
 
 
 def with_flags(stored: DataFrame, arrived: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans.archive_queries import query
+from ..session import shared_folder
 from . import feeds
 
 
@@ -17,11 +18,22 @@ def _events(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _finished(stream: DataFrame, mode: str) -> DataFrame:
-    """The result table of a stream over all that has arrived, kept in memory as results are small."""
-    name = f"stream_{uuid.uuid4().hex}"
-    running = stream.writeStream.outputMode(mode).format("memory").queryName(name).trigger(availableNow=True).start()
-    running.awaitTermination()
-    return stream.sparkSession.table(name)
+    """The result of a stream over all that has arrived: what its batches wrote to the shared folder.
+
+    Batches write under their numbers, so one that comes again replaces itself. In complete mode the
+    last batch is the result, in append mode all of them are.
+    """
+    spark = stream.sparkSession
+    folder = f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
+    numbers = []
+
+    def write(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{folder}/{number}")
+        numbers.append(number)
+
+    running = stream.writeStream.outputMode(mode).foreachBatch(write).option("checkpointLocation", f"{folder}/state")
+    running.trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(*[f"{folder}/{n}" for n in sorted(set(numbers))[-1 if mode == "complete" else 0 :]])
 
 
 @query("""SELECT strftime(time_bucket(INTERVAL 1 DAY, ts::TIMESTAMP, TIMESTAMP '2024-01-01 05:00:00'), '%Y-%m-%d %H') AS day, count(*) AS n FROM events GROUP BY 1""")
@@ -32,7 +44,7 @@ def stream_daily_windows(spark, d):
 
 @query("SELECT DISTINCT user_id FROM events")
 def stream_first_seen(spark, d):
-    return _finished(feeds.first_seen(_events(spark, d).select("user_id", "ts"), "user_id", "ts", "40 days").select("user_id"), "append")
+    return _finished(feeds.first_ever(_events(spark, d).select("user_id"), "user_id"), "append")
 
 
 @query("SELECT event_type, count(*) AS n, count(*) FILTER (value >= 50) AS large FROM events GROUP BY event_type")

@@ -81,9 +81,10 @@ def test_layout(spark):
     assert [tuple(r["box"]) for r in layout.line_boxes(lines).orderBy("line").collect()] == [(0, 0, 110, 11), (0, 30, 110, 41)]
     fit = layout.baselines(lines).orderBy("line").first()
     assert abs(fit["slope"] - 1 / 60) < 1e-9 and fit["offset"] == 9
-    assert "bbox 0 0 50 10; x_wconf 90'>Hello" in layout.hocr(lines).first()["hocr"] and "a&lt;b" in layout.hocr(lines).first()["hocr"]
-    assert layout.djvu(lines).first()["xml"].startswith('<OBJECT><LINE><WORD coords="0,10,50,0">Hello')
+    assert "bbox 0 0 50 10; x_wconf 90' lang='en'>Hello" in layout.hocr(lines).first()["hocr"] and "a&lt;b" in layout.hocr(lines).first()["hocr"]
+    assert '<HIDDENTEXT><PAGECOLUMN><REGION><PARAGRAPH><LINE><WORD coords="0,10,50,0,10">Hello' in layout.djvu(lines).first()["xml"]
     assert '<line baseline="10" l="0"' in layout.abbyy(lines).first()["xml"]
+    assert '<charParams l="51" t="0" r="59" b="11"> </charParams>' in layout.abbyy(lines).first()["xml"]
     assert {r["lang"]: r["weight"] for r in layout.language_weights(words(spark)).collect()} == {"en": 4, "fr": 1}
     assert layout.sparse_pages(words(spark)).first()["pre"]
     blocks = spark.createDataFrame(
