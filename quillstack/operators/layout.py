@@ -106,7 +106,7 @@ def baselines(lines: DataFrame) -> DataFrame:
     box = line_boxes(lines).select(*PAGE, "line", F.col("box.t").alias("top"))
     at = lines.join(box, [*PAGE, "line"]).withColumn("x", (F.col("box.l") + F.col("box.r")) / 2).withColumn("y", F.col("box.b") - F.col("top"))
     fit = at.groupBy(*PAGE, "line").agg(F.regr_slope("y", "x").alias("slope"), F.regr_intercept("y", "x").alias("at0"), F.avg("y").alias("mean"))
-    return fit.select(*PAGE, "line", F.coalesce("slope", F.lit(0.0)).alias("slope"), F.coalesce("at0", "mean").cast("int").alias("offset"))
+    return fit.select(*PAGE, "line", F.coalesce("slope", F.lit(0.0)).alias("slope"), F.round(F.coalesce("at0", "mean"), 6).cast("int").alias("offset"))
 
 
 def common_baseline(lines: DataFrame) -> DataFrame:

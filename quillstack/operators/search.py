@@ -79,8 +79,8 @@ def store(posted: DataFrame, path: str, buckets: int = BUCKETS) -> None:
 def stored(spark, path: str, text: str, stem: bool = True, buckets: int = BUCKETS) -> DataFrame:
     """The postings of a query's words from a stored index; only the folders of these words are read."""
     wanted = query_lexemes(spark, text, stem)
-    where = spark.range(1).select(F.pmod(F.xxhash64(F.explode(F.array(*[F.lit(w) for w in wanted]).cast("array<string>"))), F.lit(buckets)).cast("int").alias("b"))
-    folders = sorted({r["b"] for r in where.collect()}) if wanted else []
+    bucket = [F.pmod(F.xxhash64(F.lit(w)), F.lit(buckets)).cast("int").alias(f"b{i}") for i, w in enumerate(wanted)]
+    folders = sorted(set(spark.range(1).select(*bucket).first())) if wanted else []
     return spark.read.parquet(path).where(F.col("bucket").isin(folders) & F.col("lexeme").isin(wanted)).drop("bucket")
 
 
