@@ -46,6 +46,8 @@ SHARD, PIECE = 512, 2048
 BROADCAST_BYTES = 8 << 20
 #: Shards of several pieces are broadcast up to so many rows of about 20 bytes, and joined by a shuffle beyond.
 BROADCAST_SHARDS = 200_000
+#: Documents that go are broadcast up to so many rows of about 20 bytes, and joined by a shuffle beyond.
+BROADCAST_GONE = 500_000
 _CHUNK = 1 << 16
 _QUERIES = 256
 
@@ -301,8 +303,12 @@ def keep_least(docs: DataFrame, found: DataFrame, id_col: str, text: str) -> Dat
     found = checkpoint(found)
     first = found.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "same")).alias("x"))
     first = first.select(F.col("x.id").alias("__id"), F.col("x.same").alias("__same"))
+    # the documents that go are told to the texts, as they are the fewer ones
+    gone = checkpoint(found.select(F.col("id").alias("__of"), F.col("same").alias("__as")).distinct().join(
+        first, F.col("__of").eqNullSafe(F.col("__id")) & (F.col("__as") == F.col("__same")), "left_anti"))
     whole = F.col(f"`{text}`")
-    kept = docs.join(first, F.col(f"`{id_col}`").eqNullSafe(F.col("__id")) & (F.xxhash64(whole) == F.col("__same")), "left_semi")
+    on = F.col(f"`{id_col}`").eqNullSafe(F.col("__of")) & (F.xxhash64(whole) == F.col("__as"))
+    kept = docs.join(broadcast_if_small(gone, gone.count(), BROADCAST_GONE), on, "left_anti")
     repeated = not found.groupBy("id", "same").count().where("count > 1").isEmpty()
     return kept.dropDuplicates([id_col, text]) if repeated else kept
 
