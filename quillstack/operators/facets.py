@@ -10,6 +10,11 @@ from pyspark.sql import functions as F
 SOURCE_FACETS, YEAR_FACETS = 15, 25
 
 
+def with_source(gazettes: DataFrame, sources: DataFrame) -> DataFrame:
+    """Documents with the title of their source; those of unknown sources are left out."""
+    return gazettes.join(sources.select(F.col("name").alias("source"), F.col("title").alias("source_title")), "source")
+
+
 def source_facets(hits: DataFrame, sources: DataFrame, selected: Iterable[str] = (), limit: int = SOURCE_FACETS) -> DataFrame:
     """(name, title, total, selected), most first. hits: results before the source filter.
 

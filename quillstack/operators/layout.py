@@ -58,6 +58,14 @@ def overlapping_lines(words: DataFrame) -> DataFrame:
     return out.withColumn("line", F.sum("__s").over(w.rowsBetween(Window.unboundedPreceding, 0)) - 1).drop("__s")
 
 
+def left_breaks(words: DataFrame) -> DataFrame:
+    """words with line: within a paragraph, a word that starts left of the one before starts a line."""
+    w = Window.partitionBy(*PAGE, "block", "para").orderBy("word")
+    starts = F.coalesce(F.col("box.l") < F.lag("box.l").over(w), F.lit(False))
+    out = words.withColumn("__s", starts.cast("int"))
+    return out.withColumn("line", F.sum("__s").over(w.rowsBetween(Window.unboundedPreceding, 0))).drop("__s")
+
+
 def char_width(lines: DataFrame) -> DataFrame:
     """(doc, page, char_width): from the widest line of each page, null without characters."""
     per = lines.groupBy(*PAGE, "line").agg(

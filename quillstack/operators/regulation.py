@@ -188,6 +188,25 @@ def number_tokens(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit("([0-9]+[A-Za-z]?(?:[.:-][0-9A-Za-z]+)*(?:\\([0-9A-Za-z]+\\))*)"), 1)
 
 
+#: What a number of a regulation is made of, in the states where it is not just letters, digits and underscores.
+NUMBER_MARKS = {"OH": "[\\w:]+", "NH": "[\\w-]+", "WI": "[\\w-]+", "ND": "[\\w.]+"}
+
+
+def regulation_number(state: Column, text: Column) -> Column:
+    """A struct of regnum and subnum: the first number of a heading and the digits that the next one begins with.
+
+    An R before the first number is passed over; ID's numbers are the whole text, MA's have no second one.
+    """
+    found = F.when(state == "ID", F.array(text))
+    for code, pattern in NUMBER_MARKS.items():
+        found = found.when(state == code, F.regexp_extract_all(text, F.lit(f"(?U)({pattern})"), 1))
+    found = found.otherwise(F.regexp_extract_all(text, F.lit("(?U)(\\w+)"), 1))
+    first = F.when(F.get(found, 0) == "R", 1).otherwise(0)
+    second = F.when((state != "MA") | (first == 1), F.get(found, first + 1))
+    digits = F.regexp_extract(second, "^[0-9]+", 0)
+    return F.struct(F.lower(F.get(found, first)).alias("regnum"), F.when(digits != "", digits).try_cast("int").alias("subnum"))
+
+
 def new_works(candidates: DataFrame, stored: DataFrame) -> DataFrame:
     """Candidates (work, date, lang, ...) that the store does not have in that version and language."""
     return candidates.join(stored.select("work", "date", "lang").distinct(), ["work", "date", "lang"], "left_anti")

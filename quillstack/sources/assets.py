@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import dates
 from ..operators.filters import dated_or_unbounded
+from ..operators.layout import box_of, word_text
 
 #: The metadata fields of fixed meaning; all others stay in the map.
 METADATA = (
@@ -82,6 +83,28 @@ def script_reply(text: Column, schema: str) -> Column:
     return F.from_json(quoted, schema)
 
 
+_VERTEX = "struct<x:int,y:int>"
+#: The fields of a cached reply of a text recogniser that words are made of.
+OCR_REPLY = (
+    "pages array<struct<width:int,height:int,blocks:array<struct<paragraphs:array<struct<words:array<struct<confidence:double,"
+    f"langs:array<string>,vertices:array<{_VERTEX}>,symbols:array<struct<text:string,brk:int>>>>>>>>>>, text string"
+)
+
+
+def ocr_words(replies: DataFrame, doc: str, reply: str) -> DataFrame:
+    """(doc, page, block, para, word, text, box, confidence, langs) of cached replies (JSON); broken ones have no words."""
+    rows = replies.select(F.col(doc).alias("doc"), F.from_json(reply, OCR_REPLY).alias("r"))
+    rows = rows.select("doc", F.posexplode("r.pages").alias("page", "p")).select("doc", "page", F.posexplode("p.blocks").alias("block", "b"))
+    rows = rows.select("doc", "page", "block", F.posexplode("b.paragraphs").alias("para", "a")).select("doc", "page", "block", "para", F.posexplode("a.words").alias("word", "w"))
+    text = F.rtrim(word_text(F.col("w.symbols")))
+    return rows.select("doc", "page", "block", "para", "word", text.alias("text"), box_of(F.col("w.vertices")).alias("box"), "w.confidence", "w.langs")
+
+
+def plain_replies(replies: DataFrame, doc: str, reply: str) -> DataFrame:
+    """(doc, text): the recogniser's own text of each reply."""
+    return replies.select(F.col(doc).alias("doc"), F.from_json(reply, OCR_REPLY)["text"].alias("text"))
+
+
 def subtitles(spark: SparkSession, path: str) -> DataFrame:
     """(path, number, start_s, end_s, text) of SRT files; cues without a time line are left out."""
     cues = spark.read.option("lineSep", "\n\n").text(path).select("value", F.input_file_name().alias("path"))

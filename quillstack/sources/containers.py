@@ -3,14 +3,22 @@
 from __future__ import annotations
 
 import io
+import json
+import re
 import tarfile
 import zipfile
+import zlib
+from html.entities import html5
 from xml.etree import ElementTree
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+_STREAM = re.compile(rb"stream\r?\n(.*?)\r?\nendstream", re.S)
+_URI = re.compile(rb"/URI\s*\(((?:[^()\\]|\\.)*)\)")
+_ENTITY = re.compile(r"&([A-Za-z][A-Za-z0-9]*);")
+_XML_OWN = frozenset(["amp", "lt", "gt", "quot", "apos"])
 _FILE = T.StructType([T.StructField("name", T.StringType()), T.StructField("content", T.BinaryType())])
 
 
@@ -31,11 +39,62 @@ def members(content):
         return []
 
 
+@F.udf(T.ArrayType(T.StringType()), useArrow=True)
+def pdf_links_in_streams(content):
+    """External addresses in a PDF's objects and in its compressed streams, once each, in order."""
+    if content is None:
+        return []
+    data = bytes(content)
+    parts = [data]
+    for m in _STREAM.finditer(data):
+        try:
+            parts.append(zlib.decompressobj().decompress(m[1]))
+        except zlib.error:
+            continue
+    return list(dict.fromkeys(m[1].decode("latin-1") for part in parts for m in _URI.finditer(part)))
+
+
 def pdf_links(content: Column) -> Column:
     """External addresses in a PDF's uncompressed objects, once each."""
     return F.array_distinct(F.regexp_extract_all(F.decode(content, "ISO-8859-1"), F.lit("/URI\\s*\\(((?:[^()\\\\]|\\\\.)*)\\)"), 1))
 
 
+def _with_entities(xml: str) -> str:
+    """Named entities as the characters they stand for, but for those that XML has itself."""
+    return _ENTITY.sub(lambda m: m[0] if m[1] in _XML_OWN else html5.get(f"{m[1]};", m[0]), xml)
+
+
+def _as_object(element):
+    children = list(element)
+    if not children:
+        return element.text or ""
+    out = {}
+    for c in children:
+        out.setdefault(c.tag, []).append(_as_object(c))
+    return {k: v[0] if len(v) == 1 else v for k, v in out.items()}
+
+
+@F.udf(T.StringType(), useArrow=True)
+def xml_object(xml):
+    """XML of unknown tags as JSON: tags with text only are texts, others objects, repeated tags lists; null if it is broken."""
+    if not xml:
+        return None
+    try:
+        return json.dumps(_as_object(ElementTree.fromstring(_with_entities(xml))), ensure_ascii=False, separators=(",", ":"))
+    except ElementTree.ParseError:
+        return None
+
+
+@F.udf(T.BinaryType(), useArrow=True)
+def zipped(files):
+    """A zip archive of an array of (name, content), stored without compression; the names in their order."""
+    data = io.BytesIO()
+    with zipfile.ZipFile(data, "w") as z:
+        for f in files if files is not None else []:
+            z.writestr(zipfile.ZipInfo(f["name"]), bytes(f["content"]))
+    return data.getvalue()
+
+
 _NODE = T.StructType(
     [
         T.StructField("node", T.IntegerType()),
@@ -56,7 +115,7 @@ def xml_nodes(xml):
     if not xml:
         return []
     try:
-        root = ElementTree.fromstring(xml)
+        root = ElementTree.fromstring(_with_entities(xml))
     except ElementTree.ParseError:
         return []
     rows, todo = [], [(root, None)]
