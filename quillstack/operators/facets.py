@@ -32,6 +32,11 @@ def year_facets(hits: DataFrame, limit: int = YEAR_FACETS) -> DataFrame:
     return dated.groupBy("year").agg(F.count(F.lit(1)).alias("total")).orderBy(F.desc("year")).limit(limit)
 
 
+def year_histogram(gazettes: DataFrame) -> DataFrame:
+    """(source, year, n): how many documents of each year each source has; those without a year are left out."""
+    return gazettes.where(F.col("year").isNotNull()).groupBy("source", "year").agg(F.count(F.lit(1)).alias("n"))
+
+
 def archive_stats(gazettes: DataFrame, sources: DataFrame) -> DataFrame:
     """One row: documents, earliest and latest date, sources that have any."""
     one = F.lit(0).alias("one")

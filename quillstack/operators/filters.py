@@ -32,6 +32,11 @@ def dated_or_unbounded(column: Column, first=None, last=None) -> Column:
     return F.lit(True) if first is None and last is None else date_between(column, first, last)
 
 
+def in_year(df: DataFrame, year: int, column: str = "year") -> DataFrame:
+    """Rows of one year; rows without a year are in none."""
+    return df.where(F.col(column) == year)
+
+
 def year_or_unknown(column: Column, first: int, last: int) -> Column:
     """Years in the range, and unknown years."""
     return column.isNull() | column.between(first, last)

@@ -14,6 +14,11 @@ def numbered(rows: DataFrame, group: list[str], order: list, breaks: Column, nam
     ).drop("__break")
 
 
+def counted(rows: DataFrame, group: list[str], order: list, name: str = "number") -> DataFrame:
+    """rows with their place in the group, from 0."""
+    return rows.withColumn(name, (F.row_number().over(Window.partitionBy(*group).orderBy(*order)) - 1).cast("long"))
+
+
 def carry_down(rows: DataFrame, group: list[str], order: list, header: str, within: str | None = None) -> Column:
     """The last header at or above a row; with ``within``, headers do not pass a change of that running number."""
     keys = [*group, within] if within else group
@@ -62,8 +67,7 @@ def phrases(words: DataFrame, limit: int = 8, seconds: float = 3.0, doc: str | N
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("idx", F.col("x.word").alias("w")))), lambda x: x["w"]), " ").alias("text"),
         F.min("x.start_s").alias("start_s"), F.max("x.end_s").alias("end_s"),
     )
-    number = F.row_number().over(Window.partitionBy(*docs).orderBy("result", "phrase")) - 1
-    return cut.withColumn("number", number).select(*docs, "result", "phrase", "number", "text", "start_s", "end_s")
+    return counted(cut, docs, ["result", "phrase"]).select(*docs, "result", "phrase", "number", "text", "start_s", "end_s")
 
 
 def srt_time(seconds: Column) -> Column:

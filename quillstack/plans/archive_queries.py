@@ -7,7 +7,7 @@ conversations are ordered rows.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import dates, text
@@ -103,7 +103,7 @@ def filter_dated_or_unbounded(spark, d):
 
 @query(f"SELECT id, year FROM {_G} WHERE year = 1997")
 def filter_year(spark, d):
-    return gazettes(spark, d).where("year = 1997").select("id", "year")
+    return filters.in_year(gazettes(spark, d), 1997).select("id", "year")
 
 
 @query(f"SELECT id, year FROM {_G} WHERE year IS NULL OR year BETWEEN 1996 AND 1997")
@@ -126,7 +126,7 @@ def facet_year(spark, d):
 
 @query(f"SELECT source, year, count(*) AS n FROM {_G} WHERE year IS NOT NULL GROUP BY source, year")
 def source_year_histogram(spark, d):
-    return gazettes(spark, d).where("year IS NOT NULL").groupBy("source", "year").agg(F.count(F.lit(1)).alias("n"))
+    return facets.year_histogram(gazettes(spark, d))
 
 
 def _sources(spark, d):
@@ -364,7 +364,7 @@ def carry_down_header(spark, d):
 @query("SELECT conv_id, turn, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS number FROM conversations WHERE trim(text) <> ''")
 def subtitle_numbering(spark, d):
     c = table(spark, d, "conversations").where("trim(text) <> ''")
-    return c.select("conv_id", "turn", (F.row_number().over(Window.partitionBy("conv_id").orderBy("turn")) - 1).cast("long").alias("number"))
+    return windows.counted(c.select("conv_id", "turn"), ["conv_id"], ["turn"])
 
 
 @query("""WITH w AS (SELECT source AS doc, lang, sum(n_chars) AS weight FROM documents GROUP BY ALL),
@@ -448,8 +448,10 @@ def publish_stats(spark, d):
 
 @query("""SELECT time_bucket(INTERVAL 1 DAY, ts::TIMESTAMP, TIMESTAMP '2024-01-01 05:00:00')::TIMESTAMP AS start, count(*) AS n FROM events GROUP BY 1""")
 def mtime_daily_window(spark, d):
-    w = F.window("ts", "1 day", "1 day", "5 hours")
-    return table(spark, d, "events").groupBy(w.alias("w")).agg(F.count(F.lit(1)).alias("n")).select(F.col("w.start").cast("timestamp_ntz").alias("start"), "n")
+    from ..streaming.feeds import by_upload_day
+
+    days = by_upload_day(table(spark, d, "events").withColumn("ts", F.col("ts").cast("timestamp")), "ts")
+    return days.select(F.col("start").cast("timestamp_ntz").alias("start"), "n")
 
 
 @query("SELECT string_agg(kv, ' ' ORDER BY kv) AS line FROM (SELECT event_type || '=' || count(*) AS kv FROM events GROUP BY event_type)")

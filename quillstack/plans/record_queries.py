@@ -85,9 +85,13 @@ def enabled_source_rows(spark, d):
 
 @query("SELECT c_custkey, c_name AS name, c_mktsegment AS segment FROM customer")
 def header_driven_columns(spark, d):
-    header = F.array(F.lit("Sr. No."), F.lit("Name of Firm"), F.lit("Market Segment"), F.lit("Other"))
-    order = extract.header_order(header, {"name": "name", "segment": "segment"})
-    cells = F.array(F.lit("1"), F.col("c_name"), F.concat(F.lit(" "), F.col("c_mktsegment")), F.lit("x"))
+    # pages differ in the order, number and wording of their columns
+    name, segment, kind = F.col("c_name"), F.concat(F.lit(" "), F.col("c_mktsegment")), F.col("c_custkey") % 3
+    row = lambda *cells: F.array(*[F.struct(F.lit(h).alias("h"), (F.lit(c) if isinstance(c, str) else c).alias("c")) for h, c in cells])
+    page = F.when(kind == 0, row(("Sr. No.", "1"), ("Name of Firm", name), ("Market Segment", segment), ("Other", "x")))
+    page = page.when(kind == 1, row((" SEGMENT ", segment), ("Firm name", name))).otherwise(row(("No", "2"), ("Segment", segment), ("Of", "y"), ("Name", name), ("End", "z")))
+    order = extract.header_order(F.transform(page, lambda x: x["h"]), {"name": "name", "segment": "segment"})
+    cells = F.transform(page, lambda x: x["c"])
     return table(spark, d, "customer").select("c_custkey", extract.assigned(order, cells).alias("m")).select("c_custkey", F.col("m")["name"].alias("name"), F.col("m")["segment"].alias("segment"))
 
 

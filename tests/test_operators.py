@@ -1,17 +1,18 @@
 import datetime
 
+import pytest
 from pyspark.sql import functions as F
 
-from quillstack.operators import ingest, layout, regulation, search, windows
+from quillstack.operators import ingest, layout, ordering, regulation, search, sets, windows
 from quillstack.plans.search_plan import Archive, Criteria
 from quillstack.schemas import OCR_WORD
 from quillstack.sources import assets, sinks
 from quillstack.streaming import feeds
 
 GAZETTES = [
-    (1, "central", datetime.date(2024, 4, 18), 2024, "Land acquisition for railways", "Dawanpur village railway project"),
-    (2, "central", datetime.date(2023, 1, 5), 2023, "Inter cadre transfer of officer", "notification, Andhra Pradesh cadre"),
-    (3, "andhra", datetime.date(2022, 6, 10), 2022, "Municipal upgradation", "municipal corporation"),
+    (1, "central", datetime.date(2024, 4, 18), 2024, "Canals of the lower delta", "Lock gate and canal works near Aldur"),
+    (2, "central", datetime.date(2023, 1, 5), 2023, "Joint forest survey in hills", "circular, northern range forest"),
+    (3, "andhra", datetime.date(2022, 6, 10), 2022, "Harbour dredging", "harbour board"),
     (4, "andhra", None, None, "Undated", "nothing here"),
 ]
 
@@ -26,8 +27,8 @@ def test_search(spark):
     a = archive(spark)
     ids = lambda **c: [r["id"] for r in a.page(Criteria(**c)).rows.collect()]
     assert ids() == [1, 2, 3, 4] and ids(order="oldest") == [3, 2, 1, 4]
-    assert sorted(ids(q="railway OR municipal")) == [1, 3] and ids(q='"inter cadre transfer"') == [2] and ids(q='"transfer cadre inter"') == []
-    assert ids(q="cadre -officer") == [] and sorted(ids(q="-railway")) == [2, 3, 4] and ids(q="the of") == []
+    assert sorted(ids(q="canal OR harbour")) == [1, 3] and ids(q='"joint forest survey"') == [2] and ids(q='"survey forest joint"') == []
+    assert ids(q="forest -hills") == [] and sorted(ids(q="-canal")) == [2, 3, 4] and ids(q="the of") == []
     assert ids(sources=("andhra",)) == [3, 4] and ids(first=datetime.date(2023, 1, 1)) == [1, 2] and ids(year=2022) == [3]
     facets = [(r["name"], r["total"], r["selected"]) for r in a.source_facets(Criteria(sources=("andhra",), last=datetime.date(2024, 12, 31))).collect()]
     assert facets == [("central", 2, False), ("andhra", 1, True)]
@@ -36,6 +37,42 @@ def test_search(spark):
     assert (page.number, page.pages, page.total) == (2, 2, 4) and [r["id"] for r in page.rows.collect()] == [4]
 
 
+def test_pages_from_either_end(spark):
+    rows = spark.createDataFrame([(k, datetime.date(2024, 1, 1 + k % 9) if k % 5 else None) for k in range(47)], "id int, date date")
+    for order in ("newest", "oldest"):
+        keys = ordering.order_keys(order)
+        every = [r["id"] for r in ordering.ordered(rows, keys).collect()]
+        pages = [ordering.paginate(rows, keys, n, 10) for n in range(1, 6)]
+        assert [r["id"] for p in pages for r in p.rows.collect()] == every
+    assert [r["id"] for r in ordering.ordered(rows, ordering.source_page_keys()).limit(2).collect()] == [45, 40]
+    assert ordering.paginate(rows.limit(0), keys, 3).rows.count() == 0
+
+
+def test_natural_keys_of_long_numbers(spark):
+    names = ["a9", "a10", "a007", "a12345678901234567890", "a12345678901234567891", "b", "a0"]
+    got = spark.createDataFrame([(n,) for n in names], "n string").orderBy(ordering.natural_key(F.col("n")), "n").collect()
+    assert [r["n"] for r in got] == ["a0", "a007", "a9", "a10", "a12345678901234567890", "a12345678901234567891", "b"]
+
+
+def test_hierarchies_of_any_depth(spark):
+    chain = [(f"n{k}", f"n{k + 1}") for k in range(13)] + [("x", "n11"), ("x", "leaf"), ("y", "n11")]
+    edges = spark.createDataFrame(chain, "parent string, child string")
+    assert sorted(r["name"] for r in sets.expand(edges, ["n0", "x", "y", "alone"]).collect()) == ["alone", "leaf", "n13", "n13", "n13"]
+    with pytest.raises(ValueError):
+        sets.expand(edges.unionByName(spark.createDataFrame([("n13", "n2")], "parent string, child string")), ["n0"])
+
+
+def test_stored_postings(spark, tmp_path):
+    a = archive(spark)
+    search.store(a.postings, str(tmp_path / "index"), buckets=8)
+    for q in ("canal OR harbour", '"joint forest survey"', "forest -hills", "the"):
+        posted = search.stored(spark, str(tmp_path / "index"), q, buckets=8)
+        want = {r["doc"] for r in search.match(a.postings, a.gazettes, "id", q).collect()}
+        assert {r["doc"] for r in search.match(posted, a.gazettes, "id", q).collect()} == want
+        scanned = search.scanned(a.gazettes, "id", {"title": "A", "body": "D"}, q)
+        assert {r["doc"] for r in search.match(scanned, a.gazettes, "id", q).collect()} == want
+
+
 def test_rank_and_snippets(spark):
     rows = spark.createDataFrame([(1, "alpha beta"), (2, "alpha x y z beta"), (3, "alpha only")], "id long, body string")
     posted = search.postings(rows, "id", {"body": "D"})
@@ -44,6 +81,10 @@ def test_rank_and_snippets(spark):
     assert search.cover_density([("a", 1, 1.0), ("b", 2, 1.0), ("a", 9, 1.0)], {"a", "b"}) == 1.0 + 1 / 7
     shown = search.snippets(rows, "id", "body", "beta").collect()
     assert {r["id"]: r["snippet"] for r in shown}[2] == "alpha x y z \x02beta\x03"
+    text = " ".join(["start", *["w"] * 60, "Canals,", *["v"] * 60, "canal", "canalside", "end"])
+    found = search.snippets(spark.createDataFrame([(1, text), (2, None)], "id long, body string"), "id", "body", "canal").collect()
+    shown = {r["id"]: r["snippet"] for r in found}
+    assert shown[1].count("\x02") == 2 and "\x02Canals,\x03" in shown[1] and "\x02canal\x03 canalside" in shown[1] and " … " in shown[1] and shown[2] == ""
     assert [r["id"] for r in search.unindexed(rows, posted.where("doc <> 3"), "id").collect()] == [3]
 
 
@@ -131,7 +172,7 @@ def test_regulations(spark):
     assert sorted(r["v"] for r in regulation.merged_regulations(parts).collect()) == ["a", "n"]
 
 
-META = "<document><date><day>18</day><month>4</month><year>2024</year></date><gazetteid>CG-1</gazetteid><ministry>Ministry of Railways</ministry><subject>A &amp; b</subject></document>"
+META = "<document><date><day>18</day><month>4</month><year>2024</year></date><gazetteid>CG-1</gazetteid><ministry>Ministry of Canals</ministry><subject>A &amp; b</subject></document>"
 
 
 def test_metadata_xml(spark):
@@ -180,6 +221,14 @@ def test_streams(spark, tmp_path):
     query = stream.writeStream.foreachBatch(feeds.upsert_batches(str(target), "relurl", "v")).option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start()
     query.awaitTermination()
     assert sorted((r["relurl"], r["v"]) for r in feeds.current(spark, str(target)).collect()) == [("a/1", 2), ("a/2", 1), ("a/3", 1)]
+    # a batch without a key of a bucket leaves its folder alone, and old versions of a bucket go
+    merge = feeds.upsert_batches(str(target), "relurl", "v", keep=1)
+    merge(spark.createDataFrame([("a/1", 9, None)], schema), 50)
+    assert sorted((r["relurl"], r["v"]) for r in feeds.current(spark, str(target)).collect()) == [("a/1", 9), ("a/2", 1), ("a/3", 1)]
+    assert all(len(f) == 1 for f in feeds._folders(spark, str(target)).values())
+    merge(spark.createDataFrame([("a/1", 9, None)], schema), 50)
+    assert feeds.current(spark, str(target)).count() == 3
+    assert sorted(r["relurl"] for r in feeds.current(spark, str(target), before=50).collect()) == ["a/2", "a/3"]
     days = feeds.by_upload_day(feeds.parquet_feed(spark, str(source), schema), "ts")
     query = days.writeStream.outputMode("complete").format("memory").queryName("days").trigger(availableNow=True).start()
     query.awaitTermination()
