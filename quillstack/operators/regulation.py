@@ -20,6 +20,17 @@ RULES = (
     ("", "division", "article", "article"), ("", "division", "section", "sec"), ("", "division", "subsection", "subsec"),
     ("chap", "division", "rule", "sec"), ("", "division", "rule", "rule"), ("", "para", "", "p"), ("", "subsect", "", "subsec"),
     ("", "list", "", "list"), ("", "item", "", "item"), ("", "table", "", "table"), ("", "codecitation", "", "ref"),
+    ("", "code", "section", "sec"), ("", "code", "rule", "sec"), ("", "code", "rule2", "sec"), ("", "code", "division", "division"), ("", "code", "agency", "division"),
+    ("", "code", "subagency", "division"), ("", "code", "series", "division"), ("", "code", "regulationno", "division"), ("", "code", "subtitle", "division"),
+    ("", "code", "title", "division"), ("", "code", "sec2", "division"), ("", "code", "chapter", "chap"), ("", "code", "subchapter", "chap"), ("", "code", "part", "part"),
+    ("", "code", "subpart", "part"), ("", "code", "regulation", "part"), ("", "code", "undesignated", "group"), ("", "code", "unprefixed", "group"), ("", "code", "group", "group"),
+    ("", "code", "subgroup", "group"), ("", "code", "article", "article"), ("", "code", "subarticle", "article"), ("", "code", "appendix", "appendix"),
+    ("", "number", "", "num"), ("", "name", "", "heading"), ("", "content", "", "content"), ("", "bold", "", "b"), ("", "italic", "", "i"), ("", "underscore", "", "u"),
+    ("", "superscript", "", "sup"), ("", "subscript", "", "sub"), ("", "strike", "", "del"), ("", "del", "", "del"), ("", "add", "", "remark"), ("", "linebreak", "", "br"),
+    ("", "ulink", "", "a"), ("", "regcitation", "", "a"), ("", "actcitation", "", "span"), ("", "codesec", "", "ref"), ("", "footnoteref", "", "ref"), ("", "primaryidcodenumber", "", "ref"),
+    ("", "note", "", "note"), ("", "notes-footnotes", "", "note"), ("", "notes-maint", "", "p"), ("", "reviewdates", "", "p"), ("", "effectivedate", "", "date"),
+    ("", "expirationdate", "", "date"), ("", "reviewdate", "", "date"), ("", "operationaldate", "", "date"), ("", "itemizedlist", "", "list"), ("", "listitem", "", "item"),
+    ("", "li", "", "item"), ("", "thead", "", "thead"), ("", "tbody", "", "tbody"), ("", "tr", "", "tr"), ("", "th", "", "th"), ("", "td", "", "td"),
 )
 IMAGES = ("jpg", "jpeg", "png", "gif", "bmp", "tif", "tiff")
 

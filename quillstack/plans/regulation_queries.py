@@ -45,6 +45,15 @@ def regulation_dispatch(spark, d):
     return _dispatched(spark, d).select("reg", "node", "becomes")
 
 
+@query("SELECT conv_id AS reg, turn AS node, CASE turn % 7 WHEN 0 THEN 'b' WHEN 1 THEN 'td' WHEN 2 THEN 'ref' WHEN 3 THEN 'appendix' WHEN 4 THEN 'division' WHEN 5 THEN 'date' END AS becomes FROM conversations")
+def regulation_inline_dispatch(spark, d):
+    pick = F.element_at(F.array(*[F.struct(F.lit(t).alias("tag"), F.lit(k).alias("kind")) for t, k in (
+        ("bold", ""), ("TD", ""), ("codesec", ""), ("code", "Appendix"), ("code", "Series"), ("reviewdate", "x"), ("unknown", ""))]), (F.col("turn") % 7 + 1).cast("int"))
+    c = table(spark, d, "conversations").select(F.col("conv_id").alias("reg"), F.col("turn").alias("node"), F.lit(None).cast("long").alias("parent"), pick.alias("x"))
+    nodes = c.select("reg", "node", "parent", "x.tag", F.when(F.col("x.kind") != "x", F.col("x.kind")).otherwise("").alias("kind"))
+    return regulation.dispatched(nodes, regulation.rule_table(spark)).select("reg", "node", "becomes")
+
+
 @query(f"""SELECT reg, node, CASE WHEN kind = 'Rule' AND (reg, node) IN (SELECT (reg, parent) FROM {_NODES} WHERE kind IN ('Article', 'Section')) THEN 'group' ELSE becomes END AS becomes FROM {_BECOMES}""")
 def regulation_rule_groups(spark, d):
     return regulation.rules_as_groups(_dispatched(spark, d)).select("reg", "node", "becomes")
