@@ -41,7 +41,7 @@ from .common import broadcast_if_small, checkpoint, join_named, n_words
 WEIGHTS = (3, 1, 2)
 SHARE_PERCENT = 150
 MAX_COPIES = 2
-PIECE = 4096
+PIECE = 256
 STEPS = 60
 EXCHANGES = 4
 #: Sources are broadcast up to so many rows of about 100 bytes, and joined by a shuffle beyond.
@@ -144,7 +144,10 @@ def exchanged(cells: DataFrame, max_copies: int = MAX_COPIES, exchanges: int = E
     for _ in range(exchanges):
         taken = F.sum(size * F.col("copies"))
         gaps = cells.groupBy(*_SOURCE).agg((F.first("target") - taken).alias("gap")).where("abs(gap) > 0.5")
-        open_ = cells.where("size > 0").join(broadcast_if_small(gaps, gaps.count(), BROADCAST_SOURCES), _SOURCE)
+        n_gaps = gaps.count()
+        if not n_gaps:
+            break
+        open_ = cells.where("size > 0").join(broadcast_if_small(gaps, n_gaps, BROADCAST_SOURCES), _SOURCE)
         # what may be added asks for what, taken away, would leave the gap; nothing is an answer too
         rows = (
             side(open_.where(F.col("copies") < max_copies * F.col("n")), v=size - F.col("gap"), gap=F.col("gap"), add=size)
@@ -194,12 +197,13 @@ def mix(docs: DataFrame, id_col="doc_id", text="text", source="source", weights=
     met = exchanged(checkpoint(rounded), max_copies).withColumn("pieces", F.ceil(F.col("n") / PIECE)).withColumnRenamed("n", "times")
     met = met.withColumn("whole", F.floor(F.col("copies") / F.col("times"))).withColumn("more", F.col("copies") - F.col("whole") * F.col("times"))
     placed = join_named(base, checkpoint(met.drop("copies")), cell, base.count())
-    placed = placed.withColumn("piece", F.pmod(F.col("order"), F.col("pieces")))
+    # pieces go by one column, so that nothing is dealt by the cell alone, which may be hot
+    placed = placed.withColumn("spot", F.struct(*cell, F.pmod(F.col("order"), F.col("pieces")).alias("piece")))
     # the documents of a cell that get one copy more are the first ones of its pieces in turn
-    held = placed.groupBy(*cell, "piece").agg(F.count(F.lit(1)).alias("held"))
-    before = F.sum("held").over(Window.partitionBy(*cell).orderBy("piece")) - F.col("held")
-    ranked = placed.withColumn("place", F.row_number().over(Window.partitionBy(*cell, "piece").orderBy("order")))
-    both = ranked.join(held.select(*cell, "piece", before.alias("before")), [*cell, "piece"])
+    held = placed.groupBy("spot").agg(F.count(F.lit(1)).alias("held"))
+    before = F.sum("held").over(Window.partitionBy(*[f"spot.{c}" for c in cell]).orderBy("spot.piece")) - F.col("held")
+    ranked = placed.withColumn("place", F.row_number().over(Window.partitionBy("spot").orderBy("order")))
+    both = ranked.join(held.select("spot", before.alias("before")), "spot")
     copies = (F.col("whole") + (F.col("before") + F.col("place") <= F.col("more")).cast("long")).cast("long")
     return both.withColumn("copies", copies).select(
         F.col("id").alias(id_col), F.when(F.col("known"), F.col("name")).cast(docs.schema[source].dataType).alias(source), "size", "source_size",
