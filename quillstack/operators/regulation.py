@@ -95,8 +95,10 @@ def merged_regulations(parts: DataFrame) -> DataFrame:
 CITED_BY_USE = ("MI", "GA", "ID", "LA", "ME", "MS", "NE", "RI", "WY")
 CITED_BY_USE_OR_TEXT = ("WI", "SC", "CO", "DE")
 CITED_WITHOUT_CONTROLS = ("MO",)
-#: The states whose codes have no titles; all others' references carry the title.
-NO_TITLES = ("FL", "MI", "SD")
+#: The states whose codes have titles, which their references carry.
+TITLE_STATES = tuple(
+    "AK AL AR AZ CA CO CT DE GA HI IA ID IL IN KS KY LA MA MD ME MN MO MS MT NC ND NE NH NJ NM NV NY OH OK OR PA RI SC SD TN TX UT VA VT WA WI WV WY".split()
+)
 
 
 def citations(refs: DataFrame) -> DataFrame:
@@ -111,7 +113,7 @@ def citations(refs: DataFrame) -> DataFrame:
         .when(state.isin(*CITED_WITHOUT_CONTROLS), without_controls(text)).otherwise(text)
     )
     split = (state == "NE") & number.rlike("[0-9]+-.")
-    title = F.when(split, F.regexp_extract(number, "([0-9]+)-(.+)", 1)).when(~state.isin(*NO_TITLES, "WI"), empty(F.col("title")))
+    title = F.when(split, F.regexp_extract(number, "([0-9]+)-(.+)", 1)).when(state.isin(*TITLE_STATES) & (state != "WI"), empty(F.col("title")))
     return refs.withColumn("cited_use", empty(F.when(split, F.regexp_extract(number, "([0-9]+)-(.+)", 2)).otherwise(number))).withColumn("cited_title", title)
 
 
@@ -137,7 +139,7 @@ def states(spark) -> DataFrame:
     """(state, locality, start_year, titled): the states and whether their references carry a title."""
     rows = spark.range(1).select(F.explode(F.split(F.lit(STATES), ", *")).alias("x")).select(F.split(F.trim("x"), " ").alias("x"))
     state = F.col("x")[0]
-    return rows.select(state.alias("state"), F.col("x")[1].alias("locality"), F.col("x")[2].cast("int").alias("start_year"), (~state.isin(*NO_TITLES)).alias("titled"))
+    return rows.select(state.alias("state"), F.col("x")[1].alias("locality"), F.col("x")[2].cast("int").alias("start_year"), state.isin(*TITLE_STATES).alias("titled"))
 
 
 def reference_index(refs: DataFrame) -> DataFrame:
