@@ -14,8 +14,8 @@
 
 What is dropped: tags and roles that say so, hidden parts, and parts whose class or id says so. A
 name counts if all of its words are those of page furniture (``cookie-notice``); with other words
-too (``social-history``) the part is dropped only if it is mostly links. Wrappers that hold the
-headline stay. The fallback texts of objects, audio, video and canvas are text, those of
+too (``social-history``) the part is dropped only if it is mostly links. Wrappers and forms that hold the
+headline or the article stay. The fallback texts of objects, audio, video and canvas are text, those of
 ``noscript`` are notices; CDATA sections are comments, as in HTML.
 
 Text: character references decoded, white space within a block turned into one space, blocks
@@ -78,7 +78,8 @@ _DROP_WORDS = frozenset(
     " sponsors cookie cookies consent gdpr notice notices popup modal overlay newsletter subscribe subscription signup paywall"
     " share sharing social related recommended recommendations comment comments commentlist disqus reply replies respond"
     " breadcrumb breadcrumbs pagination pager login search searchbox toolbar skip copyright hidden alert toast teaser teasers"
-    " outbrain taboola".split()
+    " outbrain taboola topnav sidenav leftnav rightnav mainnav subnav sitenav mainmenu adbox adslot adunit commentbox commentform"
+    " sitefooter pagefooter".split()
 )
 _DROP_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alertdialog alert menu menubar toolbar".split())
 _KEEP_WORDS = frozenset("article post entry story content main body".split())
@@ -90,8 +91,8 @@ _FURNITURE = _DROP_WORDS | frozenset(
     "list bar box wrap wrapper block area links link items item buttons button btn icons icon panel top bottom left right site page"
     " global inner outer slot unit posts post articles stories news more thread count meta holder primary secondary tertiary mobile"
     " desktop fixed sticky message messages msg strip zone group col column columns row rows main header head container section content"
-    " text title media social us by on off js module region region1 tools tool float floating sub super mini big small large full"
-    " user users reader readers blog the for your my ext ext1 id el component shell layer frame feed line lines tags tag bottombar".split()
+    " text title media social us by on off js module region tools tool float floating sub super mini big small large full"
+    " user users reader readers blog the for your my ext id el component shell layer frame feed line lines tags tag article entry entries story body".split()
 )
 #: Parts that may hold headings of their own and are dropped even so.
 _FIRM_WORDS = frozenset("comment comments commentlist disqus replies respond ad ads advert adverts advertisement related recommended modal popup".split())
@@ -116,7 +117,7 @@ def _names(value: str) -> list[str]:
 def _dropped(tag: str, attributes: dict, raw: str, inside: bool) -> tuple[bool, bool, bool]:
     """Whether a node is no main text, whether that goes by its names only, and whether its names leave it open."""
     if tag in _DROP or tag == "header" and not inside:
-        return True, False, False
+        return True, tag == "form", False  # some pages are one form
     if not raw.strip():
         return False, False, False
     if attributes.get("role", "").lower() in _DROP_ROLES or attributes.get("aria-hidden", "").lower() == "true":
@@ -128,7 +129,7 @@ def _dropped(tag: str, attributes: dict, raw: str, inside: bool) -> tuple[bool,
         return tag == "article" and any(w in _FIRM_WORDS or w in ("reply", "teaser") for w in words), False, False
     guess = False
     for name in (attributes.get("class", "") + " " + attributes.get("id", "")).split():
-        words = {w for w in _names(name) if not w.isdigit()}
+        words = {w.strip("0123456789") for w in _names(name)} - {""}
         if words & _WRAPPER_WORDS and not words <= _FURNITURE:
             continue
         if words & _DROP_WORDS and not words & _WRAPPER_FIRST:
@@ -239,7 +240,7 @@ def read(page: str) -> tuple[list[_Node], list[tuple[_Node, str, float]]]:
         attributes = _attributes(raw)
         inside = any(n.tag in ("article", "main") for n in stack)
         drop, soft, guess = _dropped(tag, attributes, raw, inside)
-        if tag in ("h1", "main") and not drop and parent.drop and not any(n.drop and not n.soft for n in stack):
+        if tag in ("h1", "main", "article") and not drop and parent.drop and not any(n.drop and not n.soft for n in stack):
             for n in stack:  # what holds the headline is the page after all
                 n.drop = n.soft = False
         name = tag

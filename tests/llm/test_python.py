@@ -68,6 +68,9 @@ def test_html_uses_the_host_path():
         ("<p>keep</p><div class='comment-guide'><a href=1>one</a> <a href=2>two</a></div>", "keep"),
         ("<p>keep</p><ul class='related-posts'><li>no</li></ul><div id=cookie-notice>no</div><div class=cookieNotice>no</div>", "keep"),
         ("<title>abc <p>text after</p>", "text after"),
+        ("<p>keep</p><div class='article-comments'>no</div><div id=sidebar2>no</div><div class=topnav>no</div><div class='entry-share3'>no</div>", "keep"),
+        ("<body><form id=page><input name=q><div class=box><h1>T</h1><p>in a form</p></div></form></body>", "T\nin a form"),
+        ("<p>keep</p><form><p>Search</p><label>no</label></form>", "keep"),
         ("<p>a<![CDATA[x]]>b</p><p>c</p>", "ab\nc"),
         ("<p>a<object>o</object><video>v</video><noscript>no</noscript><svg><text>no</text></svg>z</p>", "a o v z"),
         ("<p>a<textarea>never closed</p><p>b</p>", "a never closed\nb"),
@@ -262,6 +265,30 @@ def dense(rnd, n, cores):
     return sorted(values)
 
 
+def test_near_copies_of_a_large_group_and_strangers(spark, monkeypatch):
+    rnd = random.Random(23)
+    base = [f"w{rnd.randrange(3000)}" for _ in range(200)]
+    texts = [edited(rnd, base, rnd.choice((1, 2, 3))) for _ in range(120)]
+    chain = [f"w{rnd.randrange(3000)}" for _ in range(200)]
+    for _ in range(40):  # each is near to the one before, few to one further away
+        chain = edited(rnd, chain, 3)
+        texts.append(chain)
+    sets = [five(t) for t in texts]
+    up = list(range(len(texts)))
+    for a in range(len(texts)):
+        for b in range(a):
+            if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]):
+                x, y = up[a], up[b]
+                up = [min(x, y) if u in (x, y) else u for u in up]
+    docs = spark.createDataFrame([(k, " ".join(t)) for k, t in enumerate(texts)], "doc_id long, text string").repartition(3)
+    for piece, anchors in ((16, 2), (300, 16), (7, 16)):
+        monkeypatch.setattr(near_copies, "ANCHORS", anchors)
+        groups = {}
+        for r in near_copies.near_components(docs, piece=piece).collect():
+            groups.setdefault(r["root"], []).append(r["id"])
+        assert sorted(map(sorted, groups.values())) == sorted(sorted(k for k in range(len(texts)) if up[k] == u) for u in set(up))
+
+
 @pytest.mark.parametrize("limit", [simhash.BROADCAST_BYTES, 0])
 def test_links_of_dense_shards(spark, limit):
     values = dense(random.Random(6), 900, 3)
