@@ -52,16 +52,12 @@ def line_table(docs: DataFrame, id_col="doc_id", text="text") -> DataFrame:
     """
     whole = F.col(f"`{text}`")
     spoken = F.filter(
-        F.transform(F.split(F.col("text"), "\n", -1), lambda x, i: F.struct(x.alias("text"), i.alias("line"))),
+        F.transform(F.split(whole, "\n", -1), lambda x, i: F.struct(x.alias("text"), i.alias("line"))),
         lambda x: F.btrim(x["text"], F.lit(SPACE)) != "",
     )
     # The text is hashed before the explode, or it would be hashed again for each of its lines. The
     # outer explode keeps Spark from adding a filter that splits each text twice more.
-    # Rows that agree are one document: each would double the ranks of all at every level.
-    rows = docs.select(F.col(f"`{id_col}`").alias("doc"), F.xxhash64(whole).alias("same"), whole.alias("text"))
-    if not rows.groupBy("doc", "same").count().where("count > 1").isEmpty():
-        rows = rows.dropDuplicates(["doc", "same"])
-    rows = rows.select("doc", "same", spoken.alias("lines"))
+    rows = docs.select(F.col(f"`{id_col}`").alias("doc"), F.xxhash64(whole).alias("same"), spoken.alias("lines"))
     lines = rows.select("doc", "same", F.posexplode_outer("lines").alias("at", "x")).where("at IS NOT NULL")
     first = F.xxhash64("x.text")
     return lines.select(
@@ -95,7 +91,11 @@ def double(ranks: DataFrame, step: int) -> DataFrame:
 
 def levels(lines: DataFrame, min_words: int = MIN_WORDS) -> list[DataFrame]:
     """The ranks of the levels that runs of min_words words need; that of level 0 has line and n too."""
-    out = [checkpoint(first_ranks(lines))]
+    place = ["doc", "same", "at"]
+    first = checkpoint(first_ranks(lines))
+    if not first.groupBy(*place).count().where("count > 1").isEmpty():
+        first = checkpoint(first.dropDuplicates(place))  # rows that agree are one document; each would double the ranks at every level
+    out = [first]
     while 2 ** len(out) <= min_words:
         out.append(checkpoint(double(out[-1].select("doc", "same", "at", "rank"), 2 ** (len(out) - 1))))
     return out
