@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-import atexit
-import shutil
-import tempfile
-
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..session import checkpoint, shared_folder  # noqa: F401  (operators take both from here)
+
 #: The white space that the word definition `[^\x20\x09-\x0D]+` leaves out.
 SPACE = " \t\n\x0b\x0c\r"
 _SPLIT = "[ \\t\\n\\x0B\\f\\r]+"
@@ -35,30 +33,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that all executors share: the session's spark.checkpoint.dir.
-
-    Only where that is unset on a local master, as in tests, a folder of this process is made and
-    deleted at its end; on a cluster a missing setting is an error.
-    """
-    folder = spark.conf.get("spark.checkpoint.dir", "")
-    if not folder:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
-        folder = tempfile.mkdtemp(prefix="quillstack-checkpoint-")
-        atexit.register(shutil.rmtree, folder, ignore_errors=True)
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
-
-
-def checkpoint(df: DataFrame) -> DataFrame:
-    """df from files in the shared folder."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_folder(df.sparkSession))
-    return df.checkpoint()
-
-
 def broadcast_if_small(df: DataFrame, rows: int, limit: int) -> DataFrame:
     """df with a broadcast hint if its counted rows are within the limit, else df as it is."""
     return F.broadcast(df) if rows <= limit else df
