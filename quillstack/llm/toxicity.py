@@ -52,17 +52,17 @@ def lexicon(known: DataFrame) -> tuple[dict[str, float], dict[str, float]]:
     if not n or not toxic or toxic == n:
         return {}, {}
 
-    def ranked(token):
-        seen = known.select("label", F.explode(token).alias("w")).groupBy("w").agg(
-            F.sum("label").alias("t"), F.sum(1 - F.col("label")).alias("o")
-        )
-        ratio = ((F.col("t") + 0.5) / (toxic + 1.0)) / ((F.col("o") + 0.5) / (n - toxic + 1.0))
-        often = F.col("t") >= max(LEAST_TOXIC, LEAST_SHARE * toxic)
-        seen = seen.withColumn("ratio", ratio).where(often & (F.col("ratio") >= LEAST_RATIO))
-        return {r["w"]: math.log(r["ratio"]) for r in seen.select("w", "ratio").collect()}
-
-    stems = F.array_distinct(F.transform(F.filter(_tokens(F.col("text")), lambda w: F.length(w) > 6), lambda w: F.left(w, F.lit(6))))
-    return ranked(_tokens(F.col("text"))), ranked(stems)
+    bare = _tokens(F.col("text"))
+    starts = F.array_distinct(F.transform(F.filter(bare, lambda w: F.length(w) > 6), lambda w: F.left(w, F.lit(6))))
+    marked = lambda kind, tokens: F.transform(tokens, lambda w: F.struct(F.lit(kind).alias("stem"), w.alias("w")))
+    # words and stems of a text are counted in one pass
+    seen = known.select("label", F.explode(F.concat(marked(False, bare), marked(True, starts))).alias("x")).groupBy("x").agg(
+        F.sum("label").alias("t"), F.sum(1 - F.col("label")).alias("o")
+    )
+    ratio = ((F.col("t") + 0.5) / (toxic + 1.0)) / ((F.col("o") + 0.5) / (n - toxic + 1.0))
+    often = F.col("t") >= max(LEAST_TOXIC, LEAST_SHARE * toxic)
+    rows = seen.withColumn("ratio", ratio).where(often & (F.col("ratio") >= LEAST_RATIO)).select("x.stem", "x.w", "ratio").collect()
+    return tuple({r["w"]: math.log(r["ratio"]) for r in rows if r["stem"] == kind} for kind in (False, True))
 
 
 def _features(lexicon_, stems):
@@ -116,7 +116,9 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, id_col="doc_id", text="te
     model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, stepSize=STEP, seed=11, subsamplingRate=1.0).fit(table.where(~F.col("held")))
     rate = vector_to_array("probability")[1]
     fitted = model.transform(table.where(F.col("held") if counts.get((True, 0)) and counts.get((True, 1)) else F.lit(True)))
-    isotonic = IsotonicRegression(labelCol="label", featuresCol="rate").fit(fitted.select("label", rate.alias("rate")))
+    # equal rates are one point with their mean and weight, as many texts may have one rate
+    points = fitted.groupBy(rate.alias("rate")).agg(F.avg("label").alias("label"), F.count(F.lit(1)).cast("double").alias("weight"))
+    isotonic = IsotonicRegression(labelCol="label", featuresCol="rate", weightCol="weight").fit(points)
     score = _calibrator(isotonic.boundaries.toArray().tolist(), isotonic.predictions.toArray().tolist())
     scored = model.transform(featured(rows, words_, stems).select("id", vector))
     return scored.select(F.col("id").alias(id_col), score(rate).alias("score"))
