@@ -367,11 +367,28 @@ def test_join_named_of_hot_keys(spark):
         assert got.columns == ["key", "n", "label"] and sorted((r["n"], r["label"]) for r in got.collect()) == want
 
 
+def brute_graph(edges):
+    root = {x: x for e in edges for x in e}
+    changed = True
+    while changed:
+        changed = False
+        for a, b in edges:
+            low = min(root[a], root[b])
+            changed |= root[a] != low or root[b] != low
+            root[a] = root[b] = low
+    return root
+
+
 def test_components(spark):
     edges = [(k, k + 1) for k in range(1, 40)] + [(100, k) for k in range(101, 140)] + [(139, 300), (5, 5)] + [(1, 2)] * 3
     got = {r["node"]: r["root"] for r in graph.components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {**{k: 1 for k in range(1, 41)}, **{k: 100 for k in range(100, 140)}, 300: 100}
     assert graph.components(spark.createDataFrame([], "a long, b long")).count() == 0
+    stars = [(c, k) for c in (5, 500) for k in range(100, 400)] + [(k, k + 1) for k in range(1000, 1030)] + [(700 + k % 7, 5000 + k) for k in range(60)]
+    want = brute_graph(stars)
+    for hot in (10, 1000):
+        got = {r["node"]: r["root"] for r in graph.components(spark.createDataFrame(stars, "a long, b long").repartition(3), hot=hot).collect()}
+        assert got == want
 
 
 def corpus(spark, n=400):
