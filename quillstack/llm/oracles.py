@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontamination, line_dedup
+from . import decontamination, line_dedup, merkle, vector_codes
 from . import quality_rules as rules
 
 _WORD = "[^\\x20\\x09-\\x0D]+"
@@ -100,4 +100,69 @@ SELECT doc_id, n_items IS NOT NULL AS contaminated, coalesce(n_items, 0)::BIGINT
 FROM documents LEFT JOIN r USING (doc_id)
 """
 
-ORACLES = {"op2_quality_rules": OP2, "op6_line_dedup": OP6, "op7_decontamination": OP7}
+_NEAREST = """
+a{k} AS MATERIALIZED (SELECT r, part, x, m % 64 AS e, m // 64 AS d FROM (
+  SELECT r, part, any_value(x) AS x, min(list_sum(list_transform(range(1, len(x) + 1), lambda i: (x[i] - c[i]) * (x[i] - c[i]))) * 64 + e) AS m
+  FROM p JOIN c{k} USING (part) GROUP BY r, part))"""
+
+_MEANS = """,
+c{n} AS MATERIALIZED (SELECT part, e, coalesce(s.c, c{k}.c) AS c FROM c{k} LEFT JOIN (
+  SELECT part, e, list(mean ORDER BY pos) AS c FROM (
+    SELECT part, e, pos, floor(sum(x[pos])::DOUBLE / count(*))::BIGINT AS mean
+    FROM (SELECT part, e, x, unnest(range(1, len(x) + 1)) AS pos FROM a{k}) GROUP BY ALL) GROUP BY ALL) s USING (part, e)),"""
+
+OP11 = f"""
+WITH v AS (SELECT row_number() OVER (ORDER BY vec_id) AS r, vec_id, label, list_transform(embedding, lambda x: floor(x::DOUBLE * {vector_codes.SCALE})::BIGINT) AS v
+  FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+p AS MATERIALIZED (SELECT r, part, v[part * len(v) // {vector_codes.PARTS} + 1 : (part + 1) * len(v) // {vector_codes.PARTS}] AS x
+  FROM v, unnest(range({vector_codes.PARTS})) AS t(part)),
+c0 AS MATERIALIZED (SELECT part, r - 1 AS e, x AS c FROM p WHERE r <= {vector_codes.ENTRIES}),
+{"".join(_NEAREST.format(k=k) + _MEANS.format(k=k, n=k + 1) for k in range(vector_codes.ROUNDS))}
+{_NEAREST.format(k=vector_codes.ROUNDS)},
+o AS (SELECT r, string_agg(format('{{:02x}}', e), '' ORDER BY part) AS code, sum(d)::BIGINT AS error FROM a{vector_codes.ROUNDS} GROUP BY r),
+b AS (SELECT sha256(string_agg(n, ',' ORDER BY part, e, pos)) AS codebooks_sha256 FROM (
+  SELECT part, e, unnest(c) AS n, unnest(range(len(c))) AS pos FROM c{vector_codes.ROUNDS}))
+SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error, codebooks_sha256 FROM v JOIN o USING (r), b
+"""
+
+
+def _field(x: str) -> str:
+    return f"CASE WHEN {x} IS NULL THEN '-' ELSE strlen({x}::VARCHAR) || ':' || {x}::VARCHAR END"
+
+
+_BEFORE_TEXT = " || ".join(_field(x) for x in merkle.FIELDS[:-1])
+#: The bits of CRC-32 by its polynomial, a byte after the other; the last step flips all bits.
+_CRC_BIT = f"""xor(1, list_reduce([4294967295] || list_transform(string_split(doc_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT), lambda c, b:
+  list_reduce([xor(c, b)] || range(8), lambda x, i: xor(x >> 1, CASE WHEN x % 2 = 1 THEN 3988292384 ELSE 0 END))) % 2)"""
+_UP = f"""SELECT {{g}}, lvl + 1, i // {merkle.FAN}, sha256(string_agg(h, '' ORDER BY i)), (any_value(n) + {merkle.FAN - 1}) // {merkle.FAN}
+  FROM {{name}} WHERE n > 1 GROUP BY {{g}}, lvl, i // {merkle.FAN}"""
+_SIBLINGS = f"""SELECT {{g}}, lvl, i, coalesce(string_agg(h, '') OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') || ',' ||
+    coalesce(string_agg(h, '') OVER (w ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS step
+  FROM {{name}} WHERE n > 1 WINDOW w AS (PARTITION BY {{g}}, lvl, i // {merkle.FAN} ORDER BY i)"""
+
+OP12 = f"""
+WITH RECURSIVE d AS (SELECT row_number() OVER () AS r, *, {_CRC_BIT} = 0 AS hit FROM documents),
+l AS (SELECT r, doc_id, source, sha256({_BEFORE_TEXT} || {_field("text")}) AS leaf,
+  sha256({_BEFORE_TEXT} || {_field("(CASE WHEN hit THEN replace(text, chr(10), '') ELSE text END)")}) AS other FROM d),
+n AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf, r) - 1 AS i, count(*) OVER (PARTITION BY source) AS n FROM l),
+u AS (SELECT source, 0 AS lvl, i, leaf AS h, n FROM n UNION ALL {_UP.format(g="source", name="u")}),
+s AS (SELECT source, h AS subroot, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS i, count(*) OVER () AS n FROM u WHERE n = 1),
+t AS (SELECT 0 AS z, 0 AS lvl, i, subroot AS h, n FROM s UNION ALL {_UP.format(g="z", name="t")}),
+us AS ({_SIBLINGS.format(g="source", name="u")}),
+ts AS ({_SIBLINGS.format(g="z", name="t")}),
+a AS (SELECT r, list(step ORDER BY us.lvl) AS steps FROM n JOIN us ON n.source IS NOT DISTINCT FROM us.source AND us.i = n.i // ({merkle.FAN} ** us.lvl)::BIGINT GROUP BY r),
+b AS (SELECT source, list(step ORDER BY lvl) AS steps FROM s JOIN ts ON ts.i = s.i // ({merkle.FAN} ** lvl)::BIGINT GROUP BY source),
+f AS (SELECT doc_id, leaf, other, subroot, (SELECT h FROM t WHERE n = 1) AS root, coalesce(a.steps, []) || coalesce(b.steps, []) AS steps
+  FROM n LEFT JOIN a USING (r) JOIN s ON s.source IS NOT DISTINCT FROM n.source LEFT JOIN b ON b.source IS NOT DISTINCT FROM n.source),
+e AS (SELECT doc_id, leaf, subroot, root, sha256(replace(array_to_string(steps, ''), ',', '')) AS proof_sha256,
+  list_reduce([other] || steps, lambda c, x: sha256(split_part(x, ',', 1) || c || split_part(x, ',', 2))) AS folded_root FROM f)
+SELECT *, folded_root = root AS verified FROM e
+"""
+
+ORACLES = {
+    "op2_quality_rules": OP2,
+    "op6_line_dedup": OP6,
+    "op7_decontamination": OP7,
+    "op11_vector_codes": OP11,
+    "op12_merkle_manifest": OP12,
+}

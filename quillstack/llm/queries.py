@@ -5,7 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, html_extract, language_id, line_dedup, mixing, quality_model, quality_rules, simhash, toxicity, url_filter
+from . import (
+    decontamination,
+    doc_prints,
+    html_extract,
+    language_id,
+    line_dedup,
+    merkle,
+    mixing,
+    quality_model,
+    quality_rules,
+    simhash,
+    toxicity,
+    url_filter,
+    vector_codes,
+)
 from .common import table
 from .oracles import ORACLES
 
@@ -85,6 +99,28 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", _held_out(4, 2).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
+    coded, books = vector_codes.compress(vectors)
+    return coded.select("vec_id", "code", "error", "label_error", F.lit(books.sha256).alias("codebooks_sha256"))
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "n_chars", "text")
+    hit = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
+    edited = F.when(hit & F.contains("text", F.lit("\n")), F.translate("text", "\n", ""))
+    found = merkle.manifest(merkle.leaves(docs, edited=edited))
+    again = merkle.folded(F.coalesce("tampered", "leaf"), F.col("path"))
+    return found.select(
+        F.col("id").alias("doc_id"), "leaf", "subroot", "root", merkle.proof_digest(F.col("path")).alias("proof_sha256"),
+        again.alias("folded_root"), (again == F.col("root")).alias("verified"),
+    )
+
+
+def op13_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return doc_prints.print_and_compare(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -98,6 +134,9 @@ QUERIES = {
         op8_url_filter,
         op9_language_id,
         op10_quality_classifier,
+        op11_vector_codes,
+        op12_merkle_manifest,
+        op13_document_fingerprints,
     )
 }
 
