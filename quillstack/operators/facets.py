@@ -7,6 +7,8 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .ordering import in_language
+
 SOURCE_FACETS, YEAR_FACETS = 15, 25
 
 
@@ -15,15 +17,15 @@ def with_source(gazettes: DataFrame, sources: DataFrame) -> DataFrame:
     return gazettes.join(sources.select(F.col("name").alias("source"), F.col("title").alias("source_title")), "source")
 
 
-def source_facets(hits: DataFrame, sources: DataFrame, selected: Iterable[str] = (), limit: int = SOURCE_FACETS) -> DataFrame:
-    """(name, title, total, selected), most first. hits: results before the source filter.
+def source_facets(hits: DataFrame, sources: DataFrame, selected: Iterable[str] = (), limit: int = SOURCE_FACETS, collation: str | None = None) -> DataFrame:
+    """(name, title, total, selected), most first, equal ones by name, in the order of a collation if there is one. hits: results before the source filter.
 
     Counts are made before the join with the titles, so the join sees one row a source.
     """
     counted = hits.groupBy(F.col("source").alias("name")).agg(F.count(F.lit(1)).alias("total"))
     titled = counted.join(sources.select("name", "title"), "name")
     picked = F.col("name").isin(list(selected)) if selected else F.lit(False)
-    return titled.withColumn("selected", picked).orderBy(F.desc("total"), "name").limit(limit)
+    return titled.withColumn("selected", picked).orderBy(F.desc("total"), in_language("name", collation), "name").limit(limit)
 
 
 def year_facets(hits: DataFrame, limit: int = YEAR_FACETS) -> DataFrame:

@@ -17,11 +17,12 @@ IDENTIFIER_LIMIT = 255
 TEXT_LIMIT = 4_000_000
 
 
-def classify(batch: DataFrame, stored: DataFrame, catalog: DataFrame, force: bool = False) -> DataFrame:
+def classify(batch: DataFrame, stored: DataFrame, catalog: DataFrame, force: bool = False, owners: DataFrame | None = None) -> DataFrame:
     """batch with source, status and reason.
 
     batch: (seq, relurl, identifier, metadata, malformed, text, html_sha256, metadata_sha256), seq
     telling its rows apart. stored: (relurl, identifier, html_sha256, metadata_sha256). catalog: (name).
+    owners: (identifier, relurl) where stored holds the urls of the batch alone; else those of stored.
     Statuses are decided on narrow rows, which say of text and metadata only whether they are there;
     whole rows meet them in one join at the end.
     """
@@ -48,7 +49,7 @@ def classify(batch: DataFrame, stored: DataFrame, catalog: DataFrame, force: boo
     # who may have an identifier: its stored owner, else the first of the batch that could be written;
     # only such rows take part, so rows without an identifier meet nowhere
     asked = rows.where("first IS NULL").groupBy("identifier").agg(F.min(F.struct("seq", "clean"))["clean"].alias("claimant"))
-    owners = stored.select("identifier", F.col("relurl").alias("owner"))
+    owners = (stored if owners is None else owners).select("identifier", F.col("relurl").alias("owner"))
     holders = asked.join(owners, "identifier", "left").select(F.col("identifier").alias("of"), F.coalesce("owner", "claimant").alias("holder"))
     rows = rows.withColumn("wanted", F.when(F.col("first").isNull(), F.col("identifier")).otherwise(F.concat(F.lit("\n"), F.col("seq").cast("string"))))
     rows = rows.join(holders, F.col("wanted") == F.col("of"), "left")

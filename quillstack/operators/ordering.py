@@ -55,14 +55,19 @@ def recent(df: DataFrame, n: int = 8, date: str = "date", key: str = "id") -> Da
     return ordered(df.where(F.col(date).isNotNull()), order_keys("newest", date, key)).limit(n)
 
 
-def largest_sources(sources: DataFrame, n: int = 12) -> DataFrame:
+def in_language(name: str, collation: str | None) -> Column:
+    """A text column as a collation orders it: UNICODE (accents, then small letters first), UNICODE_CI, de, ...; code points without one."""
+    return F.col(name) if collation is None else F.collate(F.col(name), collation)
+
+
+def largest_sources(sources: DataFrame, n: int = 12, collation: str | None = None) -> DataFrame:
     """The n sources (name, gazette_count, ...) with the most documents, of those that have any; ties by name."""
-    return sources.where("gazette_count > 0").orderBy(F.desc("gazette_count"), "name").limit(n)
+    return sources.where("gazette_count > 0").orderBy(F.desc("gazette_count"), in_language("name", collation), "name").limit(n)
 
 
-def by_title(sources: DataFrame) -> DataFrame:
-    """Sources in the order of their titles by code points, then of their names."""
-    return sources.orderBy("title", "name")
+def by_title(sources: DataFrame, collation: str | None = None) -> DataFrame:
+    """Sources in the order of their titles, then of their names; equal ones of a collation by code points."""
+    return sources.orderBy(in_language("title", collation), in_language("name", collation), "title", "name")
 
 
 def at_most(df: DataFrame, n: int | None, keys: list[Key]) -> DataFrame:

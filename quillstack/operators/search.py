@@ -12,59 +12,72 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass, field
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: English words that are not indexed, and the weights of the four classes of text.
-STOP_WORDS = tuple(
-    "a an and are as at be but by for from had has have he her his i if in into is it its me my no not of on or our she so"
-    " that the their them then there these they this to was we were what when where which who will with you your".split()
-)
+from ..session import checkpoint
+from .analysis import STOP_WORDS, lexeme
+
+#: The weights of the four classes of text.
 WEIGHTS = {"D": 0.1, "C": 0.2, "B": 0.4, "A": 1.0}
 TOKEN = "[\\p{L}\\p{M}\\p{Nd}]+"
 
 
-def stemmed(word: Column) -> Column:
-    """A light English stemmer: plural, -ing and -ed endings off words that stay long enough."""
-    w = F.regexp_replace(word, "(?:'s|’s)$", "")
-    w = F.when(w.rlike("(?:ss|us|is)$"), w).otherwise(F.regexp_replace(F.regexp_replace(w, "ies$", "y"), "([^aeiou]e|.)s$", "$1"))
-    return F.when(F.length(w) > 5, F.regexp_replace(w, "(?:ing|ed)$", "")).otherwise(w)
-
-
-def lexemes(text: Column, stem: bool = True) -> Column:
-    """Array of (lexeme, at): the indexed words and their places among all words, from 1."""
-    words = F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(f"({TOKEN})"), 1)
-    placed = F.transform(words, lambda w, i: F.struct((stemmed(w) if stem else w).alias("lexeme"), (i + 1).alias("at")))
-    return F.filter(placed, lambda x: ~x["lexeme"].isin(list(STOP_WORDS)) & (x["lexeme"] != ""))
+#: A vocabulary is broadcast to the words up to so many rows of about 50 bytes, and joined by a shuffle beyond.
+BROADCAST_WORDS = 200_000
 
 
-def postings(docs: DataFrame, key: str, fields: dict[str, str], stem: bool = True, only: list[str] | None = None) -> DataFrame:
-    """(lexeme, doc, weight, positions) of the text columns, fields giving each its weight class.
+def words(docs: DataFrame, key: str, fields: dict[str, str]) -> DataFrame:
+    """(word, doc, weight, at): the words of the text columns in small letters and their places among all words, from 1.
 
-    Columns follow each other with a gap, so phrases do not run from one into the next. only: the
-    lexemes that are wanted; others are left out before anything is shuffled.
+    Columns follow each other with a gap, so phrases do not run from one into the next.
     """
     rows = None
     for k, (column, weight) in enumerate(fields.items()):
-        found = lexemes(F.col(column), stem)
-        if only is not None:
-            found = F.filter(found, lambda x: x["lexeme"].isin(only))
-        one = docs.select(F.col(key).alias("doc"), F.lit(weight).alias("weight"), F.explode(found).alias("x"))
-        one = one.select("x.lexeme", "doc", "weight", (F.col("x.at").cast("long") + k * 1_000_000_000).alias("at"))
+        found = F.regexp_extract_all(F.lower(F.coalesce(F.col(column), F.lit(""))), F.lit(f"({TOKEN})"), 1)
+        one = docs.select(F.col(key).alias("doc"), F.lit(weight).alias("weight"), F.posexplode(found).alias("at", "word"))
+        one = one.select("word", "doc", "weight", (F.col("at").cast("long") + 1 + k * 1_000_000_000).alias("at"))
         rows = one if rows is None else rows.unionByName(one)
-    return rows.groupBy("lexeme", "doc", "weight").agg(F.sort_array(F.collect_list("at")).alias("positions"))
+    return rows
+
+
+def vocabulary(found: DataFrame, config: str = "english", only: list[str] | None = None) -> DataFrame:
+    """(word, lexeme, word_id): each different word once with what it is indexed as, and a number for each lexeme.
+
+    Words that are not indexed are left out. only: the lexemes that are wanted.
+    """
+    different = found.select("word").distinct().withColumn("lexeme", lexeme(F.col("word"), config)).where("lexeme IS NOT NULL")
+    if only is not None:
+        different = different.where(F.col("lexeme").isin(only))
+    different = checkpoint(different)
+    numbers = checkpoint(different.select("lexeme").distinct().withColumn("word_id", F.monotonically_increasing_id()))
+    return different.join(numbers, "lexeme").select("word", "lexeme", "word_id")
+
+
+def postings(docs: DataFrame, key: str, fields: dict[str, str], config: str = "english", only: list[str] | None = None) -> DataFrame:
+    """(word_id, lexeme, doc, weight, positions) of the text columns, fields giving each its weight class.
+
+    Lexemes are made for the vocabulary and joined back to the words. only: the lexemes that are
+    wanted; others are left out before anything but the vocabulary is shuffled.
+    """
+    found = words(docs, key, fields)
+    known = checkpoint(vocabulary(found, config, only))
+    if known.count() <= BROADCAST_WORDS:
+        placed = found.join(F.broadcast(known), "word").groupBy("word_id", "lexeme", "doc", "weight")
+        return placed.agg(F.sort_array(F.collect_list("at")).alias("positions"))
+    # places meet in one row a document first, so a word that all documents have is joined once for each
+    placed = found.groupBy("word", "doc", "weight").agg(F.collect_list("at").alias("at")).join(known, "word").groupBy("word_id", "lexeme", "doc", "weight")
+    return placed.agg(F.sort_array(F.flatten(F.collect_list("at"))).alias("positions"))
 
 
-def query_lexemes(spark, text: str, stem: bool = True) -> list[str]:
+def query_lexemes(spark, text: str, config: str = "english") -> list[str]:
     """The lexemes of a query's words."""
-    words = parse(text).words
-    return sorted(set(_stem_words(spark, words).values())) if stem else words
+    return sorted(set(_lexemes_of(spark, parse(text, config).words, config).values()))
 
 
-def scanned(docs: DataFrame, key: str, fields: dict[str, str], text: str, stem: bool = True) -> DataFrame:
+def scanned(docs: DataFrame, key: str, fields: dict[str, str], text: str, config: str = "english") -> DataFrame:
     """The postings of a query's words, straight from the texts."""
-    return postings(docs, key, fields, stem, query_lexemes(docs.sparkSession, text, stem))
+    return postings(docs, key, fields, config, query_lexemes(docs.sparkSession, text, config))
 
 
 BUCKETS = 64
@@ -76,9 +89,9 @@ def store(posted: DataFrame, path: str, buckets: int = BUCKETS) -> None:
     placed.repartition("bucket", F.pmod(F.xxhash64("doc"), F.lit(16))).sortWithinPartitions("lexeme").write.partitionBy("bucket").parquet(path)
 
 
-def stored(spark, path: str, text: str, stem: bool = True, buckets: int = BUCKETS) -> DataFrame:
+def stored(spark, path: str, text: str, config: str = "english", buckets: int = BUCKETS) -> DataFrame:
     """The postings of a query's words from a stored index; only the folders of these words are read."""
-    wanted = query_lexemes(spark, text, stem)
+    wanted = query_lexemes(spark, text, config)
     bucket = [F.pmod(F.xxhash64(F.lit(w)), F.lit(buckets)).cast("int").alias(f"b{i}") for i, w in enumerate(wanted)]
     folders = sorted(set(spark.range(1).select(*bucket).first())) if wanted else []
     return spark.read.parquet(path).where(F.col("bucket").isin(folders) & F.col("lexeme").isin(wanted)).drop("bucket")
@@ -98,38 +111,46 @@ class Query:
 
     @property
     def words(self) -> list[str]:
-        return sorted({w for c in self.clauses for p in (*c.wanted, *c.excluded) for w in p})
+        return sorted({w for c in self.clauses for p in (*c.wanted, *c.excluded) for w in p if w})
+
 
+def parse(text: str, config: str = "english") -> Query:
+    """Quoted phrases, OR between alternatives, - before what must not occur; words are joined by AND.
 
-def parse(text: str) -> Query:
-    """Quoted phrases, OR between alternatives, - before what must not occur; words are joined by AND."""
+    Words that the analyser does not index are no part of a query; in a phrase they keep their places.
+    """
+    left_out = () if config == "simple" else STOP_WORDS
     clauses, wanted, excluded = [], [], []
     for minus, phrase, word in re.findall(r'(-?)(?:"([^"]*)"?|(\S+))', text):
         if word == "OR" and not minus:
             clauses.append(Clause(tuple(wanted), tuple(excluded)))
             wanted, excluded = [], []
             continue
-        words = tuple(w for w in re.findall(r"\w+", (phrase or word).lower()) if w not in STOP_WORDS)
+        words = tuple("" if w in left_out else w for w in re.findall(r"\w+", (phrase or word).lower()))
+        while words and not words[0]:
+            words = words[1:]
+        while words and not words[-1]:
+            words = words[:-1]
         if words:
             (excluded if minus else wanted).append(words)
     clauses.append(Clause(tuple(wanted), tuple(excluded)))
     return Query(tuple(c for c in clauses if c.wanted or c.excluded))
 
 
-def _stem_words(spark, words: list[str]) -> dict[str, str]:
+def _lexemes_of(spark, words: list[str], config: str) -> dict[str, str]:
     """The lexemes of a query's few words, by the same expression as the index."""
-    if not words:
-        return {}
-    row = spark.range(1).select(*[stemmed(F.lit(w)).alias(f"w{i}") for i, w in enumerate(words)]).first()
-    return {w: row[i] for i, w in enumerate(words)}
+    if config != "english" or not words:
+        return {w: w for w in words}
+    rows = spark.range(1).select(F.explode(F.array(*map(F.lit, words))).alias("w"))
+    return {r["w"]: r["lexeme"] for r in rows.select("w", lexeme(F.col("w"), config).alias("lexeme")).collect()}
 
 
-def match(posted: DataFrame, docs: DataFrame, key: str, text: str, stem: bool = True) -> DataFrame:
+def match(posted: DataFrame, docs: DataFrame, key: str, text: str, config: str = "english") -> DataFrame:
     """(doc, hits) for the keys of docs that match; hits maps lexemes to their places."""
-    query = parse(text)
+    query = parse(text, config)
     if not query.clauses:
         return docs.select(F.col(key).alias("doc"), F.lit(None).cast("map<string,array<bigint>>").alias("hits")).limit(0)
-    table = _stem_words(posted.sparkSession, query.words) if stem else {w: w for w in query.words}
+    table = _lexemes_of(posted.sparkSession, query.words, config)
     own = posted.where(F.col("lexeme").isin(sorted(set(table.values()))))
     flat = own.groupBy("doc", "lexeme").agg(F.array_sort(F.flatten(F.collect_list("positions"))).alias("at"))
     hits = flat.groupBy("doc").agg(F.map_from_entries(F.collect_list(F.struct("lexeme", "at"))).alias("hits"))
@@ -142,7 +163,7 @@ def match(posted: DataFrame, docs: DataFrame, key: str, text: str, stem: bool =
         first = places(phrase[0])
         if len(phrase) == 1:
             return F.size(first) > 0
-        ok = lambda p: _all([F.array_contains(places(w), p + i) for i, w in enumerate(phrase[1:], 1)])
+        ok = lambda p: _all([F.array_contains(places(w), p + i) for i, w in enumerate(phrase[1:], 1) if w])
         return F.exists(first, ok)
 
     condition = None
@@ -159,61 +180,53 @@ def _all(conditions: list[Column]) -> Column:
     return out
 
 
-def cover_density(entries: list[tuple[str, int, float]], wanted: set[str]) -> float:
-    """Sum over the shortest stretches that hold all wanted lexemes of mean weight over their length.
-
-    entries: (lexeme, place, weight). Stretches do not hold one another; each counts its harmonic
-    mean weight divided by one more than the words it has beyond the wanted ones.
-    """
-    entries = sorted(entries, key=lambda e: e[1])
-    last: dict[str, tuple[int, float]] = {}
-    total, start = 0.0, -1
-    for lexeme, at, weight in entries:
-        last[lexeme] = (at, weight)
-        if wanted - last.keys():
-            continue
-        first = min(last[w][0] for w in wanted)
-        if first > start:
-            inverse = sum(1 / last[w][1] for w in wanted)
-            total += (len(wanted) / inverse) / (1 + (at - first + 1 - len(wanted)))
-            start = first
-    return total
-
-
-def ranked(posted: DataFrame, matches: DataFrame, text: str, stem: bool = True) -> DataFrame:
-    """(doc, rank) for the matches: the best clause by cover density.
+def _covers(places: DataFrame, wanted: list[str]) -> DataFrame:
+    """(doc, rank) of a clause from (doc, lexeme, at, weight): the covers of its lexemes by their density.
 
-    Rows of one document come together as arrays in Spark; the small loop over its hits is Python.
+    Covers are the shortest stretches that hold all wanted lexemes and hold no other one. Each counts the
+    harmonic mean of its words' weights over one more than the words that it has beyond the wanted ones.
+    Each place looks back at the last one of every lexeme: only the places of one document meet.
     """
-    query = parse(text)
-    table = _stem_words(posted.sparkSession, query.words) if stem else {w: w for w in query.words}
-    clauses = [{table[w] for p in c.wanted for w in p} for c in query.clauses]
+    before = Window.partitionBy("doc").orderBy("at")
+    spot = F.struct("at", "weight")
+    last = {f"l{i}": F.last(F.when(F.col("lexeme") == w, spot), True).over(before.rowsBetween(Window.unboundedPreceding, 0)) for i, w in enumerate(wanted)}
+    seen = places.where(F.col("lexeme").isin(wanted)).withColumns(last).where(_all([F.col(c).isNotNull() for c in last]))
+    first = F.array_min(F.array(*[F.col(f"{c}.at") for c in last]))
+    inverse = sum((1 / F.col(f"{c}.weight") for c in last), F.lit(0.0))
+    ends = seen.select("doc", "at", first.alias("first"), (len(wanted) / inverse).alias("weight"))
+    earlier = F.max("first").over(before.rowsBetween(Window.unboundedPreceding, -1))
+    covers = ends.withColumn("earlier", earlier).where("earlier IS NULL OR first > earlier")
+    return covers.groupBy("doc").agg(F.sum(F.col("weight") / (1 + (F.col("at") - F.col("first") + 1 - len(wanted)))).alias("rank"))
+
+
+def ranked(posted: DataFrame, matches: DataFrame, text: str, config: str = "english") -> DataFrame:
+    """(doc, rank) for the matches: the best clause by cover density, 0 for what only excludes words."""
+    query = parse(text, config)
+    table = _lexemes_of(posted.sparkSession, query.words, config)
+    clauses = [sorted({table[w] for p in c.wanted for w in p if w}) for c in query.clauses]
     own = posted.where(F.col("lexeme").isin(sorted(set(table.values())))).join(matches.select("doc"), "doc", "left_semi")
-    grouped = own.groupBy("doc").agg(F.collect_list(F.struct("lexeme", "weight", "positions")).alias("hits"))
-
-    @F.pandas_udf("double")
-    def rank(hits: pd.Series) -> pd.Series:
-        def best(own):
-            entries = [(h["lexeme"], int(p), WEIGHTS[h["weight"]]) for h in own for p in h["positions"]]
-            return max((cover_density([e for e in entries if e[0] in c], c) for c in clauses if c), default=0.0)
-
-        return hits.map(best)
-
-    scored = grouped.select("doc", rank("hits").alias("rank"))
-    return matches.select("doc").join(scored, "doc", "left").select("doc", F.coalesce("rank", F.lit(0.0)).alias("rank"))
-
-
-def snippets(page: DataFrame, key: str, column: str, text: str, fragments: int = 3, least: int = 20, most: int = 40, stem: bool = True) -> DataFrame:
+    weight = F.create_map(*[F.lit(x) for pair in WEIGHTS.items() for x in pair])[F.col("weight")]
+    places = own.select("doc", "lexeme", weight.alias("weight"), F.explode("positions").alias("at"))
+    scored = [_covers(places, c) for c in clauses if c]
+    if not scored:
+        return matches.select("doc", F.lit(0.0).alias("rank"))
+    best = scored[0]
+    for more in scored[1:]:
+        best = best.unionByName(more)
+    best = best.groupBy("doc").agg(F.max("rank").alias("rank"))
+    return matches.select("doc").join(best, "doc", "left").select("doc", F.coalesce("rank", F.lit(0.0)).alias("rank"))
+
+
+def snippets(page: DataFrame, key: str, column: str, text: str, fragments: int = 3, least: int = 20, most: int = 40, config: str = "english") -> DataFrame:
     """(key, snippet) for the rows of one page: up to three stretches around hits, hits between \x02 and \x03.
 
     A word is a hit if its lexeme is one of the query's, as in the index.
     """
-    words = sorted({w for c in parse(text).clauses for p in c.wanted for w in p})
-    spark = page.sparkSession
-    wanted = sorted(set(_stem_words(spark, words).values())) if stem else words
+    words = sorted({w for c in parse(text, config).clauses for p in c.wanted for w in p if w})
+    wanted = sorted(set(_lexemes_of(page.sparkSession, words, config).values()))
     bare = lambda w: F.lower(F.regexp_extract(w, f"({TOKEN})", 1))
     tokens = F.filter(F.split(F.coalesce(F.col(column), F.lit("")), "\\s+"), lambda w: w != "")
-    hit = F.transform(tokens, lambda w: F.coalesce((stemmed(bare(w)) if stem else bare(w)).isin(wanted), F.lit(False)) if wanted else F.lit(False))
+    hit = F.transform(tokens, lambda w: F.coalesce(lexeme(bare(w), config).isin(wanted), F.lit(False)) if wanted else F.lit(False))
     span = "struct<a:int,b:int>"
     start = F.struct(F.array().cast(f"array<{span}>").alias("spans"), F.lit(0).alias("end"))
 

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions import dates, text
 from ..operators import extract, facets, filters, ingest, ordering, search, sets, windows
+from . import english_sql
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -380,7 +381,7 @@ _TOKENS = "(SELECT doc_id, regexp_extract_all(lower(text), '[\\p{L}\\p{M}\\p{Nd}
 
 def _found(spark, d, q):
     docs = table(spark, d, "documents").select("doc_id", "text")
-    return search.match(search.scanned(docs, "doc_id", {"text": "D"}, q, stem=False), docs, "doc_id", q, stem=False).select(F.col("doc").alias("doc_id"))
+    return search.match(search.scanned(docs, "doc_id", {"text": "D"}, q, config="words"), docs, "doc_id", q, config="words").select(F.col("doc").alias("doc_id"))
 
 
 @query(f"SELECT doc_id FROM {_TOKENS} WHERE list_contains(w, 'thly') AND list_contains(w, 'oned')")
@@ -403,19 +404,38 @@ def fts_phrase(spark, d):
     return _found(spark, d, '"thly ererly" OR "under cc"')
 
 
-_STEMMED = """CASE WHEN length(s) > 5 THEN regexp_replace(s, '(?:ing|ed)$', '') ELSE s END"""
-_PLURAL = """CASE WHEN regexp_matches(w, '(?:ss|us|is)$') THEN w ELSE regexp_replace(regexp_replace(w, 'ies$', 'y'), '([^aeiou]e|.)s$', '\\1') END"""
+_ALL_WORDS = f"SELECT unnest({english_sql.TOKENS.format('text')}) AS w FROM documents"
 
 
 def _places(field: str, gap: int) -> str:
-    return f"""SELECT doc_id, {_STEMMED} AS lexeme, i + {gap} AS spot FROM (SELECT doc_id, {_PLURAL} AS s, i FROM
-      (SELECT doc_id, ws[i] AS w, i FROM (SELECT doc_id, regexp_extract_all(lower({field}), '[\\p{{L}}\\p{{M}}\\p{{Nd}}]+') AS ws FROM documents) t, unnest(range(1, len(ws) + 1)) AS u(i)))"""
+    return f"""SELECT doc_id, lexeme, i + {gap} AS spot FROM (SELECT doc_id, ws[i] AS word, i FROM (SELECT doc_id, {english_sql.TOKENS.format(field)} AS ws FROM documents) t, unnest(range(1, len(ws) + 1)) AS u(i)) JOIN voc USING (word)"""
 
 
-@query(f"""WITH p AS ({_places("split_part(text, chr(10), 1)", 0)} UNION ALL {_places("text", 1000000000)}),
-h AS (SELECT * FROM p WHERE lexeme IN ('thly', 'oned')),
+@query(f"WITH {english_sql.vocabulary(_ALL_WORDS)} SELECT word, lexeme FROM voc")
+def fts_vocabulary(spark, d):
+    return search.vocabulary(search.words(table(spark, d, "documents"), "doc_id", {"text": "D"})).select("word", "lexeme")
+
+
+@query(f"""WITH {english_sql.vocabulary(_ALL_WORDS)}, p AS ({_places("text", 0)})
+SELECT doc_id FROM p GROUP BY doc_id HAVING count(DISTINCT lexeme) FILTER (lexeme IN ('thli', 'one')) = 2""")
+def fts_word_forms(spark, d):
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    return search.match(search.scanned(docs, "doc_id", {"text": "D"}, "thly ones"), docs, "doc_id", "thly ones").select(F.col("doc").alias("doc_id"))
+
+
+@query(f"""WITH {english_sql.vocabulary(_ALL_WORDS)}, p AS ({_places("text", 0)}),
+w AS (SELECT doc_id, lexeme, lead(lexeme) OVER t AS after, lead(spot) OVER t AS next, spot FROM p WINDOW t AS (PARTITION BY doc_id ORDER BY spot))
+SELECT DISTINCT doc_id FROM w WHERE lexeme = 'one' AND after = 're' AND next = spot + 1
+UNION SELECT a.doc_id FROM p a JOIN p b ON a.doc_id = b.doc_id AND b.spot = a.spot + 2 WHERE a.lexeme = 'thli' AND b.lexeme = 'one'""")
+def fts_phrase_of_forms(spark, d):
+    docs, q = table(spark, d, "documents").select("doc_id", "text"), '"oned re" OR "thly the ones"'
+    return search.match(search.scanned(docs, "doc_id", {"text": "D"}, q), docs, "doc_id", q).select(F.col("doc").alias("doc_id"))
+
+
+@query(f"""WITH {english_sql.vocabulary(_ALL_WORDS)}, p AS ({_places("split_part(text, chr(10), 1)", 0)} UNION ALL {_places("text", 1000000000)}),
+h AS (SELECT * FROM p WHERE lexeme IN ('thli', 'one')),
 m AS (SELECT doc_id FROM h GROUP BY doc_id HAVING count(DISTINCT lexeme) = 2),
-l AS (SELECT *, max(CASE WHEN lexeme = 'thly' THEN spot END) OVER w AS a, max(CASE WHEN lexeme = 'oned' THEN spot END) OVER w AS b FROM h WINDOW w AS (PARTITION BY doc_id ORDER BY spot)),
+l AS (SELECT *, max(CASE WHEN lexeme = 'thli' THEN spot END) OVER w AS a, max(CASE WHEN lexeme = 'one' THEN spot END) OVER w AS b FROM h WINDOW w AS (PARTITION BY doc_id ORDER BY spot)),
 s AS (SELECT *, least(a, b) AS first, coalesce(max(least(a, b)) OVER (PARTITION BY doc_id ORDER BY spot ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), -1) AS before FROM l WHERE a IS NOT NULL AND b IS NOT NULL),
 c AS (SELECT doc_id, sum(2.0 / (CASE WHEN a < 1000000000 THEN 1.0 ELSE 10.0 END + CASE WHEN b < 1000000000 THEN 1.0 ELSE 10.0 END) / (1 + (spot - first + 1 - 2))) AS rank FROM s WHERE first > before GROUP BY doc_id)
 SELECT doc_id, round(coalesce(rank, 0.0), 9) AS rank FROM m LEFT JOIN c USING (doc_id)""")

@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 from ..functions import dates, html, text, titles
 from ..operators import extract, facets, filters, ordering, sets
 from ..session import shared_folder
-from ..sources import assets, containers, sinks
+from ..sources import assets, containers, scripts, sinks
+from . import english_sql
 from .archive_queries import _C, _G, _sources, catalog, gazettes, query, table
 
 
@@ -382,12 +383,27 @@ def written_metadata(spark, d):
 def json_and_script_replies(spark, d):
     k = F.col("k")
     reply = _c("/**/cb([{num: '", F.col("o_custkey").cast("string"), "', at: new Date(", ((k % 7) * 86_400_000).cast("string"), ")}]);")
-    made = assets.script_reply(F.replace(reply, F.lit("'"), F.lit('"')), "array<struct<num:string,at:long>>")
+    made = scripts.script_reply(reply, "array<struct<num:string,at:long>>")
     plain = assets.records_of_json(_c("[{\"num\": \"", F.col("o_custkey").cast("string"), "\"}]"), "array<struct<num:string>>")
     rows = _orders(spark, d).select("k", made[0].alias("r"), plain[0]["num"].alias("p")).where("r.num = p")
     return rows.select("k", F.col("r.num").cast("long").alias("n"), F.date_format(dates.from_millis(F.col("r.at")), "yyyy-MM-dd").alias("day"))
 
 
+@query("""SELECT o_orderkey AS k, 'a, b: ' || o_orderpriority || '"}])' AS title, o_custkey AS n, (o_orderkey % 7) * 86400000 AS at_ms, o_orderstatus AS inner_, 'it''s ' || o_orderkey || chr(10) || 'é' AS note, o_orderkey % 3 = 0 AS missing FROM orders""")
+def script_replies(spark, d):
+    o, k = table(spark, d, "orders"), F.col("o_orderkey")
+    text = lambda c: c.cast("string")
+    reply = _c(
+        "//#DWR-REPLY ([1])\nthrow 'no {scripts}.';\n(function(){ var r=window.dwr._[0]; /* r.handleCallback(0) */\nr.handleCallback(\"0\",'0',[[null, \"a, b: ", F.col("o_orderpriority"), "\\\"}])\", ",
+        text(F.col("o_custkey")), ", new Date(", text((k % 7) * 86_400_000), "), {key: ['x', [\"", F.col("o_orderstatus"), "\",],], 1: -0x1F}, 'it\\'s ", text(k), "\\n\\u00e9', ",
+        F.when(k % 3 == 0, "undefined").otherwise("!1"), ",],]);\n})();",
+    )
+    row = lambda path, kind: F.try_variant_get(F.col("v"), f"$[2][0]{path}", kind)
+    found = o.select(k.alias("k"), scripts.script_variant(reply, "handleCallback").alias("v")).where(row("[4].1", "int") == -31)
+    return found.select("k", row("[1]", "string").alias("title"), row("[2]", "long").alias("n"), row("[3]", "long").alias("at_ms"), row("[4].key[1][0]", "string").alias("inner_"),
+                        row("[5]", "string").alias("note"), row("[6]", "boolean").isNull().alias("missing"))
+
+
 @query("SELECT turn + 1 AS number, turn * 2.0 AS start_s, turn * 2.0 + 1.5 AS end_s, role AS text FROM conversations WHERE conv_id = (SELECT min(conv_id) FROM conversations)")
 def read_subtitles(spark, d):
     from ..operators.windows import srt_time
@@ -496,12 +512,12 @@ def late_assets(spark, d):
     return with_flags(stored, late).withColumnRenamed("relurl", "doc_id")
 
 
-@query("SELECT doc_id FROM documents WHERE len(list_filter(regexp_extract_all(lower(text), '[\\p{L}\\p{M}\\p{Nd}]+'), lambda w: starts_with(w, 'th') AND w NOT IN ('that', 'the', 'their', 'them', 'then', 'there', 'these', 'they', 'this'))) = 0")
+@query(f"SELECT doc_id FROM documents WHERE len(list_filter({english_sql.TOKENS.format('text')}, lambda w: starts_with(w, 'th') AND w NOT IN {english_sql.STOP})) = 0")
 def unindexed_documents(spark, d):
     from ..operators import search
 
     docs = table(spark, d, "documents").select("doc_id", "text")
-    posted = search.postings(docs, "doc_id", {"text": "D"}, stem=False).where(F.col("lexeme").startswith("th"))
+    posted = search.postings(docs, "doc_id", {"text": "D"}, config="words").where(F.col("lexeme").startswith("th"))
     return search.unindexed(docs, posted, "doc_id").select("doc_id")
 
 
@@ -511,8 +527,8 @@ def search_of_a_stored_index(spark, d):
 
     docs = table(spark, d, "documents").select("doc_id", "text")
     path = _folder(spark)
-    search.store(search.postings(docs, "doc_id", {"text": "D"}, stem=False), path)
-    found = search.match(search.stored(spark, path, "thly -oned", stem=False), docs, "doc_id", "thly -oned", stem=False)
+    search.store(search.postings(docs, "doc_id", {"text": "D"}, config="words"), path)
+    found = search.match(search.stored(spark, path, "thly -oned", config="words"), docs, "doc_id", "thly -oned", config="words")
     return found.select(F.col("doc").alias("doc_id"))
 
 
@@ -524,6 +540,6 @@ def first_snippets(spark, d):
     from ..operators import search
 
     docs = table(spark, d, "documents").select("doc_id", "text")
-    hits = search.match(search.scanned(docs, "doc_id", {"text": "D"}, "thly", stem=False), docs, "doc_id", "thly", stem=False).select(F.col("doc").alias("doc_id"))
-    shown = search.snippets(docs.join(hits, "doc_id", "left_semi"), "doc_id", "text", "thly", fragments=1, stem=False)
+    hits = search.match(search.scanned(docs, "doc_id", {"text": "D"}, "thly", config="words"), docs, "doc_id", "thly", config="words").select(F.col("doc").alias("doc_id"))
+    shown = search.snippets(docs.join(hits, "doc_id", "left_semi"), "doc_id", "text", "thly", fragments=1, config="words")
     return shown.where(F.contains("snippet", F.lit("\x02")))

@@ -6,10 +6,11 @@ numbers, so that lines wrap, overlap and leave gaps; the same expressions make t
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import text
-from ..operators import facets, flow, layout, windows
+from ..operators import facets, flow, layout, page_flow, windows
 from .archive_queries import query, table
 
 #: Words of pages: two pages a document, blocks by line number. Line numbers repeat, so a word's number holds more of its line.
@@ -332,3 +333,52 @@ def subtitle_phrases(spark, d):
 @query("SELECT l_orderkey, l_linenumber, printf('%02d:%02d:%02d,%03d', ms // 3600000, ms // 60000 % 60, ms // 1000 % 60, ms % 1000) AS t FROM (SELECT l_orderkey, l_linenumber, CAST(round(l_extendedprice * 1000) AS BIGINT) AS ms FROM lineitem)")
 def subtitle_times(spark, d):
     return table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", windows.srt_time(F.col("l_extendedprice")).alias("t"))
+
+
+#: Lines of pages of two columns: the items of a supplier, twelve a page, some of them far down.
+_FLOW = {
+    "doc": "l_suppkey", "page": "CAST(1 + floor(k / 12) AS INT)", "height": "200", "column": "CAST(floor(k % 12 / 6) AS INT)", "block": "CAST(floor(k % 12 / 3) AS INT)", "para": "CAST(floor(k % 12 / 2) AS INT)",
+    "line": "CAST(k % 12 AS INT)", "t": "CAST(k % 12 * 15 + l_partkey % 3 * 4 + CASE WHEN k % 12 = 11 AND l_partkey % 2 = 0 THEN 14 ELSE 0 END AS INT)",
+    "text": """CASE l_partkey % 9 WHEN 0 THEN 'The end of it.' WHEN 1 THEN 'SOME CAPITALS' WHEN 2 THEN concat('a) item ', l_linenumber) WHEN 3 THEN '12 34' WHEN 4 THEN 'Next Capital Start'
+      WHEN 5 THEN 'cut wor-' WHEN 6 THEN 'and more of it' WHEN 7 THEN 'Begins with one' ELSE 'goes on & on' END""",
+}
+_FLOW_ORDER = "l_orderkey, l_linenumber, l_partkey, l_extendedprice"
+_FLOW_IN = "(SELECT " + ", ".join(f"{e} AS \"{n}\"" for n, e in _FLOW.items()) + f" FROM (SELECT *, row_number() OVER (PARTITION BY l_suppkey ORDER BY {_FLOW_ORDER}) - 1 AS k FROM lineitem))"
+
+
+def _flowing(spark, d):
+    turn = Window.partitionBy("l_suppkey").orderBy(*_FLOW_ORDER.split(", "))
+    rows = table(spark, d, "lineitem").withColumn("k", F.row_number().over(turn) - 1).select(*[F.expr(e).alias(n) for n, e in _FLOW.items()])
+    return rows.withColumn("box", F.struct(F.lit(0).alias("l"), F.col("t").alias("t"), F.lit(300).alias("r"), (F.col("t") + 10).alias("b"))).drop("t")
+
+
+_PARAGRAPHS = rf"""
+a AS (SELECT *, lag(page) OVER w AS p0, lag(block) OVER w AS b0, lag(para) OVER w AS o0, lag(text) OVER w AS x0 FROM {_FLOW_IN} WINDOW w AS (PARTITION BY doc ORDER BY page, line)),
+g AS (SELECT *, sum(CASE WHEN coalesce(p0 = page AND b0 = block AND (o0 = para OR NOT {_END.format("x0")}), false) THEN 0 ELSE 1 END) OVER (PARTITION BY doc ORDER BY page, line) AS grp FROM a),
+n AS (SELECT *, lead(line) OVER w IS NULL AND coalesce(CASE WHEN lag(t) OVER w IS NULL THEN t > 0.87 * height ELSE t > 0.85 * height AND t - lag(t) OVER w > 13.5 END, false) AS footnote FROM g WINDOW w AS (PARTITION BY doc, grp ORDER BY page, line)),
+x AS (SELECT *, len(list_filter(regexp_split_to_array(trim(text), '\s+'), lambda w: regexp_matches(w, '^[a-z]'))) = 0 AS caps, regexp_matches(trim(text), '^(?:[\p{{L}}\p{{N}}_]\)\s+|[0-9\sA-Z]+$)') AS marked, {_END.format("text")} AS ended FROM n WHERE NOT footnote),
+s AS (SELECT *, lag(line) OVER w IS NULL OR (lag(ended) OVER w AND t - lag(t) OVER w > 13) OR (caps AND NOT lag(caps) OVER w) OR marked OR (regexp_matches(text, '^[A-Z]') AND t - lag(t) OVER w > 13) AS starts,
+  grp = max(grp) OVER (PARTITION BY doc, page, "column") AND lead(line) OVER w IS NULL AS final FROM x WINDOW w AS (PARTITION BY doc, grp ORDER BY page, line)),
+p AS (SELECT *, sum(CASE WHEN starts THEN 1 ELSE 0 END) OVER (PARTITION BY doc ORDER BY page, line) AS p FROM s),
+q AS (SELECT doc, p, bool_and(caps) AS caps, arg_min(marked, page * 100 + line) AS marked, arg_max(final AND NOT ended, page * 100 + line) AS open FROM p GROUP BY doc, p),
+r AS (SELECT doc, p, sum(CASE WHEN before AND NOT caps AND NOT marked THEN 0 ELSE 1 END) OVER (PARTITION BY doc ORDER BY p)::BIGINT AS paragraph FROM (SELECT *, coalesce(lag(open) OVER (PARTITION BY doc ORDER BY p), false) AS before FROM q)),
+z AS (SELECT p.*, paragraph FROM p JOIN r USING (doc, p))"""
+_JOINED = r"regexp_replace(string_agg(trim(text), ' ' ORDER BY page, line), '(\p{Ll})- (\p{Ll})', '\1\2', 'g')"
+
+
+@query(f"WITH {_PARAGRAPHS} SELECT doc, page, line, paragraph FROM z UNION ALL SELECT doc, page, line, NULL FROM n WHERE footnote")
+def layout_paragraphs_over_pages(spark, d):
+    return page_flow.layout_paragraphs(_flowing(spark, d)).select("doc", "page", "line", "paragraph")
+
+
+@query(f"WITH {_PARAGRAPHS} SELECT doc, paragraph, min(page) AS first_page, max(page) AS last_page, {_JOINED} AS text FROM z GROUP BY doc, paragraph")
+def layout_texts_over_pages(spark, d):
+    return page_flow.paragraph_texts(_flowing(spark, d))
+
+
+@query(f"""WITH {_PARAGRAPHS}, h AS (SELECT doc, max(page) AS page, 0 AS kind, paragraph AS k, '<p>' || {_ESC.format(_JOINED)} || '</p>' AS h FROM z GROUP BY doc, paragraph
+UNION ALL SELECT doc, page, 1, line, '<span class="footnote">' || {_ESC.format('trim(text)')} || '</span>' FROM n WHERE footnote
+UNION ALL SELECT doc, page, 2, 0, '<span class="pageend" data-pagenum="' || page || '"></span>' FROM n GROUP BY doc, page)
+SELECT doc, string_agg(h, chr(10) ORDER BY page, kind, k) AS html FROM h GROUP BY doc""")
+def layout_html_over_pages(spark, d):
+    return page_flow.document_html(_flowing(spark, d))

@@ -14,7 +14,8 @@ from ..operators import extract, facets, layout, ordering, regulation, search
 from ..session import shared_folder
 from ..sources import assets, containers
 from ..streaming import feeds
-from .archive_queries import _C, _G, _places, catalog, gazettes, query, table
+from . import english_sql
+from .archive_queries import _ALL_WORDS, _C, _G, _places, catalog, gazettes, query, table
 
 _KIND = "CASE turn % 6 WHEN 0 THEN 'Chapter' WHEN 1 THEN 'Rule' WHEN 2 THEN 'Section' WHEN 3 THEN 'Article' END"
 _TAG = "CASE turn % 6 WHEN 4 THEN 'para' WHEN 5 THEN 'filelink' ELSE 'division' END"
@@ -273,9 +274,9 @@ def folded_records(spark, d):
     return out.select("source", "lang", F.size("notifications").cast("long").alias("n"))
 
 
-@query(f"""WITH p AS ({_places("split_part(text, chr(10), 1)", 0)} UNION ALL {_places("text", 1000000000)}),
-h AS (SELECT * FROM p WHERE lexeme IN ('thly', 'oned')),
-l AS (SELECT *, max(CASE WHEN lexeme = 'thly' THEN spot END) OVER w AS a, max(CASE WHEN lexeme = 'oned' THEN spot END) OVER w AS b FROM h WINDOW w AS (PARTITION BY doc_id ORDER BY spot)),
+@query(f"""WITH {english_sql.vocabulary(_ALL_WORDS)}, p AS ({_places("split_part(text, chr(10), 1)", 0)} UNION ALL {_places("text", 1000000000)}),
+h AS (SELECT * FROM p WHERE lexeme IN ('thli', 'one')),
+l AS (SELECT *, max(CASE WHEN lexeme = 'thli' THEN spot END) OVER w AS a, max(CASE WHEN lexeme = 'one' THEN spot END) OVER w AS b FROM h WINDOW w AS (PARTITION BY doc_id ORDER BY spot)),
 s AS (SELECT *, least(a, b) AS first, coalesce(max(least(a, b)) OVER (PARTITION BY doc_id ORDER BY spot ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), -1) AS before FROM l WHERE a IS NOT NULL AND b IS NOT NULL),
 c AS (SELECT doc_id AS id, round(sum(2.0 / (CASE WHEN a < 1000000000 THEN 1.0 ELSE 10.0 END + CASE WHEN b < 1000000000 THEN 1.0 ELSE 10.0 END) / (1 + (spot - first + 1 - 2))), 6) AS rank FROM s WHERE first > before GROUP BY doc_id)
 SELECT id, rank FROM (SELECT id, rank, CASE WHEN id % 3 > 0 THEN id % 7 END AS date FROM c) ORDER BY rank DESC, date DESC NULLS LAST, id DESC LIMIT 20""")

@@ -76,13 +76,6 @@ def records_of_json(text: Column, schema: str) -> Column:
     return F.from_json(text, schema, {"mode": "PERMISSIVE"})
 
 
-def script_reply(text: Column, schema: str) -> Column:
-    """The data of a script call such as f([...]): dates become their milliseconds, then it is JSON."""
-    body = F.regexp_extract(F.regexp_replace(text, "new Date\\((-?[0-9]+)\\)", "$1"), "(?s)^[^(\\[{]*\\(?([\\[{].*[\\]}])\\)?;?\\s*$", 1)
-    quoted = F.regexp_replace(body, "([{,]\\s*)([A-Za-z_][A-Za-z0-9_]*)\\s*:", '$1"$2":')
-    return F.from_json(quoted, schema)
-
-
 _VERTEX = "struct<x:int,y:int>"
 #: The fields of a cached reply of a text recogniser that words are made of.
 OCR_REPLY = (

@@ -15,10 +15,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators.trees import documents
+from .entities import XML_OWN, with_entities
+
 _STREAM = re.compile(rb"stream\r?\n(.*?)\r?\nendstream", re.S)
 _URI = re.compile(rb"/URI\s*\(((?:[^()\\]|\\.)*)\)")
 _ENTITY = re.compile(r"&([A-Za-z][A-Za-z0-9]*);")
-_XML_OWN = frozenset(["amp", "lt", "gt", "quot", "apos"])
 _FILE = T.StructType([T.StructField("name", T.StringType()), T.StructField("content", T.BinaryType())])
 
 
@@ -59,9 +61,11 @@ def pdf_links(content: Column) -> Column:
     return F.array_distinct(F.regexp_extract_all(F.decode(content, "ISO-8859-1"), F.lit("/URI\\s*\\(((?:[^()\\\\]|\\\\.)*)\\)"), 1))
 
 
-def _with_entities(xml: str) -> str:
-    """Named entities as the characters they stand for, but for those that XML has itself."""
-    return _ENTITY.sub(lambda m: m[0] if m[1] in _XML_OWN else html5.get(f"{m[1]};", m[0]), xml)
+def _with_entities(xml: str, entities: dict[str, str] | None = None) -> str:
+    """Named entities as the characters they stand for, but for those that XML has itself; declared ones before HTML's."""
+    if entities:
+        xml = with_entities(xml, entities)
+    return _ENTITY.sub(lambda m: m[0] if m[1] in XML_OWN else html5.get(f"{m[1]};", m[0]), xml)
 
 
 def _as_object(element):
@@ -109,13 +113,11 @@ _NODE = T.StructType(
 )
 
 
-@F.udf(T.ArrayType(_NODE), useArrow=True)
-def xml_nodes(xml):
-    """The elements of an XML text in document order; a number or name child fills num or title. Broken XML has none."""
+def _nodes(xml: str | None, entities: dict[str, str] | None) -> list[tuple]:
     if not xml:
         return []
     try:
-        root = ElementTree.fromstring(_with_entities(xml))
+        root = ElementTree.fromstring(_with_entities(xml, entities))
     except ElementTree.ParseError:
         return []
     rows, todo = [], [(root, None)]
@@ -130,31 +132,28 @@ def xml_nodes(xml):
     return rows
 
 
-def node_table(files: DataFrame, key: str, xml: str) -> DataFrame:
+def xml_nodes(xml: Column, entities: dict[str, str] | None = None) -> Column:
+    """The elements of an XML text in document order; a number or name child fills num or title. Broken XML has none.
+
+    entities: the texts of declared names (see entities).
+    """
+    return F.udf(lambda x: _nodes(x, entities), T.ArrayType(_NODE), useArrow=True)(xml)
+
+
+def node_table(files: DataFrame, key: str, xml: str, entities: dict[str, str] | None = None) -> DataFrame:
     """(reg, node, parent, ...) of all XML texts."""
-    return files.select(F.col(key).alias("reg"), F.explode(xml_nodes(F.col(xml))).alias("n")).select("reg", "n.*")
+    return files.select(F.col(key).alias("reg"), F.explode(xml_nodes(F.col(xml), entities)).alias("n")).select("reg", "n.*")
 
 
 def akn_document(nodes: DataFrame) -> DataFrame:
-    """(reg, xml): the identified nodes of each regulation as nested elements.
-
-    One regulation is one document, so its nodes are put together in one group.
-    """
-    packed = nodes.groupBy("reg").agg(F.array_sort(F.collect_list(F.struct("node", "parent", "becomes", "eid", "num", "title", "text"))).alias("x"))
-
-    @F.udf("string")
-    def written(rows):
-        made, top = {}, ElementTree.Element("body")
-        for r in rows:
-            element = ElementTree.SubElement(made.get(r["parent"], top), r["becomes"] or "block")
-            if r["eid"]:
-                element.set("eId", r["eid"])
-            for tag, value in (("num", r["num"]), ("heading", r["title"])):
-                if value:
-                    ElementTree.SubElement(element, tag).text = value
-            if r["text"]:
-                element.text = r["text"]
-            made[r["node"]] = element
-        return ElementTree.tostring(top, encoding="unicode")
-
-    return packed.select("reg", written("x").alias("xml"))
+    """(reg, xml): the identified nodes of each regulation as nested elements of a body; those whose parent is missing stand in the body."""
+    there = nodes.select("reg", F.col("node").alias("parent"), F.lit(True).alias("__there"))
+    up = F.when(F.col("__there"), F.col("parent").cast("long")).otherwise(0)
+    elements = nodes.join(there, ["reg", "parent"], "left").select(
+        "reg", F.col("node").cast("long").alias("el"), up.alias("parent"), F.coalesce("becomes", F.lit("block")).alias("element"), "eid", "num", F.col("title").alias("heading"), "text"
+    )
+    none = F.lit(None).cast("string")
+    body = nodes.select("reg").distinct().select(
+        "reg", F.lit(0).cast("long").alias("el"), F.lit(None).cast("long").alias("parent"), F.lit("body").alias("element"), none.alias("eid"), none.alias("num"), none.alias("heading"), none.alias("text")
+    )
+    return documents(elements.unionByName(body))

@@ -40,7 +40,8 @@ BUCKETS = 32
 def upsert_batches(path: str, key: str, order: str, buckets: int = BUCKETS, keep: int = 2):
     """A foreachBatch function that merges each batch into a Parquet table of versions and buckets.
 
-    The latest row of a key by ``order`` wins, so a batch that comes again changes nothing. A batch
+    The latest row of a key by ``order`` wins, of equal ones that with the greatest hash, so a batch that comes
+    again changes nothing. A batch
     rewrites the buckets that its keys are in, under its own number; readers take the highest
     number of each bucket. Versions of a bucket beyond the ``keep`` newest are deleted.
     """
@@ -53,7 +54,7 @@ def upsert_batches(path: str, key: str, order: str, buckets: int = BUCKETS, keep
             return
         old = current(spark, path, before=number, only=touched)
         both = new if old is None else old.withColumn("bucket", F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")).unionByName(new, allowMissingColumns=True)
-        last = F.row_number().over(Window.partitionBy("bucket", key).orderBy(F.desc(order)))
+        last = F.row_number().over(Window.partitionBy("bucket", key).orderBy(F.desc(order), F.desc(F.xxhash64(*[c for c in both.columns if c != "bucket"]))))
         merged = both.withColumn("__n", last).where("__n = 1").drop("__n")
         merged.write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/v={number:010d}")
         _expire(spark, path, keep)

@@ -1,12 +1,13 @@
 import datetime
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
-from quillstack.operators import ingest, layout, ordering, regulation, search, sets, windows
+from quillstack.operators import analysis, ingest, layout, ordering, regulation, search, sets, windows
 from quillstack.plans.search_plan import Archive, Criteria
 from quillstack.schemas import OCR_WORD
-from quillstack.sources import assets, sinks
+from quillstack.sources import assets, scripts, sinks
 from quillstack.streaming import feeds
 
 GAZETTES = [
@@ -73,12 +74,78 @@ def test_stored_postings(spark, tmp_path):
         assert {r["doc"] for r in search.match(scanned, a.gazettes, "id", q).collect()} == want
 
 
+def cover_density(entries, wanted):
+    """The rank of (lexeme, place, weight), place by place."""
+    last, total, start = {}, 0.0, -1
+    for lexeme, at, weight in sorted(entries, key=lambda e: e[1]):
+        last[lexeme] = (at, weight)
+        if wanted <= last.keys() and (first := min(last[w][0] for w in wanted)) > start:
+            total += len(wanted) / sum(1 / last[w][1] for w in wanted) / (1 + at - first + 1 - len(wanted))
+            start = first
+    return total
+
+
+def test_rank_matches_brute_force(spark):
+    rnd = random.Random(4)
+    texts = [(k, " ".join(rnd.choice("alpha beta gamma delta epsilon".split()) for _ in range(rnd.randrange(40))), " ".join(rnd.choice("alpha beta zeta".split()) for _ in range(3))) for k in range(60)]
+    rows = spark.createDataFrame(texts, "id long, body string, title string")
+    posted = search.postings(rows, "id", {"title": "A", "body": "D"}, "words")
+    got = {r["doc"]: r["rank"] for r in search.ranked(posted, rows.select(F.col("id").alias("doc")), 'alpha beta OR "gamma delta" -zeta', "words").collect()}
+    for k, body, title in texts:
+        entries = [(w, i, 1.0) for i, w in enumerate(title.split())] + [(w, 1000 + i, 0.1) for i, w in enumerate(body.split())]
+        far = [(w, i if weight == 1.0 else i + 10**9, weight) for w, i, weight in entries]
+        want = max(cover_density([e for e in far if e[0] in c], c) for c in ({"alpha", "beta"}, {"gamma", "delta"}))
+        assert got[k] == pytest.approx(want, abs=1e-6)
+
+
+#: Words and their published Porter2 stems.
+STEMS = """consign consign|consigned consign|consigning consign|consignment consign|consist consist|consisted consist|consistency consist|consistent consist
+consistently consist|consisting consist|consists consist|consolation consol|consolations consol|consolatory consolatori|console consol|consoled consol
+consoles consol|consolidate consolid|consolidated consolid|consolidating consolid|consoling consol|consolingly consol|consols consol|consonant conson
+consort consort|consorted consort|consorting consort|conspicuous conspicu|conspicuously conspicu|conspiracy conspiraci|conspirator conspir|conspirators conspir
+conspire conspir|conspired conspir|conspiring conspir|constable constabl|constables constabl|constance constanc|constancy constanc|constant constant
+knack knack|knackeries knackeri|knacks knack|knag knag|knave knave|knaves knave|knavish knavish|kneaded knead|kneading knead|knee knee|kneel kneel
+kneeled kneel|kneeling kneel|kneels kneel|knees knee|knell knell|knelt knelt|knew knew|knick knick|knif knif|knife knife|knight knight|knightly knight
+knights knight|knit knit|knits knit|knitted knit|knitting knit|knives knive|knob knob|knobs knob|knock knock|knocked knock|knocker knocker|knockers knocker
+knocking knock|knopp knopp|knot knot|knots knot|skies sky|dying die|news news|innings inning|generously generous|generate generat|communism communism
+relational relat|notifications notif|acquisitions acquisit|hopping hop|hoping hope|happy happi|by by|say say|enjoy enjoy|agreed agre|feed feed|luxuriating luxuri
+ties tie|cries cri|gas gas|gaps gap|kiwis kiwi|this this|national nation|rationally ration|adjustment adjust|replacement replac|adoption adopt|rolls roll|controlling control
+hopefulness hope|callousness callous|decisiveness decis|sensibility sensibl|analogies analog|formative format|electrical electr|goodness good|youth youth|boyish boyish
+proceeding proceed|bed bed|shed shed|bored bore|cease ceas|rate rate|fluently fluentli|ভূমি ভূমি|भूमि भूमि|2024 2024"""
+
+
+def test_published_stems(spark):
+    pairs = [p.split(" ") for line in STEMS.split("\n") for p in line.split("|")]
+    rows = spark.createDataFrame(pairs, "word string, want string").select("word", "want", analysis.porter2(F.col("word")).alias("got")).collect()
+    assert len(rows) > 130 and [tuple(r) for r in rows if r["want"] != r["got"]] == []
+    names = spark.createDataFrame([("the",), ("",), ("gazettes",), (None,)], "w string")
+    shown = lambda config: [r[0] for r in names.select(analysis.lexeme(F.col("w"), config)).collect()]
+    assert shown("simple") == ["the", None, "gazettes", None] and shown("words") == [None, None, "gazettes", None] and shown("english") == [None, None, "gazett", None]
+    with pytest.raises(ValueError):
+        analysis.lexeme(F.col("w"), "latin")
+
+
+def test_word_forms_places_and_ids(spark, monkeypatch):
+    rows = spark.createDataFrame([(1, "Notifications of the Land"), (2, "He notified the lands"), (3, "notification land"), (4, "")], "id long, body string")
+    for bound in (search.BROADCAST_WORDS, 0):
+        monkeypatch.setattr(search, "BROADCAST_WORDS", bound)
+        posted = search.postings(rows, "id", {"body": "D"})
+        found = lambda q, config="english": sorted(r["doc"] for r in search.match(posted, rows, "id", q, config).collect())
+        assert found("notification land") == [1, 3] and found("notifying") == [2] and found("lands -notify") == [1, 3]
+        assert found('"notification of the lands"') == [1] and found('"notifications land"') == [3] and found('"the land"') == [1, 2, 3]
+        ids = posted.select("lexeme", "word_id").distinct().collect()
+        assert len({r["word_id"] for r in ids}) == len({r["lexeme"] for r in ids}) == len(ids) == 3
+        assert sorted(map(tuple, posted.where("lexeme = 'land'").select("doc", "positions").collect())) == [(1, [4]), (2, [4]), (3, [2])]
+    plain = search.postings(rows, "id", {"body": "D"}, "simple")
+    assert sorted(r["doc"] for r in search.match(plain, rows, "id", '"the land"', "simple").collect()) == [1]
+
+
 def test_rank_and_snippets(spark):
     rows = spark.createDataFrame([(1, "alpha beta"), (2, "alpha x y z beta"), (3, "alpha only")], "id long, body string")
     posted = search.postings(rows, "id", {"body": "D"})
     rank = {r["doc"]: r["rank"] for r in search.ranked(posted, search.match(posted, rows, "id", "alpha beta"), "alpha beta").collect()}
     assert rank.keys() == {1, 2} and rank[1] > rank[2] > 0
-    assert search.cover_density([("a", 1, 1.0), ("b", 2, 1.0), ("a", 9, 1.0)], {"a", "b"}) == 1.0 + 1 / 7
+    assert cover_density([("a", 1, 1.0), ("b", 2, 1.0), ("a", 9, 1.0)], {"a", "b"}) == 1.0 + 1 / 7
     shown = search.snippets(rows, "id", "body", "beta").collect()
     assert {r["id"]: r["snippet"] for r in shown}[2] == "alpha x y z \x02beta\x03"
     text = " ".join(["start", *["w"] * 60, "Canals,", *["v"] * 60, "canal", "canalside", "end"])
@@ -207,7 +274,7 @@ def test_assets_and_sinks(spark, tmp_path):
     assert [(r["number"], r["start_s"], r["end_s"], r["text"]) for r in cues] == [(1, 1.0, 2.5, "Hello\nyou"), (2, 3.0, 4.0, "Bye")]
     sbv = spark.createDataFrame([("d", k, x) for k, x in enumerate(["0:00:01.000,0:00:02.000", "Hi", "there", "", "0:00:03.000,0:00:04.000", "Bye", ""])], "doc string, idx int, line string")
     assert [r["text"] for r in assets.sbv_cues(sbv).orderBy("cue").collect()] == ["Hi\nthere", "Bye"]
-    reply = spark.range(1).select(assets.script_reply(F.lit("cb([{num:'1', at:new Date(5)}])".replace("'", '"')), "array<struct<num:string,at:long>>").alias("x")).first()["x"]
+    reply = spark.range(1).select(scripts.script_reply(F.lit("cb([{num:'1', at:new Date(5)}])".replace("'", '"')), "array<struct<num:string,at:long>>").alias("x")).first()["x"]
     assert [tuple(r) for r in reply] == [("1", 5)]
 
 

@@ -7,7 +7,7 @@ import duckdb
 import pandas as pd
 import pytest
 
-from quillstack.plans import archive_queries, function_queries, layout_queries, record_queries, regulation_queries  # noqa: F401
+from quillstack.plans import archive_queries, function_queries, grammar_queries, layout_queries, record_queries, regulation_queries, table_queries, tree_queries  # noqa: F401
 from quillstack.streaming import stream_queries  # noqa: F401
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
