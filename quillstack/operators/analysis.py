@@ -2,15 +2,17 @@
 
 ``simple`` takes words as they are, in small letters; ``words`` leaves out the English stop words;
 ``english`` also takes each word's stem by the Porter2 algorithm. A corpus has far fewer different words
-than words, so stems are made for a vocabulary, each word once, and joined back (see search). A stem
-is an expression; words in other scripts have no English suffixes and stay as they are.
+than words, so stems are made for a vocabulary, each word once, and joined back (see search). Words in
+other scripts have no English suffixes and stay as they are.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import checkpoint
+
 CONFIGS = ("simple", "words", "english")
 
 #: The English stop words.
@@ -45,117 +47,60 @@ STEP_4 = ("ement", "ance", "ence", "able", "ible", "ment", "ant", "ent", "ism",
 SHORT = "(?:^[aeiouy][^aeiouy]|[^aeiouy][aeiouy][^aeiouywxY])$"
 
 
-def _bound(values: dict[str, Column], body) -> Column:
-    """body with the values computed once."""
-    whole = F.struct(*[v.alias(k) for k, v in values.items()])
-    return F.transform(F.array(whole), body)[0]
-
-
-def _cut(w: Column, n: int) -> Column:
-    return F.substring(w, F.lit(1), F.length(w) - n)
-
-
-def _first_region(w: Column) -> Column:
-    """The length of the word before its first region: what ends with the first consonant after a vowel."""
-    begun = F.regexp_extract(w, f"^(?:{BEGINNINGS}|.*?[{VOWELS}][^{VOWELS}])", 0)
-    return F.when(begun != "", F.length(begun)).otherwise(F.length(w))
-
-
-def _second_region(w: Column, r1: Column) -> Column:
-    begun = F.regexp_extract(F.substring(w, r1 + 1, F.length(w)), f"^.*?[{VOWELS}][^{VOWELS}]", 0)
-    return F.when(begun != "", r1 + F.length(begun)).otherwise(F.length(w))
-
-
-def _marked(w: Column) -> Column:
-    """Y for a y that is a consonant: at the beginning and after a vowel, where that y itself counts as one."""
-    return F.regexp_replace(F.regexp_replace(w, "^y", "Y"), f"([{VOWELS}])y", "$1Y")
-
-
-def _without_s(w: Column) -> Column:
-    w = F.regexp_replace(w, "(?:'s'|'s|')$", "")
-    ies = F.concat(_cut(w, 3), F.when(F.length(w) > 4, "i").otherwise("ie"))
-    return (
-        F.when(w.endswith("sses"), _cut(w, 2)).when(w.endswith("ied") | w.endswith("ies"), ies).when(w.rlike("(?:us|ss)$"), w)
-        .when(w.rlike(f"[{VOWELS}].+s$"), _cut(w, 1)).otherwise(w)
-    )
-
-
-def _without_ending(s: Column) -> Column:
-    """Step 1b of (w, r1)."""
-    w = s["w"]
-    stem = F.regexp_replace(w, "(?:ingly|edly|ing|ed)$", "")
-    mended = (
-        F.when(stem.rlike("(?:at|bl|iz)$"), F.concat(stem, F.lit("e"))).when(stem.rlike(DOUBLES), _cut(stem, 1))
-        .when(stem.rlike(SHORT) & (F.length(stem) <= s["r1"]), F.concat(stem, F.lit("e"))).otherwise(stem)
-    )
-    inside = lambda n: F.length(w) - n >= s["r1"]
-    return (
-        F.when(w.endswith("eedly"), F.when(inside(5), _cut(w, 3)).otherwise(w)).when(w.endswith("eed"), F.when(inside(3), _cut(w, 1)).otherwise(w))
-        .when((stem != w) & stem.rlike(f"[{VOWELS}]"), mended).otherwise(w)
-    )
-
-
-def _replaced(s: Column, cases, region: str = "r1") -> Column:
-    """w of (w, r1, r2) by the first suffix of the cases (suffix, replacement, condition) that it has, if that is in the region."""
-    w, out = s["w"], None
-    for suffix, instead, also in cases:
-        applies = F.length(w) - len(suffix) >= s[region]
-        applies = applies if also is None else applies & also(w)
-        one = F.when(applies, F.concat(_cut(w, len(suffix)), F.lit(instead))).otherwise(w)
-        out = F.when(w.endswith(suffix), one) if out is None else out.when(w.endswith(suffix), one)
-    return out.otherwise(w)
-
-
-def _after(before: str, suffix: str):
-    return (lambda w: w.rlike(f"{before}{suffix}$")) if before else None
-
-
-def porter2(word: Column) -> Column:
-    """The Porter2 stem of a word in small letters."""
-
-    def regions(w):
-        return {"w": w, "r1": _first_region(w)}
-
-    def with_second(s):
-        return {"w": s["w"], "r1": s["r1"], "r2": _second_region(s["w"], s["r1"])}
-
-    def then(change):
-        """A step that changes w and keeps the regions, which are those of the whole word."""
-        return lambda value, rest: _bound({"w": value["w"], "r1": value["r1"], "r2": value["r2"]}, lambda s: rest({"w": change(s), "r1": s["r1"], "r2": s["r2"]}))
-
-    steps = [
-        lambda s: _without_ending(s),
-        lambda s: F.regexp_replace(s["w"], f"(?<=.[^{VOWELS}])[yY]$", "i"),
-        lambda s: _replaced(s, [(suffix, instead, _after(before, suffix)) for suffix, instead, before in STEP_2]),
-        lambda s: _replaced(s, [(x, y, (lambda w, r2=s["r2"]: F.length(w) - 5 >= r2) if x == "ative" else None) for x, y in STEP_3]),
-        lambda s: _replaced(s, [(x, "", _after("[st]", x) if x == "ion" else None) for x in STEP_4], "r2"),
-        lambda s: F.when(
-            s["w"].endswith("e"),
-            F.when((F.length(s["w"]) > s["r2"]) | (F.length(s["w"]) > s["r1"]) & ~_cut(s["w"], 1).rlike(SHORT), _cut(s["w"], 1)).otherwise(s["w"]),
-        ).otherwise(F.when(s["w"].endswith("ll") & (F.length(s["w"]) > s["r2"]), _cut(s["w"], 1)).otherwise(s["w"])),
-    ]
-
-    def run(value, k=0):
-        if k == len(steps):
-            return F.replace(value["w"], F.lit("Y"), F.lit("y"))
-        return then(steps[k])(value, lambda new: run(new, k + 1))
+def _cut(n: int, w: str = "w") -> str:
+    return f"left({w}, length({w}) - {n})"
+
+
+def _replaced(region: str, cases) -> str:
+    """w by the first suffix of the cases (suffix, replacement, further condition) that it has, if that is in the region."""
+    one = "WHEN endswith(w, '{0}') THEN CASE WHEN length(w) - {1} >= {2}{3} THEN concat({4}, '{5}') ELSE w END"
+    return "CASE " + " ".join(one.format(x, len(x), region, f" AND {also}" if also else "", _cut(len(x)), y) for x, y, also in cases) + " ELSE w END"
+
+
+#: The steps of a stem: columns that each takes from those before it. As text, they are read by Spark at once and not call by call.
+_STEPS = (
+    # Y is a y that is a consonant: at the beginning and after a vowel, where that y itself counts as one
+    {"w": f"regexp_replace(regexp_replace(regexp_replace(w, \"^'\", ''), '^y', 'Y'), '([{VOWELS}])y', '$1Y')"},
+    # the first region begins after the first consonant after a vowel, the second likewise within the first
+    {"r1": f"regexp_extract(w, '^(?:{BEGINNINGS}|.*?[{VOWELS}][^{VOWELS}])', 0)"},
+    {"r1": "CASE WHEN r1 <> '' THEN length(r1) ELSE length(w) END"},
+    {"r2": f"regexp_extract(substring(w, r1 + 1), '^.*?[{VOWELS}][^{VOWELS}]', 0)"},
+    {"r2": "CASE WHEN r2 <> '' THEN r1 + length(r2) ELSE length(w) END", "w": "regexp_replace(w, \"(?:'s'|'s|')$\", '')"},
+    {"w": f"""CASE WHEN endswith(w, 'sses') THEN {_cut(2)} WHEN endswith(w, 'ied') OR endswith(w, 'ies') THEN concat({_cut(3)}, CASE WHEN length(w) > 4 THEN 'i' ELSE 'ie' END)
+      WHEN rlike(w, '(?:us|ss)$') THEN w WHEN rlike(w, '[{VOWELS}].+s$') THEN {_cut(1)} ELSE w END"""},
+    {"plural": "w", "t": "regexp_replace(w, '(?:ingly|edly|ing|ed)$', '')"},
+    {"w": f"""CASE WHEN endswith(w, 'eedly') THEN CASE WHEN length(w) - 5 >= r1 THEN {_cut(3)} ELSE w END WHEN endswith(w, 'eed') THEN CASE WHEN length(w) - 3 >= r1 THEN {_cut(1)} ELSE w END
+      WHEN t <> w AND rlike(t, '[{VOWELS}]') THEN CASE WHEN rlike(t, '(?:at|bl|iz)$') THEN concat(t, 'e') WHEN rlike(t, '{DOUBLES}') THEN {_cut(1, "t")}
+        WHEN rlike(t, '{SHORT}') AND length(t) <= r1 THEN concat(t, 'e') ELSE t END ELSE w END"""},
+    {"w": f"regexp_replace(w, '(?<=.[^{VOWELS}])[yY]$', 'i')"},
+    {"w": _replaced("r1", [(x, y, f"rlike(w, '{before}{x}$')" if before else "") for x, y, before in STEP_2])},
+    {"w": _replaced("r1", [(x, y, "length(w) - 5 >= r2" if x == "ative" else "") for x, y in STEP_3])},
+    {"w": _replaced("r2", [(x, "", "rlike(w, '[st]ion$')" if x == "ion" else "") for x in STEP_4])},
+    {"w": f"""CASE WHEN endswith(w, 'e') THEN CASE WHEN length(w) > r2 OR length(w) > r1 AND NOT rlike({_cut(1)}, '{SHORT}') THEN {_cut(1)} ELSE w END
+      WHEN endswith(w, 'll') AND length(w) > r2 THEN {_cut(1)} ELSE w END"""},
+    {"w": f"""CASE {" ".join(f"WHEN word = '{x}' THEN '{y}'" for x, y in EXCEPTIONS.items())} WHEN length(word) <= 2 THEN word
+      WHEN plural IN ({", ".join(f"'{x}'" for x in FINISHED)}) THEN replace(plural, 'Y', 'y') ELSE replace(w, 'Y', 'y') END"""},
+)
 
-    def stem(w):
-        marked = _bound({"w": _marked(F.regexp_replace(w["w"], "^'", ""))}, lambda s: _bound(regions(s["w"]), lambda r: _bound(with_second(r), plural)))
-        known = F.create_map(*[F.lit(x) for pair in EXCEPTIONS.items() for x in pair])
-        return F.when(F.length(w["w"]) <= 2, w["w"]).otherwise(F.coalesce(F.try_element_at(known, w["w"]), marked))
 
-    def plural(r):
-        return _bound({"w": _without_s(r["w"]), "r1": r["r1"], "r2": r["r2"]}, lambda s: F.when(s["w"].isin(*FINISHED), s["w"]).otherwise(run(s)))
+def with_stems(rows: DataFrame, word: str, out: str) -> DataFrame:
+    """rows with the Porter2 stem of the word, which is in small letters, in out.
 
-    return _bound({"w": word}, stem)
+    Each step is a column of its own, which Spark computes once however often the next one names it. The result
+    is checkpointed, as a filter of stems would be pushed below, which writes all steps into each other.
+    """
+    kept = [c for c in rows.columns if c != out]
+    rows = rows.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row"), F.col(word).alias("word"), F.col(word).alias("w"))
+    for step in _STEPS:
+        rows = rows.select(*[F.col(c) for c in rows.columns if c not in step], *[F.expr(text).alias(c) for c, text in step.items()])
+    return checkpoint(rows.select("row.*", F.col("w").alias(out)))
 
 
-def lexeme(word: Column, config: str = "english") -> Column:
-    """What a word in small letters is indexed as; null for one that is not."""
+def with_lexemes(rows: DataFrame, word: str, out: str, config: str = "english") -> DataFrame:
+    """rows with what the word, in small letters, is indexed as in out; null for one that is not."""
     if config not in CONFIGS:
         raise ValueError(f"unknown analyser {config!r}; there are {', '.join(CONFIGS)}")
-    if config == "simple":
-        return F.nullif(word, F.lit(""))
-    stem = porter2(word) if config == "english" else word
-    return F.when(~word.isin(*STOP_WORDS) & (word != ""), stem)
+    indexed = (F.col(word) != "") if config == "simple" else (F.col(word) != "") & ~F.col(word).isin(*STOP_WORDS)
+    if config != "english":
+        return rows.withColumn(out, F.when(indexed, F.col(word)))
+    return with_stems(rows, word, out).withColumn(out, F.when(indexed, F.col(out)))

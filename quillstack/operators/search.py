@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import checkpoint
-from .analysis import STOP_WORDS, lexeme
+from .analysis import STOP_WORDS, with_lexemes
 
 #: The weights of the four classes of text.
 WEIGHTS = {"D": 0.1, "C": 0.2, "B": 0.4, "A": 1.0}
@@ -46,10 +46,10 @@ def vocabulary(found: DataFrame, config: str = "english", only: list[str] | None
 
     Words that are not indexed are left out. only: the lexemes that are wanted.
     """
-    different = found.select("word").distinct().withColumn("lexeme", lexeme(F.col("word"), config)).where("lexeme IS NOT NULL")
+    different = with_lexemes(found.select("word").distinct(), "word", "lexeme", config).where("lexeme IS NOT NULL")
     if only is not None:
         different = different.where(F.col("lexeme").isin(only))
-    different = checkpoint(different)
+    different = checkpoint(different) if config != "english" or only is not None else different
     numbers = checkpoint(different.select("lexeme").distinct().withColumn("word_id", F.monotonically_increasing_id()))
     return different.join(numbers, "lexeme").select("word", "lexeme", "word_id")
 
@@ -142,7 +142,7 @@ def _lexemes_of(spark, words: list[str], config: str) -> dict[str, str]:
     if config != "english" or not words:
         return {w: w for w in words}
     rows = spark.range(1).select(F.explode(F.array(*map(F.lit, words))).alias("w"))
-    return {r["w"]: r["lexeme"] for r in rows.select("w", lexeme(F.col("w"), config).alias("lexeme")).collect()}
+    return {r["w"]: r["lexeme"] for r in with_lexemes(rows, "w", "lexeme", config).collect()}
 
 
 def match(posted: DataFrame, docs: DataFrame, key: str, text: str, config: str = "english") -> DataFrame:
@@ -222,11 +222,15 @@ def snippets(page: DataFrame, key: str, column: str, text: str, fragments: int =
 
     A word is a hit if its lexeme is one of the query's, as in the index.
     """
-    words = sorted({w for c in parse(text, config).clauses for p in c.wanted for w in p if w})
-    wanted = sorted(set(_lexemes_of(page.sparkSession, words, config).values()))
+    asked = sorted({w for c in parse(text, config).clauses for p in c.wanted for w in p if w})
+    wanted = asked
+    if config == "english":  # the forms of the query's words that the page has
+        lexemes = sorted(set(_lexemes_of(page.sparkSession, asked, config).values()))
+        forms = with_lexemes(words(page, key, {column: "D"}).select("word").distinct(), "word", "lexeme", config)
+        wanted = sorted(r["word"] for r in forms.where(F.col("lexeme").isin(lexemes)).select("word").collect())
     bare = lambda w: F.lower(F.regexp_extract(w, f"({TOKEN})", 1))
     tokens = F.filter(F.split(F.coalesce(F.col(column), F.lit("")), "\\s+"), lambda w: w != "")
-    hit = F.transform(tokens, lambda w: F.coalesce(lexeme(bare(w), config).isin(wanted), F.lit(False)) if wanted else F.lit(False))
+    hit = F.transform("__t", lambda w: F.coalesce(bare(w).isin(wanted), F.lit(False)) if wanted else F.lit(False))
     span = "struct<a:int,b:int>"
     start = F.struct(F.array().cast(f"array<{span}>").alias("spans"), F.lit(0).alias("end"))
 
@@ -236,14 +240,15 @@ def snippets(page: DataFrame, key: str, column: str, text: str, fragments: int =
         new = F.struct(F.array_append(acc["spans"], F.struct(a.alias("a"), b.alias("b"))).alias("spans"), b.alias("end"))
         return F.when(x["hit"] & (x["i"] >= acc["end"]) & (F.size(acc["spans"]) < fragments), new).otherwise(acc)
 
-    rows = page.select(key, tokens.alias("__t"), hit.alias("__h")).withColumn("__n", F.size("__t"))
+    # a page has few rows; written down, its words are not split again for each expression that names them
+    rows = checkpoint(page.select(key, tokens.alias("__t"))).withColumn("__h", hit).withColumn("__n", F.size("__t"))
     marks = F.transform("__h", lambda h, i: F.struct(i.alias("i"), h.alias("hit"), F.col("__n").alias("n")))
     spans = F.aggregate(marks, start, cover, lambda acc: acc["spans"])
     head = F.array(F.struct(F.lit(0).alias("a"), F.least(F.col("__n"), F.lit(least)).alias("b")))
     rows = rows.withColumn("__s", F.when(F.size(spans) > 0, spans).otherwise(head))
     shown = F.zip_with("__t", "__h", lambda t, h: F.when(h, F.concat(F.lit("\x02"), t, F.lit("\x03"))).otherwise(t))
     pieces = F.transform("__s", lambda s: F.array_join(F.slice(F.col("__w"), s["a"] + 1, s["b"] - s["a"]), " "))
-    return rows.withColumn("__w", shown).select(key, F.array_join(pieces, " … ").alias("snippet"))
+    return checkpoint(rows.withColumn("__w", shown).select(key, F.array_join(pieces, " … ").alias("snippet")))
 
 
 def unindexed(docs: DataFrame, posted: DataFrame, key: str) -> DataFrame:

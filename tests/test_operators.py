@@ -116,13 +116,13 @@ proceeding proceed|bed bed|shed shed|bored bore|cease ceas|rate rate|fluently fl
 
 def test_published_stems(spark):
     pairs = [p.split(" ") for line in STEMS.split("\n") for p in line.split("|")]
-    rows = spark.createDataFrame(pairs, "word string, want string").select("word", "want", analysis.porter2(F.col("word")).alias("got")).collect()
+    rows = analysis.with_stems(spark.createDataFrame(pairs, "word string, want string"), "word", "got").collect()
     assert len(rows) > 130 and [tuple(r) for r in rows if r["want"] != r["got"]] == []
     names = spark.createDataFrame([("the",), ("",), ("gazettes",), (None,)], "w string")
-    shown = lambda config: [r[0] for r in names.select(analysis.lexeme(F.col("w"), config)).collect()]
+    shown = lambda config: [r["x"] for r in analysis.with_lexemes(names, "w", "x", config).collect()]
     assert shown("simple") == ["the", None, "gazettes", None] and shown("words") == [None, None, "gazettes", None] and shown("english") == [None, None, "gazett", None]
     with pytest.raises(ValueError):
-        analysis.lexeme(F.col("w"), "latin")
+        analysis.with_lexemes(names, "w", "x", "latin")
 
 
 def test_word_forms_places_and_ids(spark, monkeypatch):
