@@ -141,16 +141,17 @@ def fingerprints(docs: DataFrame, text="text", out="fingerprint") -> DataFrame:
     return rows.mapInArrow(made, schema)
 
 
-_MADE = {"n_chars": pa.int64(), "edited_sha256": pa.string(), "fingerprint": pa.string(), "edited_fingerprint": pa.string(), "near_edited": pa.float64(), "near_next": pa.float64()}
-_MADE_SQL = "n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
+_MADE = {"n_chars": pa.int64(), "edited_sha256": pa.binary(), "fingerprint": pa.binary(), "edited_fingerprint": pa.binary(), "near_edited": pa.float64(), "near_next": pa.float64()}
+_MADE_SQL = "n_chars long, edited_sha256 binary, fingerprint binary, edited_fingerprint binary, near_edited double, near_next double"
+_AS_HEX = ("edited_sha256", "fingerprint", "edited_fingerprint")
 
 
 def _compared(text: str, own: bytes, following: str, its: bytes) -> tuple:
     """The columns of _MADE for a text and the next one, with their fingerprints."""
     changed = edited(text, following)
     after = own if changed == text else fingerprint(changed)
-    sha = hashlib.sha256(changed.encode("utf-8", "surrogatepass")).hexdigest()
-    return len(text), sha, own.hex(), after.hex(), likeness(own, after), likeness(own, its)
+    sha = hashlib.sha256(changed.encode("utf-8", "surrogatepass")).digest()
+    return len(text), sha, own, after, likeness(own, after), likeness(own, its)
 
 
 def _rows(ids, found: list, names: list[str], further: list[pa.Array]) -> pa.RecordBatch:
@@ -212,4 +213,4 @@ def print_and_compare(docs: DataFrame, id_col="doc_id", text="text") -> DataFram
     tails = ends.select("part", "id", "last").join(F.broadcast(after), "part").join(heads, "next").select("id", "last", "following")
     tails = tails.mapInArrow(_across, f"id {kinds}, {_MADE_SQL}")
     out = found.where("last IS NULL").drop("part", "first", "last").unionByName(tails)
-    return out.withColumnRenamed("id", id_col)
+    return out.withColumns({c: F.lower(F.hex(c)) for c in _AS_HEX}).withColumnRenamed("id", id_col)
