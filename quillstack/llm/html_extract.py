@@ -5,9 +5,15 @@
    comments). The page's choice is its only ``main`` with half of the score, or its only
    ``article`` with ``ALONE`` of it; without these, the smallest container with all of the score.
 2. A container is named by its generalised path, the tags and classes from the body down with
-   runs of digits replaced. Spark adds up the votes of each host's pages for such paths; of equal
-   ones the last in the order of code points wins.
-3. Every page is read again with its host's winning path. Where that is on the page, holding ``USE``
+   runs of digits replaced. Spark adds up, for each host, which blocks outside articles stand in the
+   same container, but for numbers, beside different text on ``LEAST_PAGES`` pages or more: such blocks
+   repeat. A container of which ``REPEATED`` of the host's text repeats is furniture whatever its name,
+   and its repeated blocks are left out on all pages. Copies of a page have the same text beside a
+   block and count once, and a container with much text of its own loses none, however often
+   some of its lines come again.
+3. Spark adds up the votes of each host's pages for the paths of their choices; of equal ones the
+   last in the order of code points wins. Hosts with furniture vote once more, without it.
+4. Every page is read again with its host's winning path. Where that is on the page, holding ``USE``
    of the page's score, all blocks in it are taken, and of the rest of the page's own choice those
    that are not mostly links; else all blocks of the page's own choice. A headline before an
    article without one, and what follows it up to the article, are taken too.
@@ -44,6 +50,8 @@ BROADCAST_CHARS = 16_000_000
 ALONE, USE = 0.8, 0.5
 #: Blocks and parts with more of their text in links than this are mostly links.
 LINKED = 0.5
+#: A block repeats on so many pages with different text, and in furniture so much of a host's text does.
+LEAST_PAGES, REPEATED = 4, 0.9
 #: Longer paths are named by a hash of the parent's name and their last part.
 LONGEST_PATH = 1000
 
@@ -333,20 +341,63 @@ def _within(node: _Node | None, top) -> bool:
     return False
 
 
-def vote(page: str | None) -> tuple[str, float]:
+def _container(node: _Node) -> _Node:
+    while node.parent is not None and node.tag not in _CONTAINER:
+        node = node.parent
+    return node
+
+
+def _outside(node: _Node) -> bool:
+    return not _within(node, "article") and not _within(node, "main")
+
+
+def _key(text: str) -> int:
+    """A signed 64-bit hash."""
+    value = xxhash.xxh64_intdigest(text.encode("utf-8", "surrogatepass"))
+    return value - (1 << 64) if value >> 63 else value
+
+
+def _block_key(node: _Node, text: str) -> int:
+    """What names a block on its host: its container's path and its text but for numbers and capitals."""
+    return _key(f"{_container(node).path}\n{_DIGITS.sub('#', text.lower())}")
+
+
+def _without_furniture(blocks: list, furniture: frozenset[int] | set[int]) -> list:
+    """The blocks that are not a host's furniture, whose text no longer counts for its nodes."""
+    kept = []
+    for node, text, share in blocks:
+        if _outside(node) and _block_key(node, text) in furniture:
+            node.text -= len(text)
+            node.links -= int(len(text) * share)
+        else:
+            kept.append((node, text, share))
+    return kept
+
+
+def vote(page: str | None, furniture=frozenset()) -> tuple[str, float]:
     """The generalised path of the page's own choice and its score."""
-    if not page:
-        return "", 0.0
-    nodes, _ = read(page)
+    return look(page, furniture)[0] if page else ("", 0.0)
+
+
+def look(page: str, furniture=frozenset()) -> tuple[tuple[str, float], int, list[tuple[int, int, int]]]:
+    """(vote, a hash of the longest block, the blocks outside articles as (key of the container, key, characters)) of a page."""
+    nodes, blocks = read(page)
+    if furniture:
+        blocks = _without_furniture(blocks, furniture)
     node, total = choose(nodes)
-    return ("", 0.0) if node is None else (node.path, total[id(node)])
+    if node is None:
+        return ("", 0.0), 0, []
+    longest = max((text for _, text, _ in blocks), key=len)
+    return (node.path, total[id(node)]), _key(longest), [(_key(_container(n).path), _block_key(n, text), len(text)) for n, text, _ in blocks if _outside(n)]
 
 
-def extract(page: str | None, path: str | None) -> str:
-    """The page's main text, by its host's path where that holds enough of it."""
+def extract(page: str | None, path: str | None, furniture=frozenset()) -> str:
+    """The page's main text without its host's furniture, by its host's path where that holds enough of it."""
     if not page:
         return ""
     nodes, blocks = read(page)
+    if furniture:
+        blocks = _without_furniture(blocks, furniture)
     own, total = choose(nodes)
     if own is None:
         return ""
@@ -364,44 +415,84 @@ def extract(page: str | None, path: str | None) -> str:
     return "\n".join(text for w, (_, text, _) in zip(wanted, blocks) if w)
 
 
-def _votes(batches):
+_SEEN = "host string, path string, score double, beside long, container long, block long, chars long"
+
+
+def _seen(batches):
+    """A row with the vote of each page, and one for each of its blocks outside articles."""
     for batch in batches:
-        found = [vote(x) for x in batch.column("html").to_pylist()]
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("host"), pa.array([p for p, _ in found], pa.string()), pa.array([s for _, s in found], pa.float64())],
-            names=["host", "path", "score"],
-        )
+        rows = []
+        for k, (page, furniture) in enumerate(zip(batch.column("html").to_pylist(), batch.column("furniture").to_pylist())):
+            if not page:
+                continue
+            (path, score), beside, blocks = look(page, frozenset(furniture or ()))
+            rows.append((k, path, score, None, None, None, None))
+            rows += [(k, None, None, beside, *block) for block in blocks]
+        at, *columns = zip(*rows) if rows else [()] * 7
+        kinds = (pa.string(), pa.float64(), pa.int64(), pa.int64(), pa.int64(), pa.int64())
+        arrays = [pa.array(c, kind) for c, kind in zip(columns, kinds)]
+        yield pa.RecordBatch.from_arrays([batch.column("host").take(pa.array(at, pa.int64())), *arrays], names=["host", "path", "score", "beside", "container", "block", "chars"])
 
 
 def _texts(batches):
     for batch in batches:
-        texts = [extract(h, p) for h, p in zip(batch.column("html").to_pylist(), batch.column("path").to_pylist())]
+        columns = [batch.column(c).to_pylist() for c in ("html", "path", "furniture")]
+        texts = [extract(h, p, frozenset(f or ())) for h, p, f in zip(*columns)]
         yield pa.RecordBatch.from_arrays(
             [batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())],
             names=["page_id", "url", "text", "n_chars"],
         )
 
 
-def host_paths(pages: DataFrame, url="url", html="html") -> DataFrame:
-    """(host, path): the path with the most votes of each host; a page votes with the log of its score."""
+def _hosted(pages: DataFrame, url: str) -> DataFrame:
     host, _ = host_and_path(F.col(f"`{url}`"))
-    votes = pages.select(F.coalesce(host, F.lit("")).alias("host"), F.col(f"`{html}`").alias("html")).mapInArrow(
-        _votes, "host string, path string, score double"
-    )
-    counted = votes.where("path != ''").groupBy("host", "path").agg(F.sum(F.log1p("score").cast("decimal(38,6)")).alias("votes"))
+    return pages.withColumn("__host", F.coalesce(host, F.lit("")))
+
+
+def _furniture(seen: DataFrame) -> DataFrame:
+    """(host, furniture): the keys of the repeated blocks of each host's furniture; hosts without any are left out."""
+    # a block stands beside the longest one of its page, and beside itself if it is that: copies count once, and so do pages of one block
+    each = seen.where("block IS NOT NULL").groupBy("host", "container", "block").agg(F.countDistinct("beside").alias("pages"), F.sum("chars").alias("chars"))
+    each = checkpoint(each.withColumn("repeats", F.col("pages") >= LEAST_PAGES))
+    share = each.groupBy("host", "container").agg((F.sum(F.when(F.col("repeats"), F.col("chars")).otherwise(0)) / F.sum("chars")).alias("share"))
+    kept = each.where("repeats").join(share.where(F.col("share") >= REPEATED), ["host", "container"], "left_semi")
+    return kept.groupBy("host").agg(F.collect_set("block").alias("furniture"))
+
+
+def _paths(seen: DataFrame) -> DataFrame:
+    """(host, path): the path with the most votes of each host; a page votes with the log of its score."""
+    counted = seen.where("path != ''").groupBy("host", "path").agg(F.sum(F.log1p("score").cast("decimal(38,6)")).alias("votes"))
     return counted.groupBy("host").agg(F.max_by("path", F.struct("votes", "path")).alias("path"))
 
 
+def consensus(pages: DataFrame, url="url", html="html") -> DataFrame:
+    """(host, path, furniture): what each host's pages agree on."""
+    rows = _hosted(pages, url).select(F.col("__host").alias("host"), F.col(f"`{html}`").alias("html"))
+    none = F.array().cast("array<bigint>")
+    seen = checkpoint(rows.select("host", "html", none.alias("furniture")).mapInArrow(_seen, _SEEN))
+    furniture = checkpoint(_furniture(seen))
+    size = furniture.agg(F.sum(F.length("host") + 8 * F.size("furniture"))).first()[0] or 0
+    if not size:
+        return _paths(seen).withColumn("furniture", none)
+    furniture = broadcast_if_small(furniture, size, BROADCAST_CHARS)
+    again = rows.join(furniture, "host").select("host", "html", "furniture").mapInArrow(_seen, _SEEN)
+    votes = seen.where("path IS NOT NULL").join(furniture.select("host"), "host", "left_anti").select("host", "path", "score")
+    return _paths(votes.unionByName(again.where("path IS NOT NULL").select("host", "path", "score"))).join(furniture, "host", "left")
+
+
+def host_paths(pages: DataFrame, url="url", html="html") -> DataFrame:
+    """(host, path): the winning path of each host."""
+    return consensus(pages, url, html).select("host", "path")
+
+
 def extract_pages(pages: DataFrame, id_col="page_id", url="url", html="html") -> DataFrame:
     """(page_id, url, text, n_chars) for every row of pages."""
-    paths = checkpoint(host_paths(pages, url, html))
-    host, _ = host_and_path(F.col(f"`{url}`"))
-    rows = pages.select(
-        F.col(f"`{id_col}`").cast("long").alias("page_id"), F.col(f"`{url}`").alias("url"), F.col(f"`{html}`").alias("html"),
-        F.coalesce(host, F.lit("")).alias("host"),
+    agreed = checkpoint(consensus(pages, url, html))
+    rows = _hosted(pages, url).select(
+        F.col(f"`{id_col}`").cast("long").alias("page_id"), F.col(f"`{url}`").alias("url"), F.col(f"`{html}`").alias("html"), F.col("__host").alias("host")
     )
-    size = paths.agg(F.sum(F.length("host") + F.length("path"))).first()[0] or 0
-    joined = rows.join(broadcast_if_small(paths, size, BROADCAST_CHARS), "host", "left")
-    return joined.select("page_id", "url", "html", "path").mapInArrow(
+    size = agreed.agg(F.sum(F.length("host") + F.length("path") + 8 * F.coalesce(F.size("furniture"), F.lit(0)))).first()[0] or 0
+    joined = rows.join(broadcast_if_small(agreed, size, BROADCAST_CHARS), "host", "left")
+    return joined.select("page_id", "url", "html", "path", "furniture").mapInArrow(
         _texts, "page_id long, url string, text string, n_chars long"
     )

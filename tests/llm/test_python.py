@@ -84,6 +84,43 @@ def test_html_keeps_the_whole_article(html, text):
     assert html_extract.extract(html, "/body/div.other") == text
 
 
+def neutral(rnd, host, k):
+    """A page whose furniture has names that say nothing, and its article."""
+    say = lambda n: " ".join(rnd.choice("alpha beta gamma delta epsilon zeta eta theta iota kappa".split()) + str(rnd.randrange(99)) for _ in range(n)) + "."
+    article = [f"Title {say(3)}", "Summary", say(40), say(30), *([say(5)] * (k % 3))]
+    body = f"<h1>{article[0]}</h1><h2>{article[1]}</h2>" + "".join(f"<p>{x}</p>" for x in article[2:])
+    box = f"<div class=k7><p>Get our letter every week on {host}.</p><p>{k} readers are here now, join them!</p></div>"
+    top = "<div class=t1><div>Quality since 1901</div></div>"
+    aside = f"<div class=x9>{say(6)}</div>" if k % 2 else ""  # says something else on each page, so it may be text
+    return f"<html><body><div class=wrap>{top}<div class=txt>{body}</div>{box}{aside}</div></body></html>", "\n".join([*article, *([aside[14:-6]] if aside else [])])
+
+
+def test_html_consensus_decides_what_is_furniture(spark):
+    rnd = random.Random(31)
+    rows, want = [], {}
+    for h in range(6):
+        for k in range(12):
+            page_, text = neutral(rnd, f"h{h}.example", k)
+            rows.append((100 * h + k, f"https://h{h}.example/{k}", page_))
+            want[100 * h + k] = text
+    copies = neutral(rnd, "copies.example", 0)[0]  # many copies of one page are one page: nothing repeats beside other text
+    rows += [(1000 + k, f"https://copies.example/{k}", copies + f"<!-- {k} -->") for k in range(40)]
+    few = [neutral(rnd, "few.example", k)[0] for k in range(3)]
+    rows += [(2000 + k, f"https://few.example/{k}", p) for k, p in enumerate(few)]
+    inside = "<article><h1>T{0}</h1><p>Words of article number {0} and more of them.</p><p>The same line in each of them.</p></article>"
+    rows += [(3000 + k, f"https://art.example/{k}", inside.format(k)) for k in range(12)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(4)
+    got = {r["page_id"]: r["text"] for r in html_extract.extract_pages(pages).collect()}
+    changed = {i // 100 for i, t in want.items() if html_extract.extract(dict((r[0], r[2]) for r in rows)[i], None) != got[i]}
+    assert changed == set(range(6))  # the consensus changes the text on each of these hosts
+    assert {i: got[i] for i in want} == want
+    for k in range(40):
+        assert "Get our letter" in got[1000 + k] and "Title" in got[1000 + k]
+    assert all("Quality since 1901" in got[2000 + k] for k in range(3)) and all("The same line in each of them." in got[3000 + k] for k in range(12))
+    paths = {r["host"]: r["path"] for r in html_extract.host_paths(pages).collect()}
+    assert paths["h0.example"] == "/body/div.wrap" or paths["h0.example"] == "/body/div.wrap/div.txt"
+
+
 def test_html_host_path_leaves_no_text_out():
     main, more = "<p>" + "main words " * 30 + "</p>", "<p>" + "more words " * 20 + "</p>"
     page_ = f"<div class=page><div class=text>{main}<ul><li><a href=x>a link in it</a></ul></div><div class=more>{more}<ul><li><a href=y>a link beside</a></ul></div></div>"
