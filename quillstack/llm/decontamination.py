@@ -15,8 +15,9 @@ values; in a re-parameterised question each value of the item becomes one other
 throughout. A find whose values change inconsistently in more than 1 - ``min_agree`` of its
 slots is no leak.
 
-An item with fewer template tokens than a window is leaked by a line that has its template and
-nothing else. Windows of placeholders only match nothing, nor do items of these only. Null texts and
+An item with fewer template tokens than a window is leaked by a line, however long, that has its template
+and nothing else. Beyond ``BROADCAST_WINDOWS`` windows of items, those that very many places of documents
+have still meet theirs by a broadcast. Windows of placeholders only match nothing, nor do items of these only. Null texts and
 items have no tokens. Null ids are allowed; rows that agree in id and text count as one document.
 Texts are read whole, however long. A column of docs with the result's name gives way to it. Empty
 tables: no leaks.
@@ -27,7 +28,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import broadcast_if_small, checkpoint, let, others
+from .common import broadcast_if_small, checkpoint, join_named, let, others
 
 WINDOW = 5
 MIN_COVER = 0.8
@@ -105,7 +106,7 @@ def short_leaks(docs: DataFrame, items: DataFrame, id_col: str, text: str, item_
         return None
     whole = F.col(f"`{text}`")
     rows = docs.select(F.col(f"`{id_col}`").alias("doc"), F.xxhash64(whole).alias("same"), F.split(whole, "\n").alias("lines"))
-    lines = rows.select("doc", "same", F.explode("lines").alias("line")).where(F.length("line") < 64 * window)
+    lines = rows.select("doc", "same", F.explode("lines").alias("line"))
     found = lines.select("doc", "same", F.explode(templates(F.col("line"))).alias("t")).where(told(F.col("t"))).join(own, "t")
     return found.select("doc", "same", "item", F.lit(1.0).alias("cover"), F.lit(1.0).alias("agree"))
 
@@ -115,6 +116,17 @@ def band_of(size: Column, most: int = BAND) -> Column:
     return F.greatest(F.least(F.floor(size / 3), F.lit(most)), F.lit(1))
 
 
+def _met(seen: DataFrame, index: DataFrame) -> DataFrame:
+    """seen joined with index on h by a shuffle, in which windows that very many places have meet theirs by a broadcast."""
+    columns = [c for c in index.columns if c != "h"]
+    packed = index.groupBy("h").agg(F.collect_list(F.struct(*columns)).alias("found"))
+    times = seen.groupBy("h").agg(F.count(F.lit(1)).alias("times"))
+    named = checkpoint(packed.join(times, "h"))
+    total = named.agg(F.sum("times")).first()[0] or 0
+    met = join_named(seen, named, ["h"], total)
+    return met.select(*seen.columns, F.explode("found").alias("x")).select(*seen.columns, "x.*")
+
+
 def find_leaks(docs: DataFrame, items: DataFrame, id_col="doc_id", text="text", item_id="item_id", item_text="text",
                window: int = WINDOW, min_cover: float = MIN_COVER, min_agree: float = MIN_AGREE, band: int = BAND) -> DataFrame:
     """(doc, same, item, cover, agree): the items that documents leak. ``same`` is a hash of the text."""
@@ -127,7 +139,7 @@ def find_leaks(docs: DataFrame, items: DataFrame, id_col="doc_id", text="text",
     # outer explode keeps Spark from adding a filter that makes each text's windows twice more.
     rows = docs.select(*me, window_hashes(tokens, window).alias("w"))
     seen = rows.select("doc", "same", F.posexplode_outer("w").alias("pos", "h")).where("pos IS NOT NULL")
-    hits = seen.join(broadcast_if_small(index, n, BROADCAST_WINDOWS), "h")
+    hits = seen.join(F.broadcast(index), "h") if n <= BROADCAST_WINDOWS else _met(seen, index)
     offset = F.floor((F.col("pos") - F.col("at")) / band_of(F.col("size"), band))
     hits = checkpoint(
         hits.select("doc", "same", "pos", "item", "at", "size", "slots", F.explode(F.array(offset, offset - 1)).alias("band"))

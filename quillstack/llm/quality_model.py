@@ -9,7 +9,9 @@ the logistic function of the difference of the two log-densities, tempered, plus
 
 Null texts and texts without words are scored like any other, from the statistics of no words.
 Labels of ids that occur more than once are averaged and rounded. Without labels of both kinds
-every score is the share of label 1, or 0.5 without labels. Repeated rows get equal scores.
+every score is the share of label 1, or 0.5 without labels. Repeated rows get equal scores. Very long
+texts are read whole. Null ids are never labelled and are scored; further columns are not looked at. An
+empty table gives an empty result.
 """
 
 from __future__ import annotations

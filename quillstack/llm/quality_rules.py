@@ -13,8 +13,9 @@ words in three-word windows that occur twice or more) and if the failing lines h
 ``max_loss_percent`` of the characters of its lines.
 
 Null texts count as empty: no words, base rules failed, clean text empty. Rows are judged one
-by one, so repeated rows, null ids and further columns are kept as they are. There is no
-shuffle: all the work is done within a row by built-in functions.
+by one, so repeated rows, null ids and further columns are kept as they are, and a table without
+rows gives none. Texts are read whole, however long: a line or a text has no greatest length. There is
+no shuffle: all the work is done within a row by built-in functions.
 """
 
 from __future__ import annotations

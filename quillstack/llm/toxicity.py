@@ -13,7 +13,7 @@ trees nor lexicon know.
 
 Null texts and texts without words have zero features and are scored like any other; very long
 texts are read whole. Labels of ids that occur more than once are averaged and rounded, and all
-rows with the id count; null ids are never labelled. Without labels of both kinds every score is
+rows with the id count in the lexicon, of which the trees learn from the text with the smallest hash; null ids are never labelled. Without labels of both kinds every score is
 the share of label 1, or 0 without labels. Repeated rows get equal scores. Further columns are not
 looked at. An empty table gives an empty result.
 """
@@ -103,7 +103,9 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, id_col="doc_id", text="te
     held = F.pmod(F.xxhash64("id", F.lit("calibrate")), F.lit(4)) == 0
     labelled = rows.join(broadcast_if_small(given, given.count(), BROADCAST_LABELS), F.col("id") == F.col("of")).select("id", "text", "label")
     chosen = given.orderBy(F.xxhash64("of"), "of").limit(max_train)
-    known = checkpoint(rows.join(F.broadcast(chosen), F.col("id") == F.col("of")).select("id", "text", "label").dropDuplicates(["id"]))
+    # of the texts of one id the one with the smallest hash, so that reruns learn from the same
+    first = F.min(F.struct(F.xxhash64("text").alias("same"), "text", "label")).alias("x")
+    known = checkpoint(rows.join(F.broadcast(chosen), F.col("id") == F.col("of")).groupBy("id").agg(first).select("id", "x.text", "x.label"))
     counts = {(r["held"], r["label"]): r["n"] for r in known.groupBy(held.alias("held"), "label").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not counts.get((False, 0)) or not counts.get((False, 1)):
         n = sum(counts.values())

@@ -339,6 +339,26 @@ def test_decontamination_in_capitals_and_side_by_side(spark):
     assert got == {0: [1], 1: [1], 2: [1], 3: [2], 4: [2], 5: [3], 6: [], 7: [], 8: [1], 9: []}
 
 
+def test_decontamination_finds_short_items_in_long_lines(spark):
+    items = [(1, "What is seven plus")]
+    texts = ["what is seven plus?", "a b\nWhat is seven plus" + "!" * 400 + "\nc", "What is seven plus" + " " * 5000 + "eight", "?" * 2000 + " What is seven plus " + "-" * 2000]
+    assert leaks_of(spark, items, texts) == {0: [1], 1: [1], 2: [], 3: [1]}
+
+
+def test_decontamination_beyond_its_broadcast(spark, monkeypatch):
+    common = "read the text below with great care and then answer"
+    own = lambda k: " ".join(f"{w}{chr(97 + k)}" for w in ("ask", "why", "this", "goes", "that", "way", "each", "time", "when", "it", "rains", "hard"))
+    items = [(k, f"{common} {own(k)}") for k in range(12)]
+    texts = [f"{common} something else of number{k % 7} words" for k in range(150)] + [items[3][1], items[5][1].upper() + " " + items[7][1], "no leak at all in this one"]
+    want = leaks_of(spark, items, texts)
+    assert want[150] == [3] and want[151] == [5, 7] and not any(want[k] for k in (*range(150), 152))
+    monkeypatch.setattr(decontamination, "BROADCAST_WINDOWS", 0)
+    assert leaks_of(spark, items, texts) == want
+    real = decontamination.join_named
+    monkeypatch.setattr(decontamination, "join_named", lambda *a: real(*a, 20))
+    assert leaks_of(spark, items, texts) == want
+
+
 def test_decontamination_finds_the_benchmark_in_any_case(spark):
     items = [(r["item_id"], r["text"]) for r in spark.read.parquet("/root/testdata/sf0.01/benchmark.parquet").collect()]
     for change in (str.upper, str.lower, str):
