@@ -96,9 +96,10 @@ CITED_BY_USE = ("MI", "GA", "ID", "LA", "ME", "MS", "NE", "RI", "WY")
 CITED_BY_USE_OR_TEXT = ("WI", "SC", "CO", "DE")
 CITED_WITHOUT_CONTROLS = ("MO",)
 #: The states whose codes have titles, which their references carry.
-TITLE_STATES = tuple(
-    "AK AL AR AZ CA CO CT DE GA HI IA ID IL IN KS KY LA MA MD ME MN MO MS MT NC ND NE NH NJ NM NV NY OH OK OR PA RI SC SD TN TX UT VA VT WA WI WV WY".split()
-)
+TITLE_STATES = (
+    "AK", "AL", "AR", "AZ", "CA", "CO", "CT", "DE", "GA", "HI", "IA", "ID", "IL", "IN", "KS", "KY", "LA", "MA", "MD", "ME", "MN", "MO", "MS", "MT", "NC", "ND", "NE",
+    "NH", "NJ", "NM", "NV", "NY", "OH", "OK", "OR", "PA", "RI", "SC", "SD", "TN", "TX", "UT", "VA", "VT", "WA", "WI", "WV", "WY",
+)
 
 
 def citations(refs: DataFrame) -> DataFrame:
@@ -123,23 +124,65 @@ def linked_citations(cited: DataFrame) -> DataFrame:
     return cited.where((F.col("datatype") == "D") & titled & (F.col("state") == F.col("own_state")))
 
 
-#: The states by code, with the year their regulations begin.
+#: The states by code, with the name of the locality and the year their regulations begin.
 STATES = (
-    "AL alabama 1981, AK alaska 1959, AZ arizona 1952, AR arkansas 1967, CA california 1947, CO colorado 1959, CT connecticut 1945,"
-    " DE delaware 1960, FL florida 1961, GA georgia 1964, HI hawaii 1961, ID idaho 1965, IL illinois 1975, IN indiana 1986, IA iowa 1975,"
-    " KS kansas 1984, KY kentucky 1984, LA louisiana 1966, ME maine 1961, MD maryland 1957, MA massachusetts 1954, MI michigan 1943,"
-    " MN minnesota 1946, MS mississippi 1976, MO missouri 1945, MT montana 1971, NE nebraska 1945, NV nevada 1965, NH newhampshire 1973,"
-    " NJ newjersey 1968, NM newmexico 1969, NY newyork 1975, NC northcarolina 1973, ND northdakota 1941, OH ohio 1943, OK oklahoma 1963,"
-    " OR oregon 1957, PA pennsylvania 1945, RI rhodeisland 1956, SC southcarolina 1977, SD southdakota 1966, TN tennessee 1974, TX texas 1975,"
-    " UT utah 1973, VT vermont 1967, VA virginia 1975, WA washington 1959, WV westvirginia 1964, WI wisconsin 1943, WY wyoming 1957"
+    ("AL", "alabama", 1981),
+    ("AK", "alaska", 1959),
+    ("AZ", "arizona", 1952),
+    ("AR", "arkansas", 1967),
+    ("CA", "california", 1947),
+    ("CO", "colorado", 1959),
+    ("CT", "connecticut", 1945),
+    ("DE", "delaware", 1960),
+    ("FL", "florida", 1961),
+    ("GA", "georgia", 1964),
+    ("HI", "hawaii", 1961),
+    ("ID", "idaho", 1965),
+    ("IL", "illinois", 1975),
+    ("IN", "indiana", 1986),
+    ("IA", "iowa", 1975),
+    ("KS", "kansas", 1984),
+    ("KY", "kentucky", 1984),
+    ("LA", "louisiana", 1966),
+    ("ME", "maine", 1961),
+    ("MD", "maryland", 1957),
+    ("MA", "massachusetts", 1954),
+    ("MI", "michigan", 1943),
+    ("MN", "minnesota", 1946),
+    ("MS", "mississippi", 1976),
+    ("MO", "missouri", 1945),
+    ("MT", "montana", 1971),
+    ("NE", "nebraska", 1945),
+    ("NV", "nevada", 1965),
+    ("NH", "newhampshire", 1973),
+    ("NJ", "newjersey", 1968),
+    ("NM", "newmexico", 1969),
+    ("NY", "newyork", 1975),
+    ("NC", "northcarolina", 1973),
+    ("ND", "northdakota", 1941),
+    ("OH", "ohio", 1943),
+    ("OK", "oklahoma", 1963),
+    ("OR", "oregon", 1957),
+    ("PA", "pennsylvania", 1945),
+    ("RI", "rhodeisland", 1956),
+    ("SC", "southcarolina", 1977),
+    ("SD", "southdakota", 1966),
+    ("TN", "tennessee", 1974),
+    ("TX", "texas", 1975),
+    ("UT", "utah", 1973),
+    ("VT", "vermont", 1967),
+    ("VA", "virginia", 1975),
+    ("WA", "washington", 1959),
+    ("WV", "westvirginia", 1964),
+    ("WI", "wisconsin", 1943),
+    ("WY", "wyoming", 1957),
 )
 
 
 def states(spark) -> DataFrame:
     """(state, locality, start_year, titled): the states and whether their references carry a title."""
-    rows = spark.range(1).select(F.explode(F.split(F.lit(STATES), ", *")).alias("x")).select(F.split(F.trim("x"), " ").alias("x"))
-    state = F.col("x")[0]
-    return rows.select(state.alias("state"), F.col("x")[1].alias("locality"), F.col("x")[2].cast("int").alias("start_year"), state.isin(*TITLE_STATES).alias("titled"))
+    rows = spark.createDataFrame(list(STATES), "state string, locality string, start_year int")
+    return rows.withColumn("titled", F.col("state").isin(*TITLE_STATES))
 
 
 def reference_index(refs: DataFrame) -> DataFrame:

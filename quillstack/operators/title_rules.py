@@ -1,8 +1,8 @@
 """Grammars of titles as rows: patterns of a source, what their groups say, and corrections of single titles.
 
-A rule is (source, part, turn, pattern, fields, values). The parts of a source are looked at on their own; in each
+A rule is (source, part, turn, pattern, fields). The parts of a source are looked at on their own; in each
 the first pattern by turn that is found in a title gives its fields their values, templates with $1 for the
-first group. A correction (source, title, day, fields, values) comes before them where title, and the day if it
+first group. A correction (source, title, day, fields) comes before them where title, and the day if it
 has one, are the same. Fields named year, month (a name or a number) and day_of_month make the date.
 """
 
@@ -21,44 +21,58 @@ _DAY = "([0-9]+)\\s*(?:st|nd|rd|th)?\\s*"
 #: The grammars of sources.
 GRAMMARS = (
     ("lakshadweep", 1, 1, "(?i)vo[li][.,]\\s*(\\w+)\\.?\\s*no\\.\\s*([0-9]+(?:\\(\\w+\\))?)\\s*[,.]?\\s*[^0-9,]+,?\\s*" + _DAY + "(\\w+)[,.]?\\s*([0-9]+)",
-     "volume num day_of_month month year", "$1|$2|$3|$4|$5"),
-    ("dadranagarhaveli", 1, 1, "(?i)official\\s+gazette\\s*[:–—-]?\\s*series\\s*[–—-]*\\s*(.+)\\s+no\\s*\\.?\\s*([0-9]+)", "series num kind", "$1|$2|Ordinary"),
-    ("dadranagarhaveli", 1, 2, "(?i)official\\s+gazette\\s*[:-]?\\s*extra\\s*ordinary\\s+(?:no)?\\s*[.:]?\\s*([0-9]+)", "num kind", "$1|Extraordinary"),
-    ("arunachal", 1, 1, "(?i)^(?:Complete)?\\s*Normal\\s+Gazette\\s*-?\\s*(?:of)?\\s*([0-9]{4})", "part year", "complete|$1"),
-    ("arunachal", 1, 2, "(?i)^Normal\\s+Gazette\\s*-?\\s*No\\s*\\.\\s*([0-9]+)\\s*to\\s*([0-9]+)\\s*of\\s*([0-9]{4})", "part year", "$1-$2|$3"),
+     {"volume": "$1", "num": "$2", "day_of_month": "$3", "month": "$4", "year": "$5"}),
+    ("dadranagarhaveli", 1, 1, "(?i)official\\s+gazette\\s*[:–—-]?\\s*series\\s*[–—-]*\\s*(.+)\\s+no\\s*\\.?\\s*([0-9]+)",
+     {"series": "$1", "num": "$2", "kind": "Ordinary"}),
+    ("dadranagarhaveli", 1, 2, "(?i)official\\s+gazette\\s*[:-]?\\s*extra\\s*ordinary\\s+(?:no)?\\s*[.:]?\\s*([0-9]+)",
+     {"num": "$1", "kind": "Extraordinary"}),
+    ("arunachal", 1, 1, "(?i)^(?:Complete)?\\s*Normal\\s+Gazette\\s*-?\\s*(?:of)?\\s*([0-9]{4})",
+     {"part": "complete", "year": "$1"}),
+    ("arunachal", 1, 2, "(?i)^Normal\\s+Gazette\\s*-?\\s*No\\s*\\.\\s*([0-9]+)\\s*to\\s*([0-9]+)\\s*of\\s*([0-9]{4})",
+     {"part": "$1-$2", "year": "$3"}),
     ("arunachal", 1, 3, "(?i)^([0-9]+)\\s*\\.?\\s*(?:NG|(?:Normal|Noram|Norma)\\s+Gazette)\\s*\\.?-?\\s*(?:No)?\\s*[.-]?\\s*[0-9]*\\s*[,.]?\\s*(?:part\\s*-?\\s*([0-9ivxlcdm]+))?\\s*,?\\s*(?:of)?\\s*([0-9]{4})?",
-     "num part year", "$1|$2|$3"),
+     {"num": "$1", "part": "$2", "year": "$3"}),
     ("arunachal", 1, 4, "(?i)^(?:NG|(?:Normal|Noram|Norma)\\s+Gazette)\\s*\\.?-?\\s*(?:No)?\\s*[.-]?\\s*([0-9]+)?\\s*[,.]?\\s*(?:part\\s*-?\\s*([0-9ivxlcdm]+))?\\s*,?\\s*(?:of)?\\s*([0-9]{4})?",
-     "num part year", "$1|$2|$3"),
-    ("jammuandkashmir", 1, 1, "Gazette\\s+No\\.?\\s*([0-9]+)\\s+dated\\s+" + _DAY + "(\\w+)[ .,]*([0-9]+)", "num day_of_month month year", "$1|$2|$3|$4"),
-    ("nagaland", 1, 1, "([0-9]+)\\s*(?:th|st|nd)?\\s*(?:th|st|nd)?\\s*([a-zA-Z]+)\\s*,?\\s*([0-9]+)", "day_of_month month year", "$1|$2|$3"),
-    ("nagaland", 1, 2, "([a-zA-Z]+)\\s*([0-9]+)\\s*(?:th|st)?\\s*,?\\s*([0-9]+)", "month day_of_month year", "$1|$2|$3"),
-    ("meghalaya", 1, 1, "(?i)^([0-9]{2})-([0-9]{2})-([0-9]{2})-(\\w+)\\.pdf$", "day_of_month month year part", "$1|$2|20$3|$4"),
-    ("stgeorge", 1, 1, "Issue\\s+Number:\\s*([0-9]+)", "issue", "$1"),
-    ("stgeorge", 2, 1, "Part:\\s*([^,]+),", "part", "$1"),
-    ("stgeorge", 3, 1, "Gazette\\s+Page:\\s*([0-9]+)", "page", "$1"),
-    ("keralalibrary", 1, 1, "Issue\\s+Number:\\s*([0-9]+)", "issue", "$1"),
-    ("keralalibrary", 2, 1, "Part:\\s*(.+?),?\\s*Gazette\\s+Page:\\s*(\\w+),", "part page", "$1|$2"),
-    ("keralalibrary", 3, 1, "Volume:?\\s*(\\w*)\\s*Number:\\s*([0-9]+)", "volume num", "$1|$2"),
+     {"num": "$1", "part": "$2", "year": "$3"}),
+    ("jammuandkashmir", 1, 1, "Gazette\\s+No\\.?\\s*([0-9]+)\\s+dated\\s+" + _DAY + "(\\w+)[ .,]*([0-9]+)",
+     {"num": "$1", "day_of_month": "$2", "month": "$3", "year": "$4"}),
+    ("nagaland", 1, 1, "([0-9]+)\\s*(?:th|st|nd)?\\s*(?:th|st|nd)?\\s*([a-zA-Z]+)\\s*,?\\s*([0-9]+)",
+     {"day_of_month": "$1", "month": "$2", "year": "$3"}),
+    ("nagaland", 1, 2, "([a-zA-Z]+)\\s*([0-9]+)\\s*(?:th|st)?\\s*,?\\s*([0-9]+)",
+     {"month": "$1", "day_of_month": "$2", "year": "$3"}),
+    ("meghalaya", 1, 1, "(?i)^([0-9]{2})-([0-9]{2})-([0-9]{2})-(\\w+)\\.pdf$",
+     {"day_of_month": "$1", "month": "$2", "year": "20$3", "part": "$4"}),
+    ("stgeorge", 1, 1, "Issue\\s+Number:\\s*([0-9]+)",
+     {"issue": "$1"}),
+    ("stgeorge", 2, 1, "Part:\\s*([^,]+),",
+     {"part": "$1"}),
+    ("stgeorge", 3, 1, "Gazette\\s+Page:\\s*([0-9]+)",
+     {"page": "$1"}),
+    ("keralalibrary", 1, 1, "Issue\\s+Number:\\s*([0-9]+)",
+     {"issue": "$1"}),
+    ("keralalibrary", 2, 1, "Part:\\s*(.+?),?\\s*Gazette\\s+Page:\\s*(\\w+),",
+     {"part": "$1", "page": "$2"}),
+    ("keralalibrary", 3, 1, "Volume:?\\s*(\\w*)\\s*Number:\\s*([0-9]+)",
+     {"volume": "$1", "num": "$2"}),
 )
 #: Corrections of single titles.
 CORRECTIONS = (
-    ("lakshadweep", "LVIII No.73", "2023-07-04", "volume num day_of_month month year", "LVIII|73|10|2|2023"),
-    ("lakshadweep", "Vol LVIII No.72", "2023-07-04", "volume num day_of_month month year", "LVIII|72|7|2|2023"),
-    ("assam", "No. 31 Dated 31-06-19", None, "day_of_month month year", "31|7|2019"),
-    ("assam", "No. 126 ELE.144-2015-712 01-04-17", None, "day_of_month month year", "1|4|2017"),
-    ("assam", "No. 445 E-544089-52 01-10-24", None, "day_of_month month year", "1|10|2024"),
-    ("assam", "No. 538 RLA 92-2021-77 Dated 77-11-21", None, "day_of_month month year", "17|11|2021"),
+    ("lakshadweep", "LVIII No.73", "2023-07-04", {"volume": "LVIII", "num": "73", "day_of_month": "10", "month": "2", "year": "2023"}),
+    ("lakshadweep", "Vol LVIII No.72", "2023-07-04", {"volume": "LVIII", "num": "72", "day_of_month": "7", "month": "2", "year": "2023"}),
+    ("assam", "No. 31 Dated 31-06-19", None, {"day_of_month": "31", "month": "7", "year": "2019"}),
+    ("assam", "No. 126 ELE.144-2015-712 01-04-17", None, {"day_of_month": "1", "month": "4", "year": "2017"}),
+    ("assam", "No. 445 E-544089-52 01-10-24", None, {"day_of_month": "1", "month": "10", "year": "2024"}),
+    ("assam", "No. 538 RLA 92-2021-77 Dated 77-11-21", None, {"day_of_month": "17", "month": "11", "year": "2021"}),
 )
-FIELDS = "volume num series kind part issue page year month day_of_month".split()
+FIELDS = ("volume", "num", "series", "kind", "part", "issue", "page", "year", "month", "day_of_month")
 
 
 def rule_table(spark, rows=GRAMMARS) -> DataFrame:
-    return spark.createDataFrame(list(rows), "source string, part int, turn int, pattern string, fields string, values string")
+    return spark.createDataFrame(list(rows), "source string, part int, turn int, pattern string, fields map<string,string>")
 
 
 def correction_table(spark, rows=CORRECTIONS) -> DataFrame:
-    return spark.createDataFrame(list(rows), "source string, title string, day string, fields string, values string")
+    return spark.createDataFrame(list(rows), "source string, title string, day string, fields map<string,string>")
 
 
 def _near(table: DataFrame) -> DataFrame:
@@ -66,10 +80,9 @@ def _near(table: DataFrame) -> DataFrame:
     return F.broadcast(table) if table.count() <= BROADCAST_RULES else table
 
 
-def _said(fields: Column, values: Column) -> Column:
-    """A map of the fields that have a value."""
-    pairs = F.arrays_zip(F.split(fields, " ").alias("k"), F.split(values, "\\|", -1).alias("v"))
-    return F.map_from_entries(F.transform(F.filter(pairs, lambda p: F.trim(p["v"]) != ""), lambda p: F.struct(p["k"], F.trim(p["v"]))))
+def _some(fields: Column) -> Column:
+    """The fields that have a value."""
+    return F.map_filter(F.transform_values(fields, lambda k, v: F.trim(v)), lambda k, v: v != "")
 
 
 def read_titles(titles: DataFrame, rules: DataFrame, corrections: DataFrame | None = None) -> DataFrame:
@@ -79,25 +92,28 @@ def read_titles(titles: DataFrame, rules: DataFrame, corrections: DataFrame | No
     where no rule fits; a title that is corrected gives what the correction says alone.
     """
     listed = rules.groupBy(F.col("source").alias("__source")).agg(
-        F.array_sort(F.collect_list(F.struct("part", "turn", "pattern", "fields", "values"))).alias("__rules")
+        F.sort_array(F.collect_list(F.struct("part", "turn", "pattern", F.map_entries("fields").alias("fields")))).alias("__rules")
     )
     rows = titles.join(_near(listed), F.col("source") == F.col("__source"), "left")
     fits = F.filter("__rules", lambda r: F.rlike("title", r["pattern"]))
     first = F.filter(fits, lambda r, i: (i == 0) | (r["part"] != F.get(fits, i - 1)["part"]))
-    # a template is filled on what its pattern has found alone, so that text around it is no part of the value
-    filled = lambda r: F.regexp_replace(F.call_function("regexp_extract", F.col("title"), r["pattern"], F.lit(0)), r["pattern"], r["values"])
-    whole = F.aggregate(first, F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<string>")), lambda acc, r: F.map_concat(acc, F.map_filter(_said(r["fields"], filled(r)), lambda k, v: ~F.map_contains_key(acc, k))))
+    none = F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<string>"))
+
+    def filled(r):  # templates are filled on what the pattern has found alone, so that text around it is no part of a value
+        found = F.call_function("regexp_extract", F.col("title"), r["pattern"], F.lit(0))
+        return _some(F.transform_values(F.map_from_entries(r["fields"]), lambda k, v: F.regexp_replace(found, r["pattern"], v)))
+
+    whole = F.aggregate(first, none, lambda acc, r: F.map_concat(acc, F.map_filter(filled(r), lambda k, v: ~F.map_contains_key(acc, k))))
     rows = rows.withColumn("said", F.when(F.col("__rules").isNotNull(), whole))
     if corrections is not None:
-        known = corrections.select(F.col("source").alias("__s"), F.col("title").alias("__t"), F.col("day").alias("__d"), _said(F.col("fields"), F.col("values")).alias("__said"))
+        known = corrections.select(F.col("source").alias("__s"), F.col("title").alias("__t"), F.col("day").alias("__d"), _some(F.col("fields")).alias("__said"))
         # of a correction with the day and one without, the former
         same = (F.col("source") == F.col("__s")) & (F.col("title") == F.col("__t"))
-        packed = known.groupBy("__s", "__t").agg(F.array_sort(F.collect_list(F.struct(F.col("__d").isNull().alias("any"), F.col("__d").alias("d"), F.col("__said").cast("string").alias("order"), F.map_entries("__said").alias("m")))).alias("__c"))
+        packed = known.groupBy("__s", "__t").agg(F.array_sort(F.collect_list(F.struct(F.col("__d").isNull().alias("any"), F.col("__d").alias("d"), F.array_sort(F.map_entries("__said")).alias("m")))).alias("__c"))
         rows = rows.join(_near(packed), same, "left")
         fitting = F.get(F.filter("__c", lambda c: c["any"] | (c["d"] == F.date_format("day", "yyyy-MM-dd"))), F.lit(0))
         rows = rows.withColumn("said", F.when(fitting.isNotNull(), F.map_from_entries(fitting["m"])).otherwise(F.col("said")))
-    said = F.coalesce("said", F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<string>")))
-    rows = rows.withColumn("said", said)
+    rows = rows.withColumn("said", F.coalesce("said", none))
     month = F.try_element_at("said", F.lit("month"))
     number = F.when(month.rlike("^[0-9]+$"), month).otherwise(dates.month_number(F.left(month, F.lit(3))).cast("string"))
     date = dates.date_of(F.try_element_at("said", F.lit("year")), number, F.try_element_at("said", F.lit("day_of_month")))

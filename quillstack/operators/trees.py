@@ -27,85 +27,336 @@ from pyspark.sql import functions as F
 
 from ..session import checkpoint
 
-#: What code elements become, by the context and their types. A place other than ``into`` stands behind @.
+#: What code elements become, by the context and their types, and at which place.
 CODES = {
-    "regulation": "section: Section Rule Rule2; division: Division Agency Subagency Series RegulationNo Subtitle Title Sec2; chapter: Chapter Subchapter;"
-    " part: Part Subpart Regulation; group: Undesignated Unprefixed Form; article: Article Subarticle; appendix: Appendix",
-    "division": "chapter: Chapter Rule2; section: Section Rule; article: Article; part: Undesignated Part Regulation Subpart; appendix: Appendix;"
-    " subdivision: Subdivision Division Series; subchapter: Subchapter; group: Form Attachment Exhibit",
-    "subdivision": "chapter: Chapter; section: Section; part: Part Sec2 Series; subdivision@outer: Division; appendix: Appendix;"
-    " group: Table Undesignated Exhibit Attachment Form",
-    "chapter": "section: Section Rule; article: Article; chapter@outer: Chapter; part: Part Sec2 Regulation Rule2 Subject;"
-    " group: Table Group Figure Form Subsection Opinion Attachment Addendum Schedule Chart Amendment RuleOfSections;"
-    " subchapter: Subchapter Undesignated Unprefixed; appendix: Appendix; content: Exhibit; subpart: Subpart; division: Division",
-    "subchapter": "section: Section Rule Canon; article: Article; appendix: Appendix; group: Group Form Attachment Table Subchapter Title; division: Division;"
-    " subchapter@outer: Undesignated; subarticle: Subarticle; content: Exhibit; part: Unprefixed Part Sec2 Subpart",
-    "group": "section: Section Sec2; article: Article; appendix: Appendix; group: Subgroup Exhibit Schedule Undesignated Unprefixed Form Attachment Rule Table Opinion;"
-    " part: Part Subpart; chapter: Chapter Subchapter; division: Subtitle Division",
-    "part": "section: Section Regulation Rule; content: Exhibit; part@outer: Undesignated; chapter: Chapter;"
-    " subpart: Subpart Rule2 Unprefixed Part Title Sec2 Subtitle Subsection; appendix: Appendix; article: Article;"
-    " group: Form Figure Attachment Table Schedule; subdivision: Subdivision Division",
-    "subpart": "section: Section Rule; part: Undesignated; chapter: Chapter Subchapter; article: Article; group: Unprefixed Table Exhibit Schedule Sec2;"
-    " appendix: Appendix; subpart: Subpart",
-    "appendix": "appendix: Appendix; group: Form Chart Unprefixed Exhibit Title Attachment Addendum Schedule Series Article Table; section: Rule Section;"
-    " part: Undesignated Part; chapter: Chapter",
-    "article": "article@outer: Article; section: Section Sec2 Rule; group: Undesignated Table Exhibit Form Attachment Schedule; appendix: Appendix Addendum;"
-    " subarticle: Subarticle Unprefixed; part: Part; subchapter: Subchapter; chapter: Chapter",
-    "subarticle": "section: Section; group: Undesignated Table; appendix: Appendix; subarticle: Subarticle; part: Part",
-    "section": "subsection: Subsection Rule Section Unprefixed Part Article; part@outer: Undesignated; content: Exhibit; appendix: Appendix;"
-    " group: Form Attachment Schedule Table Sec2 Rule2 Subpart Subagency",
-    "subsection": "subsection: Rule Section; appendix: Appendix; group: Exhibit",
-    "content": "section@up: Section; group@up: Exhibit Appendix",
-}
-#: What other elements become, by contexts that share them.
+    "regulation": (
+        ("section", "into", ("Section", "Rule", "Rule2")),
+        ("division", "into", ("Division", "Agency", "Subagency", "Series", "RegulationNo", "Subtitle", "Title", "Sec2")),
+        ("chapter", "into", ("Chapter", "Subchapter")),
+        ("part", "into", ("Part", "Subpart", "Regulation")),
+        ("group", "into", ("Undesignated", "Unprefixed", "Form")),
+        ("article", "into", ("Article", "Subarticle")),
+        ("appendix", "into", ("Appendix",)),
+    ),
+    "division": (
+        ("chapter", "into", ("Chapter", "Rule2")),
+        ("section", "into", ("Section", "Rule")),
+        ("article", "into", ("Article",)),
+        ("part", "into", ("Undesignated", "Part", "Regulation", "Subpart")),
+        ("appendix", "into", ("Appendix",)),
+        ("subdivision", "into", ("Subdivision", "Division", "Series")),
+        ("subchapter", "into", ("Subchapter",)),
+        ("group", "into", ("Form", "Attachment", "Exhibit")),
+    ),
+    "subdivision": (
+        ("chapter", "into", ("Chapter",)),
+        ("section", "into", ("Section",)),
+        ("part", "into", ("Part", "Sec2", "Series")),
+        ("subdivision", "outer", ("Division",)),
+        ("appendix", "into", ("Appendix",)),
+        ("group", "into", ("Table", "Undesignated", "Exhibit", "Attachment", "Form")),
+    ),
+    "chapter": (
+        ("section", "into", ("Section", "Rule")),
+        ("article", "into", ("Article",)),
+        ("chapter", "outer", ("Chapter",)),
+        ("part", "into", ("Part", "Sec2", "Regulation", "Rule2", "Subject")),
+        ("group", "into", ("Table", "Group", "Figure", "Form", "Subsection", "Opinion", "Attachment", "Addendum", "Schedule", "Chart", "Amendment", "RuleOfSections")),
+        ("subchapter", "into", ("Subchapter", "Undesignated", "Unprefixed")),
+        ("appendix", "into", ("Appendix",)),
+        ("content", "into", ("Exhibit",)),
+        ("subpart", "into", ("Subpart",)),
+        ("division", "into", ("Division",)),
+    ),
+    "subchapter": (
+        ("section", "into", ("Section", "Rule", "Canon")),
+        ("article", "into", ("Article",)),
+        ("appendix", "into", ("Appendix",)),
+        ("group", "into", ("Group", "Form", "Attachment", "Table", "Subchapter", "Title")),
+        ("division", "into", ("Division",)),
+        ("subchapter", "outer", ("Undesignated",)),
+        ("subarticle", "into", ("Subarticle",)),
+        ("content", "into", ("Exhibit",)),
+        ("part", "into", ("Unprefixed", "Part", "Sec2", "Subpart")),
+    ),
+    "group": (
+        ("section", "into", ("Section", "Sec2")),
+        ("article", "into", ("Article",)),
+        ("appendix", "into", ("Appendix",)),
+        ("group", "into", ("Subgroup", "Exhibit", "Schedule", "Undesignated", "Unprefixed", "Form", "Attachment", "Rule", "Table", "Opinion")),
+        ("part", "into", ("Part", "Subpart")),
+        ("chapter", "into", ("Chapter", "Subchapter")),
+        ("division", "into", ("Subtitle", "Division")),
+    ),
+    "part": (
+        ("section", "into", ("Section", "Regulation", "Rule")),
+        ("content", "into", ("Exhibit",)),
+        ("part", "outer", ("Undesignated",)),
+        ("chapter", "into", ("Chapter",)),
+        ("subpart", "into", ("Subpart", "Rule2", "Unprefixed", "Part", "Title", "Sec2", "Subtitle", "Subsection")),
+        ("appendix", "into", ("Appendix",)),
+        ("article", "into", ("Article",)),
+        ("group", "into", ("Form", "Figure", "Attachment", "Table", "Schedule")),
+        ("subdivision", "into", ("Subdivision", "Division")),
+    ),
+    "subpart": (
+        ("section", "into", ("Section", "Rule")),
+        ("part", "into", ("Undesignated",)),
+        ("chapter", "into", ("Chapter", "Subchapter")),
+        ("article", "into", ("Article",)),
+        ("group", "into", ("Unprefixed", "Table", "Exhibit", "Schedule", "Sec2")),
+        ("appendix", "into", ("Appendix",)),
+        ("subpart", "into", ("Subpart",)),
+    ),
+    "appendix": (
+        ("appendix", "into", ("Appendix",)),
+        ("group", "into", ("Form", "Chart", "Unprefixed", "Exhibit", "Title", "Attachment", "Addendum", "Schedule", "Series", "Article", "Table")),
+        ("section", "into", ("Rule", "Section")),
+        ("part", "into", ("Undesignated", "Part")),
+        ("chapter", "into", ("Chapter",)),
+    ),
+    "article": (
+        ("article", "outer", ("Article",)),
+        ("section", "into", ("Section", "Sec2", "Rule")),
+        ("group", "into", ("Undesignated", "Table", "Exhibit", "Form", "Attachment", "Schedule")),
+        ("appendix", "into", ("Appendix", "Addendum")),
+        ("subarticle", "into", ("Subarticle", "Unprefixed")),
+        ("part", "into", ("Part",)),
+        ("subchapter", "into", ("Subchapter",)),
+        ("chapter", "into", ("Chapter",)),
+    ),
+    "subarticle": (
+        ("section", "into", ("Section",)),
+        ("group", "into", ("Undesignated", "Table")),
+        ("appendix", "into", ("Appendix",)),
+        ("subarticle", "into", ("Subarticle",)),
+        ("part", "into", ("Part",)),
+    ),
+    "section": (
+        ("subsection", "into", ("Subsection", "Rule", "Section", "Unprefixed", "Part", "Article")),
+        ("part", "outer", ("Undesignated",)),
+        ("content", "into", ("Exhibit",)),
+        ("appendix", "into", ("Appendix",)),
+        ("group", "into", ("Form", "Attachment", "Schedule", "Table", "Sec2", "Rule2", "Subpart", "Subagency")),
+    ),
+    "subsection": (
+        ("subsection", "into", ("Rule", "Section")),
+        ("appendix", "into", ("Appendix",)),
+        ("group", "into", ("Exhibit",)),
+    ),
+    "content": (
+        ("section", "up", ("Section",)),
+        ("group", "up", ("Exhibit", "Appendix")),
+    ),
+}
+#: What other elements become, by the contexts that share them, and at which place. Some contexts are read like others below them.
 MARKUP = {
-    "division subdivision chapter subchapter group part subpart article subarticle section subsection": "content: content",
-    "regulation": "preface: content",
-    "preface": "text: codetext; remark: currency; notes: notes",
-    "section": "subsection: subsect; notes: notes; version: version",
-    "article subarticle": "table: table; notes: notes",
-    "appendix": "remark: currency; p: para; matter: content",
-    "matter": "remark: currency; matter_text: codetext; notes: notes",
-    "content": "remark: currency; text: codetext; notes: notes; subsection@outer: subsect; content@outer: content",
-    "text matter_text subsection": "list: itemizedlist; pre: literallayout",
-    "text": "p: para; subsection@outer: subsect; table: table; nbsp: nbsp; a: filelink; b: bold; i: italic; ref: codecitation; del: strike",
-    "matter_text": "p: para; subsection: subsect; table: table; b: bold",
-    "subsection": "designator: designator number; subsection: subsect; p@content: para; table@para: table; remark: add; a@para: ulink filelink; span@para: actcitation actseccitation;"
-    " ref@para: codecitation; sup@para: superscript; sub@para: subscript; b@para: bold; u@para: underscore; i@para: italic; del@para: strike del;"
-    " ref: footnoteref; date@para: effectivedate; nbsp@para: nbsp; words@para: div",
-    "p": "subsection@outer: subsect; table: table; remark: add; a: filelink ulink regcitation; ref: codecitation footnoteref; span: actcitation actseccitation monospace; br: linebreak;"
-    " nbsp: nbsp; words: li div; del: del; dropped: strike; date: effectivedate expirationdate",
-    "p td th note": "b: bold; i: italic; sup: superscript; sub: subscript; u: underscore",
-    "note": "p: para notetext; ref: codecitation; span: actcitation actseccitation filedate; table: table; a: regcitation filelink ordercitation ulink; br: linebreak;"
-    " date: effectivedate operationaldate expirationdate reviewdate; p: reviewdates; words: drop codesec primaryidcodenumber",
-    "notes": "note_kind@outer: notes-citeas; note_kind: notes-history notes-priorhistory notes-cont notes-std notes-alert notes-editor notes-src notes-cr notes-cn notes-auth;"
-    " maintained: notes-maint; note: notes-footnotes",
-    "note_kind": "note: note",
-    "maintained": "p: note",
-    "list": "item: listitem",
-    "table": "tr: tr; td: td; tbody: tbody; thead: thead; table: table; row_of_content: content",
-    "row_of_content": "remark: currency; notes: notes; matter_text: codetext",
-    "tbody": "tr: tr; td: td; table: table",
-    "thead": "tr: tr",
-    "tr": "td: td; th: th; table: table",
-    "td": "td: td; table: table; a: ulink; p: para; ref: codecitation; span: actcitation",
-    "remark": "subsection: subsect; ref: codecitation; del: strike; remark: add; span: actcitation; b: bold; i: italic; sup: superscript; sub: subscript",
-    # what is read like something else below it
-    "item": "b: bold; i: italic; sup: superscript; sub: subscript; u: underscore; a: ulink filelink; ref: codecitation; span: actcitation; br: linebreak; words: li",
-}
+    ("division", "subdivision", "chapter", "subchapter", "group", "part", "subpart", "article", "subarticle", "section", "subsection"): (
+        ("content", "into", ("content",)),
+    ),
+    "regulation": (
+        ("preface", "into", ("content",)),
+    ),
+    "preface": (
+        ("text", "into", ("codetext",)),
+        ("remark", "into", ("currency",)),
+        ("notes", "into", ("notes",)),
+    ),
+    "section": (
+        ("subsection", "into", ("subsect",)),
+        ("notes", "into", ("notes",)),
+        ("version", "into", ("version",)),
+    ),
+    ("article", "subarticle"): (
+        ("table", "into", ("table",)),
+        ("notes", "into", ("notes",)),
+    ),
+    "appendix": (
+        ("remark", "into", ("currency",)),
+        ("p", "into", ("para",)),
+        ("matter", "into", ("content",)),
+    ),
+    "matter": (
+        ("remark", "into", ("currency",)),
+        ("matter_text", "into", ("codetext",)),
+        ("notes", "into", ("notes",)),
+    ),
+    "content": (
+        ("remark", "into", ("currency",)),
+        ("text", "into", ("codetext",)),
+        ("notes", "into", ("notes",)),
+        ("subsection", "outer", ("subsect",)),
+        ("content", "outer", ("content",)),
+    ),
+    ("text", "matter_text", "subsection"): (
+        ("list", "into", ("itemizedlist",)),
+        ("pre", "into", ("literallayout",)),
+    ),
+    "text": (
+        ("p", "into", ("para",)),
+        ("subsection", "outer", ("subsect",)),
+        ("table", "into", ("table",)),
+        ("nbsp", "into", ("nbsp",)),
+        ("a", "into", ("filelink",)),
+        ("b", "into", ("bold",)),
+        ("i", "into", ("italic",)),
+        ("ref", "into", ("codecitation",)),
+        ("del", "into", ("strike",)),
+    ),
+    "matter_text": (
+        ("p", "into", ("para",)),
+        ("subsection", "into", ("subsect",)),
+        ("table", "into", ("table",)),
+        ("b", "into", ("bold",)),
+    ),
+    "subsection": (
+        ("designator", "into", ("designator", "number")),
+        ("subsection", "into", ("subsect",)),
+        ("p", "content", ("para",)),
+        ("table", "para", ("table",)),
+        ("remark", "into", ("add",)),
+        ("a", "para", ("ulink", "filelink")),
+        ("span", "para", ("actcitation", "actseccitation")),
+        ("ref", "para", ("codecitation",)),
+        ("sup", "para", ("superscript",)),
+        ("sub", "para", ("subscript",)),
+        ("b", "para", ("bold",)),
+        ("u", "para", ("underscore",)),
+        ("i", "para", ("italic",)),
+        ("del", "para", ("strike", "del")),
+        ("ref", "into", ("footnoteref",)),
+        ("date", "para", ("effectivedate",)),
+        ("nbsp", "para", ("nbsp",)),
+        ("words", "para", ("div",)),
+    ),
+    "p": (
+        ("subsection", "outer", ("subsect",)),
+        ("table", "into", ("table",)),
+        ("remark", "into", ("add",)),
+        ("a", "into", ("filelink", "ulink", "regcitation")),
+        ("ref", "into", ("codecitation", "footnoteref")),
+        ("span", "into", ("actcitation", "actseccitation", "monospace")),
+        ("br", "into", ("linebreak",)),
+        ("nbsp", "into", ("nbsp",)),
+        ("words", "into", ("li", "div")),
+        ("del", "into", ("del",)),
+        ("dropped", "into", ("strike",)),
+        ("date", "into", ("effectivedate", "expirationdate")),
+    ),
+    ("p", "td", "th", "note"): (
+        ("b", "into", ("bold",)),
+        ("i", "into", ("italic",)),
+        ("sup", "into", ("superscript",)),
+        ("sub", "into", ("subscript",)),
+        ("u", "into", ("underscore",)),
+    ),
+    "note": (
+        ("p", "into", ("para", "notetext")),
+        ("ref", "into", ("codecitation",)),
+        ("span", "into", ("actcitation", "actseccitation", "filedate")),
+        ("table", "into", ("table",)),
+        ("a", "into", ("regcitation", "filelink", "ordercitation", "ulink")),
+        ("br", "into", ("linebreak",)),
+        ("date", "into", ("effectivedate", "operationaldate", "expirationdate", "reviewdate")),
+        ("p", "into", ("reviewdates",)),
+        ("words", "into", ("drop", "codesec", "primaryidcodenumber")),
+    ),
+    "notes": (
+        ("note_kind", "outer", ("notes-citeas",)),
+        ("note_kind", "into", ("notes-history", "notes-priorhistory", "notes-cont", "notes-std", "notes-alert", "notes-editor", "notes-src", "notes-cr", "notes-cn", "notes-auth")),
+        ("maintained", "into", ("notes-maint",)),
+        ("note", "into", ("notes-footnotes",)),
+    ),
+    "note_kind": (
+        ("note", "into", ("note",)),
+    ),
+    "maintained": (
+        ("p", "into", ("note",)),
+    ),
+    "list": (
+        ("item", "into", ("listitem",)),
+    ),
+    "table": (
+        ("tr", "into", ("tr",)),
+        ("td", "into", ("td",)),
+        ("tbody", "into", ("tbody",)),
+        ("thead", "into", ("thead",)),
+        ("table", "into", ("table",)),
+        ("row_of_content", "into", ("content",)),
+    ),
+    "row_of_content": (
+        ("remark", "into", ("currency",)),
+        ("notes", "into", ("notes",)),
+        ("matter_text", "into", ("codetext",)),
+    ),
+    "tbody": (
+        ("tr", "into", ("tr",)),
+        ("td", "into", ("td",)),
+        ("table", "into", ("table",)),
+    ),
+    "thead": (
+        ("tr", "into", ("tr",)),
+    ),
+    "tr": (
+        ("td", "into", ("td",)),
+        ("th", "into", ("th",)),
+        ("table", "into", ("table",)),
+    ),
+    "td": (
+        ("td", "into", ("td",)),
+        ("table", "into", ("table",)),
+        ("a", "into", ("ulink",)),
+        ("p", "into", ("para",)),
+        ("ref", "into", ("codecitation",)),
+        ("span", "into", ("actcitation",)),
+    ),
+    "remark": (
+        ("subsection", "into", ("subsect",)),
+        ("ref", "into", ("codecitation",)),
+        ("del", "into", ("strike",)),
+        ("remark", "into", ("add",)),
+        ("span", "into", ("actcitation",)),
+        ("b", "into", ("bold",)),
+        ("i", "into", ("italic",)),
+        ("sup", "into", ("superscript",)),
+        ("sub", "into", ("subscript",)),
+    ),
+    "item": (
+        ("b", "into", ("bold",)),
+        ("i", "into", ("italic",)),
+        ("sup", "into", ("superscript",)),
+        ("sub", "into", ("subscript",)),
+        ("u", "into", ("underscore",)),
+        ("a", "into", ("ulink", "filelink")),
+        ("ref", "into", ("codecitation",)),
+        ("span", "into", ("actcitation",)),
+        ("br", "into", ("linebreak",)),
+        ("words", "into", ("li",)),
+    ),
+}
 #: The actions that are not make.
 ACTIONS = {
-    "wrap": "content matter subarticle item row_of_content",
-    "inline": "p b i u sup sub a ref span date del br nbsp table list pre",
-    "pass": "text matter_text words note note_kind maintained",
-    "split": "designator",
-    "drop": "dropped",
+    "wrap": ("content", "matter", "subarticle", "item", "row_of_content"),
+    "inline": ("p", "b", "i", "u", "sup", "sub", "a", "ref", "span", "date", "del", "br", "nbsp", "table", "list", "pre"),
+    "pass": ("text", "matter_text", "words", "note", "note_kind", "maintained"),
+    "split": ("designator",),
+    "drop": ("dropped",),
 }
 #: The elements that are not named like what a node becomes; the second is inside the first.
 ELEMENTS = {
-    "regulation": "body", "group": "hcontainer", "appendix": "hcontainer", "content": "hcontainer content", "matter": "hcontainer content", "subarticle": "hcontainer content",
-    "item": "item p", "row_of_content": "tr content", "notes": "remark", "list": "blockList", "designator": "num content p", "nbsp": "br",
-}
+    "regulation": ("body",),
+    "group": ("hcontainer",),
+    "appendix": ("hcontainer",),
+    "content": ("hcontainer", "content"),
+    "matter": ("hcontainer", "content"),
+    "subarticle": ("hcontainer", "content"),
+    "item": ("item", "p"),
+    "row_of_content": ("tr", "content"),
+    "notes": ("remark",),
+    "list": ("blockList",),
+    "designator": ("num", "content", "p"),
+    "nbsp": ("br",),
+}
 #: Ids that count through a regulation, and ids that continue that of the parent.
 GLOBAL_IDS = {"section": "sec", "chapter": "chap", "part": "part", "division": "division", "article": "article", "appendix": "hcontainer", "matter": "hcontainer"}
 LOCAL_IDS = {"subchapter": "_subchap_", "subdivision": "_subdivision_", "subpart": "__subpart_", "subarticle": "_subarticle_", "content": "__hcontainer_", "subsection": "__subsec_"}
@@ -123,26 +374,25 @@ def rules() -> list[tuple]:
     first and second: the elements that are opened. prefix: that of the id; counts: whether it goes through the
     regulation (all) or through the siblings (own), null without an id.
     """
-    action = {name: kind for kind, names in ACTIONS.items() for name in names.split()}
-    out = []
+    action = {name: kind for kind, names in ACTIONS.items() for name in names}
+    out, contexts_seen = [], set()
 
     def add(context: str, tag: str, kind: str, becomes: str, place: str) -> None:
-        elements = ELEMENTS.get(becomes, becomes).split()
+        elements = ELEMENTS.get(becomes, (becomes,))
         within = IDS_WITHIN.get((context, becomes))
         everywhere = within if within == "hcontainer" else GLOBAL_IDS.get(becomes)
         own = None if everywhere else within or LOCAL_IDS.get(becomes)
         counts = "all" if everywhere else "own" if own else None
-        out.append((context, tag.lower(), kind.lower(), becomes, action.get(becomes, "make"), place or "into", elements[0], elements[-1], everywhere or own, counts))
+        out.append((context, tag.lower(), kind.lower(), becomes, action.get(becomes, "make"), place, elements[0], elements[-1], everywhere or own, counts))
 
     for table in (CODES, MARKUP):
         for contexts, cases in table.items():
-            for context in contexts.split():
-                for case in cases.split(";"):
-                    target, names = case.split(":")
-                    becomes, _, place = target.strip().partition("@")
-                    for name in names.split():
+            for context in (contexts,) if isinstance(contexts, str) else contexts:
+                contexts_seen.add(context)
+                for becomes, place, names in cases:
+                    for name in names:
                         add(context, "code" if table is CODES else name, name if table is CODES else "", becomes, place)
-    for context in {x for contexts in (*CODES, *MARKUP) for x in contexts.split()} - {"section"}:
+    for context in contexts_seen - {"section"}:
         add(context, "version", "", "dropped", "into")
     return sorted(out)
 
@@ -204,7 +454,7 @@ def rewritten(nodes: DataFrame, rule_rows: DataFrame) -> DataFrame:
     el = F.col("node") * SLOTS
     made = checkpoint(
         roots.select(
-            *carried, F.lit(_ROOT).alias("becomes"), F.lit("make").alias("action"), F.lit(ELEMENTS[_ROOT]).alias("first"), F.lit(ELEMENTS[_ROOT]).alias("second"),
+            *carried, F.lit(_ROOT).alias("becomes"), F.lit("make").alias("action"), F.lit(ELEMENTS[_ROOT][0]).alias("first"), F.lit(ELEMENTS[_ROOT][0]).alias("second"),
             F.lit(None).cast("string").alias("prefix"), F.lit(None).cast("string").alias("counts"), F.lit(None).cast("long").alias("at"), el.alias("el"),
             el.alias("into"), el.alias("up"), el.alias("outer"), F.col("node").alias("anchor"), F.lit("").alias("suffix"), F.col("node").alias("outer_anchor"), F.lit("").alias("outer_suffix"),
         )

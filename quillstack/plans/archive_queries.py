@@ -243,14 +243,20 @@ def ordinal_date_parse(spark, d):
     )
 
 
-@query("SELECT unnest(range(DATE '1996-01-20', DATE '1996-03-06', INTERVAL 1 DAY))::DATE AS day", days="day")
+def _span(spark, d) -> tuple[str, str]:
+    """The first and the last day that an order has."""
+    return tuple(table(spark, d, "orders").agg(*[F.date_format(f("o_orderdate"), "yyyy-MM-dd") for f in (F.min, F.max)]).first())
+
+
+@query("SELECT unnest(range(min(o_orderdate)::DATE, max(o_orderdate)::DATE + 1, INTERVAL 1 DAY))::DATE AS day FROM orders", days="day")
 def day_sequence(spark, d):
-    return dates.days(spark, "1996-01-20", "1996-03-05")
+    return dates.days(spark, *_span(spark, d))
 
 
-@query("SELECT * FROM (VALUES (DATE '1995-11-03', DATE '1995-12-31'), (DATE '1996-01-01', DATE '1996-12-31'), (DATE '1997-01-01', DATE '1997-02-10')) t(first, last)", days="first last")
+@query("""SELECT greatest(make_date(y, 1, 1), a) AS first, least(make_date(y, 12, 31), b) AS last
+FROM (SELECT a, b, unnest(range(year(a), year(b) + 1)) AS y FROM (SELECT min(o_orderdate)::DATE AS a, max(o_orderdate)::DATE AS b FROM orders))""", days="first last")
 def year_chunks(spark, d):
-    return dates.year_chunks(spark, "1995-11-03", "1997-02-10")
+    return dates.year_chunks(spark, *_span(spark, d))
 
 
 @query("""SELECT p, CASE WHEN length(s) <= 3 THEN s ELSE ltrim(reverse(regexp_replace(reverse(left(s, length(s) - 3)), '([0-9]{2})', '\\1,', 'g')), ',') || ',' || right(s, 3) END AS grouped

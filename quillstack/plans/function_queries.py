@@ -19,7 +19,7 @@ from ..operators import extract, facets, filters, ordering, sets
 from ..session import shared_folder
 from ..sources import assets, containers, scripts, sinks
 from . import english_sql
-from .archive_queries import _C, _G, _sources, catalog, gazettes, query, table
+from .archive_queries import _C, _G, _sources, _span, catalog, gazettes, query, table
 
 
 def _orders(spark, d):
@@ -161,16 +161,18 @@ def file_name_dates_and_captions(spark, d):
     return rows.select("k", name.alias("n"), caption["Issue Number"].alias("issue")).select("k", "n.date", "n.part", "issue")
 
 
-@query("SELECT * FROM (VALUES ('both', DATE '2024-01-05', DATE '2024-01-20'), ('first', DATE '2024-01-07', DATE '2024-01-20'), ('last', DATE '2024-01-08', DATE '2024-01-08')) t(given, first, last)", days="first last")
+@query("""WITH t AS (SELECT max(o_orderdate)::DATE AS today FROM orders)
+SELECT 'both' AS given, today - 15 AS first, today AS last FROM t UNION ALL SELECT 'first', today - 20, today FROM t UNION ALL SELECT 'last', today - 3, today - 3 FROM t""", days="first last")
 def default_windows(spark, d):
-    day = lambda n: datetime.date(2024, 1, n)
-    made = {"both": dates.default_window(None, None, day(20)), "first": dates.default_window(day(7), None, day(20)), "last": dates.default_window(None, day(8), day(20))}
+    today = datetime.date.fromisoformat(_span(spark, d)[1])
+    back = lambda n: today - datetime.timedelta(days=n)
+    made = {"both": dates.default_window(None, None, today), "first": dates.default_window(back(20), None, today), "last": dates.default_window(None, back(3), today)}
     return spark.range(1).select(F.inline(F.array(*[F.struct(F.lit(n).alias("given"), F.lit(a).alias("first"), F.lit(b).alias("last")) for n, (a, b) in made.items()])))
 
 
-@query("SELECT CAST(y AS INT) AS year FROM range(1995, 2003) t(y)")
+@query("SELECT CAST(unnest(range(min(year(o_orderdate)), max(year(o_orderdate)) + 1)) AS INT) AS year FROM orders")
 def years_of_a_range(spark, d):
-    return sets.years_between(spark, "1995-12-31", "2002-01-01")
+    return sets.years_between(spark, *_span(spark, d))
 
 
 @query("SELECT o_orderkey AS k, CASE WHEN o_orderkey % 2 = 0 THEN CAST(year(o_orderdate) AS INT) ELSE 1888 END AS year FROM orders")
@@ -301,11 +303,13 @@ def zipped_links(spark, d):
     return _orders(spark, d).select("k", F.array_join(F.transform(pairs, lambda p: F.concat_ws(">", p["id"], p["name"])), ",").alias("links"))
 
 
-@query("SELECT 'first' AS given, '1,2,3,4,5,..,50' AS pages UNION ALL SELECT 'middle', '1,..,23,24,25,26,27,..,50' UNION ALL SELECT 'order', 'newest,relevance,oldest,newest'")
+@query("""WITH p AS (SELECT CAST(ceil(count(*) / 20.0) AS BIGINT) AS n FROM orders)
+SELECT 'first' AS given, '1,2,3,4,5,..,' || n AS pages FROM p UNION ALL SELECT 'middle', '1,..,' || array_to_string(range(n // 2 - 2, n // 2 + 3), ',') || ',..,' || n FROM p UNION ALL SELECT 'order', 'newest,relevance,oldest,newest'""")
 def elided_pages(spark, d):
-    shown = lambda n: ",".join(".." if p is None else str(p) for p in ordering.elided_range(n, 50))
+    last = -(-table(spark, d, "orders").count() // ordering.PAGE_SIZE)
+    shown = lambda n: ",".join(".." if p is None else str(p) for p in ordering.elided_range(n, last))
     orders = ",".join(ordering.effective_order(o, q) for o, q in ((None, False), (None, True), ("oldest", True), ("relevance", False)))
-    rows = {"first": shown(3), "middle": shown(25), "order": orders}
+    rows = {"first": shown(3), "middle": shown(last // 2), "order": orders}
     return spark.range(1).select(F.inline(F.array(*[F.struct(F.lit(k).alias("given"), F.lit(v).alias("pages")) for k, v in rows.items()])))
 
 

@@ -32,17 +32,17 @@ def _values(rows, columns: str) -> str:
     return "(VALUES " + ", ".join(f"({', '.join(map(one, r))})" for r in rows) + f") t({columns})"
 
 
-_RULES = _values([(*r[:5], r[5].replace("$", "\\")) for r in title_rules.GRAMMARS], "source, part, turn, pattern, fields, vals")
-_CORRECTIONS = _values(title_rules.CORRECTIONS, "source, title, day, fields, vals")
+_RULES = _values([r[:4] for r in title_rules.GRAMMARS], "source, part, turn, pattern")
+_FIELDS = _values([(*r[:3], k, v.replace("$", "\\")) for r in title_rules.GRAMMARS for k, v in r[4].items()], "source, part, turn, field, template")
+_CORRECTIONS = _values([(*c[:3], k, v) for c in title_rules.CORRECTIONS for k, v in c[3].items()], "source, title, day, field, val")
 _ASKED = [f for f in title_rules.FIELDS if f not in ("year", "month", "day_of_month")]
 _MONTHS = "['jan', 'feb', 'mar', 'apr', 'may', 'jun', 'jul', 'aug', 'sep', 'oct', 'nov', 'dec']"
 
 
 @query(f"""WITH o AS (SELECT o_orderkey AS k, {_SOURCE} AS source, {_TITLE} AS title, {_DAY} AS day FROM orders),
-m AS (SELECT k, part, fields, regexp_replace(regexp_extract(title, pattern, 0), pattern, vals) AS vals, row_number() OVER (PARTITION BY k, part ORDER BY turn) AS n FROM o JOIN {_RULES} USING (source) WHERE regexp_matches(title, pattern)),
-c AS (SELECT k, c.fields, c.vals, row_number() OVER (PARTITION BY k ORDER BY c.day IS NULL) AS n FROM o JOIN {_CORRECTIONS.replace(") t(", ") c(")} ON o.source = c.source AND o.title = c.title AND (c.day IS NULL OR c.day = strftime(o.day, '%Y-%m-%d'))),
-s AS (SELECT k, part, fields, vals FROM m WHERE n = 1 AND k NOT IN (SELECT k FROM c) UNION ALL SELECT k, 1, fields, vals FROM c WHERE n = 1),
-f AS (SELECT k, part, string_split(fields, ' ')[i] AS field, nullif(trim(string_split(vals, '|')[i]), '') AS val FROM s, unnest(range(1, 6)) AS u(i) WHERE i <= len(string_split(fields, ' '))),
+m AS (SELECT k, source, part, turn, pattern, regexp_extract(title, pattern, 0) AS found, row_number() OVER (PARTITION BY k, part ORDER BY turn) AS n FROM o JOIN {_RULES} USING (source) WHERE regexp_matches(title, pattern)),
+c AS (SELECT k, field, val, rank() OVER (PARTITION BY k ORDER BY c.day IS NULL) AS n FROM o JOIN {_CORRECTIONS.replace(") t(", ") c(")} ON o.source = c.source AND o.title = c.title AND (c.day IS NULL OR c.day = strftime(o.day, '%Y-%m-%d'))),
+f AS (SELECT k, part, field, nullif(trim(regexp_replace(found, pattern, template)), '') AS val FROM m JOIN {_FIELDS} USING (source, part, turn) WHERE n = 1 AND k NOT IN (SELECT k FROM c) UNION ALL SELECT k, 1, field, val FROM c WHERE n = 1),
 w AS (SELECT k, {", ".join(f"arg_min(val, part) FILTER (field = '{x}' AND val IS NOT NULL) AS {x}" for x in title_rules.FIELDS)} FROM f GROUP BY k)
 SELECT o.k, {", ".join(_ASKED)}, try_cast(year || '-' || coalesce(nullif(list_position({_MONTHS}, lower(month[1:3])), 0)::VARCHAR, month) || '-' || day_of_month AS DATE) AS date FROM o LEFT JOIN w USING (k)""", days="date")
 def titles_by_rules(spark, d):

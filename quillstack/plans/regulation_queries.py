@@ -141,9 +141,14 @@ def regulation_linked_citations(spark, d):
     return regulation.linked_citations(own).select("conv_id", "turn")
 
 
-@query("SELECT * FROM (VALUES ('CA', 'california', 1947, true), ('FL', 'florida', 1961, false), ('MI', 'michigan', 1943, false), ('WY', 'wyoming', 1957, true)) t(state, locality, start_year, titled)")
+_CUSTOMER_STATE = "CASE c_nationkey % 5 WHEN 0 THEN 'CA' WHEN 1 THEN 'FL' WHEN 2 THEN 'MI' WHEN 3 THEN 'WY' ELSE 'XX' END"
+
+
+@query(f"""SELECT c_custkey, state, locality, start_year, titled FROM (SELECT c_custkey, {_CUSTOMER_STATE} AS state FROM customer)
+JOIN (VALUES ('CA', 'california', 1947, true), ('FL', 'florida', 1961, {str('FL' in regulation.TITLE_STATES).lower()}), ('MI', 'michigan', 1943, {str('MI' in regulation.TITLE_STATES).lower()}), ('WY', 'wyoming', 1957, true)) t(state, locality, start_year, titled) USING (state)""")
 def regulation_states(spark, d):
-    return regulation.states(spark).where(F.col("state").isin("CA", "FL", "MI", "WY"))
+    places = table(spark, d, "customer").select("c_custkey", F.expr(_CUSTOMER_STATE).alias("state"))
+    return places.join(F.broadcast(regulation.states(spark)), "state").select("c_custkey", "state", "locality", "start_year", "titled")  # fifty states
 
 
 @query("SELECT o_orderkey AS k, '/akn/us-ca/act/regulation/' || year(o_orderdate) || '/' || o_orderkey AS work, '/akn/us-ca/act/regulation/' || year(o_orderdate) || '/' || o_orderkey || '/eng@v1.xml' AS manifestation FROM orders")

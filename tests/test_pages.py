@@ -110,12 +110,12 @@ def test_golden_titles_by_rules(spark):
 
 def test_title_rules_turns_parts_and_corrections(spark, monkeypatch):
     rules = spark.createDataFrame(
-        [("s", 1, 2, "No ([0-9]+)", "num", "$1"), ("s", 1, 1, "No ([0-9]+) of ([0-9]+)", "num year", "$1|$2"), ("s", 2, 1, "Part (\\w+)", "part", "$1"), ("s", 3, 1, "(\\w*) Part", "part kind", "no|$1")],
-        "source string, part int, turn int, pattern string, fields string, values string",
+        [("s", 1, 2, "No ([0-9]+)", {"num": "$1"}), ("s", 1, 1, "No ([0-9]+) of ([0-9]+)", {"num": "$1", "year": "$2"}), ("s", 2, 1, "Part (\\w+)", {"part": "$1"}), ("s", 3, 1, "(\\w*) Part", {"part": "no", "kind": "$1"})],
+        "source string, part int, turn int, pattern string, fields map<string,string>",
     )
     fixes = spark.createDataFrame(
-        [("s", "wrong", None, "num", "1"), ("s", "wrong", "2024-01-02", "year month day_of_month", "2024|Feb|30"), ("s", "right", "2024-01-02", "year month day_of_month", "2024|March|5")],
-        "source string, title string, day string, fields string, values string",
+        [("s", "wrong", None, {"num": "1"}), ("s", "wrong", "2024-01-02", {"year": "2024", "month": "Feb", "day_of_month": "30"}), ("s", "right", "2024-01-02", {"year": "2024", "month": "March", "day_of_month": "5"})],
+        "source string, title string, day string, fields map<string,string>",
     )
     day = datetime.date(2024, 1, 2)
     rows = [("s", "x No 5 of 2020 Part II y", None), ("s", "No 7", None), ("s", "none", None), ("t", "No 7", None), ("s", None, None), ("s", "wrong", None), ("s", "wrong", day), ("s", "right", day), (None, "No 7", None)]
