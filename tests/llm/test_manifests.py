@@ -168,7 +168,7 @@ def test_merkle_manifest_matches_brute_force(spark, tmp_path):
     assert manifest_of(spark, tmp_path, rows) == manifest_by_hand(rows)
 
 
-@pytest.mark.parametrize("n", [0, 1, 2, 3, 4, 10])
+@pytest.mark.parametrize("n", [0, 1, 4])
 def test_merkle_manifest_of_few(spark, tmp_path, n):
     rows = [(k, "s", "en", 2, "a\nb") for k in range(n)]
     assert manifest_of(spark, tmp_path, rows, 1) == (manifest_by_hand(rows) if n else [])
@@ -283,7 +283,7 @@ def test_document_fingerprints_match_brute_force(spark, batch):
     assert kept.columns == ["doc_id", "text", "part", "Fingerprint"] and kept.count() == len(rows)
 
 
-@pytest.mark.parametrize("n", [0, 1, 2])
+@pytest.mark.parametrize("n", [0, 1])
 def test_document_fingerprints_of_few(spark, n):
     rows = [(k, f"just some words of row {k}") for k in range(n)]
     df = spark.createDataFrame(rows, "doc_id long, text string")
