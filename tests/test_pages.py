@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from quillstack.operators import facets, ordering, page_flow, tables, title_rules
 from quillstack.sources import containers, entities
-from tests.test_more import TITLES
+from test_more import TITLES
 
 LINE = "doc string, page int, height int, column int, block int, para int, line int, text string, box struct<l:int,t:int,r:int,b:int>"
 
