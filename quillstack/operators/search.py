@@ -54,6 +54,14 @@ def vocabulary(found: DataFrame, config: str = "english", only: list[str] | None
     return different.join(numbers, "lexeme").select("word", "lexeme", "word_id")
 
 
+def _themselves(spark, words_: list[str]) -> DataFrame:
+    """A vocabulary of words that are their own lexemes."""
+    if not words_:
+        return spark.createDataFrame([], "word string, lexeme string, word_id long")
+    rows = spark.range(1).select(F.posexplode(F.array(*map(F.lit, words_))).alias("word_id", "word"))
+    return rows.select("word", F.col("word").alias("lexeme"), F.col("word_id").cast("long").alias("word_id"))
+
+
 def postings(docs: DataFrame, key: str, fields: dict[str, str], config: str = "english", only: list[str] | None = None) -> DataFrame:
     """(word_id, lexeme, doc, weight, positions) of the text columns, fields giving each its weight class.
 
@@ -61,8 +69,9 @@ def postings(docs: DataFrame, key: str, fields: dict[str, str], config: str = "e
     wanted; others are left out before anything but the vocabulary is shuffled.
     """
     found = words(docs, key, fields)
-    known = checkpoint(vocabulary(found, config, only))
-    if known.count() <= BROADCAST_WORDS:
+    named = only is not None and config != "english"  # then the texts need not be read for their vocabulary
+    known = _themselves(docs.sparkSession, only) if named else checkpoint(vocabulary(found, config, only))
+    if (len(only) if named else known.count()) <= BROADCAST_WORDS:
         placed = found.join(F.broadcast(known), "word").groupBy("word_id", "lexeme", "doc", "weight")
         return placed.agg(F.sort_array(F.collect_list("at")).alias("positions"))
     # places meet in one row a document first, so a word that all documents have is joined once for each
