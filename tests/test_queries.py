@@ -42,3 +42,15 @@ def test_query(spark, duck, name):
         assert rows(got) == rows(want)
     else:
         assert len(got) > 0
+
+
+def test_ingest_status_of_stored_copies(spark, tmp_path):
+    rows = [(1, "same text", "src0", 9), (2, "same text", "src0", 9), (3, "same text", "src0", 9), (4, "other text", "src0", 10), (5, "same text", "src1", 9)]
+    spark.createDataFrame(rows, "doc_id long, text string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, 1), (2, 1), (4, 0)], "doc_id long, quality int").write.parquet(f"{tmp_path}/labels.parquet")
+    got = {r["seq"]: r["status"] for r in archive_queries.QUERIES["ingest_status"](spark, str(tmp_path)).collect()}
+    assert got == {1: "unchanged", 2: "unchanged", 3: "error", 4: "updated", 5: "created"}
+    made = duckdb.connect()
+    for t in ("documents", "labels"):
+        made.execute(f"CREATE VIEW {t} AS FROM '{tmp_path}/{t}.parquet/*.parquet'")
+    assert got == dict(made.execute(archive_queries.SQL["ingest_status"]).fetchall())
