@@ -5,9 +5,12 @@ into a set; texts with fewer words are one shingle, texts without words, and nul
 Texts with equal sets are grouped before anything else. Two sets are near if they share four
 fifths or more of their union.
 
-Candidates. BANDS x ROWS minimum hashes make BANDS keys a set; sets that share a key are joined
-into clusters by star steps (see graph). Sets of similarity s share no key with a chance of
-(1 - s^ROWS)^BANDS, that is one in 20,000 at 0.8 and less above; this is the only loss.
+Candidates. Each set has the SimHash fingerprint of its hashes, and the BK-trees of simhash link
+fingerprints that differ in three bits or fewer. Sets at 0.8 differ in about ten bits, which no tree
+prunes, so BANDS x ROWS minimum hashes make BANDS keys a set besides. Sets that share a key or are linked
+are joined into clusters by star steps (see graph). Sets of similarity s share no key with a chance of
+(1 - s^ROWS)^BANDS, that is one in 20,000 at 0.8 and less above; those of them that no fingerprint
+links are the only loss.
 
 Confirmation. Within a cluster of up to ``PIECE`` sets every pair is compared exactly. A larger one is
 cut into pieces, and each piece is compared with ``ANCHORS`` sets of the cluster first. In a group
@@ -33,7 +36,7 @@ from pyspark.sql import functions as F
 
 from .common import broadcast_if_small, checkpoint, join_named, partitions
 from .graph import components
-from .simhash import _Forest, keep_least
+from .simhash import BITS, _Forest, keep_least, near_links
 
 SHINGLE, SEED = 5, 42
 BANDS, ROWS = 25, 5
@@ -74,19 +77,30 @@ def band_keys(tokens: np.ndarray) -> np.ndarray:
     return (least.reshape(BANDS, ROWS) * _JOIN).sum(axis=1, dtype=np.uint64)
 
 
+def set_fingerprint(tokens: np.ndarray) -> int:
+    """The SimHash fingerprint of a set: a bit is 1 if it is set in more than half of the hashes."""
+    counts = np.zeros(BITS, np.int64)
+    for at in range(0, len(tokens), _CHUNK):
+        part = np.ascontiguousarray(tokens[at : at + _CHUNK]).view(np.uint8).reshape(-1, 8)
+        counts += np.unpackbits(part, axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return int(np.packbits(2 * counts > len(tokens), bitorder="little").view(np.uint64)[0])
+
+
 def _set_name(tokens: np.ndarray) -> int:
     return xxhash.xxh64_intdigest(tokens.tobytes(), SEED)
 
 
 def _keyed(batches):
     for batch in batches:
-        names, keys = [], []
+        names, prints, keys = [], [], []
         for text in batch.column("text").to_pylist():
             tokens = shingles(text)
             names.append(_set_name(tokens))
+            prints.append(set_fingerprint(tokens))
             keys.append(band_keys(tokens).view(np.int64) if len(tokens) else np.zeros(0, np.int64))
-        columns = [batch.column("id"), batch.column("same"), pa.array(np.array(names, np.uint64).view(np.int64)), pa.array(keys, pa.list_(pa.int64()))]
-        yield pa.RecordBatch.from_arrays(columns, names=["id", "same", "fp", "keys"])
+        hashed = [pa.array(np.array(x, np.uint64).view(np.int64)) for x in (names, prints)]
+        columns = [batch.column("id"), batch.column("same"), *hashed, pa.array(keys, pa.list_(pa.int64()))]
+        yield pa.RecordBatch.from_arrays(columns, names=["id", "same", "fp", "sim", "keys"])
 
 
 def _sets(batches):
@@ -184,18 +198,29 @@ def confirmed_links(made: DataFrame, piece: int = PIECE) -> DataFrame:
     return first.unionByName(_links_of(second))
 
 
+def linked_sets(sims: DataFrame) -> DataFrame:
+    """(a, b): links that connect all sets (fp) whose SimHash fingerprints (sim) are near by the trees of simhash."""
+    least = checkpoint(sims.groupBy("sim").agg(F.min("fp").alias("b"), F.count(F.lit(1)).alias("times")))
+    equal = join_named(sims, least.where("times > 1"), ["sim"], sims.count()).select(F.col("fp").alias("a"), "b")
+    links = near_links(least.select(F.col("sim").alias("fp")))
+    for end in ("a", "b"):
+        links = links.join(least.select(F.col("sim").alias(end), F.col("b").alias(f"set_{end}")), end)
+    return equal.unionByName(links.select(F.col("set_a").alias("a"), F.col("set_b").alias("b")))
+
+
 def near_components(docs: DataFrame, id_col="doc_id", text="text", piece: int = PIECE) -> DataFrame:
     """(id, same, root): every row of docs with a hash of its text and the set that names its component."""
     whole = F.col(f"`{text}`")
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.xxhash64(whole).alias("same"), whole.alias("text"))
-    schema = rows.select("id", "same", F.lit(0).cast("long").alias("fp"), F.array().cast("array<long>").alias("keys")).schema
+    schema = rows.select("id", "same", *[F.lit(0).cast("long").alias(c) for c in ("fp", "sim")], F.array().cast("array<long>").alias("keys")).schema
     prints = checkpoint(rows.mapInArrow(_keyed, schema))
-    sets = prints.groupBy("fp").agg(F.first("keys").alias("keys"), F.min("same").alias("same"), F.count(F.lit(1)).alias("rows"))
-    keyed = checkpoint(sets.select("fp", "same", "rows", F.explode_outer("keys").alias("key")))
+    sets = prints.groupBy("fp").agg(F.first("sim").alias("sim"), F.first("keys").alias("keys"), F.min("same").alias("same"), F.count(F.lit(1)).alias("rows"))
+    keyed = checkpoint(sets.select("fp", "sim", "same", "rows", F.explode_outer("keys").alias("key")))
     least = keyed.where("key IS NOT NULL").groupBy("key").agg(F.min("fp").alias("b"), F.max("fp").alias("most"), F.count(F.lit(1)).alias("times"))
     least = checkpoint(least.where("b <> most").select("key", "b", "times"))
     shared = join_named(keyed, least, ["key"], least.agg(F.sum("times")).first()[0] or 0)
-    clusters = checkpoint(components(shared.select(F.col("fp").alias("a"), "b"))).select("root", F.col("node").alias("fp"))
+    linked = linked_sets(checkpoint(keyed.where("key IS NOT NULL").select("fp", "sim").distinct()))
+    clusters = checkpoint(components(shared.select(F.col("fp").alias("a"), "b").unionByName(linked))).select("root", F.col("node").alias("fp"))
     counted = checkpoint(clusters.groupBy("root").agg(F.count(F.lit(1)).alias("times"), F.ceil(F.count(F.lit(1)) / piece).cast("int").alias("pieces")))
     n_near = clusters.count()
     dealt = join_named(clusters, counted, ["root"], n_near).withColumn("piece", F.pmod(F.xxhash64("fp"), "pieces").cast("int"))

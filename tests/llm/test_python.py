@@ -523,3 +523,20 @@ def test_held_out_rule(spark):
 
     rows = spark.range(50).select(F.col("id").alias("doc_id")).select("doc_id", _held_out(4, 2).alias("h")).collect()
     assert all(r["h"] == (zlib.crc32(str(r["doc_id"]).encode()) % 4 == 2) for r in rows)
+
+
+def test_near_copies_come_through_fingerprints(spark, monkeypatch):
+    rnd = random.Random(9)
+    texts = [" ".join(f"w{rnd.randrange(5000)}" for _ in range(1200)) for _ in range(6)]
+    near = [t.rsplit(" ", 1)[0] + " other" for t in texts[:3]]
+    docs = spark.createDataFrame(list(enumerate(texts + near)), "doc_id long, text string")
+    fps = [near_copies.set_fingerprint(near_copies.shingles(t)) for t in texts + near]
+    assert all((fps[k] ^ fps[k + 6]).bit_count() <= simhash.RADIUS for k in range(3))
+    sims = spark.createDataFrame([(k, fp - (1 << 64) if fp >> 63 else fp) for k, fp in enumerate(fps)], "fp long, sim long")
+    roots = {r["node"]: r["root"] for r in graph.components(near_copies.linked_sets(sims)).collect()}
+    assert roots == {0: 0, 6: 0, 1: 1, 7: 1, 2: 2, 8: 2}
+    # the stage asks them
+    links = []
+    wired = near_copies.linked_sets
+    monkeypatch.setattr(near_copies, "linked_sets", lambda s: links.append(wired(s)) or links[-1])
+    assert sorted(r["doc_id"] for r in near_copies.keep_one(docs).collect()) == list(range(6)) and links[0].count() >= 3
