@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text
 from ..operators import facets, flow, layout, page_flow, windows
+from ..session import dealt
 from .archive_queries import query, table
 
 #: Words of pages: two pages a document, blocks by line number. Line numbers repeat, so a word's number holds more of its line.
@@ -348,7 +349,7 @@ _FLOW_IN = "(SELECT " + ", ".join(f"{e} AS \"{n}\"" for n, e in _FLOW.items()) +
 
 def _flowing(spark, d):
     turn = Window.partitionBy("l_suppkey").orderBy(*_FLOW_ORDER.split(", "))
-    rows = table(spark, d, "lineitem").withColumn("k", F.row_number().over(turn) - 1).select(*[F.expr(e).alias(n) for n, e in _FLOW.items()])
+    rows = dealt(table(spark, d, "lineitem"), "l_suppkey").withColumn("k", F.row_number().over(turn) - 1).select(*[F.expr(e).alias(n) for n, e in _FLOW.items()])
     return rows.withColumn("box", F.struct(F.lit(0).alias("l"), F.col("t").alias("t"), F.lit(300).alias("r"), (F.col("t") + 10).alias("b"))).drop("t")
 
 

@@ -7,6 +7,7 @@ import duckdb
 import pandas as pd
 import pytest
 
+from quillstack import session
 from quillstack.plans import archive_queries, function_queries, grammar_queries, layout_queries, record_queries, regulation_queries, table_queries, tree_queries  # noqa: F401
 from quillstack.streaming import stream_queries  # noqa: F401
 
@@ -54,3 +55,11 @@ def test_ingest_status_of_stored_copies(spark, tmp_path):
     for t in ("documents", "labels"):
         made.execute(f"CREATE VIEW {t} AS FROM '{tmp_path}/{t}.parquet/*.parquet'")
     assert got == dict(made.execute(archive_queries.SQL["ingest_status"]).fetchall())
+
+
+@pytest.mark.parametrize("name", ["layout_paragraphs_over_pages", "layout_html_over_pages"])
+def test_tasks_do_not_grow_with_the_table(spark, monkeypatch, name):
+    monkeypatch.setattr(session, "TASK_ROWS", 500)
+    found = archive_queries.QUERIES[name](spark, SF)
+    lines = spark.read.parquet(f"{SF}/lineitem.parquet").count()
+    assert f", {-(-lines // 500)})" in found._jdf.queryExecution().executedPlan().toString()
