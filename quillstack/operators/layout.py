@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import escaped
+from ..session import dealt
 
 PAGE = ["doc", "page"]
 
@@ -44,7 +45,7 @@ def stitched(words: DataFrame) -> DataFrame:
     lower = F.round((box["t"] - before["t"]) / F.when(height > 0, height)) >= 1
     left = (box["l"] - before["r"]) <= -50
     starts = before.isNull() | F.coalesce((height > 0) & (lower | left), F.lit(False))
-    out = words.withColumn("__s", starts.cast("int"))
+    out = dealt(words, *PAGE).withColumn("__s", starts.cast("int"))
     return out.withColumn("line", F.sum("__s").over(w.rowsBetween(Window.unboundedPreceding, 0)) - 1).drop("__s")
 
 
@@ -109,12 +110,20 @@ def page_text(lines: DataFrame) -> DataFrame:
     return packed.select(*PAGE, F.array_join(F.transform("x", lambda v: v["said"]), "\n").alias("text"))
 
 
+def _fit() -> list[Column]:
+    """Aggregates of a line's words: the least squares through their bottom middles."""
+    x, y = (F.col("box.l") + F.col("box.r")) / 2, F.col("box.b")
+    top = F.greatest(F.lit(0), F.min("box.t"))
+    return [F.regr_slope(y, x).alias("slope"), (F.coalesce(F.regr_intercept(y, x), F.avg(y)) - top).alias("at0")]
+
+
+def _fitted() -> list[Column]:
+    return [F.coalesce("slope", F.lit(0.0)).alias("slope"), F.round("at0", 6).cast("int").alias("offset")]
+
+
 def baselines(lines: DataFrame) -> DataFrame:
     """(doc, page, line, slope, offset): least squares through the words' bottom middles; flat for one point."""
-    box = line_boxes(lines).select(*PAGE, "line", F.col("box.t").alias("top"))
-    at = lines.join(box, [*PAGE, "line"]).withColumn("x", (F.col("box.l") + F.col("box.r")) / 2).withColumn("y", F.col("box.b") - F.col("top"))
-    fit = at.groupBy(*PAGE, "line").agg(F.regr_slope("y", "x").alias("slope"), F.regr_intercept("y", "x").alias("at0"), F.avg("y").alias("mean"))
-    return fit.select(*PAGE, "line", F.coalesce("slope", F.lit(0.0)).alias("slope"), F.round(F.coalesce("at0", "mean"), 6).cast("int").alias("offset"))
+    return lines.groupBy(*PAGE, "line").agg(*_fit()).select(*PAGE, "line", *_fitted())
 
 
 def common_baseline(lines: DataFrame) -> DataFrame:
@@ -189,12 +198,12 @@ def _around(prefix: str = "box") -> Column:
     return F.struct(side(F.min, "l").alias("l"), side(F.min, "t").alias("t"), side(F.max, "r").alias("r"), side(F.max, "b").alias("b"))
 
 
-def _packed(rows: DataFrame, by: list[str], order: str, piece: Column, between: str = "") -> DataFrame:
-    """(by, n, box, x): the pieces of each group in order, their number and the box around them."""
+def _packed(rows: DataFrame, by: list[str], order: str, piece: Column, between: str = "", more: tuple[list[Column], list[Column]] = ((), ())) -> DataFrame:
+    """(by, n, box, x): the pieces of each group in order, their number and the box around them; more: further aggregates, and columns of them."""
     made = rows.withColumn("__x", piece).groupBy(*by).agg(
-        F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.col("__x").alias("x")))).alias("__a"), _around().alias("box")
+        F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.col("__x").alias("x")))).alias("__a"), _around().alias("box"), *more[0]
     )
-    return made.select(*by, F.size("__a").alias("n"), "box", F.array_join(F.transform("__a", lambda v: v["x"]), between).alias("x"))
+    return made.select(*by, F.size("__a").alias("n"), "box", F.array_join(F.transform("__a", lambda v: v["x"]), between).alias("x"), *more[1])
 
 
 def _element(tag: str, kind: str, number: Column, title: Column, inner: Column) -> Column:
@@ -219,10 +228,9 @@ def hocr(lines: DataFrame) -> DataFrame:
     words = lines.withColumn("n", number("block", "para", "line", "box.l", "word"))
     said = F.concat(_bbox(F.col("box")), F.lit("; x_wconf "), F.floor(F.round(F.col("confidence") * 100, 6)).cast("string"))
     lang = F.concat(said, F.when(F.size("langs") > 0, F.concat(F.lit("' lang='"), F.get("langs", 0))).otherwise(""))
-    rows = _packed(words, _LINE, "n", _element("span", "ocrx_word", F.col("n"), lang, escaped(F.col("text"))), " ")
     # a line that crosses paragraphs is one for each of them, so it has the baseline of its part
-    own = baselines(lines.withColumn("line", F.struct("block", "para", "line"))).select(*PAGE, F.col("line.*"), "slope", "offset")
-    rows = rows.join(own, _LINE).withColumn("i", number("block", "para", "line"))
+    rows = _packed(words, _LINE, "n", _element("span", "ocrx_word", F.col("n"), lang, escaped(F.col("text"))), " ", (_fit(), _fitted()))
+    rows = rows.withColumn("i", number("block", "para", "line"))
     title = F.concat(_bbox(F.col("box")), F.lit("; baseline "), F.format_string("%.6f %d", "slope", "offset"))
     rows = _packed(rows, [*PAGE, "block", "para"], "line", _element("span", "ocr_line", F.col("i"), title, F.col("x")), "\n").withColumn("i", number("block", "para"))
     rows = _packed(rows, [*PAGE, "block"], "para", _element("p", "ocr_par", F.col("i"), _bbox(F.col("box")), F.col("x")), "\n").withColumn("i", number("block"))
@@ -255,10 +263,14 @@ def abbyy(lines: DataFrame, dpi: int = 300) -> DataFrame:
     shown = lambda box, text: F.concat(F.lit("<charParams"), _edges(box), F.lit(">"), text, F.lit("</charParams>"))
     rows = lines.withColumn("gap", space).withColumn("o", order)
     piece = F.concat(F.when(F.col("gap.l") < F.col("gap.r"), shown(F.col("gap"), F.lit(" "))).otherwise(""), shown(F.col("box"), escaped(F.col("text"))))
-    rows = _packed(rows, _LINE, "o", piece)
-    own = common_baseline(lines.withColumn("line", F.struct("block", "para", "line"))).select(*PAGE, F.col("line.*"), "bottom")
+    # words of one bottom first, so that the most frequent one, of equals the first seen, needs no join
+    alike = rows.withColumn("__x", F.struct(F.col("o"), piece.alias("x"))).groupBy(*_LINE, F.col("box.b").alias("bottom")).agg(
+        F.struct((-F.count(F.lit(1))).alias("n"), F.min("word").alias("first")).alias("turn"), F.collect_list("__x").alias("xs"), _around().alias("box")
+    )
+    rows = alike.groupBy(*_LINE).agg(F.min(F.struct("turn", "bottom"))["bottom"].alias("bottom"), F.array_sort(F.flatten(F.collect_list("xs"))).alias("__a"), _around().alias("box"))
+    rows = rows.select(*_LINE, "bottom", "box", F.array_join(F.transform("__a", lambda v: v["x"]), "").alias("x"))
     line = F.concat(F.lit('<line baseline="'), F.col("bottom").cast("string"), F.lit('"'), _edges(F.col("box")), F.lit("><formatting>"), F.col("x"), F.lit("</formatting></line>"))
-    rows = _packed(rows.join(own, _LINE), [*PAGE, "block", "para"], "line", line)
+    rows = _packed(rows, [*PAGE, "block", "para"], "line", line)
     rows = _packed(rows, [*PAGE, "block"], "para", F.concat(F.lit("<par>"), F.col("x"), F.lit("</par>")))
     box = _edges(F.col("box"))
     block = F.concat(F.lit('<block blockType="Text" blockName=""'), box, F.lit("><region><rect"), box, F.lit("/></region><text>"), F.col("x"), F.lit("</text></block>"))
