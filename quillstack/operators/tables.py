@@ -32,20 +32,30 @@ def pieces(lines: DataFrame) -> DataFrame:
     return rows.select(*PAGE, "line", "p.*")
 
 
+def _ends(found: DataFrame) -> DataFrame:
+    """(doc, page, at, n, length, width): as gap_ends for all places where pieces begin, n null without a gap, and how far these pieces reach."""
+    before = F.coalesce(F.lag("end").over(Window.partitionBy(*PAGE, "line").orderBy("start")), F.lit(0))
+    begun = found.select(*PAGE, F.col("start").alias("at"), (F.col("start") - before).alias("length"), "end")
+    counted = begun.groupBy(*PAGE, "at", "length").agg(F.count(F.lit(1)).alias("k"), F.max("end").alias("end"))
+    gap = F.col("length") >= 2
+    rarest = F.min(F.when(gap, F.struct("k", (-F.col("length")).alias("l"))))
+    ends = counted.groupBy(*PAGE, "at").agg(F.sum(F.when(gap, F.col("k"))).alias("n"), rarest["l"].alias("l"), F.max("end").alias("width"))
+    return ends.select(*PAGE, "at", "n", (-F.col("l")).alias("length"), "width")
+
+
 def gap_ends(found: DataFrame) -> DataFrame:
     """(doc, page, at, n, length): where gaps end, how many do, and their rarest length. Indents are gaps; what follows the last piece is none."""
-    before = F.coalesce(F.lag("end").over(Window.partitionBy(*PAGE, "line").orderBy("start")), F.lit(0))
-    gaps = found.select(*PAGE, F.col("start").alias("at"), (F.col("start") - before).alias("length")).where("length >= 2")
-    counted = gaps.groupBy(*PAGE, "at", "length").agg(F.count(F.lit(1)).alias("k"))
-    return counted.groupBy(*PAGE, "at").agg(F.sum("k").alias("n"), F.min(F.struct("k", (-F.col("length")).alias("l")))["l"].alias("l")).select(*PAGE, "at", "n", (-F.col("l")).alias("length"))
+    return _ends(found).where("n IS NOT NULL").drop("width")
 
 
 def columns(found: DataFrame) -> DataFrame:
     """(doc, page, columns) of the pages that have two or more: the start and end of each."""
-    ends = gap_ends(found).where("at > 0")
-    widths = found.groupBy(*PAGE).agg(F.max("end").alias("width"))
+    ended = F.col("n").isNotNull() & (F.col("at") > 0)
     # a histogram has at most as many entries as a line has characters
-    packed = ends.groupBy(*PAGE).agg(F.array_sort(F.collect_list(F.struct("at", "n", "length"))).alias("h"), F.map_from_entries(F.collect_list(F.struct("at", "n"))).alias("at_n"))
+    made = _ends(found).groupBy(*PAGE).agg(
+        F.array_sort(F.collect_list(F.when(ended, F.struct("at", "n", "length")))).alias("h"),
+        F.map_from_entries(F.collect_list(F.when(ended, F.struct("at", "n")))).alias("at_n"), F.max("width").alias("width"),
+    )
     kind = "array<struct<start:int,end:int>>"
     begin = F.struct(F.array().cast(kind).alias("out"), F.lit(0).alias("last"), F.lit(False).alias("any"))
 
@@ -56,7 +66,7 @@ def columns(found: DataFrame) -> DataFrame:
         new = F.struct(F.array_append(acc["out"], F.struct(acc["last"].alias("start"), pos.alias("end"))).alias("out"), x["at"].alias("last"), F.lit(True).alias("any"))
         return F.when(taken, new).otherwise(acc)
 
-    made = packed.join(widths, PAGE).withColumn("c", F.aggregate("h", begin, marked))
+    made = made.withColumn("c", F.aggregate("h", begin, marked))
     last = F.struct(F.col("c.last").alias("start"), F.col("width").alias("end"))
     whole = F.when(F.col("c.last") < F.col("width"), F.array_append("c.out", last)).otherwise(F.col("c.out"))
     return made.select(*PAGE, whole.alias("columns")).where(F.size("columns") > 1)

@@ -10,6 +10,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..operators import tables
+from ..session import dealt
 from .archive_queries import query, table
 
 _TEXT = """CASE l_partkey % 11 WHEN 0 THEN concat('Total of all ', l_orderkey, ' items in the list') WHEN 3 THEN '   ' WHEN 5 THEN concat('   ', l_returnflag)
@@ -21,7 +22,7 @@ _LINES = f"(SELECT l_suppkey AS doc, l_linenumber AS page, row_number() OVER (PA
 
 def _lines(spark, d):
     turn = Window.partitionBy("l_suppkey", "l_linenumber").orderBy(*_ORDER.split(", "))
-    items = table(spark, d, "lineitem")
+    items = dealt(table(spark, d, "lineitem"), "l_suppkey", "l_linenumber")
     return items.select(F.col("l_suppkey").alias("doc"), F.col("l_linenumber").alias("page"), F.row_number().over(turn).alias("line"), F.expr(_TEXT).alias("text"))
 
 

@@ -63,3 +63,9 @@ def test_tasks_do_not_grow_with_the_table(spark, monkeypatch, name):
     found = archive_queries.QUERIES[name](spark, SF)
     lines = spark.read.parquet(f"{SF}/lineitem.parquet").count()
     assert f", {-(-lines // 500)})" in found._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("name, joins", [("layout_cells_of_gaps", 1), ("layout_columns_of_gaps", 0)])
+def test_columns_of_gaps_need_no_join(spark, name, joins):
+    plan = archive_queries.QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Join ") == joins
