@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import HOT_KEYS, checkpoint, join_named
+from .common import HOT_KEYS, checkpoint, join_named, partitions
 
 
 def _least(edges: DataFrame) -> DataFrame:
@@ -28,21 +28,25 @@ def components(edges: DataFrame, steps: int = 40, hot: int = 256) -> DataFrame:
     edges: (a, b), in any direction, repeats allowed. Each step joins nodes with the smallest of
     their neighbours, so groups of any size shrink to stars in about log steps; no group is
     gathered in one task, and nodes with very many neighbours (more than ``hot``, and a part of all
-    edges) meet theirs by a broadcast. Ends when every node points to a node that points nowhere.
+    edges) meet theirs by a broadcast; where there are none, a window finds the smallest in the shuffle that
+    brings a node's edges together. Ends when every node points to a node that points nowhere.
     """
     now = edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
     now = checkpoint(now)
     n, most, _ = _shape(now)
 
+    def dealt(rows: DataFrame) -> DataFrame:
+        """Different rows, those of a node together, so that neither this nor what follows by node shuffles them again."""
+        return rows.repartition(partitions(rows.sparkSession), "u").distinct()
+
     def met(rows: DataFrame) -> DataFrame:
-        least = _least(rows)
         if most <= max(hot, 2 * n // HOT_KEYS):
-            return rows.join(least.drop("times"), "u")
-        return join_named(rows, least, ["u"], 2 * n, hot)
+            return rows.withColumn("m", F.least(F.col("u"), F.min("v").over(Window.partitionBy("u"))))
+        return join_named(rows, _least(rows), ["u"], 2 * n, hot)
 
     for _ in range(steps if n else 0):
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        large = met(both).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+        large = dealt(met(both).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v"))
         small = met(large).select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v")))).alias("e"))
         now = checkpoint(small.select("e.u", "e.v").where("u <> v").distinct())
         n, most, settled = _shape(now)

@@ -201,10 +201,11 @@ def confirmed_links(made: DataFrame, piece: int = PIECE) -> DataFrame:
 def linked_sets(sims: DataFrame) -> DataFrame:
     """(a, b): links that connect all sets (fp) whose SimHash fingerprints (sim) are near by the trees of simhash."""
     least = checkpoint(sims.groupBy("sim").agg(F.min("fp").alias("b"), F.count(F.lit(1)).alias("times")))
+    n = least.count()
     equal = join_named(sims, least.where("times > 1"), ["sim"], sims.count()).select(F.col("fp").alias("a"), "b")
     links = near_links(least.select(F.col("sim").alias("fp")))
     for end in ("a", "b"):
-        links = links.join(least.select(F.col("sim").alias(end), F.col("b").alias(f"set_{end}")), end)
+        links = links.join(broadcast_if_small(least.select(F.col("sim").alias(end), F.col("b").alias(f"set_{end}")), n, BROADCAST_SETS), end)
     return equal.unionByName(links.select(F.col("set_a").alias("a"), F.col("set_b").alias("b")))
 
 
@@ -214,17 +215,17 @@ def near_components(docs: DataFrame, id_col="doc_id", text="text", piece: int =
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.xxhash64(whole).alias("same"), whole.alias("text"))
     schema = rows.select("id", "same", *[F.lit(0).cast("long").alias(c) for c in ("fp", "sim")], F.array().cast("array<long>").alias("keys")).schema
     prints = checkpoint(rows.mapInArrow(_keyed, schema))
-    sets = prints.groupBy("fp").agg(F.first("sim").alias("sim"), F.first("keys").alias("keys"), F.min("same").alias("same"), F.count(F.lit(1)).alias("rows"))
-    keyed = checkpoint(sets.select("fp", "sim", "same", "rows", F.explode_outer("keys").alias("key")))
-    least = keyed.where("key IS NOT NULL").groupBy("key").agg(F.min("fp").alias("b"), F.max("fp").alias("most"), F.count(F.lit(1)).alias("times"))
+    sets = checkpoint(prints.groupBy("fp").agg(F.first("sim").alias("sim"), F.first("keys").alias("keys"), F.min("same").alias("same"), F.count(F.lit(1)).alias("rows")))
+    keyed = sets.select("fp", F.explode("keys").alias("key"))
+    least = keyed.groupBy("key").agg(F.min("fp").alias("b"), F.max("fp").alias("most"), F.count(F.lit(1)).alias("times"))
     least = checkpoint(least.where("b <> most").select("key", "b", "times"))
     shared = join_named(keyed, least, ["key"], least.agg(F.sum("times")).first()[0] or 0)
-    linked = linked_sets(checkpoint(keyed.where("key IS NOT NULL").select("fp", "sim").distinct()))
+    linked = linked_sets(sets.where(F.size("keys") > 0).select("fp", "sim"))
     clusters = checkpoint(components(shared.select(F.col("fp").alias("a"), "b").unionByName(linked))).select("root", F.col("node").alias("fp"))
     counted = checkpoint(clusters.groupBy("root").agg(F.count(F.lit(1)).alias("times"), F.ceil(F.count(F.lit(1)) / piece).cast("int").alias("pieces")))
     n_near = clusters.count()
     dealt = join_named(clusters, counted, ["root"], n_near).withColumn("piece", F.pmod(F.xxhash64("fp"), "pieces").cast("int"))
-    named = keyed.select("fp", "same", "rows").distinct()
+    named = sets.select("fp", "same", "rows")
     dealt = dealt.join(named.select("fp", F.col("same").alias("of")), "fp")
     asked = rows.select("same", "text")
     if n_near > BROADCAST_SETS:  # each text once, as very many rows may have one

@@ -540,3 +540,23 @@ def test_near_copies_come_through_fingerprints(spark, monkeypatch):
     wired = near_copies.linked_sets
     monkeypatch.setattr(near_copies, "linked_sets", lambda s: links.append(wired(s)) or links[-1])
     assert sorted(r["doc_id"] for r in near_copies.keep_one(docs).collect()) == list(range(6)) and links[0].count() >= 3
+
+
+def test_star_steps_shuffle_edges_twice(spark):
+    """A step of a graph without hubs deals its edges by node twice and once to find equal ones, without joins."""
+    from quillstack.llm import graph
+
+    plans, kept = [], graph.checkpoint
+
+    def seen(df):
+        plans.append(df._jdf.queryExecution().sparkPlan().toString())
+        return kept(df)
+
+    graph.checkpoint = seen
+    try:
+        edges = [(i, i + 1) for i in range(12)] + [(30, 40), (40, 30)]
+        got = {r["node"]: r["root"] for r in graph.components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    finally:
+        graph.checkpoint = kept
+    assert got == {**dict.fromkeys(range(13), 0), 30: 30, 40: 30}
+    assert len(plans) > 2 and not any("Join" in p for p in plans)
