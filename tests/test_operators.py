@@ -303,3 +303,21 @@ def test_streams(spark, tmp_path):
     stored = spark.createDataFrame([("a/1", False, False)], "relurl string, has_pdf boolean, has_alternate boolean")
     late = spark.createDataFrame([("a/1", "raw")], "relurl string, kind string")
     assert tuple(feeds.with_flags(stored, late).first()) == ("a/1", True, False)
+
+
+def test_plain_postings_without_vocabulary(spark, monkeypatch):
+    rows = spark.createDataFrame([(1, "b a b the", "A"), (2, None, ""), (3, "é b", "a x a")], "id long, title string, body string")
+    monkeypatch.setattr(search, "vocabulary", lambda *a: pytest.fail("plain words need no vocabulary"))
+    for config, the in (("simple", [("the", 1, "A", [4])]), ("words", [])):
+        got = sorted((r["lexeme"], r["doc"], r["weight"], r["positions"]) for r in search.postings(rows, "id", {"title": "A", "body": "D"}, config).collect())
+        n = 1_000_000_000
+        # a is a stop word
+        a = [("a", 1, "A", [2]), ("a", 1, "D", [n + 1]), ("a", 3, "D", [n + 1, n + 3])] if the else []
+        assert got == sorted([*a, ("b", 1, "A", [1, 3]), ("b", 3, "A", [2]), ("x", 3, "D", [n + 2]), ("é", 3, "A", [1]), *the])
+    assert [r["id"] for r in search.unindexed(rows, search.occurrences(rows, "id", {"body": "D"}), "id").select("id").orderBy("id").collect()] == [1, 2]
+
+
+def test_stems_only_of_words_that_may_have_them(spark):
+    words_ = [*analysis.EXCEPTIONS, "rationalization", "possibilities", "relational", "ties", "flies", "hoping", "hopped", "agreed", "analogies", "'tis", "yes", "sensibly", "activities", "gently"]
+    table = search._lexemes_of(spark, words_, "english")
+    assert [(w, x) for w, x in table.items() if x and not w.lstrip("'").startswith(search._stretch(x))] == []
