@@ -15,7 +15,9 @@ itself was put in, where hoisted nodes go; ``para`` and ``content`` the paragrap
 opened last.
 
 The pass is top down, a level at a time: the nodes whose parents were placed last meet them in one join,
-and only the others go on, so a node is shuffled once for each level above it. Levels are checkpointed.
+and only the others go on. Siblings that have no children, which are most nodes, wait and meet all their parents
+in one join at the end; only nodes that have children, or siblings with children, are shuffled once for each
+level above them. Levels are checkpointed.
 Only the children of one parent ever meet in one window. Nodes without a way to a root are no part of
 the result. Repeated (reg, node) are the caller's to remove.
 """
@@ -404,12 +406,18 @@ def rule_table(spark, rows=None) -> DataFrame:
     return spark.createDataFrame(rows or rules(), RULE_COLUMNS)
 
 
-def _with_rule_kinds(nodes: DataFrame) -> DataFrame:
-    """nodes with rule_kind: the kind that rules go by, ruleofsections for rules that hold articles or sections, empty but for code."""
+def _prepared(nodes: DataFrame) -> DataFrame:
+    """nodes with rule_kind, inner and open.
+
+    rule_kind: the kind that rules go by, ruleofsections for rules that hold articles or sections, empty but for code.
+    inner: whether the node has children; open: whether a sibling or the node itself has.
+    """
     coded = F.lower("tag") == "code"
-    holders = nodes.where(coded & F.lower("kind").isin("article", "section")).select("reg", F.col("parent").alias("node"), F.lit(True).alias("__holds")).distinct()
+    holds = coded & F.lower("kind").isin("article", "section")
+    parents = nodes.where("parent IS NOT NULL").groupBy("reg", F.col("parent").alias("node")).agg(F.coalesce(F.bool_or(holds), F.lit(False)).alias("__holds"))
     kind = F.when(F.col("__holds") & (F.lower("kind") == "rule"), "ruleofsections").otherwise(F.lower(F.coalesce("kind", F.lit(""))))
-    return nodes.join(holders, ["reg", "node"], "left").withColumn("rule_kind", F.when(coded, kind).otherwise("")).select(*nodes.columns, "rule_kind")
+    known = nodes.join(parents, ["reg", "node"], "left").select(*nodes.columns, F.when(coded, kind).otherwise("").alias("rule_kind"), F.col("__holds").isNotNull().alias("inner"))
+    return known.withColumn("open", F.max("inner").over(Window.partitionBy("reg", "parent")))
 
 
 def _state(placed: DataFrame, carried: list[str]) -> DataFrame:
@@ -448,8 +456,8 @@ def rewritten(nodes: DataFrame, rule_rows: DataFrame) -> DataFrame:
     through the regulation and begins this one's; suffix: what follows there. Sections whose title begins
     with rescind are dropped.
     """
-    carried = nodes.columns
-    prepared = _with_rule_kinds(nodes)
+    carried, own_columns = [*nodes.columns, "inner"], nodes.columns
+    prepared = checkpoint(_prepared(nodes))
     roots = prepared.where("parent IS NULL")
     el = F.col("node") * SLOTS
     made = checkpoint(
@@ -459,35 +467,45 @@ def rewritten(nodes: DataFrame, rule_rows: DataFrame) -> DataFrame:
             el.alias("into"), el.alias("up"), el.alias("outer"), F.col("node").alias("anchor"), F.lit("").alias("suffix"), F.col("node").alias("outer_anchor"), F.lit("").alias("outer_suffix"),
         )
     )
-    levels, rest = [made], prepared.where("parent IS NOT NULL")
-    state = ("becomes", "action", "into", "up", "outer", "anchor", "suffix", "outer_anchor", "outer_suffix")
+    below = prepared.where("parent IS NOT NULL")
+    levels, rest, last = [made], below.where("open"), below.where("NOT open")
     rule_rows = F.broadcast(rule_rows.withColumnsRenamed({"tag": "r_tag", "kind": "r_kind", "context": "r_context"}))  # some hundred rows
     while not made.isEmpty():
-        frontier = made.select(F.col("reg").alias("p_reg"), F.col("node").alias("p_node"), *[F.col(c).alias(f"p_{c}") for c in state])
-        met = checkpoint(rest.join(frontier, (F.col("reg") == F.col("p_reg")) & (F.col("parent") == F.col("p_node")), "left"))
+        met = checkpoint(_met(rest, made, "left"))
         rest = met.where("p_node IS NULL").select(*carried, "rule_kind")
-        ruled = met.where("p_node IS NOT NULL").join(
-            rule_rows, (F.col("p_becomes") == F.col("r_context")) & (F.lower("tag") == F.col("r_tag")) & (F.col("rule_kind") == F.col("r_kind")), "left"
-        )
-        gone = F.col("p_action").isin("drop", "ignored")
-        rescinded = (F.col("becomes") == "section") & F.lower(F.trim("title")).rlike("^\\[?rescind")
-        action = F.when(gone | rescinded, "drop").otherwise(F.coalesce("action", F.lit("ignored")))
-        ruled = ruled.withColumn("action", action).withColumns({c: F.when(~F.col("action").isin("drop", "ignored"), F.col(c)) for c in ("becomes", "place", "first", "second", "prefix", "counts")})
-        before = Window.partitionBy("reg", "parent").orderBy("node").rowsBetween(Window.unboundedPreceding, -1)
-        own = F.col("node") * SLOTS
-        split = F.col("action") == "split"
-        last_para = F.last(F.when(split, own + 2).when(F.col("becomes") == "p", own), True).over(before)
-        last_content = F.last(F.when(split, own + 1), True).over(before)
-        at = (
-            F.when(F.col("place") == "up", F.col("p_up")).when(F.col("place") == "outer", F.col("p_outer"))
-            .when(F.col("place") == "para", F.coalesce(last_para, F.col("p_into"))).when(F.col("place") == "content", F.coalesce(last_content, F.col("p_into"))).when(F.col("place") == "into", F.col("p_into"))
-        )
-        made = checkpoint(_state(ruled.withColumn("at", at), carried))
+        made = checkpoint(_placed(met.where("p_node IS NOT NULL"), rule_rows, carried))
         levels.append(made)
     whole = levels[0]
     for level in levels[1:]:
         whole = whole.unionByName(level)
-    return whole.select(*carried, "becomes", "action", "first", "second", "prefix", "counts", "at", "el", "into", "anchor", "suffix")
+    whole = whole.unionByName(checkpoint(_placed(_met(last, whole, "inner"), rule_rows, carried)))
+    return whole.select(*own_columns, "becomes", "action", "first", "second", "prefix", "counts", "at", "el", "into", "anchor", "suffix")
+
+
+def _met(rest: DataFrame, made: DataFrame, how: str) -> DataFrame:
+    """rest with the states of those of their parents that are made, under p_."""
+    state = ("becomes", "action", "into", "up", "outer", "anchor", "suffix", "outer_anchor", "outer_suffix")
+    above = made.where("inner").select(F.col("reg").alias("p_reg"), F.col("node").alias("p_node"), *[F.col(c).alias(f"p_{c}") for c in state])
+    return rest.join(above, (F.col("reg") == F.col("p_reg")) & (F.col("parent") == F.col("p_node")), how)
+
+
+def _placed(met: DataFrame, rule_rows: DataFrame, carried: list[str]) -> DataFrame:
+    """The states of nodes that have met their parents, all siblings together."""
+    ruled = met.join(rule_rows, (F.col("p_becomes") == F.col("r_context")) & (F.lower("tag") == F.col("r_tag")) & (F.col("rule_kind") == F.col("r_kind")), "left")
+    gone = F.col("p_action").isin("drop", "ignored")
+    rescinded = (F.col("becomes") == "section") & F.lower(F.trim("title")).rlike("^\\[?rescind")
+    action = F.when(gone | rescinded, "drop").otherwise(F.coalesce("action", F.lit("ignored")))
+    ruled = ruled.withColumn("action", action).withColumns({c: F.when(~F.col("action").isin("drop", "ignored"), F.col(c)) for c in ("becomes", "place", "first", "second", "prefix", "counts")})
+    before = Window.partitionBy("reg", "parent").orderBy("node").rowsBetween(Window.unboundedPreceding, -1)
+    own = F.col("node") * SLOTS
+    split = F.col("action") == "split"
+    last_para = F.last(F.when(split, own + 2).when(F.col("becomes") == "p", own), True).over(before)
+    last_content = F.last(F.when(split, own + 1), True).over(before)
+    at = (
+        F.when(F.col("place") == "up", F.col("p_up")).when(F.col("place") == "outer", F.col("p_outer"))
+        .when(F.col("place") == "para", F.coalesce(last_para, F.col("p_into"))).when(F.col("place") == "content", F.coalesce(last_content, F.col("p_into"))).when(F.col("place") == "into", F.col("p_into"))
+    )
+    return _state(ruled.withColumn("at", at), carried)
 
 
 def ignored(tree: DataFrame) -> DataFrame:
@@ -555,17 +573,27 @@ def assembled(tree: DataFrame, parts: DataFrame) -> DataFrame:
 
 
 def with_paths(rows: DataFrame) -> DataFrame:
-    """rows (reg, el, parent, ...) with path, the numbers from the root to each; those without a way to a root are left out."""
+    """rows (reg, el, parent, ...) with path, the numbers from the root to each; those without a way to a root are left out.
+
+    Paths are made for the numbers of elements that have children; whole rows meet that of their parent once.
+    """
     carried = rows.columns
-    made, rest = rows.where("parent IS NULL").withColumn("path", F.array("el")), rows.where("parent IS NOT NULL")
+    parents = rows.where("parent IS NOT NULL").select("reg", F.col("parent").alias("el")).distinct()
+    inner = checkpoint(rows.select("reg", "el", "parent").join(parents, ["reg", "el"], "left_semi"))
+    made, rest = inner.where("parent IS NULL").select("reg", "el", F.array("el").alias("path")), inner.where("parent IS NOT NULL")
     whole = made = checkpoint(made)
+
+    def met(lower: DataFrame, upper: DataFrame, how: str) -> DataFrame:
+        above = upper.select(F.col("reg").alias("p_reg"), F.col("el").alias("p_el"), F.col("path").alias("p_path"))
+        return lower.join(above, (F.col("reg") == F.col("p_reg")) & (F.col("parent") == F.col("p_el")), how)
+
     while not made.isEmpty():
-        above = made.select(F.col("reg").alias("p_reg"), F.col("el").alias("p_el"), F.col("path").alias("p_path"))
-        met = checkpoint(rest.join(above, (F.col("reg") == F.col("p_reg")) & (F.col("parent") == F.col("p_el")), "left"))
-        rest = met.where("p_el IS NULL").select(*carried)
-        made = met.where("p_el IS NOT NULL").select(*carried, F.concat("p_path", F.array("el")).alias("path"))
+        seen = checkpoint(met(rest, made, "left"))
+        rest = seen.where("p_el IS NULL").select("reg", "el", "parent")
+        made = seen.where("p_el IS NOT NULL").select("reg", "el", F.concat("p_path", F.array("el")).alias("path"))
         whole = whole.unionByName(made)
-    return whole
+    tops = rows.where("parent IS NULL").withColumn("path", F.array("el"))
+    return tops.unionByName(met(rows.where("parent IS NOT NULL"), whole, "inner").select(*carried, F.concat("p_path", F.array("el")).alias("path")))
 
 
 def _xml(text: Column) -> Column:

@@ -201,3 +201,15 @@ def test_documents_escape_and_missing_parents_stand_in_the_body(spark):
     rows = [("r", 1, 9, "sec", 'a"b', "1", "<T>", "x & y"), ("r", 2, 1, None, None, None, None, None)]
     made = spark.createDataFrame(rows, "reg string, node int, parent int, becomes string, eid string, num string, title string, text string")
     assert containers.akn_document(made).first()["xml"] == '<body><sec eId="a&quot;b"><num>1</num><heading>&lt;T&gt;</heading>x &amp; y<block></block></sec></body>'
+
+
+def test_childless_siblings_wait(spark, monkeypatch):
+    """Only nodes with children, or siblings with children, go down the levels; the others meet their parents once."""
+    rows = [(1, 1, None, "regulation", None, None, None, None)]
+    rows += [(1, 2, 1, "code", "Chapter", "1", "c", None), (1, 3, 2, "code", "Section", "2", "s", None), (1, 4, 3, "content", None, None, None, None), (1, 5, 4, "codetext", None, None, None, "t")]
+    rows += [(1, 10 + k, 5, "para", None, None, None, str(k)) for k in range(20)]
+    seen, met = [], trees._met
+    monkeypatch.setattr(trees, "_met", lambda rest, made, how: seen.append((how, rest.count())) or met(rest, made, how))
+    tree = trees.rewritten(spark.createDataFrame(rows, NODES), trees.rule_table(spark))
+    assert tree.where("becomes = 'p'").count() == 20
+    assert seen[-1] == ("inner", 20) and max(n for how, n in seen if how == "left") == 4
