@@ -17,9 +17,10 @@ opened last.
 The pass is top down, a level at a time: the nodes whose parents were placed last meet them in one join,
 and only the others go on. Siblings that have no children, which are most nodes, wait and meet all their parents
 in one join at the end; only nodes that have children, or siblings with children, are shuffled once for each
-level above them. Levels are checkpointed.
-Only the children of one parent ever meet in one window. Nodes without a way to a root are no part of
-the result. Repeated (reg, node) are the caller's to remove.
+level above them. What goes down the levels are numbers: a node's name among those of the rules, not its texts,
+which are moved once, when all is placed. Steps are compressed files, each written over the last but one.
+Only the children of one parent ever meet in one window. Nodes without a way to a root, and those below a node that was
+left out, are no part of the result. Repeated (reg, node) are the caller's to remove.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import checkpoint
+from ..session import checkpoint, dealt, emptied, run_folder, stored
 
 #: What code elements become, by the context and their types, and at which place.
 CODES = {
@@ -368,6 +369,7 @@ IDS_WITHIN = {("subdivision", "subdivision"): "_division_", ("content", "content
 #: Numbers of elements for each node: those that it opens, from its own number times this on.
 SLOTS = 4
 _ROOT = "regulation"
+_LEFT_OUT = ("drop", "ignored")
 
 
 def rules() -> list[tuple]:
@@ -406,18 +408,34 @@ def rule_table(spark, rows=None) -> DataFrame:
     return spark.createDataFrame(rows or rules(), RULE_COLUMNS)
 
 
-def _prepared(nodes: DataFrame) -> DataFrame:
-    """nodes with rule_kind, inner and open.
+def _named_rules(rule_rows: DataFrame) -> DataFrame:
+    """Rules with name, a number for each tag and kind that they have."""
+    named = rule_rows.withColumnsRenamed({"tag": "r_tag", "kind": "r_kind", "context": "r_context"})
+    return checkpoint(named.withColumn("name", F.dense_rank().over(Window.orderBy("r_tag", "r_kind"))))  # some hundred rows
 
-    rule_kind: the kind that rules go by, ruleofsections for rules that hold articles or sections, empty but for code.
-    inner: whether the node has children; open: whether a sibling or the node itself has.
+
+def _prepared(nodes: DataFrame, named: DataFrame) -> DataFrame:
+    """nodes with name, rescinded, inner and open.
+
+    name: the number of the tag and kind that rules go by, null where none has them. The kind is ruleofsections for rules that
+    hold articles or sections, and empty but for code. inner: whether the node has children; open: whether a sibling or the node itself has.
     """
     coded = F.lower("tag") == "code"
-    holds = coded & F.lower("kind").isin("article", "section")
-    parents = nodes.where("parent IS NOT NULL").groupBy("reg", F.col("parent").alias("node")).agg(F.coalesce(F.bool_or(holds), F.lit(False)).alias("__holds"))
-    kind = F.when(F.col("__holds") & (F.lower("kind") == "rule"), "ruleofsections").otherwise(F.lower(F.coalesce("kind", F.lit(""))))
-    known = nodes.join(parents, ["reg", "node"], "left").select(*nodes.columns, F.when(coded, kind).otherwise("").alias("rule_kind"), F.col("__holds").isNotNull().alias("inner"))
-    return known.withColumn("open", F.max("inner").over(Window.partitionBy("reg", "parent")))
+    holds = F.coalesce(coded & F.lower("kind").isin("article", "section"), F.lit(False))
+    mark = F.col("mark")
+    # Each node stands beside the marks that its children leave, so nodes are made once and windows over parts of a table dealt by reg need no shuffle.
+    twice = nodes.withColumn("mark", F.explode(F.array(F.lit(False), F.lit(True)))).where("NOT mark OR parent IS NOT NULL")
+    beside = twice.select(
+        "reg", *[F.when(~mark, F.col(c)).alias(c) for c in nodes.columns if c != "reg"], "mark",
+        F.when(mark, F.col("parent")).otherwise(F.col("node")).alias("key"), F.when(mark, holds).alias("holds"),
+    )
+    known = beside.withColumn("holds", F.max("holds").over(Window.partitionBy("reg", "key"))).where("NOT mark")
+    kind = F.when(F.col("holds") & (F.lower("kind") == "rule"), "ruleofsections").otherwise(F.lower(F.coalesce("kind", F.lit(""))))
+    ruled = known.select(*nodes.columns, F.when(coded, kind).otherwise("").alias("rule_kind"), F.col("holds").isNotNull().alias("inner"))
+    opened = ruled.withColumn("open", F.max("inner").over(Window.partitionBy("reg", "parent")))
+    names = F.broadcast(named.select("r_tag", "r_kind", "name").distinct())
+    rescinded = F.coalesce(F.lower(F.trim("title")).rlike("^\\[?rescind"), F.lit(False))
+    return opened.join(names, (F.lower("tag") == F.col("r_tag")) & (F.col("rule_kind") == F.col("r_kind")), "left").select(*nodes.columns, "name", rescinded.alias("rescinded"), "inner", "open")
 
 
 def _state(placed: DataFrame, carried: list[str]) -> DataFrame:
@@ -456,46 +474,49 @@ def rewritten(nodes: DataFrame, rule_rows: DataFrame) -> DataFrame:
     through the regulation and begins this one's; suffix: what follows there. Sections whose title begins
     with rescind are dropped.
     """
-    carried, own_columns = [*nodes.columns, "inner"], nodes.columns
-    prepared = checkpoint(_prepared(nodes))
-    roots = prepared.where("parent IS NULL")
-    el = F.col("node") * SLOTS
-    made = checkpoint(
-        roots.select(
-            *carried, F.lit(_ROOT).alias("becomes"), F.lit("make").alias("action"), F.lit(ELEMENTS[_ROOT][0]).alias("first"), F.lit(ELEMENTS[_ROOT][0]).alias("second"),
-            F.lit(None).cast("string").alias("prefix"), F.lit(None).cast("string").alias("counts"), F.lit(None).cast("long").alias("at"), el.alias("el"),
-            el.alias("into"), el.alias("up"), el.alias("outer"), F.col("node").alias("anchor"), F.lit("").alias("suffix"), F.col("node").alias("outer_anchor"), F.lit("").alias("outer_suffix"),
-        )
+    spark = nodes.sparkSession
+    work = run_folder(spark, "levels")
+    named = _named_rules(rule_rows)
+    prepared = stored(_prepared(nodes, named), f"{work}/nodes")
+    narrow, out = ["reg", "node", "parent", "name", "rescinded", "inner"], ["becomes", "action", "first", "second", "prefix", "counts", "at", "el", "into", "anchor", "suffix"]
+    el, none = F.col("node") * SLOTS, F.lit(None).cast("string")
+    made = prepared.where("parent IS NULL").select(
+        *narrow, F.lit(False).alias("gone"), F.lit(_ROOT).alias("becomes"), F.lit("make").alias("action"), F.lit(ELEMENTS[_ROOT][0]).alias("first"), F.lit(ELEMENTS[_ROOT][0]).alias("second"),
+        none.alias("prefix"), none.alias("counts"), F.lit(None).cast("long").alias("at"), el.alias("el"),
+        el.alias("into"), el.alias("up"), el.alias("outer"), F.col("node").alias("anchor"), F.lit("").alias("suffix"), F.col("node").alias("outer_anchor"), F.lit("").alias("outer_suffix"),
     )
-    below = prepared.where("parent IS NOT NULL")
-    levels, rest, last = [made], below.where("open"), below.where("NOT open")
-    rule_rows = F.broadcast(rule_rows.withColumnsRenamed({"tag": "r_tag", "kind": "r_kind", "context": "r_context"}))  # some hundred rows
+    made, turn = stored(made, f"{work}/states/level=0"), 0
+    below, levels = prepared.where("parent IS NOT NULL"), f"{work}/states"
+    rest, last = below.where("open").select(*narrow), below.where("NOT open")
     while not made.isEmpty():
-        met = checkpoint(_met(rest, made, "left"))
-        rest = met.where("p_node IS NULL").select(*carried, "rule_kind")
-        made = checkpoint(_placed(met.where("p_node IS NOT NULL"), rule_rows, carried))
-        levels.append(made)
-    whole = levels[0]
-    for level in levels[1:]:
-        whole = whole.unionByName(level)
-    whole = whole.unionByName(checkpoint(_placed(_met(last, whole, "inner"), rule_rows, carried)))
-    return whole.select(*own_columns, "becomes", "action", "first", "second", "prefix", "counts", "at", "el", "into", "anchor", "suffix")
+        met, turn = stored(_met(rest, made, "left"), f"{work}/met{turn % 2}"), turn + 1
+        rest = met.where("p_node IS NULL").select(*narrow)
+        made = stored(_placed(met.where("p_node IS NOT NULL"), named, [*narrow, "gone"]), f"{levels}/level={turn}")
+    states = spark.read.schema(made.schema).parquet(levels).where("NOT gone")
+    first = prepared.where("open OR parent IS NULL").select(*nodes.columns).join(states.select("reg", "node", *out).hint("merge"), ["reg", "node"])
+    then = _placed(_met(dealt(last, "reg", "parent"), states.where(F.col("inner") & ~F.col("action").isin(*_LEFT_OUT)), "inner"), named, nodes.columns)
+    columns = [*nodes.columns, *out]
+    folder = run_folder(spark, "tree")
+    stored(first.select(*columns), folder)  # one after the other, so their shuffles are not on disk at once
+    whole = stored(then.select(*columns), folder, "append")
+    emptied(spark, work)
+    return whole
 
 
 def _met(rest: DataFrame, made: DataFrame, how: str) -> DataFrame:
     """rest with the states of those of their parents that are made, under p_."""
     state = ("becomes", "action", "into", "up", "outer", "anchor", "suffix", "outer_anchor", "outer_suffix")
     above = made.where("inner").select(F.col("reg").alias("p_reg"), F.col("node").alias("p_node"), *[F.col(c).alias(f"p_{c}") for c in state])
-    return rest.join(above, (F.col("reg") == F.col("p_reg")) & (F.col("parent") == F.col("p_node")), how)
+    return rest.join(above.hint("merge"), (F.col("reg") == F.col("p_reg")) & (F.col("parent") == F.col("p_node")), how)
 
 
-def _placed(met: DataFrame, rule_rows: DataFrame, carried: list[str]) -> DataFrame:
+def _placed(met: DataFrame, named: DataFrame, carried: list) -> DataFrame:
     """The states of nodes that have met their parents, all siblings together."""
-    ruled = met.join(rule_rows, (F.col("p_becomes") == F.col("r_context")) & (F.lower("tag") == F.col("r_tag")) & (F.col("rule_kind") == F.col("r_kind")), "left")
-    gone = F.col("p_action").isin("drop", "ignored")
-    rescinded = (F.col("becomes") == "section") & F.lower(F.trim("title")).rlike("^\\[?rescind")
+    ruled = met.join(F.broadcast(named.withColumnRenamed("name", "r_name")), (F.col("p_becomes") == F.col("r_context")) & (F.col("name") == F.col("r_name")), "left")
+    gone = F.col("p_action").isin(*_LEFT_OUT)  # what is above was left out
+    rescinded = (F.col("becomes") == "section") & F.col("rescinded")
     action = F.when(gone | rescinded, "drop").otherwise(F.coalesce("action", F.lit("ignored")))
-    ruled = ruled.withColumn("action", action).withColumns({c: F.when(~F.col("action").isin("drop", "ignored"), F.col(c)) for c in ("becomes", "place", "first", "second", "prefix", "counts")})
+    ruled = ruled.withColumns({"action": action, "gone": gone}).withColumns({c: F.when(~F.col("action").isin(*_LEFT_OUT), F.col(c)) for c in ("becomes", "place", "first", "second", "prefix", "counts")})
     before = Window.partitionBy("reg", "parent").orderBy("node").rowsBetween(Window.unboundedPreceding, -1)
     own = F.col("node") * SLOTS
     split = F.col("action") == "split"
@@ -518,7 +539,7 @@ def with_ids(tree: DataFrame) -> DataFrame:
     kept = tree.where("action NOT IN ('drop', 'ignored')")
     turn = Window.partitionBy("reg", "prefix").orderBy("node")
     counted = kept.where("counts = 'all'").select("reg", F.col("node").alias("anchor"), F.concat("prefix", F.lit("_"), F.row_number().over(turn).cast("string")).alias("begins"))
-    joined = kept.join(counted, ["reg", "anchor"], "left")
+    joined = kept.join(counted.hint("merge"), ["reg", "anchor"], "left")
     eid = F.when(F.col("counts").isNotNull(), F.concat(F.coalesce("begins", F.lit("")), "suffix"))
     return joined.withColumn("eid", eid).select(*kept.columns, "eid")
 
@@ -576,22 +597,25 @@ def with_paths(rows: DataFrame) -> DataFrame:
     """rows (reg, el, parent, ...) with path, the numbers from the root to each; those without a way to a root are left out.
 
     Paths are made for the numbers of elements that have children; whole rows meet that of their parent once.
+    rows are read several times, so store what is dear to make.
     """
-    carried = rows.columns
+    spark, carried = rows.sparkSession, rows.columns
+    work = run_folder(spark, "steps")
     parents = rows.where("parent IS NOT NULL").select("reg", F.col("parent").alias("el")).distinct()
-    inner = checkpoint(rows.select("reg", "el", "parent").join(parents, ["reg", "el"], "left_semi"))
+    inner = stored(rows.select("reg", "el", "parent").join(parents.hint("merge"), ["reg", "el"], "left_semi"), f"{work}/inner")
     made, rest = inner.where("parent IS NULL").select("reg", "el", F.array("el").alias("path")), inner.where("parent IS NOT NULL")
-    whole = made = checkpoint(made)
+    paths = run_folder(spark, "paths")
+    whole, turn = stored(made, paths), 0
 
     def met(lower: DataFrame, upper: DataFrame, how: str) -> DataFrame:
         above = upper.select(F.col("reg").alias("p_reg"), F.col("el").alias("p_el"), F.col("path").alias("p_path"))
-        return lower.join(above, (F.col("reg") == F.col("p_reg")) & (F.col("parent") == F.col("p_el")), how)
+        return lower.join(above.hint("merge"), (F.col("reg") == F.col("p_reg")) & (F.col("parent") == F.col("p_el")), how)
 
     while not made.isEmpty():
-        seen = checkpoint(met(rest, made, "left"))
-        rest = seen.where("p_el IS NULL").select("reg", "el", "parent")
-        made = seen.where("p_el IS NOT NULL").select("reg", "el", F.concat("p_path", F.array("el")).alias("path"))
-        whole = whole.unionByName(made)
+        step = stored(met(rest, made, "left").select("reg", "el", "parent", F.concat("p_path", F.array("el")).alias("path")), f"{work}/step{turn % 2}")
+        rest, made, turn = step.where("path IS NULL").drop("path"), step.where("path IS NOT NULL").drop("parent"), turn + 1
+        whole = stored(made, paths, "append")
+    emptied(spark, work)
     tops = rows.where("parent IS NULL").withColumn("path", F.array("el"))
     return tops.unionByName(met(rows.where("parent IS NOT NULL"), whole, "inner").select(*carried, F.concat("p_path", F.array("el")).alias("path")))
 
@@ -607,14 +631,14 @@ def documents(found: DataFrame) -> DataFrame:
 
     Each element gives an opening and a closing mark; sorted by their paths these are the document.
     """
-    rows = with_paths(found)
+    found = stored(found, run_folder(found.sparkSession, "elements"))
     part = lambda tag, x: F.coalesce(F.concat(F.lit(f"<{tag}>"), _xml(x), F.lit(f"</{tag}>")), F.lit(""))
     text = F.coalesce(_xml(F.col("text")), F.lit(""))
     eid = F.coalesce(F.concat(F.lit(' eId="'), F.replace(_xml(F.col("eid")), F.lit('"'), F.lit("&quot;")), F.lit('"')), F.lit(""))
     bare = F.col("element") == "#text"
     begins = F.when(bare, text).otherwise(F.concat(F.lit("<"), "element", eid, F.lit(">"), part("num", F.col("num")), part("heading", F.col("heading")), text))
-    ends = F.when(~bare, F.concat(F.lit("</"), "element", F.lit(">")))
-    last = F.concat("path", F.array(F.lit(2**63 - 1)))
-    marks = rows.select("reg", F.explode(F.array(F.struct("path", begins.alias("mark")), F.struct(last.alias("path"), ends.alias("mark")))).alias("m"))
-    packed = marks.where("m.mark IS NOT NULL").groupBy("reg").agg(F.array_sort(F.collect_list("m")).alias("m"))
-    return packed.select("reg", F.concat_ws("", F.col("m.mark")).alias("xml"))
+    rows = dealt(with_paths(found).select("reg", "path", begins.alias("mark"), F.when(~bare, F.col("element")).alias("element")), "reg", counted=found)
+    packed = rows.groupBy("reg").agg(F.collect_list(F.struct("path", "mark", "element")).alias("m"))
+    ends = F.transform(F.filter("m", lambda x: x["element"].isNotNull()), lambda x: F.struct(F.concat(x["path"], F.array(F.lit(2**63 - 1))).alias("path"), F.concat(F.lit("</"), x["element"], F.lit(">")).alias("mark")))
+    marks = F.array_sort(F.concat(F.transform("m", lambda x: F.struct(x["path"].alias("path"), x["mark"].alias("mark"))), ends))
+    return packed.select("reg", F.concat_ws("", marks["mark"]).alias("xml"))

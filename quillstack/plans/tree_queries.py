@@ -10,6 +10,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..operators import trees
+from ..session import dealt
 from .archive_queries import query, table
 
 #: tag:kind, by the level of a node.
@@ -33,7 +34,7 @@ _TREE = f"""(SELECT l_suppkey AS reg, node, CASE WHEN node > 1 THEN 1 + (node -
 def _nodes(spark, d):
     turn = Window.partitionBy("l_suppkey").orderBy("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice")
     columns = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_returnflag")
-    lines = table(spark, d, "lineitem").select(*columns).withColumn("node", F.row_number().over(turn).cast("long"))
+    lines = dealt(table(spark, d, "lineitem").select(*columns), "l_suppkey").withColumn("node", F.row_number().over(turn).cast("long"))
     picks = [F.element_at(F.array(*map(F.lit, xs)), (F.expr(f"{_PICK} % {len(xs)}") + 1).cast("int")) for xs in _LEVELS]
     pick = picks[-1]
     for last, own in zip(reversed(_LAST), reversed(picks[:-1])):

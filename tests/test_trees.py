@@ -1,11 +1,13 @@
 """Rewriting of regulation trees against a recursion in Python, and by hand."""
 
 import random
+from pathlib import Path
 from xml.etree import ElementTree
 
 import pytest
 
 from quillstack.operators import trees
+from quillstack.session import shared_folder
 from quillstack.sources import containers
 
 NODES = "reg string, node long, parent long, tag string, kind string, num string, title string, text string"
@@ -213,3 +215,23 @@ def test_childless_siblings_wait(spark, monkeypatch):
     tree = trees.rewritten(spark.createDataFrame(rows, NODES), trees.rule_table(spark))
     assert tree.where("becomes = 'p'").count() == 20
     assert seen[-1] == ("inner", 20) and max(n for how, n in seen if how == "left") == 4
+
+
+def test_texts_are_moved_once(spark):
+    """Texts do not go down the levels, and steps leave nothing on disk; nodes below one that was left out are no part of the tree."""
+    rnd = random.Random(3)
+    chain = tag("content", tag("codetext", *[tag("para", text=rnd.randbytes(20_000).hex()) for _ in range(20)], text=rnd.randbytes(20_000).hex()))
+    for _ in range(6):
+        chain = code("Chapter", chain, tag("odd", tag("para", text=rnd.randbytes(20_000).hex())), num="1", text=rnd.randbytes(20_000).hex())
+    rows = numbered("r", code("Title", code("Chapter", code("Section", chain)), code("Section", tag("content", tag("codetext", tag("para", text="t"))))))
+    nodes = spark.createDataFrame(rows, NODES)
+    folder = Path(shared_folder(spark).removeprefix("file:"))
+    size = lambda: sum(f.stat().st_size for f in folder.rglob("*") if f.is_file())
+    before = size()
+    tree = trees.rewritten(nodes, trees.rule_table(spark))
+    assert size() - before < 1.1 * sum(len(r[-1] or "") for r in rows)
+    found = {r["node"]: r["action"] for r in tree.select("node", "action").collect()}
+    out = {"drop", "ignored"}
+    assert found[1] == "make" and len(found) < len(rows)
+    assert set(found) == {1} | {r[1] for r in rows if found.get(r[2], "drop") not in out}
+    assert trees.elements(trees.with_ids(tree)).where("text = 't'").count() == 1
