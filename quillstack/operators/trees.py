@@ -17,8 +17,8 @@ opened last.
 The pass is top down, a level at a time: the nodes whose parents were placed last meet them in one join,
 and only the others go on. Siblings that have no children, which are most nodes, wait and meet all their parents
 in one join at the end; only nodes that have children, or siblings with children, are shuffled once for each
-level above them. What goes down the levels are numbers: a node's name among those of the rules, not its texts,
-which are moved once, when all is placed. Steps are compressed files, each written over the last but one.
+level above them. Of a node its numbers go down the levels, with that of its tag and kind among those of the rules; its
+texts wait and meet its state when all is placed. Steps are compressed files, each written over the last but one.
 Only the children of one parent ever meet in one window. Nodes without a way to a root, and those below a node that was
 left out, are no part of the result. Repeated (reg, node) are the caller's to remove.
 """
